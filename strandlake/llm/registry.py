@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from .decontamination import op6_benchmark_decontamination
+from .secret_scan import op1_secret_scan
 from .token_counts import op5_token_counts
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op5_token_counts": op5_token_counts,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
 }
 ORACLES: dict[str, str] = {}
