@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from .decontamination import op6_benchmark_decontamination
+from .near_duplicates import op4_simhash_near_dedup
 from .secret_scan import op1_secret_scan
+from .sharding import op7_sharding
 from .token_counts import op5_token_counts
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_sharding": op7_sharding,
 }
 ORACLES: dict[str, str] = {}
