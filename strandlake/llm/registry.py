@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from .decontamination import op6_benchmark_decontamination
 from .near_duplicates import op4_simhash_near_dedup
+from .quality_rules import op2_quality_rules
 from .secret_scan import op1_secret_scan
 from .sharding import op7_sharding
 from .token_counts import op5_token_counts
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_quality_rules": op2_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
