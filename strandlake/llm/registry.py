@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .class_lm import op3_class_lm_scores
 from .decontamination import op6_benchmark_decontamination
 from .near_duplicates import op4_simhash_near_dedup
 from .quality_rules import op2_quality_rules
@@ -12,6 +13,7 @@ from .token_counts import op5_token_counts
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
+    "op3_class_lm_scores": op3_class_lm_scores,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
