@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from .class_lm import op3_class_lm_scores
 from .decontamination import op6_benchmark_decontamination
+from .line_dedup import op9_line_dedup
+from .mixing import op10_mixing
 from .near_duplicates import op4_simhash_near_dedup
+from .oracles import line_dedup_sql, mixing_sql, quality_sql
 from .quality_rules import op2_quality_rules
 from .secret_scan import op1_secret_scan
 from .sharding import op7_sharding
@@ -18,5 +21,11 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_sharding": op7_sharding,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_mixing": op10_mixing,
+}
+ORACLES: dict[str, str] = {
+    "op2_quality_rules": quality_sql(),
+    "op9_line_dedup": line_dedup_sql(),
+    "op10_mixing": mixing_sql(),
 }
-ORACLES: dict[str, str] = {}
