@@ -11,6 +11,7 @@ from .oracles import line_dedup_sql, mixing_sql, quality_sql
 from .quality_rules import op2_quality_rules
 from .secret_scan import op1_secret_scan
 from .sharding import op7_sharding
+from .suffix_dedup import op8_suffix_dedup
 from .token_counts import op5_token_counts
 
 QUERIES = {
@@ -21,11 +22,13 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_sharding": op7_sharding,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
 }
 ORACLES: dict[str, str] = {
     "op2_quality_rules": quality_sql(),
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_line_dedup": line_dedup_sql(),
     "op10_mixing": mixing_sql(),
 }
