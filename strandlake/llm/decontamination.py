@@ -155,10 +155,14 @@ def _item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words:
         yield block
 
 
-def find_contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS, keep_text: bool = False) -> DataFrame:
-    """doc_id, n_words, runs (begin, end words), items, longest match in words; with keep_text the text too."""
+def find_contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS, whole: bool = False) -> DataFrame:
+    """doc_id, n_words, runs (begin, end words), items, longest match in words; with whole also doc, the row as a struct."""
     spark = documents.sparkSession
     source = text_bytes(documents, id_col, text_col)
+    extra = ""
+    if whole:
+        source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("body"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc"))
+        extra = f", doc {source.schema['doc'].dataType.simpleString()}"
     handles = [spark.sparkContext.broadcast(x) for x in _item_blocks(benchmark, item_col, item_text_col, block_words)]
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,11 +182,12 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, id_col: str =
                     pa.array([x[2] for x in merged], pa.list_(pa.string())),
                     pa.array([x[3] for x in merged], pa.int64()),
                     pa.array([hashlib.sha256(",".join(x[2]).encode()).hexdigest() for x in merged]),
+                    *([batch.column("doc")] if whole else []),
                 ],
-                ["doc_id", "n_words", "runs", "items", "longest", "items_sha256"],
+                ["doc_id", "n_words", "runs", "items", "longest", "items_sha256", *(["doc"] if whole else [])],
             )
 
-    return source.mapInArrow(kernel, "doc_id long, n_words long, runs array<struct<begin:int,end:int>>, items array<string>, longest long, items_sha256 string")
+    return source.mapInArrow(kernel, "doc_id long, n_words long, runs array<struct<begin:int,end:int>>, items array<string>, longest long, items_sha256 string" + extra)
 
 
 def _unite(a: tuple, b: tuple) -> tuple:
@@ -200,6 +205,12 @@ def judged(found: DataFrame, share: int = SHARE) -> DataFrame:
     return found.withColumn("n_hit", hit).withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
 
 
+def clean(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of documents that are not contaminated, with their own columns."""
+    found = judged(find_contamination(documents, benchmark, id_col, text_col, whole=True, **options))
+    return found.where(~F.col("contaminated")).select("doc.*")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judged(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items_sha256", "contaminated", F.col("longest").alias("longest_match"))

@@ -131,8 +131,10 @@ def group_bits(n: int, together: np.ndarray, parts: int) -> list[list[int]]:
     return out
 
 
-def plan_search(n: int, together: np.ndarray, distance: int) -> list[tuple[list[int], int]]:
-    """(bits, threshold) of each probed partition, by dynamic programming over the estimated costs."""
+def plan_search(n: int, together: np.ndarray, distance: int, near: float = 1.0) -> list[tuple[list[int], int]]:
+    """(bits, threshold) of each probed partition, by dynamic programming over the estimated costs.
+
+    near: the share of all pairs that meet at all, where keys hold more than the bits."""
     share = np.diag(together) / max(n, 1)
     agree = share**2 + (1 - share) ** 2
     best: tuple[float, list[tuple[list[int], int]]] | None = None
@@ -149,7 +151,7 @@ def plan_search(n: int, together: np.ndarray, distance: int) -> list[tuple[list[
             for t in range(distance + 1):
                 ball += float(_choose(len(bits), t))
                 within += law[t]
-                own.append(n * (ball + (t > 0)) * PROBE_COST + n * n * within * CANDIDATE_COST)
+                own.append(n * (ball + (t > 0)) * PROBE_COST + n * n * near * within * CANDIDATE_COST)
             costs.append(own)
         least = [(0.0, ())] + [(float("inf"), ())] * (distance + 1)
         for own in costs:

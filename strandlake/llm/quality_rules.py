@@ -72,10 +72,11 @@ def _repeated(words: Column) -> Column:
     return F.when(windows < 2, F.lit(0)).otherwise(found).cast("long")
 
 
-def text_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """doc_id, stratum, the five counts and the scores of RULES."""
+def text_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", whole: bool = False) -> DataFrame:
+    """doc_id, stratum, the five counts and the scores of RULES; with whole also doc, the row as a struct."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    staged = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), text.alias("body"))
+    extra = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc")] if whole else []
+    staged = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), text.alias("body"), *extra)
 
     def counts(words: Column) -> Column:
         body = F.col("body")
@@ -91,12 +92,14 @@ def text_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         )
 
     words = F.filter(F.split("body", f"{SPACE}+"), lambda w: w != "")
-    found = staged.select("doc_id", "stratum", let(words, counts).alias("c"))
+    kept = ["doc"] if whole else []
+    found = staged.select("doc_id", "stratum", *kept, let(words, counts).alias("c"))
     per = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     c = lambda name: F.col(f"c.{name}")
     return found.select(
         "doc_id",
         "stratum",
+        *kept,
         c("n_words").alias("n_words"),
         c("word_chars").alias("word_chars"),
         c("n_symbols").alias("n_symbols"),
@@ -173,6 +176,18 @@ def judge(documents: DataFrame, labels: DataFrame, risk: float = RISK, level: fl
     return apply_rules(features, stash(calibrate(features, labels, risk, level), "quality-cuts"))
 
 
+def thresholds(documents: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+    """The cut-offs of each stratum, from the features of the labelled documents alone."""
+    labelled = labels.select(F.col("doc_id").cast("long").alias("labelled_id")).where("labelled_id is not null").distinct()
+    own = documents.join(labelled, F.col(id_col).cast("long") == F.col("labelled_id"), "left_semi")
+    return stash(calibrate(text_features(own, id_col, text_col, stratum_col), labels, risk, level), "quality-cuts")
+
+
+def select_kept(documents: DataFrame, cuts: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+    """The rows of documents that the rules keep, with their own columns."""
+    return apply_rules(text_features(documents, id_col, text_col, stratum_col, whole=True), cuts).where("kept").select("doc.*")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", *FEATURES, "base_failed", "kept", F.round("symbol_share", 6).alias("symbol_share"), F.round("shout_share", 6).alias("shout_share"))
