@@ -1,6 +1,8 @@
-"""Registered queries and their DuckDB counterparts."""
+"""All registered queries and their DuckDB counterparts."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import sequence_queries  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
