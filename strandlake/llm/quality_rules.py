@@ -177,10 +177,9 @@ def judge(documents: DataFrame, labels: DataFrame, risk: float = RISK, level: fl
 
 
 def thresholds(documents: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """The cut-offs of each stratum, from the features of the labelled documents alone."""
-    labelled = labels.select(F.col("doc_id").cast("long").alias("labelled_id")).where("labelled_id is not null").distinct()
-    own = documents.join(labelled, F.col(id_col).cast("long") == F.col("labelled_id"), "left_semi")
-    return stash(calibrate(text_features(own, id_col, text_col, stratum_col), labels, risk, level), "quality-cuts")
+    """The cut-offs of each stratum. The texts stay where they are: their scores are written, and those are joined with the labels."""
+    scores = stash(text_features(documents, id_col, text_col, stratum_col), "quality-features")
+    return stash(calibrate(scores, labels, risk, level), "quality-cuts")
 
 
 def select_kept(documents: DataFrame, cuts: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
