@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one step of a Python kernel takes at once.
 BLOCK_BYTES = 4 << 20
+#: So many row numbers at most are broadcast (16 bytes each in a hashed relation).
+BROADCAST_ROWS = 4_000_000
 #: White space by which words are split: 0x20 and 0x09 to 0x0D.
 SPACE = "[\\x20\\x09-\\x0D]"
 
@@ -63,6 +65,13 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES, column:
             yield batch.slice(start)
 
 
+def by_rows(texts: DataFrame, rows: DataFrame, on: str, how: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """texts semi- or anti-joined with rows (one long each): broadcast while they are counted to be few, else hashed
+    per partition; the texts are never sorted."""
+    few = rows.limit(limit + 1).count() <= limit
+    return texts.join(F.broadcast(rows) if few else rows.hint("shuffle_hash"), on, how)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
