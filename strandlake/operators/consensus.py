@@ -53,7 +53,7 @@ def select_reads(reads: DataFrame, most: int, seed: int = 0) -> DataFrame:
     rank = F.row_number().over(own.orderBy(stable_rank(F.col("read_uid"), F.col("group_id"), seed), "read_uid"))
     twice = F.count(F.lit(1)).over(Window.partitionBy("group_id", "read_uid")) > 1
     sound = F.when(twice, F.raise_error(F.lit("a read occurs twice in a group"))).otherwise(F.lit(True))
-    ranked = reads.withColumn("selection_rank", rank).where(sound)
+    ranked = reads.withColumns({"selection_rank": rank, "_sound": sound}).where("_sound").drop("_sound")
     return ranked.where(F.col("selection_rank") <= most) if most else ranked
 
 

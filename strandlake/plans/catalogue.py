@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import sequence_queries  # noqa: F401
+from . import clone_queries, sequence_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
