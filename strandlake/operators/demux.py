@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dna import is_sequence, reverse_complement as revcomp_column
-from ..functions.reads import mean_quality
 from .alignment import LANE_BITS, Lanes, infix_distance, infix_start, reverse_complement
 
 POLICIES = ("best_margin", "legacy_unique_threshold", "legacy_unique_best")
@@ -161,17 +161,36 @@ def panel_rows(panel: DataFrame) -> list[tuple[str, str]]:
     return rows
 
 
-def call_barcodes(reads: DataFrame, panel: list[tuple[str, str]], settings: CallSettings, name: str, seq: str = "sequence", batch_rows: int = 128) -> DataFrame:
-    """reads with the call as a struct column name."""
+def call_barcodes(reads: DataFrame, panel: list[tuple[str, str]], settings: CallSettings, name: str, seq: str = "sequence", when: Column | None = None, batch_rows: int = 128) -> DataFrame:
+    """reads with the call as a struct column name; rows for which when does not hold are not_attempted."""
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in reads.schema.fields)}, `{name}` {CALL_TYPE}"
+    names = [f.name for f in reads.schema.fields]
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         caller = Caller(panel, settings)
         for batch in batches:
-            for at in range(0, batch.num_rows, batch_rows):
-                part = batch.slice(at, batch_rows)
-                calls = caller.calls([s or "" for s in part.column(seq).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([asdict(c) for c in calls], CALL)], [*part.schema.names, name])
+            wanted = np.flatnonzero(batch.column("_when").to_numpy(zero_copy_only=False))
+            texts = batch.column(seq).take(pa.array(wanted)).to_pylist()
+            calls = [Call("not_attempted")] * batch.num_rows
+            for at in range(0, len(wanted), batch_rows):
+                for i, c in zip(wanted[at : at + batch_rows].tolist(), caller.calls([t or "" for t in texts[at : at + batch_rows]]), strict=True):
+                    calls[i] = c
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array([asdict(c) for c in calls], CALL)], [*names, name])
+
+    chosen = F.lit(True) if when is None else F.coalesce(when, F.lit(False))
+    return reads.withColumn("_when", chosen).mapInArrow(kernel, schema)
+
+
+def quality_means(reads: DataFrame, quality: str = "quality", name: str = "mean_q") -> DataFrame:
+    """reads with the mean of their Phred+33 scores (0 without any), one vector operation a read."""
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in reads.schema.fields)}, `{name}` double"
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(quality)
+            raw = column.cast(pa.large_binary()) if pa.types.is_large_string(column.type) else column.cast(pa.binary())
+            means = [float(np.frombuffer(x, np.uint8).mean()) - 33 if x else 0.0 for x in raw.to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(means, pa.float64())], [*batch.schema.names, name])
 
     return reads.mapInArrow(kernel, schema)
 
@@ -195,26 +214,20 @@ def demultiplex(reads: DataFrame, plates: list[tuple[str, str]] | None, wells: l
 
     Status, first that holds: the gate's reason, invalid_sequence, plate_<status>, well_<status>,
     orientation_conflict, assigned. Gated reads are not_attempted; a panel that is not given is skipped."""
-    gated = reads.withColumn("mean_q", mean_quality(F.col("quality"))).withColumn("gate", gate(F.length("sequence"), F.col("mean_q"), gates))
+    gated = quality_means(reads).withColumn("gate", gate(F.length("sequence"), F.col("mean_q"), gates))
     gated = gated.withColumn("gate", F.when((F.col("gate") == "pass") & ~is_sequence(F.col("sequence")), "invalid_sequence").otherwise(F.col("gate")))
     skipped = F.from_json(F.lit('{"status": "not_attempted", "orientation": "unknown"}'), CALL_TYPE)
     flip = lambda df, when: df.withColumns({"sequence": F.when(when, revcomp_column(F.col("sequence"))).otherwise(F.col("sequence")), "quality": F.when(when, F.reverse("quality")).otherwise(F.col("quality"))})
-    good, rest = gated.where("gate = 'pass'"), gated.where("gate <> 'pass'").withColumns({"plate": skipped, "well": skipped})
-    if plates is not None:
-        good = call_barcodes(good, plates, plate_settings, "plate")
-        good = flip(good, F.col("plate.status").eqNullSafe("assigned") & (F.col("plate.orientation") == "reverse"))
-    else:
-        good = good.withColumn("plate", skipped)
+    backwards = lambda call: (F.col(f"{call}.status") == "assigned") & (F.col(f"{call}.orientation") == "reverse")
+    passed = F.col("gate") == "pass"
+    every = call_barcodes(gated, plates, plate_settings, "plate", when=passed) if plates is not None else gated.withColumn("plate", skipped)
+    every = flip(every, backwards("plate"))
     if wells is not None:
-        tried = good.where("plate.status in ('assigned', 'not_attempted')")
-        failed = good.where("plate.status not in ('assigned', 'not_attempted')").withColumn("well", skipped)
-        called = call_barcodes(tried, wells, well_settings, "well")
+        every = call_barcodes(every, wells, well_settings, "well", when=passed & F.col("plate.status").isin("assigned", "not_attempted"))
         if plates is None:
-            called = flip(called, F.col("well.status").eqNullSafe("assigned") & (F.col("well.orientation") == "reverse"))
-        good = called.unionByName(failed)
+            every = flip(every, backwards("well"))
     else:
-        good = good.withColumn("well", skipped)
-    every = good.unionByName(rest)
+        every = every.withColumn("well", skipped)
     plate_bad = F.lit(plates is not None) & (F.col("plate.status") != "assigned")
     well_bad = F.lit(wells is not None) & (F.col("well.status") != "assigned")
     conflict = F.lit(plates is not None and wells is not None) & (F.col("well.orientation") == "reverse")
