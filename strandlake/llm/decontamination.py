@@ -213,4 +213,4 @@ def clean(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judged(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items_sha256", "contaminated", F.col("longest").alias("longest_match"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items_sha256", "contaminated")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, stash, table
+from .common import SPACE, release, stash, table
 
 DIMENSIONS = ("mix_source", "mix_lang", "mix_topic")
 SWEEPS = 24
@@ -68,7 +68,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
             for dim in DIMENSIONS:
                 held = F.sum("weight").over(Window.partitionBy(dim))
                 step = step.withColumn("weight", F.when(held > 0, F.col("weight") * F.col(f"{dim}_target") / held).otherwise(0.0))
-        now = stash(step, "mixing-raked")
+        before, now = now, stash(step, "mixing-raked")
+        release(before)
     return now
 
 

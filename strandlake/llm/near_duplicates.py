@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, shuffle_parts, stash, table, text_bytes
+from .common import blocks, release, shuffle_parts, stash, table, text_bytes
 
 BITS = 64
 BUCKET = 4096
@@ -295,7 +295,9 @@ def components(edges: DataFrame) -> DataFrame:
         lower = label.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "least").alias("root"))
         jump = lower.select(F.col("node").alias("root"), F.col("root").alias("further"))
         new = stash(lower.join(jump, "root", "left").select("node", "old", F.least("root", F.coalesce("further", "root")).alias("root")), "components-label")
+        release(label)
         if new.where("old <> root").isEmpty():
+            release(both)
             return new.select("node", "root")
         label = new.select("node", "root")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from . import line_dedup, mixing, quality_rules
+from . import decontamination, line_dedup, mixing, quality_rules
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -47,6 +47,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b LEFT JOIN cut USING (stratum)"""
 
 
+def decontamination_sql() -> str:
+    lower = "translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = "regexp_extract_all(" + lower + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    size = decontamination.WINDOW
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {words.format(t="text")} AS w FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {words.format(t="text")} AS w FROM benchmark WHERE text IS NOT NULL),
+bw AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS t FROM (SELECT item, w, least({size}, len(w)) AS n, unnest(range(1, len(w) - least({size}, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS t FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+hit AS (SELECT rid, i, dw.n, item FROM dw JOIN bw ON bw.n = dw.n AND bw.t = dw.t),
+cov AS (SELECT rid, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid),
+its AS (SELECT rid, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND {decontamination.SHARE} * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid)"""
+
+
 def line_dedup_sql() -> str:
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS site, coalesce(text, '') AS body FROM documents),
