@@ -142,3 +142,19 @@ def test_config_is_closed(files):
         parse_config({"schema_version": 1, "inputs": [{"path": "${NOPE}", "sample_id": "s"}], "libraries": {"a": "b"}}, environment={})
     assert parse_config({"schema_version": 1, "preset": "p", "inputs": [{"path": "${D}/x", "sample_id": "s"}], "libraries": {"a": "b"}}, {"p": {"qc": {"length_tolerance": 3}}}, {"D": "d"}).qc.length_tolerance == 3
     assert digest({"b": 1, "a": {2, 1}}) == digest({"a": [1, 2], "b": 1}) and dataclasses.is_dataclass(config(files))
+
+
+def test_command_line_checks(spark, files, capsys):
+    from strandlake.plans import cli
+
+    assert cli.main(["doctor"]) == 0 and "pyspark" in capsys.readouterr().out
+    assert cli.main(["validate", str(files / "none.yaml")]) == 2
+    assert cli.validate(spark, config(files)) == []
+    near = config(files, plates={"a": "AAAACCCC", "b": "AAAACCCG"}, routes={"a": "nowhere"})
+    assert [p["problem"] for p in cli.validate(spark, near)] == ["plates too close", "route to no library"]
+
+
+def test_every_query_has_one_name_and_stable_views():
+    from strandlake.plans.catalogue import ORACLES, QUERIES
+
+    assert len(QUERIES) >= 80 and set(ORACLES) <= set(QUERIES)
