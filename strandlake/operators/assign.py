@@ -9,6 +9,7 @@ references. Each pair of read and reference is aligned once.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -72,11 +73,19 @@ def aligned(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(kernel, schema)
 
 
+def checkpointed(df: DataFrame, name: str) -> DataFrame:
+    """A checkpoint in the folder the cluster names, or in one of our own where it names none."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandlake-"))
+    return df.checkpoint()
+
+
 def assign_reads(queries: DataFrame, groups: DataFrame, s: AssignSettings, keep_stage=None, uid: str = "read_uid") -> DataFrame:
     """uid, assignment_status, alias_key, kmer_size and geometry of every query (uid, library_id, query).
 
     keep_stage(df, name) writes a stage's table and reads it back; by default a checkpoint does."""
-    keep = keep_stage or (lambda df, name: df.checkpoint())
+    keep = keep_stage or checkpointed
     lookup = groups.select("library_id", "alias_key", "sequence")
     known: DataFrame | None = None
     decided: DataFrame | None = None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import clone_queries, sequence_queries, source_queries  # noqa: F401
+from . import clone_queries, report_queries, sequence_queries, source_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

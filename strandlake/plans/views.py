@@ -35,9 +35,9 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A table of few files over all tasks, for kernels that work per row."""
+    """A table of fewer partitions than there are cores over all of them, for kernels that work per row; others as they are."""
     want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(want, df.rdd.getNumPartitions()))
+    return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
 
 
 def refs(spark: SparkSession, sf_dir: str) -> DataFrame:
