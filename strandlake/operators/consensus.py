@@ -103,16 +103,16 @@ def places(counted: DataFrame) -> DataFrame:
     return grouped.withColumn("insertion", F.when(F.col("insertion").isNotNull(), F.struct(F.col("insertion.allele").alias("bases"), (-F.col("insertion.minus")).alias("support"))))
 
 
-def clamped_rate(values: Column) -> Column:
-    return F.least(F.greatest(F.coalesce(F.avg(values), F.lit(LOW_RATE)), F.lit(LOW_RATE)), F.lit(HIGH_RATE))
+def with_rates(placed: DataFrame) -> DataFrame:
+    """placed with its group's substitution and deletion error and the number of places with any disagreement.
 
-
-def group_rates(placed: DataFrame) -> DataFrame:
-    """group_id, substitution and deletion error and the number of places with any disagreement."""
+    A window, not a join, so the pileup is made once; a group has a row for each reference place."""
+    own_group = Window.partitionBy("group_id")
+    clamped = lambda values: F.least(F.greatest(F.coalesce(F.avg(values).over(own_group), F.lit(LOW_RATE)), F.lit(LOW_RATE)), F.lit(HIGH_RATE))
     own = F.coalesce(F.get(F.filter("bases", lambda b: b["allele"] == F.col("reference_base")), F.lit(0))["n"], F.lit(0))
     off = F.when(F.col("observed") > 0, (F.col("observed") - own) / F.col("observed"))
     gone = F.when(F.col("observed") + F.col("deletions") > 0, F.col("deletions") / (F.col("observed") + F.col("deletions")))
-    return placed.groupBy("group_id").agg(clamped_rate(off).alias("substitution_error"), clamped_rate(gone).alias("deletion_error"), F.greatest(F.count_if(off > 0), F.lit(1)).alias("testable"))
+    return placed.withColumns({"substitution_error": clamped(off), "deletion_error": clamped(gone), "testable": F.greatest(F.count_if(off > 0).over(own_group), F.lit(1))})
 
 
 def majority(alleles: Column) -> Column:
@@ -173,7 +173,7 @@ def build_consensus(reads: DataFrame, s: ConsensusSettings) -> DataFrame:
     counted = observations(chosen.join(deep.select("group_id"), "group_id", "left_semi"), s.min_base_quality)
     placed = places(counted).join(groups.select("group_id", "reference"), "group_id").where(F.col("pos") < F.length("reference"))
     placed = placed.withColumn("reference_base", F.substring("reference", F.col("pos") + 1, 1)).drop("reference")
-    rated = placed.join(group_rates(placed), "group_id").join(deep, "group_id")
+    rated = with_rates(placed).join(deep, "group_id")
     called = allele_calls(rated, s).withColumn("piece", F.concat(accepted_insertion(s, F.col("n_reads_used")), F.when(F.col("call.base") == "-", "").otherwise(F.col("call.base"))))
     mixed = F.when(F.col("call.mixed"), F.struct("pos", F.col("reference_base").alias("ref"), F.array_join("call.alleles.allele", "").alias("alleles"), F.transform("call.alleles", lambda a: a["n"] / F.col("depth")).alias("fractions")))
     built = called.groupBy("group_id").agg(

@@ -45,7 +45,7 @@ def pileup_counts(spark, sf):
 @query("majority_call", views.with_views(f"""{PLACES} SELECT group_id, pos::BIGINT AS pos, CASE WHEN observed < 3 AND observed + dels < 3 THEN 'N' WHEN greatest(top, dels) / (observed + dels) < 0.4 THEN 'N' WHEN dels >= top AND dels > 0 THEN '-' ELSE winner END AS call FROM p""", "votes"))
 def majority_call(spark, sf):
     s = consensus.ConsensusSettings(caller="majority", min_support=0.4)
-    rated = _placed(spark, sf).join(consensus.group_rates(_placed(spark, sf)), "group_id")
+    rated = consensus.with_rates(_placed(spark, sf))
     return consensus.allele_calls(rated, s).select("group_id", *_long("pos"), F.col("call.base").alias("call"))
 
 
@@ -56,7 +56,7 @@ s AS (SELECT group_id, pos, count(*) AS sig, string_agg(allele, '' ORDER BY alle
 SELECT group_id, pos::BIGINT AS pos, CASE WHEN observed < 3 AND observed + dels < 3 THEN 'N' WHEN dels > 0 AND dels / spanning >= 0.6 THEN '-' WHEN observed = 0 OR coalesce(sig, 0) > 1 THEN 'N' WHEN winner = ref THEN winner WHEN sig = 1 AND alleles = winner THEN winner ELSE 'N' END AS call,
 CASE WHEN NOT (observed < 3 AND observed + dels < 3) AND NOT (dels > 0 AND dels / spanning >= 0.6) AND sig > 1 THEN alleles ELSE '' END AS alleles FROM p LEFT JOIN s USING (group_id, pos)""", "votes"))
 def binomial_caller(spark, sf):
-    rated = _placed(spark, sf).join(consensus.group_rates(_placed(spark, sf)), "group_id")
+    rated = consensus.with_rates(_placed(spark, sf))
     called = consensus.allele_calls(rated, consensus.ConsensusSettings())
     return called.select("group_id", *_long("pos"), F.col("call.base").alias("call"), F.array_join("call.alleles.allele", "").alias("alleles"))
 
