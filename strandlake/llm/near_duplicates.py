@@ -35,6 +35,8 @@ from .common import blocks, release, shuffle_parts, stash, table, text_bytes
 BITS = 64
 BUCKET = 4096
 SEED = 42
+#: So many labels (two longs each) at most are broadcast.
+BROADCAST_LABELS = 500_000
 #: Nanoseconds of a probe (it is shuffled and sorted) and of a candidate (one comparison in a block).
 PROBE_COST, CANDIDATE_COST = 2000.0, 6.0
 
@@ -289,12 +291,15 @@ def forest(prints: np.ndarray, probe: np.ndarray, distance: int) -> tuple[np.nda
 def components(edges: DataFrame) -> DataFrame:
     """node, root of every node of an edge (a, b): the smallest node that is reachable."""
     both = stash(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "components-edges")
+    # labels that are counted to be few are broadcast, so that the hub of a large group is not one task's key
     label = stash(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "components-label")
+    few = label.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS
+    small = F.broadcast if few else (lambda df: df)
     while True:
-        near = both.join(label.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("least"))
+        near = both.join(small(label.withColumnRenamed("node", "b")), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("least"))
         lower = label.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "least").alias("root"))
         jump = lower.select(F.col("node").alias("root"), F.col("root").alias("further"))
-        new = stash(lower.join(jump, "root", "left").select("node", "old", F.least("root", F.coalesce("further", "root")).alias("root")), "components-label")
+        new = stash(lower.join(small(jump), "root", "left").select("node", "old", F.least("root", F.coalesce("further", "root")).alias("root")), "components-label")
         release(label)
         if new.where("old <> root").isEmpty():
             release(both)
