@@ -45,7 +45,7 @@ SHALLOW = 16
 STEP = 8  # bytes that the quicksort compares at once
 CHUNK = 4 << 20
 BUCKET_ANCHORS = 1_000_000
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 6 << 20
 SCAN = 1 << 18
 NULL_ID = (1 << 63) - 1
 
