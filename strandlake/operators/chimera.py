@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,23 @@ from ..functions.reads import block_of
 from . import kmers
 
 WINDOW, STEP = 90, 45
+POLICIES = ("written", "all", "none")
+
+
+@dataclass(frozen=True)
+class ChimeraSettings:
+    window: int = WINDOW
+    step: int = STEP
+    kmer: int = 15
+    min_depth: int = 6
+    min_score: float = 1.0
+    block_pattern: str = r"^Block_(\d+)_"
+    write_pcr: bool = False
+    claims: str = "written"
+
+    def __post_init__(self) -> None:
+        if self.window < 1 or self.step < 1 or self.min_depth < 1 or self.claims not in POLICIES:
+            raise ValueError(f"window, step and depth are positive, claims one of {', '.join(POLICIES)}")
 
 
 def windows(inserts: DataFrame, width: int = WINDOW, step: int = STEP, seq: str = "insert") -> DataFrame:
@@ -79,7 +98,16 @@ def scaffolds(groups: DataFrame, references: DataFrame, step: int = STEP) -> Dat
 
 def claims(groups: DataFrame, policy: str = "written", written: Column | None = None) -> DataFrame:
     """read_uid and chimera_id of the reads that chimeric clones own. policy: written, all or none."""
-    if policy not in ("written", "all", "none"):
-        raise ValueError("policy is written, all or none")
+    if policy not in POLICIES:
+        raise ValueError(f"policy is one of {', '.join(POLICIES)}")
     kept = groups.where(F.lit(False)) if policy == "none" else groups if policy == "all" else groups.where(written if written is not None else F.col("origin") != "pcr")
     return kept.select("chimera_id", F.explode("read_uids").alias("read_uid"))
+
+
+def detect(inserts: DataFrame, alias_groups: DataFrame, references: DataFrame, keys: list[str], s: ChimeraSettings) -> DataFrame:
+    """Chimeric clones of reads (keys with library_id, read_uid, insert): chimera_id, signature, reads, junction, origin, scaffold, written."""
+    called = window_calls(inserts.select("read_uid", "library_id", "insert"), alias_groups, s.kmer, s.window, s.step, s.min_score)
+    told = signatures(called).join(inserts.select("read_uid", *keys), "read_uid")
+    found = scaffolds(group_chimeras(told, keys, s.min_depth, s.block_pattern), references, s.step)
+    name = F.concat(F.lit("chim-"), F.substring(F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.array_join("signature", ">")), 256), 1, 16))
+    return found.withColumns({"chimera_id": name, "written": (F.col("origin") != "pcr") | F.lit(s.write_pcr)})

@@ -1,6 +1,7 @@
 """The amplicon run: reads to graded clones, as stages.
 
-reads -> demultiplexed -> inserts -> assigned -> grouped -> consensus -> graded
+reads -> demultiplexed -> inserts -> assigned -> (mosaics claim reads) -> grouped -> consensus -> graded
+A layout adds the culture plate that a read's block tells.
 """
 
 from __future__ import annotations
@@ -8,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import assign, consensus, demux, kmers, motifs, qc
+from ..functions.reads import block_of
+from ..operators import assign, chimera, consensus, demux, kmers, motifs, pooling, qc
 from ..sources.fastq import fastq_files
-from ..sources.tables import read_libraries
+from ..sources.tables import read_layout, read_libraries
 from .config import RunConfig
 from .stages import Stages
 
@@ -46,13 +48,40 @@ def assigned(calls: DataFrame, groups: DataFrame, config: RunConfig, keep_stage)
     return joined.withColumn("assignment_status", status)
 
 
-def eligible(calls: DataFrame, groups: DataFrame) -> DataFrame:
+WELL = ["sample_id", "plate_id", "well_id", "library_id"]
+
+
+def with_culture_plates(calls: DataFrame, config: RunConfig) -> DataFrame:
+    """calls with block, culture_plate and its status; without a layout the status is null."""
+    block = block_of(F.get(F.split("alias_key", "\\|"), F.lit(0)), config.block_pattern)
+    told = calls.withColumn("block", block)
+    if config.layout is None:
+        return told.withColumns({"culture_plate": F.lit(None).cast("string"), "culture_plate_status": F.lit(None).cast("string")})
+    layout = read_layout(calls.sparkSession, config.layout)
+    return pooling.deconvolve(told, layout.select("plate_id", "culture_plate").distinct(), layout.select("library_id", "block", "culture_plate").distinct())
+
+
+def mosaics(calls: DataFrame, groups: DataFrame, config: RunConfig) -> DataFrame:
+    """Chimeric clones of the reads that have an insert."""
+    inserts = calls.where("extraction.status = 'found' and library_id is not null").select("read_uid", *WELL, F.col("extraction.insert").alias("insert"))
+    references = groups.select(F.explode("ref_ids").alias("ref_id"), "sequence").dropDuplicates(["ref_id"])
+    return chimera.detect(inserts, groups, references, WELL, config.chimera)
+
+
+def mosaic_consensus(clones: DataFrame, calls: DataFrame, config: RunConfig) -> DataFrame:
+    """Consensus of each written chimeric clone against its scaffold."""
+    members = clones.where("written and scaffold is not null").select(F.col("chimera_id").alias("group_id"), F.col("scaffold").alias("reference"), F.explode("read_uids").alias("read_uid"))
+    reads = calls.select("read_uid", F.col("extraction.insert").alias("sequence"), F.lit(None).cast("string").alias("quality"))
+    return consensus.build_consensus(members.join(reads, "read_uid"), config.consensus)
+
+
+def eligible(calls: DataFrame, groups: DataFrame, claimed: DataFrame | None = None) -> DataFrame:
     """Reads a consensus can use: the insert with its own qualities and its reference."""
     good = calls.where("assignment_status in ('assigned_unique', 'assigned_alias_set')").join(groups.select("library_id", "alias_key", F.col("sequence").alias("reference")), ["library_id", "alias_key"])
     oriented = F.when(F.col("extraction.orientation") == "reverse", F.reverse("quality")).otherwise(F.col("quality"))
     cut = F.substring(oriented, F.col("extraction.start") + 1, F.col("extraction.end") - F.col("extraction.start"))
     own = F.when(F.length(cut) == F.length("extraction.insert"), cut)
-    return consensus.group_reads(good).select("group_id", "read_uid", "sample_id", "plate_id", "well_id", "library_id", "alias_key", "reference", F.col("extraction.insert").alias("sequence"), own.alias("quality"))
+    return consensus.group_reads(good, claimed).select("group_id", "read_uid", "sample_id", "plate_id", "well_id", "library_id", "alias_key", "culture_plate", "reference", F.col("extraction.insert").alias("sequence"), own.alias("quality"))
 
 
 def graded(built: DataFrame, names: DataFrame, config: RunConfig) -> DataFrame:
@@ -73,8 +102,16 @@ def run(spark: SparkSession, config: RunConfig, folder: str) -> dict[str, DataFr
     before = {"demux": stages.fingerprint("demux"), "references": stages.fingerprint("references")}
     keep = lambda df, name: stages.table(f"assign-{name}", {"before": before, "assign": config.assign, "motifs": config.motifs, "routes": config.routes}, lambda: df)
     placed = stages.table("assignment", {"before": before, "assign": config.assign, "motifs": config.motifs, "routes": config.routes}, lambda: assigned(calls, groups, config, keep))
-    reads = stages.table("eligible", {"assignment": stages.fingerprint("assignment")}, lambda: eligible(placed, groups))
+    told = stages.table("sources", {"assignment": stages.fingerprint("assignment"), "layout": config.layout, "pattern": config.block_pattern}, lambda: with_culture_plates(placed, config))
+    claimed = None
+    if config.chimera is not None:
+        after = {"assignment": stages.fingerprint("assignment"), "chimera": config.chimera}
+        found = stages.table("chimeras", after, lambda: mosaics(told, groups, config))
+        out["chimeras"] = found
+        out["chimera_consensus"] = stages.table("chimera-consensus", {**after, "consensus": config.consensus}, lambda: mosaic_consensus(found, told, config))
+        claimed = chimera.claims(found, config.chimera.claims, F.col("written"))
+    reads = stages.table("eligible", {"sources": stages.fingerprint("sources"), "chimera": config.chimera}, lambda: eligible(told, groups, claimed))
     built = stages.table("consensus", {"eligible": stages.fingerprint("eligible"), "consensus": config.consensus}, lambda: consensus.build_consensus(reads, config.consensus))
-    names = reads.select("group_id", "sample_id", "plate_id", "well_id", "library_id", "alias_key").distinct()
+    names = reads.groupBy("group_id", *WELL, "alias_key").agg(F.array_sort(F.collect_set("culture_plate")).alias("culture_plates"))
     clones = stages.table("graded", {"consensus": stages.fingerprint("consensus"), "qc": config.qc}, lambda: graded(built, names, config))
-    return out | {"assignment": placed, "eligible": reads, "consensus": built, "graded": clones, "grades": qc.grade_totals(clones)}
+    return out | {"assignment": told, "eligible": reads, "consensus": built, "graded": clones, "grades": qc.grade_totals(clones)}

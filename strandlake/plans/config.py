@@ -8,6 +8,7 @@ from dataclasses import dataclass, field, fields
 from pathlib import Path
 
 from ..operators.assign import AssignSettings
+from ..operators.chimera import ChimeraSettings
 from ..operators.consensus import ConsensusSettings
 from ..operators.demux import CallSettings, Gates
 from ..operators.motifs import MotifPair
@@ -37,6 +38,9 @@ class RunConfig:
     consensus: ConsensusSettings = ConsensusSettings()
     qc: QcSettings = QcSettings()
     demux_only: bool = False
+    chimera: ChimeraSettings | None = None
+    layout: str | None = None
+    block_pattern: str = r"^Block_(\d+)_"
 
 
 NAME = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_]*)\}")
@@ -46,11 +50,12 @@ SECTIONS = {
     "assign": (AssignSettings, {f.name for f in fields(AssignSettings)}),
     "consensus": (ConsensusSettings, {f.name for f in fields(ConsensusSettings)}),
     "qc": (QcSettings, {f.name for f in fields(QcSettings)}),
+    "chimera": (ChimeraSettings, {f.name for f in fields(ChimeraSettings)}),
     "motifs": (MotifPair, {f.name for f in fields(MotifPair)}),
     "plate_call": (CallSettings, {f.name for f in fields(CallSettings)}),
     "well_call": (CallSettings, {f.name for f in fields(CallSettings)}),
 }
-KNOWN = {"schema_version", "run_name", "inputs", "libraries", "routes", "allow_empty", "plates", "wells", "demux_only", "preset", *SECTIONS}
+KNOWN = {"schema_version", "run_name", "inputs", "libraries", "routes", "allow_empty", "plates", "wells", "demux_only", "preset", "layout", "block_pattern", *SECTIONS}
 
 
 def expanded(value, environment: dict[str, str]):
@@ -107,7 +112,7 @@ def parse_config(given: dict, presets: dict[str, dict] | None = None, environmen
             if not re.fullmatch("[ACGTRYSWKMBDHVN]+", str(seq)):
                 raise ConfigError(f"{name}: {barcode} is not a sequence")
     sections = {k: _section(k, raw[k]) for k in SECTIONS if raw.get(k) is not None}
-    return RunConfig(str(raw.get("run_name", "run")), inputs, libraries, dict(raw.get("routes") or {}), allow_empty=bool(raw.get("allow_empty", False)), plates=raw.get("plates"), wells=raw.get("wells"), demux_only=demux_only, **sections)
+    return RunConfig(str(raw.get("run_name", "run")), inputs, libraries, dict(raw.get("routes") or {}), allow_empty=bool(raw.get("allow_empty", False)), plates=raw.get("plates"), wells=raw.get("wells"), demux_only=demux_only, layout=raw.get("layout"), block_pattern=str(raw.get("block_pattern", RunConfig.block_pattern)), **sections)
 
 
 def load_config(path: str, presets: dict[str, dict] | None = None) -> RunConfig:

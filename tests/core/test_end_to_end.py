@@ -158,3 +158,26 @@ def test_every_query_has_one_name_and_stable_views():
     from strandlake.plans.catalogue import ORACLES, QUERIES
 
     assert len(QUERIES) >= 80 and set(ORACLES) <= set(QUERIES)
+
+
+def test_run_with_mosaics_and_a_layout(spark, tmp_path):
+    import random
+
+    r = random.Random(4)
+    seq = lambda n: "".join(r.choice("ACGT") for _ in range(n))
+    a, b = seq(270), seq(270)
+    mosaic = a[:135] + b[135:]
+    made = [read(A1, a)] * 4 + [read(A1, mosaic)] * 6 + [read(B1, b)] * 3
+    (tmp_path / "reads.fastq").write_text("".join(f"@r{i}\n{s}\n+\n{'I' * len(s)}\n" for i, s in enumerate(made)))
+    (tmp_path / "refs.fasta").write_text(f">Block_1_a\n{a}\n>Block_1_b\n{b}\n")
+    (tmp_path / "layout.csv").write_text("plate_barcode,culture_plate,library,block,clonality\nP1,C1,lib,1,per_block\n")
+    c = config(tmp_path, gates={"min_length": 50, "max_length": 500, "min_quality": 10}, chimera={"min_depth": 6}, layout=str(tmp_path / "layout.csv"),
+               assign={"kmer_sizes": [15], "max_kmer_owners": 2, "candidates": 3, "min_identity": 0.6, "min_query_coverage": 0.6, "min_reference_coverage": 0.6, "min_margin": 0.0})
+    out = amplicon.run(spark, c, str(tmp_path / "run"))
+    chim = out["chimeras"].collect()
+    assert [(x.signature, x.size, x.origin, x.well_id) for x in chim] == [(["Block_1_a", "Block_1_b"], 6, "assembly", "A1")]
+    assert out["chimera_consensus"].first().sequence == mosaic
+    clones = {(x.well_id, x.alias_key): x for x in out["graded"].collect()}
+    assert set(clones) == {("A1", "Block_1_a"), ("B1", "Block_1_b")}
+    assert all(x.grade == "perfect" and x.culture_plates == ["C1"] for x in clones.values())
+    assert clones["A1", "Block_1_a"].n_reads_available == 4
