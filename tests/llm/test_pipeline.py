@@ -163,3 +163,19 @@ def test_work_item_pairs_agree_with_all_pairs():
     want = {(i, j) for i in range(30) for j in range(i + 1, 50) if int(every[i] ^ every[j]).bit_count() <= 20}
     assert set(zip(a.tolist(), b.tolist())) == want
     assert nd.ball(4, 2).tolist() == [1, 2, 4, 8, 3, 5, 9, 6, 10, 12]
+
+
+def test_stages_take_nulls_repeats_and_empty_tables(spark, tmp_path):
+    """Every stage alone, on rows with nulls in any column, and on no rows."""
+    path = f"file://{tmp_path}"
+    long = " ".join(f"w{i % 700}x{i}" for i in range(9000))
+    good = "one two three four five six seven eight nine ten eleven"
+    rows = [(1, good, "en", "a", 5), (1, good, "en", "a", 5), (None, good + " more", None, None, None), (2, None, "en", None, None), (3, "", None, "a", 0), (4, long, "fr", "b", 9), (None, None, None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(1, 1, 0), (None, 1, 0), (4, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(None, None), (1, "alpha beta")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    want = {"quality rules": 4, "simhash near-dedup": 3, "benchmark decontamination": 7, "sharding": 7}
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, spark.createDataFrame(rows, schema), path).collect()
+        assert len(got) == want.get(name, len(got)), name
+        assert stage(spark, spark.createDataFrame([], schema), path).collect() == [], name
