@@ -98,6 +98,17 @@ def infix_locations(pattern: str, text: str, iupac: bool = True, max_edits: int
     return distance, sorted(s for s in spans if s[0] <= s[1])
 
 
+def first_location(pattern: str, text: str, iupac: bool = True) -> tuple[int, int, int] | None:
+    """Least edits and the first (start, end) of a best part. Starts never fall as ends rise: of two best paths that
+    crossed, the halves could be swapped; so the first end has the first start."""
+    if not text:
+        return None
+    distance, ends = infix_distance(pattern, text, iupac)
+    if not ends:
+        return None
+    return distance, infix_start(pattern, text, ends[0], distance, iupac), ends[0]
+
+
 def global_path(query: str, reference: str) -> list[tuple[str, int]]:
     """Operations (=, X, I: only in the query, D: only in the reference) with their counts."""
     if not query or not reference:
@@ -165,8 +176,7 @@ def projected(query: str, reference: str, gap: str = "-") -> list[str]:
 def place(query: str, reference: str) -> dict:
     """The shorter sequence inside the longer one: distance, identity, coverages and spans (ends exclusive)."""
     inner, outer = (query, reference) if len(query) <= len(reference) else (reference, query)
-    distance, spans = infix_locations(inner, outer)
-    start, end = spans[0] if spans else (0, -1)
+    distance, start, end = first_location(inner, outer) or (len(inner), 0, -1)
     inside, whole = (start, end + 1), (0, len(inner))
     q, r = (whole, inside) if inner is query else (inside, whole)
     longest = max(q[1] - q[0], r[1] - r[0], 1)

@@ -283,3 +283,12 @@ def test_event_windows_close_with_the_watermark(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [r.n for r in spark.table("windows").orderBy("window_start").collect()] == [5] * 12
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_first_location_is_the_first_of_all(seed):
+    r = random.Random(seed)
+    a, b = rand(r, r.randint(1, 12), "AC"), rand(r, r.randint(1, 40), "ACG")
+    distance, spans = al.infix_locations(a, b)
+    first = al.first_location(a, b)
+    assert (first[0], first[1:]) == (distance, spans[0]) if spans else True
