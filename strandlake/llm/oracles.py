@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from . import decontamination, line_dedup, mixing, quality_rules
+from . import decontamination, line_dedup, mixing, quality_rules, suffix_dedup
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -65,6 +65,21 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid)"""
 
 
+def suffix_dedup_sql() -> str:
+    n = suffix_dedup.LENGTH
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT rid, doc_id, h, unnest(range(0, length(h) // 2 - {n - 1})) AS p FROM d WHERE length(h) >= {2 * n}),
+m AS (SELECT rid, doc_id, p, md5(substr(h, 2 * p + 1, {2 * n})) AS s FROM w),
+late AS (SELECT rid, p FROM (SELECT rid, p, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS LAST, rid, p) AS k FROM m) WHERE k > 1),
+cut AS (SELECT rid, p, CASE WHEN p - lag(p) OVER (PARTITION BY rid ORDER BY p) <= {n} THEN 0 ELSE 1 END AS fresh FROM late),
+num AS (SELECT rid, p, sum(fresh) OVER (PARTITION BY rid ORDER BY p) AS run FROM cut),
+runs AS (SELECT rid, min(p) AS a, max(p) + {n} AS b FROM num GROUP BY rid, run),
+gaps AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS begin FROM runs),
+kept AS (SELECT rid, string_agg(substr(h, 2 * begin + 1, 2 * (a - begin)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS k, sum(b - a)::BIGINT AS removed, count(*)::BIGINT AS spans FROM gaps JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256 FROM d LEFT JOIN kept USING (rid)"""
+
+
 def line_dedup_sql() -> str:
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS site, coalesce(text, '') AS body FROM documents),

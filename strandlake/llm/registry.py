@@ -7,7 +7,7 @@ from .decontamination import op6_benchmark_decontamination
 from .line_dedup import op9_line_dedup
 from .mixing import op10_mixing
 from .near_duplicates import op4_simhash_near_dedup
-from .oracles import decontamination_sql, line_dedup_sql, mixing_sql, quality_sql
+from .oracles import decontamination_sql, line_dedup_sql, mixing_sql, quality_sql, suffix_dedup_sql
 from .quality_rules import op2_quality_rules
 from .secret_scan import op1_secret_scan
 from .sharding import op7_sharding
@@ -30,6 +30,7 @@ ORACLES: dict[str, str] = {
     "op2_quality_rules": quality_sql(),
     "op8_suffix_dedup": op8_suffix_dedup,
     "op6_benchmark_decontamination": decontamination_sql(),
+    "op8_suffix_dedup": suffix_dedup_sql(),
     "op9_line_dedup": line_dedup_sql(),
     "op10_mixing": mixing_sql(),
 }
