@@ -74,6 +74,26 @@ def test_many_near_copies_stay_one(spark):
     assert [x.doc_id for x in st.one_of_each_group(docs(spark, pairs)).collect()] == [0]
 
 
+@pytest.mark.parametrize("bucket,open_bytes", [(4096, st.OPEN_BYTES), (90, 20_000)])
+def test_dense_items_decide_every_candidate(spark, bucket, open_bytes):
+    """Copies and their children whose pairs scatter round the similarity: as if every candidate were verified."""
+    r = random.Random(4)
+    base, texts = [f"w{r.randint(0, 9999)}" for _ in range(100)], []
+    for i in range(100):
+        w = list(base)
+        w[r.randrange(100)] = f"new{i}"
+        texts.append(w)
+    for i in range(100):
+        w = list(texts[i])
+        for k in range(2):
+            w[r.randrange(100)] = f"newer{i}x{k}"
+        texts.append(w)
+    r.shuffle(texts)
+    rows = docs(spark, [(i, " ".join(w)) for i, w in enumerate(texts)])
+    stay = lambda **kw: sorted(x.doc_id for x in st.one_of_each_group(rows, **kw).collect())
+    assert stay(bucket=bucket, open_bytes=open_bytes) == stay(dense=10**6)
+
+
 def test_empty(spark):
     assert st.one_of_each_group(docs(spark, [])).collect() == []
 
