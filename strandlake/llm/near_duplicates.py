@@ -65,11 +65,15 @@ def shingle_hashes(body: bytes | None, words: int) -> list[int]:
 
 def fingerprints(bodies: list[bytes | None], words: int) -> np.ndarray:
     """A fingerprint for each text: bit i is 1 if more than half of the hashes have it."""
-    per_text = [shingle_hashes(b, words) for b in bodies]
+    return majority_bits([shingle_hashes(b, words) for b in bodies])
+
+
+def majority_bits(per_text: list[list[int]]) -> np.ndarray:
+    """A fingerprint for each list of hashes."""
     sizes = np.array([len(h) for h in per_text], np.int64)
     flat = np.fromiter((x for h in per_text for x in h), np.uint64, int(sizes.sum()))
-    sums = np.zeros((len(bodies), BITS), np.int64)
-    owner = np.repeat(np.arange(len(bodies)), sizes)
+    sums = np.zeros((len(per_text), BITS), np.int64)
+    owner = np.repeat(np.arange(len(per_text)), sizes)
     begins = np.concatenate([[0], np.cumsum(sizes)])
     inside = np.arange(len(flat)) - begins[owner]
     cuts = np.flatnonzero(inside % 255 == 0)  # sums of 255 bits fit a byte

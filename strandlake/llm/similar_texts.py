@@ -1,6 +1,7 @@
 """Groups of similar texts: SimHash candidates, verified on their word shingles.
 
-Texts with the same words are one node. Nodes are candidates if their fingerprints
+Texts with the same words are one node. Fingerprints weigh each distinct shingle
+once, as the similarity does, however often a text repeats it. Nodes are candidates if their fingerprints
 differ in at most DISTANCE bits and the numbers of their distinct shingles allow
 the similarity; the search is the generalised pigeonhole of near_duplicates, with
 the size class as part of every key. A pair is linked if the Jaccard similarity of
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks, by_rows, shuffle_parts, stash
-from .near_duplicates import SEED, ball, bit_statistics, components, fingerprints, key_of, plan_search, shingle_hashes
+from .near_duplicates import SEED, ball, bit_statistics, components, key_of, majority_bits, plan_search, shingle_hashes
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -52,13 +53,14 @@ def described(rows: DataFrame, words: int, text_col: str) -> DataFrame:
         for batch in blocks(batches, 2 << 20):
             bodies = batch.column("body").to_pylist()
             flat = [b" ".join((b or b"").lower().split()) for b in bodies]
+            shingles = [list(set(shingle_hashes(b, words))) for b in bodies]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),
                     pa.array(np.array([xxhash.xxh64_intdigest(x, 1) for x in flat], np.uint64).view(np.int64)),
                     pa.array(np.array([xxhash.xxh64_intdigest(x, 2) for x in flat], np.uint64).view(np.int64)),
-                    pa.array(fingerprints(bodies, words).view(np.int64)),
-                    pa.array([len(set(shingle_hashes(b, words))) for b in bodies], pa.int64()),
+                    pa.array(majority_bits(shingles).view(np.int64)),
+                    pa.array([len(x) for x in shingles], pa.int64()),
                 ],
                 ["row", "d1", "d2", "print", "size"],
             )

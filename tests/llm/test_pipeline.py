@@ -94,6 +94,17 @@ def test_dense_items_decide_every_candidate(spark, bucket, open_bytes):
     assert stay(bucket=bucket, open_bytes=open_bytes) == stay(dense=10**6)
 
 
+def test_repeated_lines_do_not_hide_copies(spark):
+    """Copies with one line appended ten times: the shingle sets stay nearly the same."""
+    r = random.Random(6)
+    pairs = []
+    for i in range(0, 80, 2):
+        word = lambda: f"w{r.randint(0, 9999)}"
+        text = " ".join(word() for _ in range(900))
+        pairs += [(i, text), (i + 1, text + (" " + " ".join(word() for _ in range(10))) * 10)]
+    assert sorted(x.doc_id for x in st.one_of_each_group(docs(spark, pairs)).collect()) == list(range(0, 80, 2))
+
+
 def test_empty(spark):
     assert st.one_of_each_group(docs(spark, [])).collect() == []
 
