@@ -73,8 +73,8 @@ def base_spans(text: str) -> list[Span]:
 
 
 def lex(text: str) -> Iterator[Pair]:
-    """Name-literal pairs in the order of the text."""
-    at = 0
+    """Name-literal pairs in the order of the text; a bare word with digits is a name if it was assigned before."""
+    at, assigned = 0, set()
     while m := PAIR.search(text, at):
         at, literals, names = m.end(), [], []
         while atom := ATOM.match(text, at):
@@ -82,7 +82,7 @@ def lex(text: str) -> Iterator[Pair]:
             at = atom.end()
             if group != "bare":
                 literals.append(atom.span(group))
-            elif IDENTIFIER.match(atom[group]) and m["op"] != ":" and not re.search(r"\d", atom[group]):
+            elif IDENTIFIER.match(atom[group]) and m["op"] != ":" and (atom[group] in assigned or not re.search(r"\d", atom[group])):
                 names.append(atom[group])
             else:
                 literals.append(atom.span(group))
@@ -90,6 +90,7 @@ def lex(text: str) -> Iterator[Pair]:
             if not plus:
                 break
             at = plus.end()
+        assigned.add(m["key"] or m["name"])
         yield Pair(m["key"] or m["name"], tuple(literals), tuple(names))
 
 
@@ -109,18 +110,32 @@ def literal_score(value: str) -> float:
     return min(1.0, entropy / 4) * (0.5 if classes < 2 else 1.0)
 
 
+class Held:
+    """What a name holds: literals of its own and what other names held; weight is the most it was scored with."""
+
+    __slots__ = ("literals", "others", "weight")
+
+    def __init__(self, literals: tuple[tuple[int, int], ...], others: list[Held]):
+        self.literals, self.others, self.weight = literals, others, 0.0
+
+
 def assigned_spans(text: str) -> list[tuple[Span, str, float]]:
     """Literals with the most sensitive name they reach and their score."""
-    holds: dict[str, tuple[tuple[int, int], ...]] = {}
+    holds: dict[str, Held] = {}
     best: dict[tuple[int, int], tuple[float, str]] = {}
     for pair in lex(text):
-        reached = pair.literals + tuple(s for n in pair.names for s in holds.get(n, ()))
-        holds[pair.name] = reached[:64]
-        weight = name_score(pair.name)
-        for span in reached if weight else ():
-            score = weight * literal_score(text[span[0] : span[1]])
-            if score > best.get(span, (0.0, ""))[0]:
-                best[span] = (score, pair.name)
+        held = holds[pair.name] = Held(pair.literals, [holds[n] for n in pair.names if n in holds])
+        weight, todo = name_score(pair.name), [held]
+        while todo:
+            at = todo.pop()
+            if weight <= at.weight:  # it and all below were scored with as much
+                continue
+            at.weight = weight
+            for span in at.literals:
+                score = weight * literal_score(text[span[0] : span[1]])
+                if score > best.get(span, (0.0, ""))[0]:
+                    best[span] = (score, pair.name)
+            todo += at.others
     return [(Span(*s, "literal"), n, x) for s, (x, n) in best.items() if x >= THRESHOLD]
 
 

@@ -60,6 +60,17 @@ def test_assignments(text, found):
     assert [text[s.start : s.end] for s, _, _ in ss.scan_text(text)[1]] == found
 
 
+def test_all_literals_of_a_name_are_scored():
+    parts = [f"Xk{i:03d}-qLm!7zR" for i in range(150)]
+    one = "a = " + " + ".join(f'"{p}"' for p in parts) + "\nauth_secret = a"
+    many = 'a = ""\n' + "".join(f'a = a + "{p}"\n' for p in parts) + "auth_secret = a"
+    for text in (one, many):
+        assert [text[s.start : s.end] for s, _, _ in ss.scan_text(text)[1]] == parts
+    text = 'key1 = "Xk29-qLm!7zRt"\nclientCredential = key1\n'
+    assert [(text[s.start : s.end], n) for s, n, _ in ss.scan_text(text)[1]] == [("Xk29-qLm!7zRt", "clientCredential")]
+    assert len(ss.scan_text("a = a + a\n" * 5000 + many)[1]) == 150
+
+
 def counter(chunk, overlap):
     import public_tokenizers
 
