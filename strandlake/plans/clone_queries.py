@@ -63,8 +63,8 @@ def binomial_caller(spark, sf):
 
 @query("consensus_path")
 def consensus_path(spark, sf):
-    """Consensus of reads of 60 bases cut from documents of one language and length class."""
-    r = views.reads(spark, sf).where(F.length("sequence") >= 60).withColumns({"group_id": F.concat_ws(":", "plate_id", (F.length("sequence") % 7).cast("string")), "read_uid": F.col("doc_id").cast("string"), "sequence": F.substring("sequence", 1, 60), "quality": F.substring("quality", 1, 60)})
+    """Consensus of the whole reads of one language and length class."""
+    r = views.reads(spark, sf).where(F.length("sequence") > 0).withColumns({"group_id": F.concat_ws(":", "plate_id", (F.length("sequence") % 7).cast("string")), "read_uid": F.col("doc_id").cast("string")})
     first = r.groupBy("group_id").agg(F.min(F.struct("doc_id", "sequence"))["sequence"].alias("reference"))
     return consensus.build_consensus(r.join(first, "group_id").select("group_id", "read_uid", "reference", "sequence", "quality"), consensus.ConsensusSettings(max_reads=30))
 

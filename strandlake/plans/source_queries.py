@@ -123,7 +123,7 @@ def design_universe(spark, sf):
 @query("contributors")
 def contributors(spark, sf):
     """The reads behind each consensus, in the order they were chosen."""
-    r = views.reads(spark, sf).where(F.length("sequence") >= 60).select(F.concat_ws(":", "plate_id", "well_id").alias("group_id"), F.col("doc_id").cast("string").alias("read_uid"), F.substring("sequence", 1, 60).alias("sequence"), F.lit(None).cast("string").alias("quality"))
+    r = views.reads(spark, sf).where(F.length("sequence") > 0).select(F.concat_ws(":", "plate_id", "well_id").alias("group_id"), F.col("doc_id").cast("string").alias("read_uid"), "sequence", F.lit(None).cast("string").alias("quality"))
     first = r.groupBy("group_id").agg(F.min(F.struct("read_uid", "sequence"))["sequence"].alias("reference"))
     return consensus.contributors(consensus.build_consensus(r.join(first, "group_id"), consensus.ConsensusSettings(max_reads=5)))
 

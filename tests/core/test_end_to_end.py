@@ -181,3 +181,15 @@ def test_run_with_mosaics_and_a_layout(spark, tmp_path):
     assert set(clones) == {("A1", "Block_1_a"), ("B1", "Block_1_b")}
     assert all(x.grade == "perfect" and x.culture_plates == ["C1"] for x in clones.values())
     assert clones["A1", "Block_1_a"].n_reads_available == 4
+
+
+def test_consensus_queries_take_whole_reads(spark, tmp_path):
+    """Bases behind the 60th are called, and wells of short reads have a consensus too."""
+    from strandlake.plans.catalogue import QUERIES
+
+    text = "".join("abcdefghijklmnopqrstuvwxyz"[i * i % 26] for i in range(203))
+    rows = [(i, text, "en", "a") for i in range(6)] + [(i, text[:30], "fr", "b") for i in range(6, 12)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    built = {x.group_id: x.sequence for x in QUERIES["consensus_path"](spark, str(tmp_path)).collect()}
+    assert {g: len(s) for g, s in built.items()} == {"en:0": 203, "fr:2": 30}
+    assert QUERIES["contributors"](spark, str(tmp_path)).count() == 10
