@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -24,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster shares; one of our own only where none is named."""
+    """The folder the cluster shares; one of our own only where none is named and all runs in one process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='strandlake-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -65,8 +68,34 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES, column:
             yield batch.slice(start)
 
 
-def by_rows(texts: DataFrame, rows: DataFrame, on: str, how: str, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """texts semi- or anti-joined with rows (one long each): broadcast while they are counted to be few, else hashed
+def on_files(df: DataFrame, name: str) -> DataFrame:
+    """df if it is read straight from Parquet files (columns and filters apart), else df written to the shared folder."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias") and plan.children().size() == 1:
+        plan = plan.children().apply(0)
+    straight = plan.nodeName() == "LogicalRelation" and plan.relation().getClass().getSimpleName() == "HadoopFsRelation"
+    if straight and plan.relation().fileFormat().getClass().getSimpleName() == "ParquetFileFormat":
+        return df
+    return stash(df, name)
+
+
+def place(df: DataFrame) -> list[Column]:
+    """file, at: where a row of a table read from Parquet files stands; the same at every reading, so no copy needs numbering."""
+    meta = df.metadataColumn("_metadata")
+    return [F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("at")]
+
+
+#: The columns that place() makes.
+PLACE = ["file", "at"]
+
+
+def whole_rows(df: DataFrame) -> DataFrame:
+    """file, at and the row as a struct, so that its names meet no others."""
+    return df.select(*place(df), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"))
+
+
+def by_rows(texts: DataFrame, rows: DataFrame, on: str | list[str], how: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """texts joined with rows (a few longs each): broadcast while they are counted to be few, else hashed
     per partition; the texts are never sorted."""
     few = rows.limit(limit + 1).count() <= limit
     return texts.join(F.broadcast(rows) if few else rows.hint("shuffle_hash"), on, how)

@@ -10,15 +10,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def quality_sql() -> str:
-    rules, risk, level = quality_rules.RULES, quality_rules.RISK / len(quality_rules.RULES), quality_rules.LEVEL
+    rules, risk, level = quality_rules.RULES, quality_rules.RISK, quality_rules.LEVEL
+    steps = range(len(next(iter(rules.values()))))
     tail = f"list_sum(list_transform(range(0, {{k}} + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * {math.log(risk)!r} + (n - i) * {math.log1p(-risk)!r})))"
-    counted = ", ".join(f"count(*) FILTER (WHERE {r} > {c}) AS {r}_{i}" for r, cuts in rules.items() for i, c in enumerate(cuts))
-
-    def chosen(rule: str, cuts: tuple[float, ...]) -> str:
-        passes = [f"({rule}_{i} <= n * {risk!r} AND {tail.format(k=f'{rule}_{i}')} <= {level!r} / (strata * {len(rules)}))" for i in range(len(cuts))]
-        cases = " ".join(f"WHEN NOT {p} THEN {cuts[i - 1] if i else 'NULL'}" for i, p in enumerate(passes))
-        return f"CASE {cases} ELSE {cuts[-1]} END AS {rule}_cut"
-
+    counted = ", ".join(f"count(*) FILTER (WHERE {' OR '.join(f'{r} > {c[i]}' for r, c in rules.items())}) AS f_{i}" for i in steps)
+    passes = [f"(f_{i} <= n * {risk!r} AND {tail.format(k=f'f_{i}')} <= {level!r} / strata)" for i in steps]
+    last = f"CASE {' '.join(f'WHEN NOT {p} THEN {i}' for i, p in enumerate(passes))} ELSE {len(passes)} END"
+    chosen = ", ".join(f"({list(c)!r})[last] AS {r}_cut" for r, c in rules.items())
     over = " OR ".join(f"coalesce({r} > {r}_cut, false)" for r in rules)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS body,
@@ -26,7 +24,7 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS str
 f0 AS (SELECT rid, doc_id, stratum, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          length(regexp_replace(body, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines,
-         len(list_filter(w, lambda x: length(x) > 2 AND suffix(x, '!!'))) AS n_shouted FROM d),
+         len(list_filter(w, lambda x: length(x) > 2 AND translate(right(x, 2), '{quality_rules.MARKS}', '') = '')) AS n_shouted FROM d),
 win AS (SELECT rid, unnest(range(1, len(w) - 3)) AS i, w FROM d WHERE len(w) >= 5),
 txt AS (SELECT rid, i, array_to_string(w[i:i + 4], ' ') AS t FROM win),
 rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, t) AS n FROM txt) WHERE n > 1),
@@ -38,10 +36,10 @@ f AS (SELECT f0.rid, doc_id, stratum, n_words, word_chars, n_symbols, (len(lines
         CASE WHEN n_words > 0 THEN n_shouted / n_words ELSE 0 END AS shout_share FROM f0 LEFT JOIN cov USING (rid)),
 b AS (SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed FROM f),
 good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING max(quality) = 1),
-held AS (SELECT DISTINCT ON (doc_id) * FROM b WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
+held AS (SELECT DISTINCT ON (doc_id) * FROM b WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good) ORDER BY doc_id, stratum, {', '.join(rules)}),
 cnt AS (SELECT stratum, count(*) AS n, {counted} FROM held GROUP BY stratum),
-tested AS (SELECT *, count(*) OVER () AS strata FROM cnt),
-cut AS (SELECT stratum, {", ".join(chosen(r, c) for r, c in rules.items())} FROM tested)
+tested AS (SELECT *, {last} AS last FROM (SELECT *, count(*) OVER () AS strata FROM cnt)),
+cut AS (SELECT stratum, {chosen} FROM tested)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR {over}) AS kept,
   round(symbol_share, 6) AS symbol_share, round(shout_share, 6) AS shout_share
 FROM b LEFT JOIN cut USING (stratum)"""

@@ -1,15 +1,16 @@
 """Quality rules with risk-controlled thresholds, in DataFrame operations only.
 
 Each text gets counts (words, word characters, symbols, repeated lines, words in
-repeated windows) and from them the scores of RULES. For every stratum and rule
-the labelled documents give, for each cut-off of a fixed grid, how many good
-documents the rule would reject; the exact binomial tail says whether a false
-rejection rate above the allowed one would have shown more. Cut-offs are tested
-from the mildest on and testing stops at the first that fails (fixed sequence);
-the level is divided by the number of strata and rules (Bonferroni) and the
-allowed rate by the number of rules, so that with confidence 1 - LEVEL every
-stratum loses at most RISK of its good documents to all rules together. A stratum
-with too few labels gets no cut-off and loses nothing.
+repeated windows, words that end in several marks) and from them the scores of
+RULES. The cut-offs of all rules tighten together along a fixed path of steps. For
+every stratum the labelled documents say how many good ones a step would reject,
+and the exact binomial tail whether a false rejection rate above RISK would have
+shown more. Steps are tested from the mildest on and testing stops at the first that
+fails (fixed sequence); the level is divided by the number of strata (Bonferroni).
+So with confidence 1 - LEVEL no stratum loses more than RISK of those of its good
+documents that pass the base rule. A stratum needs ln(LEVEL / strata) / ln(1 - RISK)
+good labelled documents (217 for four strata) before the mildest step can hold; one
+with fewer gets no cut-off and loses nothing beyond the base rule.
 
 Nulls: a null text has no words and fails the base rule; a null stratum is a
 stratum of its own ("" stands for it); labels with a null id or null quality are
@@ -27,19 +28,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import SPACE, let, stash, table
+from .common import PLACE, SPACE, by_rows, let, on_files, place, release, stash, table, whole_rows
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 RISK = 0.02
 LEVEL = 0.05
-#: Score above the cut-off: rejected. From the mildest cut-off to the strictest.
+#: Score above the cut-off: rejected. A column of cut-offs is a step of the path, from the mildest to the strictest.
 RULES: dict[str, tuple[float, ...]] = {
     "symbol_share": (0.8, 0.6, 0.4, 0.3, 0.2, 0.15, 0.1, 0.07, 0.05),
-    "dup_line_share": (0.8, 0.6, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1),
-    "repeat_share": (0.19, 0.17, 0.15, 0.12, 0.1, 0.07, 0.05),
+    "dup_line_share": (0.8, 0.6, 0.5, 0.4, 0.35, 0.3, 0.2, 0.15, 0.1),
+    "repeat_share": (0.19, 0.18, 0.17, 0.15, 0.13, 0.12, 0.1, 0.07, 0.05),
     "shout_share": (0.8, 0.6, 0.4, 0.3, 0.2, 0.15, 0.1, 0.07, 0.05),
 }
+#: What a shouted word ends in, twice or more.
+MARKS = "!?."
 #: Strata beyond this many are joined by a shuffle instead of a broadcast.
 BROADCAST_STRATA = 10_000
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -72,16 +75,15 @@ def _repeated(words: Column) -> Column:
     return F.when(windows < 2, F.lit(0)).otherwise(found).cast("long")
 
 
-def text_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", whole: bool = False) -> DataFrame:
-    """doc_id, stratum, the five counts and the scores of RULES; with whole also doc, the row as a struct."""
+def text_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", extra: list[Column] | None = None) -> DataFrame:
+    """doc_id, stratum, the five counts and the scores of RULES; with extra also file and at, which place() makes."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    extra = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc")] if whole else []
-    staged = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), text.alias("body"), *extra)
+    staged = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), text.alias("body"), *(extra or []))
 
     def counts(words: Column) -> Column:
         body = F.col("body")
         lines = F.filter(F.split(body, "\n", -1), lambda x: F.length(F.translate(x, " \t\x0b\f\r", "")) > 0)
-        shouted = F.size(F.filter(words, lambda w: (F.length(w) > 2) & w.endswith("!!")))
+        shouted = F.size(F.filter(words, lambda w: (F.length(w) > 2) & (F.translate(F.right(w, F.lit(2)), MARKS, "") == "")))
         return F.struct(
             F.size(words).cast("long").alias("n_words"),
             F.aggregate(words, F.lit(0), lambda acc, w: acc + F.length(w)).cast("long").alias("word_chars"),
@@ -92,7 +94,7 @@ def text_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         )
 
     words = F.filter(F.split("body", f"{SPACE}+"), lambda w: w != "")
-    kept = ["doc"] if whole else []
+    kept = PLACE if extra else []
     found = staged.select("doc_id", "stratum", *kept, let(words, counts).alias("c"))
     per = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     c = lambda name: F.col(f"c.{name}")
@@ -141,33 +143,35 @@ def binomial_lower_tail(k: Column, n: Column, p: float) -> Column:
     return F.exp(top + F.log(rest))
 
 
+def rejects(cuts: dict[str, Column | float]) -> Column:
+    """A score is above its cut-off (never if that is null)."""
+    over = F.lit(False)
+    for rule, cut in cuts.items():
+        over = over | F.coalesce(F.col(rule) > cut, F.lit(False))
+    return over
+
+
 def calibrate(features: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL, rules: dict[str, tuple[float, ...]] = RULES, label_id: str = "doc_id", label_col: str = "quality") -> DataFrame:
-    """stratum and a cut-off for each rule (null: none can be justified), with the labels behind them."""
+    """stratum, the steps of the path that hold, a cut-off for each rule (null: none can be justified), and the labels behind them."""
     good = labels.where(F.col(label_id).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(label_id).cast("long").alias("doc_id")).agg(F.max(label_col).alias("good"))
-    held = features.where(~base_failed()).dropDuplicates(["doc_id"]).join(good.where("good = 1").select("doc_id"), "doc_id")
-    rejected = [F.count_if(F.col(rule) > cut).alias(f"{rule}_{i}") for rule, cuts in rules.items() for i, cut in enumerate(cuts)]
+    passed = features.where(~base_failed()).join(good.where("good = 1").select("doc_id"), "doc_id")
+    # of several texts with one id the one whose stratum and scores come first
+    held = passed.groupBy("doc_id").agg(F.min(F.struct("stratum", *rules)).alias("x")).select("x.*")
+    steps = len(next(iter(rules.values())))
+    rejected = [F.count_if(rejects({rule: cuts[i] for rule, cuts in rules.items()})).alias(f"rejected_{i}") for i in range(steps)]
     counts = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_good"), *rejected)
     tested = counts.withColumn("strata", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))  # a row for each stratum
-    rate = risk / len(rules)
-    allowed = F.lit(level) / (F.col("strata") * len(rules))
-    chosen = []
-    for rule, cuts in rules.items():
-        passes = F.array(*[F.when(F.col(f"{rule}_{i}") <= F.col("n_good") * rate, binomial_lower_tail(F.col(f"{rule}_{i}"), F.col("n_good"), rate) <= allowed).otherwise(False) for i in range(len(cuts))])
-        # the strictest cut-off before the first that fails
-        failed = F.array_position(passes, False)
-        last = F.when(failed == 0, F.lit(len(cuts))).otherwise(failed - 1).cast("int")
-        chosen.append(F.get(F.array(*map(F.lit, cuts)), last - 1).alias(f"{rule}_cut"))
-    return tested.select("stratum", "n_good", *chosen)
+    passes = F.array(*[F.when(F.col(f"rejected_{i}") <= F.col("n_good") * risk, binomial_lower_tail(F.col(f"rejected_{i}"), F.col("n_good"), risk) <= F.lit(level) / F.col("strata")).otherwise(False) for i in range(steps)])
+    failed = F.array_position(passes, False)
+    last = F.when(failed == 0, F.lit(steps)).otherwise(failed - 1).cast("int")
+    return tested.withColumn("steps", last).select("stratum", "n_good", "steps", *[F.get(F.array(*map(F.lit, cuts)), F.col("steps") - 1).alias(f"{rule}_cut") for rule, cuts in rules.items()])
 
 
 def apply_rules(features: DataFrame, cuts: DataFrame, rules: dict[str, tuple[float, ...]] = RULES) -> DataFrame:
     """Features with base_failed and kept. cuts is a written table."""
     small = cuts.limit(BROADCAST_STRATA + 1).count() <= BROADCAST_STRATA
     joined = features.join(F.broadcast(cuts) if small else cuts, "stratum", "left")
-    over = F.lit(False)
-    for rule in rules:
-        over = over | F.coalesce(F.col(rule) > F.col(f"{rule}_cut"), F.lit(False))
-    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~(base_failed() | over))
+    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~(base_failed() | rejects({rule: F.col(f"{rule}_cut") for rule in rules})))
 
 
 def judge(documents: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
@@ -176,15 +180,14 @@ def judge(documents: DataFrame, labels: DataFrame, risk: float = RISK, level: fl
     return apply_rules(features, stash(calibrate(features, labels, risk, level), "quality-cuts"))
 
 
-def thresholds(documents: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """The cut-offs of each stratum. The texts stay where they are: their scores are written, and those are joined with the labels."""
-    scores = stash(text_features(documents, id_col, text_col, stratum_col), "quality-features")
-    return stash(calibrate(scores, labels, risk, level), "quality-cuts")
-
-
-def select_kept(documents: DataFrame, cuts: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """The rows of documents that the rules keep, with their own columns."""
-    return apply_rules(text_features(documents, id_col, text_col, stratum_col, whole=True), cuts).where("kept").select("doc.*")
+def select_kept(documents: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+    """The rows of documents that the rules keep, with their own columns. Each text is judged once: its scores are
+    written with its place, and the places of what is rejected come back to the texts."""
+    documents = on_files(documents, "quality-documents")
+    scores = stash(text_features(documents, id_col, text_col, stratum_col, place(documents)), "quality-features")
+    go = stash(apply_rules(scores, stash(calibrate(scores, labels, risk, level), "quality-cuts")).where("not kept").select(*PLACE), "quality-go")
+    release(scores)
+    return by_rows(whole_rows(documents), go, PLACE, "left_anti").select("doc.*")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, by_rows, shuffle_parts, stash
+from .common import PLACE, blocks, by_rows, on_files, place, release, shuffle_parts, stash, whole_rows
 from .near_duplicates import SEED, ball, bit_statistics, components, key_of, majority_bits, plan_search, shingle_hashes
 
 WORDS = 5
@@ -46,8 +46,10 @@ OPEN = ["side", "within", "node", "print", "root"]
 FOUND = ["a", "b", "item", "side", "within", "print"]
 
 
-def described(rows: DataFrame, words: int, text_col: str) -> DataFrame:
-    """row, two digests of the words, print and number of distinct shingles."""
+def described(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """file, at, id, two digests of the words, print and number of distinct shingles of every row of a table on files."""
+    given = docs.select(*place(docs), F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("body"))
+    id_type = given.schema["id"].dataType.simpleString()
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, 2 << 20):
@@ -56,16 +58,16 @@ def described(rows: DataFrame, words: int, text_col: str) -> DataFrame:
             shingles = [list(set(shingle_hashes(b, words))) for b in bodies]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("row"),
+                    *(batch.column(c) for c in (*PLACE, "id")),
                     pa.array(np.array([xxhash.xxh64_intdigest(x, 1) for x in flat], np.uint64).view(np.int64)),
                     pa.array(np.array([xxhash.xxh64_intdigest(x, 2) for x in flat], np.uint64).view(np.int64)),
                     pa.array(majority_bits(shingles).view(np.int64)),
                     pa.array([len(x) for x in shingles], pa.int64()),
                 ],
-                ["row", "d1", "d2", "print", "size"],
+                [*PLACE, "id", "d1", "d2", "print", "size"],
             )
 
-    return rows.select("row", F.col(text_col).cast("string").cast("binary").alias("body")).mapInArrow(kernel, "row long, d1 long, d2 long, print long, size long")
+    return given.mapInArrow(kernel, f"file long, at long, id {id_type}, d1 long, d2 long, print long, size long")
 
 
 def size_class(similarity: float) -> Column:
@@ -206,20 +208,21 @@ def _spanning(nodes: np.ndarray, prints: np.ndarray, k: int, within: bool, dista
     return nodes[a], nodes[b]
 
 
-def shingle_sets(rows: DataFrame, nodes: DataFrame, words: int, text_col: str) -> DataFrame:
-    """node, shingles (sorted hashes as bytes) of the nodes (column row); rows holds the texts by row."""
+def shingle_sets(docs: DataFrame, told: DataFrame, nodes: DataFrame, words: int, text_col: str) -> DataFrame:
+    """node, shingles (sorted hashes as bytes) of the nodes (column row); told says where a row stands in docs."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, 2 << 20):
             out = [np.unique(np.array(shingle_hashes(b, words), np.uint64)).tobytes() for b in batch.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary())], ["node", "shingles"])
 
-    texts = by_rows(rows, nodes, "row", "left_semi").select("row", F.col(text_col).cast("string").cast("binary").alias("body"))
-    return texts.mapInArrow(sets, "node long, shingles binary")
+    wanted = stash(told.join(nodes, "row", "left_semi").select(*PLACE, "row"), "similar-places")
+    texts = by_rows(docs.select(*place(docs), F.col(text_col).cast("string").cast("binary").alias("body")), wanted, PLACE, "inner")
+    return texts.select("row", "body").mapInArrow(sets, "node long, shingles binary")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, words: int, similarity: float, text_col: str) -> DataFrame:
-    """The pairs whose shingle sets are similar enough; rows holds the texts by row."""
+def verified(pairs: DataFrame, docs: DataFrame, told: DataFrame, words: int, similarity: float, text_col: str) -> DataFrame:
+    """The pairs whose shingle sets are similar enough, as a written table."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,9 +235,11 @@ def verified(pairs: DataFrame, rows: DataFrame, words: int, similarity: float, t
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     ends = stash(pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct(), "similar-ends")
-    held = stash(shingle_sets(rows, ends, words, text_col), "similar-sets")
+    held = stash(shingle_sets(docs, told, ends, words, text_col), "similar-sets")
     joined = pairs.join(held.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a").join(held.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
-    return joined.select("a", "b", "left", "right").mapInArrow(judge, "a long, b long")
+    edges = stash(joined.select("a", "b", "left", "right").mapInArrow(judge, "a long, b long"), "similar-edges")
+    release(ends, held)
+    return edges
 
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -339,24 +344,26 @@ def joining(half: np.ndarray, side: np.ndarray, within: bool, node: np.ndarray,
 
 def one_of_each_group(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET, dense: int = DENSE, open_bytes: int = OPEN_BYTES) -> DataFrame:
     """The rows of docs that stay: of each group of similar texts the one with the smallest id (of equal ids, the first row)."""
-    kept = [F.col(f"`{c}`") for c in docs.columns]
-    rows = stash(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*kept).alias("doc")), "similar-rows")
-    known = rows.select("row", F.col(f"doc.`{id_col}`").alias("id"), F.col(f"doc.`{text_col}`").alias("body_text"))
-    told = stash(described(known, words, "body_text").join(known.select("row", "id"), "row"), "similar-described")
+    docs = on_files(docs, "similar-docs")
+    told = stash(described(docs, words, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "similar-described")
     same = ["d1", "d2", "print", "size"]
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
     nodes = stash(told.groupBy(*same).agg(F.min("row").alias("node"), first.alias("first")), "similar-nodes")
     found = stash(candidates(nodes.where("size > 0").select("node", "print", "size"), distance, similarity, bucket, dense), "similar-pairs")
-    edges = stash(verified(found.where("item is null").select("a", "b").distinct(), known, words, similarity, "body_text"), "similar-edges")
+    edges = verified(found.where("item is null").select("a", "b").distinct(), docs, told, words, similarity, text_col)
     members = found.where("item is not null").select("item", "side", "within", F.col("a").alias("node"), "print")
     if not members.isEmpty():
         members = members.join(nodes.select("node", "size"), "node").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
         rest = stash(still_open(members, distance, open_bytes), "similar-open")
         if not rest.isEmpty():
             ends = stash(rest.select(F.col("node").alias("row")).distinct(), "similar-open-ends")
-            sets = shingle_sets(known, ends, words, "body_text")
-            edges = stash(edges.union(decided(rest.join(sets, "node"), distance, similarity)), "similar-edges")
+            sets = shingle_sets(docs, told, ends, words, text_col)
+            more = stash(edges.union(decided(rest.join(sets, "node"), distance, similarity)), "similar-edges")
+            release(edges, ends)
+            edges = more
+        release(rest)
     roots = nodes.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
     stay = roots.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
-    go = stash(told.select("row").join(stay, "row", "left_anti"), "similar-go")
-    return by_rows(rows, go, "row", "left_anti").select("doc.*")
+    go = stash(told.join(stay, "row", "left_anti").select(*PLACE), "similar-go")
+    release(told, nodes, found, edges)
+    return by_rows(whole_rows(docs), go, PLACE, "left_anti").select("doc.*")

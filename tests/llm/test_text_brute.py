@@ -61,14 +61,13 @@ def cuts_brute(rows, good, risk, level, rules):
     tail = lambda k, n, p: sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
     out = {}
     for s, held in strata.items():
-        for rule, cuts in rules.items():
-            best = None
-            for cut in cuts:
-                k = sum(x[rule] > cut for x in held)
-                if tail(k, len(held), risk / len(rules)) > level / (len(strata) * len(rules)):
-                    break
-                best = cut
-            out[s, rule] = best
+        best = 0
+        for i in range(len(rules["symbol_share"])):
+            k = sum(any(x[rule] > cuts[i] for rule, cuts in rules.items()) for x in held)
+            if tail(k, len(held), risk) > level / len(strata):
+                break
+            best = i + 1
+        out |= {(s, rule): cuts[best - 1] if best else None for rule, cuts in rules.items()}
     return out
 
 
@@ -78,7 +77,7 @@ def test_thresholds_brute(spark):
     for i in range(900):
         words = [r.choice(["aa", "bb", "cc", "dd", "ee"]) + str(r.randint(0, 10**6)) for _ in range(20)]
         for k in range(r.choice([0, 0, 1, 3, 19])):
-            words[k] += r.choice(["$", "!!"])
+            words[k] += r.choice(["$", "!!", "?!", "..."])
         pairs.append((i, " ".join(words), r.choice(["en", "en", "en", None])))
     rows = [(i, int(r.random() < 0.8), 0) for i in range(850)] + [(None, 1, 0), (3, None, 0), (5, 0, 0), (5, 1, 0)]
     risk, level = 0.2, 0.1
