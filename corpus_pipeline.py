@@ -32,8 +32,7 @@ SIMILARITY = 0.8
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    cuts = quality_rules.thresholds(docs, common.table(spark, sf_dir, "labels"))
-    return quality_rules.select_kept(docs, cuts).select(*COLUMNS)
+    return quality_rules.select_kept(docs, common.table(spark, sf_dir, "labels")).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
