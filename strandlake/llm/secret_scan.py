@@ -1,11 +1,16 @@
 """Secret scan by assignment-aware lexing.
 
 Fixed patterns give the base spans. Beyond them the text is read as source or
-configuration syntax: a lexer yields name-literal pairs (quoted strings, bare
-configuration values, other names and sums of these), constants are propagated
-from name to name, and each literal is scored by how sensitive the names are
-that it ends up in and by how random it looks. Literals that score enough and
-are not part of a base span are reported as kind ``literal``.
+configuration syntax: a lexer yields name-literal pairs. It knows strings (also in
+three quotes, over several lines, with prefixes), bare configuration values, sums and
+neighbours, block scalars, lists, calls that set a name or decode a value, XML and
+environment lists (name and value apart), passwords in URLs, anchors and aliases; the
+names around a pair (brackets, indentation, sections) make its path. Comments are
+read like the rest, as secrets are left in them too. Constants are propagated from
+name to name, backwards and forwards, through sums and strings they are put into,
+until nothing changes, and each literal is scored by how sensitive the names are that
+it ends up in and by how random it looks. Literals that score enough and are not part
+of a base span are reported as kind ``literal``.
 
 Nulls: a null text is read as empty, a null id is returned as it is. Repeated
 rows give one row each, other columns are dropped, an empty table gives an
@@ -16,8 +21,11 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -31,17 +39,36 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # a run of 32 or more is matched whole, shorter ones never
 
-#: A name, an assignment sign, and the start of what is assigned.
-PAIR = re.compile(
-    r"""(?P<q>["']?)(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{0,127})(?P=q)(?:\[["'](?P<key>[A-Za-z0-9_.\-]{1,127})["']\])?"""
-    r"""[ \t]*(?P<op>:=|=>|\+=|=(?!=)|:(?!:|//))[ \t]*(?=[\w"'`+/$<{(-])"""
+_NAME = r"""(?:(?P<name>[A-Za-z_$@][\w.$\-]*+)(?:\[[ \t]*+["'](?P<key>[^"'\n]++)["'][ \t]*+\])?|(?P<q>["'])(?P<quoted>[^"'\\\n]++)(?P=q))"""
+_SIGN = r"""[ \t]*+(?P<op>:=|=>|\+=|\?=|=(?![=~>])|:(?![:/]))[ \t]*+"""
+#: What the lexer stops at: a new line with its indentation and list marks, a call that sets a name, a name with an assignment
+#: sign, the password of a URL, brackets, quotes. Nothing here goes back over what it has read.
+SCAN = re.compile(
+    r"(?P<line>\n[ \t]*+(?:-[ \t]++)*+)"
+    r"""|(?P<call>(?<![\w.])[A-Za-z_][\w.]*+[ \t]*+\([ \t]*+(?P<cq>["'])(?P<cname>[A-Za-z_][\w.\-]*+)(?P=cq)[ \t]*+,[ \t]*+)"""
+    rf"|(?P<pair>(?<![\w.]){_NAME}{_SIGN})"
+    r"|(?P<url>://[^\s/:@\"']++:(?=[^\s/@\"']++@))"
+    r"|(?P<open>[(\[{])|(?P<close>[)\]}])|(?P<quote>[\"'`])"
 )
-ATOM = re.compile(
-    r"""[fFrRbBuU]{0,2}(?:"(?P<dq>(?:[^"\\\n]|\\.)*)"|'(?P<sq>(?:[^'\\\n]|\\.)*)'|`(?P<bq>[^`\n]*)`)|(?P<bare>[A-Za-z0-9_+/.=~$\-]+)"""
-)
-PLUS = re.compile(r"[ \t]*[+.][ \t]*(?=[\"'`A-Za-z_])")
+PAIR = re.compile(_NAME + _SIGN)
+SECTION = re.compile(r"[ \t]*+\[\[?[ \t]*+([^\[\]\n=,\"']++)\]\]?[ \t]*+(?=\n|$)")
+#: A string with its prefix: in three quotes, in one (not an apostrophe), or in backquotes.
+STRING = re.compile(r"""(?s)[fFrRbBuU]{0,2}(?:"{3}(?P<d3>.*?)"{3}|'{3}(?P<s3>.*?)'{3}|"(?P<dq>(?:[^"\\\n]|\\.)*+)"|(?<!\w)'(?P<sq>(?:[^'\\\n]|\\.)*+)'(?!\w)|`(?P<bq>[^`]*+)`)""")
+PREFIXED = re.compile(r"""[fFrRbBuU]{1,2}["']""")
+BARE = re.compile(r"""[^\s"'`,;()\[\]{}<>|\\]++""")
+JOIN = re.compile(r"""[ \t]*+(?:[+.&]|\\\n)[ \t\n]*+(?=["'`A-Za-z_])|[ \t]++(?=["'])""")
+EMPTY = re.compile(r"[ \t]*+(?:#[^\n]*+)?(?=\n|$)")
+SCALAR = re.compile(r"[|>][+\-0-9]*+[ \t]*+\n")
+ANNOTATED = re.compile(r"[ \t]*+=(?![=~>])[ \t]*+")
+INSERTED = re.compile(r"\$?\{([A-Za-z_][\w.]*+)\}|\$([A-Za-z_]\w*+)")
+MARK = re.compile(r"[&*][A-Za-z_][\w\-]*+")
+SCHEMES = {"bearer", "basic", "token", "digest"}
+#: Functions whose string arguments are the value itself.
+DECODERS = {"str", "bytes", "bytearray", "string", "decode", "b64decode", "base64", "atob", "unhex", "fromhex", "encode", "secretstr", "buffer", "from", "join"}
+LABELS, VALUES = {"key", "name"}, {"value", "default", "content"}
 NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
+IDENTIFIER = re.compile(r"[A-Za-z_$][A-Za-z0-9_.]*\Z")
+ENV_NAME = re.compile(r"[A-Z][A-Z_]*\Z")
 PLACEHOLDER = re.compile(r"(?i)^(?:<.*>|\$\{?.*|x+|\*+|your.*|change.?me|example.*|placeholder.*|none|null|true|false|todo)$")
 #: How sensitive a part of a name is.
 WEIGHTS = {
@@ -50,6 +77,8 @@ WEIGHTS = {
     "authorization": 0.8, "signature": 0.6, "salt": 0.6, "cert": 0.5, "key": 0.4, "access": 0.3,
     "private": 0.5, "api": 0.3, "client": 0.2, "session": 0.3, "encryption": 0.4, "signing": 0.4,
 }
+#: What the names around a name count beside it.
+NESTED = 0.8
 THRESHOLD = 0.55
 MIN_LITERAL = 8
 
@@ -60,10 +89,16 @@ class Span(NamedTuple):
     kind: str
 
 
-class Pair(NamedTuple):
+@dataclass(slots=True)
+class Pair:
+    """A name (with the names around it) and what is assigned to it: spans of literals, and words that may be names or literals."""
+
     name: str
-    literals: tuple[tuple[int, int], ...]
-    names: tuple[str, ...]
+    path: str
+    literals: list[tuple[int, int]]
+    words: list[tuple[int, int]]
+    names: list[str]  # surely names: aliases, and what is put into strings
+    op: str = "="
 
 
 def base_spans(text: str) -> list[Span]:
@@ -72,28 +107,180 @@ def base_spans(text: str) -> list[Span]:
     return found + [Span(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
-def lex(text: str) -> Iterator[Pair]:
-    """Name-literal pairs in the order of the text; a bare word with digits is a name if it was assigned before."""
-    at, assigned = 0, set()
-    while m := PAIR.search(text, at):
-        at, literals, names = m.end(), [], []
-        while atom := ATOM.match(text, at):
-            group = next(k for k in ("dq", "sq", "bq", "bare") if atom[k] is not None)
-            at = atom.end()
-            if group != "bare":
-                literals.append(atom.span(group))
-            elif IDENTIFIER.match(atom[group]) and m["op"] != ":" and (atom[group] in assigned or not re.search(r"\d", atom[group])):
-                names.append(atom[group])
+class Lexer:
+    """Reads a text as source or configuration: pairs by their signs, nested by brackets, indentation and sections."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.pairs: list[Pair] = []
+        self.brackets: list[tuple[str, str]] = []  # path, and the name whose elements are collected ("": none)
+        self.indents: list[tuple[int, str]] = []
+        self.section, self.indent = "", 0
+        self.label: tuple[int, str] = (-1, "")
+
+    def around(self) -> str:
+        if self.brackets:
+            return self.brackets[-1][0]
+        return self.indents[-1][1] if self.indents else self.section
+
+    def add(self, name: str, literals, words=(), names=(), op: str = "=") -> None:
+        path = self.around()
+        self.pairs.append(Pair(name, f"{path}.{name}" if path else name, list(literals), list(words), list(names), op))
+
+    def run(self) -> list[Pair]:
+        text, at = self.text, self.line(0, 0) if SECTION.match(self.text) else 0
+        while m := SCAN.search(text, at):
+            at = m.end()
+            kind = m.lastgroup if m.lastgroup in ("line", "call", "pair", "url", "open", "close", "quote") else "pair"
+            if m["line"] is not None:
+                at = self.line(m.start() + 1, at)
+            elif m["call"] is not None:
+                at = self.assigned(m["cname"], ",", at)
+            elif m["pair"] is not None:
+                at = self.assigned(m["key"] or m["name"] or m["quoted"], m["op"], at)
+            elif m["url"] is not None:
+                end = text.index("@", at)
+                self.add("url_password", [(at, end)])
+                at = end
+            elif kind == "open":
+                self.brackets.append((self.around(), ""))
+            elif kind == "close":
+                if self.brackets:
+                    self.brackets.pop()
+            else:
+                at = self.quoted(m.start())
+        return self.pairs
+
+    def line(self, start: int, at: int) -> int:
+        """A new line: leave what it is not inside of; a list item belongs to the name above."""
+        if self.brackets:
+            return at
+        self.indent = at - start
+        while self.indents and self.indents[-1][0] >= self.indent:
+            self.indents.pop()
+        if section := SECTION.match(self.text, start):
+            self.section, self.indents = section[1].strip(), []
+            return section.end()
+        if self.text[start:at].endswith((" ", "\t")) and "-" in self.text[start:at] and self.indents and not PAIR.match(self.text, at):
+            path = self.indents[-1][1]
+            literals, words, names, at, _ = self.value(at, ":")
+            self.pairs.append(Pair(path.rsplit(".", 1)[-1], path, literals, words, names, ":"))
+        return at
+
+    def quoted(self, start: int) -> int:
+        """A string by itself: an element of what is collected; quoted configuration is read on inside."""
+        while start and self.text[start - 1] in "fFrRbBuU" and PREFIXED.match(self.text, start - 1):
+            start -= 1
+        m = STRING.match(self.text, start)
+        if not m:
+            return start + 1 if self.text[start] in "\"'`" else start + 2
+        if self.brackets and self.brackets[-1][1]:
+            path, name = self.brackets[-1]
+            self.pairs.append(Pair(name, path, self.pieces(m), [], self.inserted(m)))
+        elif '":' in m[0] or "':" in m[0]:
+            return start + 1
+        return m.end()
+
+    def assigned(self, name: str, op: str, at: int) -> int:
+        """What stands behind an assignment sign."""
+        text = self.text
+        path = f"{self.around()}.{name}" if self.around() else name
+        if op == ":" and not self.brackets and EMPTY.match(text, at):
+            self.indents.append((self.indent, path))
+            return at
+        if op == ":" and (m := SCALAR.match(text, at)):
+            end, literals = m.end(), []
+            while end < len(text):  # the lines that stand further in
+                stop = text.find("\n", end)
+                stop = len(text) if stop < 0 else stop
+                body = text[end:stop]
+                if body.strip() and len(body) - len(body.lstrip(" \t")) <= self.indent:
+                    break
+                if body.strip():
+                    literals.append((end + len(body) - len(body.lstrip()), end + len(body.rstrip())))
+                end = stop + 1
+            self.add(name, literals, op=op)
+            return max(at, min(end, len(text)) - 1)
+        literals, words, names, end, opened = self.value(at, op)
+        lower = name.lower()
+        if lower in LABELS and len(literals) + len(words) == 1:
+            a, b = (literals or words)[0]
+            self.label = (end, text[a:b])
+        elif lower in VALUES and 0 <= self.label[0] and end - self.label[0] < 1000 + sum(b - a for a, b in literals):
+            name, self.label = self.label[1], (-1, "")
+        if literals or words or names:
+            self.add(name, literals, words, names, op)
+        if opened:
+            self.brackets.append((path, name if opened in "([" else ""))
+        return end
+
+    def value(self, at: int, op: str) -> tuple[list, list, list, int, str]:
+        """Literals, words, names and end of an expression; a bracket that it opens, or "" (call arguments count if they are decoded)."""
+        text, literals, words, names = self.text, [], [], []
+        while at < len(text):
+            if m := STRING.match(text, at):
+                literals += self.pieces(m)
+                names += self.inserted(m)
+                at = m.end()
+            elif text[at] in "([{":
+                return literals, words, names, at + 1, text[at]
+            elif op == ":" and (m := MARK.match(text, at)):
+                at = m.end()
+                if m[0][0] == "*":
+                    names.append(m[0][1:])
+                    break
+                while at < len(text) and text[at] in " \t":
+                    at += 1
+                inner = self.value(at, op)
+                self.add(m[0][1:], *inner[:3], op=op)
+                return inner[0], inner[1], [*inner[2], m[0][1:]], inner[3], inner[4]
+            elif m := BARE.match(text, at):
+                at = m.end()
+                if text[at : at + 1] == "(":
+                    known = m[0].rsplit(".", 1)[-1].lower() in DECODERS
+                    return literals, words, names, at + 1 if known else at, "(" if known else ""
+                if m[0].lower() in SCHEMES:
+                    spaces = re.compile(r"[ \t]++").match(text, at)
+                    if spaces and (more := BARE.match(text, spaces.end())):
+                        words.append(more.span())
+                        at = more.end()
+                    break
+                if op == ":" and (typed := ANNOTATED.match(text, at)):
+                    at, op = typed.end(), "="
+                    continue
+                words.append(m.span())
             else:
-                literals.append(atom.span(group))
-            plus = PLUS.match(text, at)
-            if not plus:
                 break
-            at = plus.end()
-        assigned.add(m["key"] or m["name"])
-        yield Pair(m["key"] or m["name"], tuple(literals), tuple(names))
+            joined = JOIN.match(text, at)
+            if not joined or (op == ":" and words and not literals):
+                break
+            at = joined.end()
+        return literals, words, names, at, ""
+
+    def pieces(self, m: re.Match) -> list[tuple[int, int]]:
+        """The span of a string's content; of one with several lines, of each line."""
+        a, b = next(m.span(k) for k in ("d3", "s3", "dq", "sq", "bq") if m[k] is not None)
+        body = self.text[a:b]
+        if "\n" not in body:
+            return [(a, b)]
+        out = []
+        for line in re.finditer(r"[^\n]+", body):
+            inner = line[0].strip()
+            if inner:
+                begin = a + line.start() + line[0].index(inner)
+                out.append((begin, begin + len(inner)))
+        return out
+
+    def inserted(self, m: re.Match) -> list[str]:
+        return [x[1] or x[2] for x in INSERTED.finditer(m[0])] if "{" in m[0] or "$" in m[0] else []
 
 
+def lex(text: str) -> list[Pair]:
+    """Name-literal pairs in the order of the text."""
+    return Lexer(text).run()
+
+
+@lru_cache(maxsize=100_000)
 def name_score(name: str) -> float:
     parts = [x.lower() for x in NAME_PART.findall(name)]
     joined = {a + b for a, b in zip(parts, parts[1:], strict=False)}
@@ -102,7 +289,7 @@ def name_score(name: str) -> float:
 
 def literal_score(value: str) -> float:
     """0 to 1: length, entropy and mixture of classes; 0 for placeholders and prose."""
-    if len(value) < MIN_LITERAL or PLACEHOLDER.match(value) or re.search(r"\s", value):
+    if len(value) < MIN_LITERAL or PLACEHOLDER.match(value) or ENV_NAME.match(value) or re.search(r"\s", value):
         return 0.0
     n = len(value)
     entropy = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
@@ -110,32 +297,58 @@ def literal_score(value: str) -> float:
     return min(1.0, entropy / 4) * (0.5 if classes < 2 else 1.0)
 
 
-class Held:
-    """What a name holds: literals of its own and what other names held; weight is the most it was scored with."""
-
-    __slots__ = ("literals", "others", "weight")
-
-    def __init__(self, literals: tuple[tuple[int, int], ...], others: list[Held]):
-        self.literals, self.others, self.weight = literals, others, 0.0
-
-
 def assigned_spans(text: str) -> list[tuple[Span, str, float]]:
-    """Literals with the most sensitive name they reach and their score."""
-    holds: dict[str, Held] = {}
-    best: dict[tuple[int, int], tuple[float, str]] = {}
-    for pair in lex(text):
-        held = holds[pair.name] = Held(pair.literals, [holds[n] for n in pair.names if n in holds])
-        weight, todo = name_score(pair.name), [held]
+    """Literals with the most sensitive name they reach and their score.
+
+    A word is a name if it looks like one and something is assigned to it; it stands for the last assignment before, or
+    else the first one behind. Constants go from name to name until nothing changes: pairs are visited from the most
+    sensitive name down, so each is visited once, with the greatest weight that reaches it."""
+    pairs = lex(text)
+    where: dict[str, list[int]] = defaultdict(list)
+    for i, pair in enumerate(pairs):
+        where[pair.name].append(i)
+        if "." in pair.name:
+            where[pair.name.rsplit(".", 1)[-1]].append(i)
+
+    def resolve(name: str, i: int) -> int | None:
+        for key in (name, name.rsplit(".", 1)[-1]):
+            if own := where.get(key):
+                at = bisect_left(own, i)
+                if at:
+                    return own[at - 1]
+                return next((j for j in own if j > i), None)
+        return None
+
+    literals: list[list[tuple[int, int]]] = []
+    others: list[list[int]] = []
+    for i, pair in enumerate(pairs):
+        held, names = list(pair.literals), list(pair.names)
+        for a, b in pair.words:
+            parts = text[a:b].split("+")
+            if all(IDENTIFIER.match(x) and resolve(x, i) is not None for x in parts):
+                names += parts
+            elif not IDENTIFIER.match(text[a:b]) or pair.op == ":" or re.search(r"\d", text[a:b]):
+                held.append((a, b))
+        if pair.op == "+=":
+            names.append(pair.name)
+        literals.append(held)
+        others.append([j for j in (resolve(n, i) for n in names) if j is not None and j != i])
+    weights = [max(name_score(p.name), NESTED * name_score(p.path)) for p in pairs]
+    seen, best = [False] * len(pairs), {}
+    for i in sorted(range(len(pairs)), key=lambda i: -weights[i]):
+        if not weights[i]:
+            break
+        todo = [i]
         while todo:
-            at = todo.pop()
-            if weight <= at.weight:  # it and all below were scored with as much
+            j = todo.pop()
+            if seen[j]:
                 continue
-            at.weight = weight
-            for span in at.literals:
-                score = weight * literal_score(text[span[0] : span[1]])
+            seen[j] = True
+            for span in literals[j]:
+                score = weights[i] * literal_score(text[span[0] : span[1]])
                 if score > best.get(span, (0.0, ""))[0]:
-                    best[span] = (score, pair.name)
-            todo += at.others
+                    best[span] = (score, pairs[i].path)
+            todo += others[j]
     return [(Span(*s, "literal"), n, x) for s, (x, n) in best.items() if x >= THRESHOLD]
 
 
@@ -143,7 +356,7 @@ def scan_text(text: str) -> tuple[list[Span], list[tuple[Span, str, float]]]:
     """The base spans, and what the method adds outside them, each by start and kind."""
     base = sorted(base_spans(text), key=lambda s: (s.start, KINDS.index(s.kind)))
     added = []
-    if "=" in text or ":" in text:
+    if "=" in text or ":" in text or "('" in text or '("' in text:
         for span, name, score in assigned_spans(text):
             if not any(b.start < span.end and span.start < b.end for b in base):
                 added.append((span, name, score))
