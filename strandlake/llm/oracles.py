@@ -51,16 +51,23 @@ def decontamination_sql() -> str:
     size = decontamination.WINDOW
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {words.format(t="text")} AS w FROM documents),
-b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {words.format(t="text")} AS w FROM benchmark WHERE text IS NOT NULL),
+b AS (SELECT row_number() OVER () AS bid, coalesce(item_id::VARCHAR, '') AS item, {words.format(t="text")} AS w FROM benchmark WHERE text IS NOT NULL),
 bw AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS t FROM (SELECT item, w, least({size}, len(w)) AS n, unnest(range(1, len(w) - least({size}, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT n FROM bw),
 dw AS (SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS t FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
 hit AS (SELECT rid, i, dw.n, item FROM dw JOIN bw ON bw.n = dw.n AND bw.t = dw.t),
-cov AS (SELECT rid, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid),
-its AS (SELECT rid, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid)
+pos AS (SELECT DISTINCT rid, unnest(range(i, i + n)) AS p FROM hit),
+isl AS (SELECT rid, p, p - row_number() OVER (PARTITION BY rid ORDER BY p) AS g FROM pos),
+runs AS (SELECT rid, min(p) - 1 AS a, max(p) AS z FROM isl GROUP BY rid, g),
+cov AS (SELECT rid, sum(z - a)::BIGINT AS n_hit, string_agg(a || ':' || z, ',' ORDER BY a) AS hit_runs FROM runs GROUP BY rid),
+its AS (SELECT rid, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid),
+bp AS (SELECT bid, j, w[j] AS word FROM (SELECT bid, w, unnest(range(1, len(w) + 1)) AS j FROM b)),
+eq AS (SELECT rid, p, bid, p - j AS diag FROM (SELECT rid, p, w[p] AS word FROM pos JOIN d USING (rid)) JOIN bp USING (word)),
+chain AS (SELECT rid, bid, diag, p - row_number() OVER (PARTITION BY rid, bid, diag ORDER BY p) AS g FROM eq),
+most AS (SELECT rid, max(n)::BIGINT AS longest FROM (SELECT rid, count(*) AS n FROM chain GROUP BY rid, bid, diag, g) GROUP BY rid)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
-  coalesce(n_hit, 0) > 0 AND {decontamination.SHARE} * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid)"""
+  coalesce(n_hit, 0) > 0 AND {decontamination.SHARE} * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(longest, 0) AS longest_match, coalesce(hit_runs, '') AS hit_runs
+FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid) LEFT JOIN most USING (rid)"""
 
 
 def suffix_dedup_sql() -> str:
