@@ -113,11 +113,13 @@ def test_empty_near_duplicates(spark):
     assert nd.near_duplicates(docs(spark, [])).collect() == []
 
 
-def test_sharding_law(spark):
+@pytest.mark.parametrize("per_part,hot,repeats", [(50, 1.0, 10**6), (3, 0.01, 7), (20_000, 0.05, 10**6)])
+def test_sharding_law(spark, per_part, hot, repeats):
     r = random.Random(2)
     texts = ["é" * r.randint(0, 300) for _ in range(300)] + ["same text"] * 40 + [None, "", None]
-    pairs = [(i % 330, t) for i, t in enumerate(texts)]
-    got = sh.shard_documents(docs(spark, pairs), 8, groups_per_part=50, rows_per_bucket=60).collect()
+    pairs = [(i % 330, t) for i, t in enumerate(texts)] + [(5, "again and again")] * 30
+    place = lambda df: sorted(tuple(x) for x in sh.shard_documents(df, 8, groups_per_part=per_part, rows_per_bucket=60, hot=hot, repeats=repeats).collect())
+    got = sh.shard_documents(docs(spark, pairs), 8, groups_per_part=per_part, rows_per_bucket=60, hot=hot, repeats=repeats).collect()
     assert sorted((x.doc_id, x.size, x.text_crc32) for x in got) == sorted((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in pairs)
     by_text = {}
     for x in got:
@@ -128,6 +130,7 @@ def test_sharding_law(spark):
         assert slots == list(range(len(slots)))
     loads = [sum(x.size for x in got if x.shard == s) for s in range(8)]
     assert max(loads) - min(loads) <= max(len((t or "").encode()) for t in texts)
+    assert sorted(tuple(x) for x in got) == place(docs(spark, pairs[::-1]).repartition(5))  # whatever the input's order
 
 
 def test_sharding_empty_and_one_group(spark):
