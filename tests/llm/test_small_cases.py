@@ -71,6 +71,58 @@ def test_all_literals_of_a_name_are_scored():
     assert len(ss.scan_text("a = a + a\n" * 5000 + many)[1]) == 150
 
 
+SECRET = "Xk29-qLm!7zRt"
+
+
+@pytest.mark.parametrize("text", [
+    "db:\n  host: here\n  password_value: " + SECRET, "secrets:\n  - name: x\n  - " + SECRET, "[credentials]\nmain = " + SECRET,
+    '{"db": {"host": "h", "passphrase": "' + SECRET + '"}}', '{"credentials": ["a", "' + SECRET + '"]}', 'client_pwd = """' + SECRET + '"""', "client_pwd = \'\'\'\n  " + SECRET + "\n\'\'\'",
+    'password_value = K\nK = "' + SECRET + '"', 'base: &a ' + SECRET + "\nclient_pwd: *a", 'a = "' + SECRET + '"\nclient_pwd = f"x{a}y"', 'a = "' + SECRET + '"\nclient_pwd = x.y + a',
+    'client_pwd: str = "' + SECRET + '"', "client_pwd: |\n  " + SECRET + "\nnext: 1", "<add key=\"client_pwd\" value=\"" + SECRET + "\"/>", "- name: CLIENT_PWD\n  value: " + SECRET,
+    "define('CLIENT_PWD', '" + SECRET + "')", "connect(host='h', client_pwd='" + SECRET + "')", "postgres://me:" + SECRET + "@host/db", "Authorization: Bearer " + SECRET,
+    "x" * 500 + "_pwd = '" + SECRET + "'", 'client_pwd = b64decode("' + SECRET + '")', "# client_pwd = '" + SECRET + "'", "run --client-pwd=" + SECRET,
+    'a = "x"\nb = a\na += "' + SECRET + '"\nclient_pwd = a', "it's client_pwd = '" + SECRET + "' isn't it",
+])
+def test_syntax(text):
+    assert SECRET in [text[s.start : s.end] for s, _, _ in ss.scan_text(text)[1]], ss.lex(text)
+
+
+@pytest.mark.parametrize("text", ["He said: it's a key: don't", 'client_pwd = os.getenv("CLIENT_PWD")', "title: " + SECRET, 'a = "' + SECRET + '"\na = "x"\nclient_pwd = a', "a: " + "(" * 3000 + "=" * 3000, "a.b=" * 3000, "'" * 5000 + "=", "x" * 300_000 + " = 1"])
+def test_no_secret(text):
+    assert ss.scan_text(text)[1] == []
+
+
+def test_propagation_brute():
+    """Random programs: which literals reach a sensitive name, by following every name again and again."""
+    r = random.Random(12)
+    for _ in range(150):
+        names = [f"n{i}" for i in range(6)] + ["auth_pwd", "client_pwd"]
+        lines, literal = [], 0
+        for _ in range(r.randint(1, 14)):
+            parts = []
+            for _ in range(r.randint(1, 3)):
+                if r.random() < 0.5:
+                    parts.append(f'"Xk{literal:03d}-qLm!7zR"')
+                    literal += 1
+                else:
+                    parts.append(r.choice(names))
+            lines.append((r.choice(names), r.choice(["=", "=", "+="]), parts))
+        text = "\n".join(f"{n} {op} {' + '.join(parts)}" for n, op, parts in lines)
+
+        def before(name, i):
+            own = [j for j in range(i) if lines[j][0] == name] or [j for j in range(i + 1, len(lines)) if lines[j][0] == name][:1]
+            return own[-1] if own else None
+
+        holds = [{p for p in parts if p[0] == '"'} for _, _, parts in lines]
+        for _ in range(len(lines) + 1):
+            for i, (n, op, parts) in enumerate(lines):
+                for p in [*(p for p in parts if p[0] != '"'), *([n] if op == "+=" else [])]:
+                    j = before(p, i)
+                    holds[i] |= holds[j] if j is not None else set()
+        want = {x.strip('"') for (n, _, _), held in zip(lines, holds) if n in names[6:] for x in held}
+        assert {text[s.start : s.end] for s, _, _ in ss.scan_text(text)[1]} == want, text
+
+
 def counter(chunk, overlap):
     import public_tokenizers
 
@@ -159,6 +211,31 @@ def test_raking_and_budget(spark):
     assert max(free) == pytest.approx(min(free)) and all(want[k] / v >= max(free) * (1 - 1e-9) for k, v in cells.items() if keep[k] == 1)
 
 
+def test_many_cells_and_few_cells_agree(spark):
+    r = random.Random(4)
+    rows = [(i, "w " * r.randint(1, 60) + r.choice(["", " | "]), r.choice("aab"), r.choice(["en", "en", "fr"])) for i in range(150)]
+    told = lambda n: {x.doc_id: (round(x.mix_weight, 9), round(x.mix_keep, 9), x.mix_selected) for x in mx.mix(docs(spark, rows), few_cells=n).collect()}
+    assert told(1) == told(10**5)
+
+
+def test_targets_that_no_weights_meet(spark):
+    """Each source has one language: targets for both that disagree are told, not passed over."""
+    rows = [(i, "w w w", "ab"[i % 2], ["en", "fr"][i % 2]) for i in range(100)]
+    goal = lambda dim, **p: spark.createDataFrame(list(p.items()), f"{dim} string, {dim}_target double")
+    goals = {"mix_source": goal("mix_source", a=0.9, b=0.1), "mix_lang": goal("mix_lang", en=0.2, fr=0.8), "mix_topic": goal("mix_topic", prose=1.0)}
+    assert mx.mix(docs(spark, rows), targets=goals).count() == 100
+    with pytest.raises(ValueError, match="raking"):
+        mx.mix(docs(spark, rows), targets=goals, strict=True)
+
+
+def test_clashing_mixing_columns_are_renamed(spark):
+    from pyspark.sql import functions as F
+
+    frame = docs(spark, [(i, "w w w", "ab"[i % 2], "en") for i in range(20)]).withColumns({"mix_keep": F.lit("own"), "mix_source": F.lit(7), "mix_weight": F.lit(None), "tokens": F.lit(3), "weight": F.lit(1.0)})
+    got = mx.mix(frame).collect()
+    assert len(got) == 20 and all(x.mix_keep_input == "own" and x.mix_source_input == 7 and x.mix_source in "ab" and x.tokens == 3 for x in got)
+
+
 def test_given_targets_and_empty(spark):
     rows = [(i, "w w w", "ab"[i % 2], "en") for i in range(100)]
     frame = docs(spark, rows)
