@@ -18,8 +18,8 @@ The end token keeps a class of its own. A token's probability is P(class | previ
 class) P(word | class): transitions are smoothed towards the class shares, emissions
 by adding ALPHA to each word of a class and to one unknown word.
 
-Words are known to the Python workers by XXH64. Words beyond the broadcast table are
-looked up by a join, aggregated per document first; their logarithms are summed as
+Words are known to the Python workers by XXH64. Words below the floor are looked up
+by a join, aggregated per document first; their logarithms are summed as
 decimals, so scores do not depend on the order of a shuffle.
 
 Nulls: a null text is empty (one end token); a null id trains and is not held
@@ -134,12 +134,11 @@ class Listed:
     hashes: np.ndarray
     counts: np.ndarray
     endings: np.ndarray
-    own: int  # so many are units of their own
     least: int  # words counted more often than this are here
 
 
 def listed_words(counts: DataFrame, lookup_words: int = LOOKUP_WORDS, floor: int = FLOOR) -> Listed:
-    least = frequent(counts, lookup_words)
+    least = max(floor - 1, frequent(counts, lookup_words))
     end = F.col("word") == F.lit(END)
     rows = counts.where((F.col("n") > least) | end).select(F.xxhash64("word").alias("h"), "n", (F.crc32(F.substring("word", -ENDING, ENDING)) % SPELL_UNITS).cast("int").alias("u"), end.alias("e")).toArrow()
     h, n, u, e = (rows.column(c).to_numpy() for c in ("h", "n", "u", "e"))
@@ -148,16 +147,15 @@ def listed_words(counts: DataFrame, lookup_words: int = LOOKUP_WORDS, floor: int
     if not len(e) or not e.any():
         mark = np.uint64(xxhash.xxh64_intdigest(END, HASH_SEED)).view(np.int64)
         h, n, u = np.concatenate([[mark], h]), np.concatenate([[0], n]), np.concatenate([[spell_unit(END)], u])
-    return Listed(h.astype(np.int64), n.astype(np.int64), u.astype(np.int64), max(1, int((n[1:] >= floor).sum()) + 1), least)
+    return Listed(h.astype(np.int64), n.astype(np.int64), u.astype(np.int64), least)
 
 
 def encoded(train: DataFrame, words: Listed) -> DataFrame:
     """The training texts as numbers of units, packed by blocks; a block begins with an end, each text closes with one."""
-    shared = train.sparkSession.sparkContext.broadcast((words.hashes[: words.own], words.own))
+    shared = train.sparkSession.sparkContext.broadcast(words.hashes)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, own = shared.value
-        number = Words(hashes)
+        number, own = Words(shared.value), len(shared.value)
         for batch in blocks(batches):
             tokens = [END]
             for body in batch.column("body").to_pylist():
@@ -399,8 +397,8 @@ def joint_of(sums: DataFrame, classes: int) -> np.ndarray:
 
 def cluster(codes: DataFrame, words: Listed, classes: int = CLASSES, seeds: int = SEEDS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """The class of every unit (own words, then endings), and the class bigrams."""
-    seeds = max(1, min(seeds, words.own))
-    seed_of = np.concatenate([np.arange(seeds), seeds + words.endings[seeds : words.own], seeds + np.arange(SPELL_UNITS)])
+    seeds = max(1, min(seeds, len(words.hashes)))
+    seed_of = np.concatenate([np.arange(seeds), seeds + words.endings[seeds:], seeds + np.arange(SPELL_UNITS)])
     home = exchange(seed_bigrams(codes, seed_of, seeds + SPELL_UNITS), 0, classes)[seed_of]
     best, tables = None, []
     for turn in range(rounds + 1):
@@ -439,8 +437,7 @@ def train_model(counts: DataFrame, train: DataFrame, classes: int = CLASSES, loo
     codes = stash(encoded(train, words), "class-lm-units")
     home, joint = cluster(codes, words, classes, seeds, rounds)
     release(codes)
-    spell_class = home[words.own :]
-    word_class = np.concatenate([home[: words.own], spell_class[words.endings[words.own :]]])
+    word_class, spell_class = home[:-SPELL_UNITS], home[-SPELL_UNITS:]
     # tokens and distinct words of each class
     held = np.bincount(word_class, words.counts, minlength=classes)
     room = np.bincount(word_class, words.counts > 0, minlength=classes)

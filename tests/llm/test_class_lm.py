@@ -90,13 +90,14 @@ def test_contexts_are_those_of_the_text(spark):
     df = lm.text_bytes(docs(spark, pairs), "doc_id", "text").repartition(5)
     words = lm.listed_words(lm.word_counts(df), floor=3)
     codes = lm.encoded(df, words).cache()
-    units = words.own + lm.SPELL_UNITS
+    own = len(words.hashes)
+    units = own + lm.SPELL_UNITS
     home = np.arange(units) % 5 + 1
     home[0] = 0
-    number = lm.Words(words.hashes[: words.own])
+    number = lm.Words(words.hashes)
     want, joint = np.zeros((units, 13), np.int64), np.zeros((6, 6), np.int64)
     for _, t in pairs:
-        ids = [int(i) if i < lm.BEYOND else int(i - lm.BEYOND + words.own) for i in number([b"\n", *tokens(t)])]
+        ids = [int(i) if i < lm.BEYOND else int(i - lm.BEYOND + own) for i in number([b"\n", *tokens(t)])]
         for a, b in zip(ids, ids[1:]):
             want[b, home[a]] += 1
             want[a, 6 + home[b]] += 1
@@ -135,8 +136,8 @@ def test_model_is_a_distribution_and_beats_the_unigrams(spark):
     pairs = [*enumerate(texts(2, 400))]
     df = lm.text_bytes(docs(spark, pairs), "doc_id", "text")
     counts = lm.word_counts(df).cache()
-    model, least = lm.train_model(counts, df, classes=6, lookup_words=1000, seeds=20)
-    assert np.allclose((10**model.log_step).sum(1), 1)
+    model, least = lm.train_model(counts, df, classes=6, floor=3, seeds=20)
+    assert least == 2 and np.allclose((10**model.log_step).sum(1), 1)
     emission = (model.known + 0.1) / 10 ** model.log_room[model.word_class]
     for c in range(1, 6):
         unknown = 0.1 / 10 ** model.log_room[c]
