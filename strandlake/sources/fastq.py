@@ -1,14 +1,17 @@
-"""FASTQ as a Spark data source, and writers of FASTQ.
+"""FASTQ as tables, and writers of FASTQ.
 
-    spark.dataSource.register(FastqDataSource)
+    fastq_files(spark, path)                     # any store that Spark opens
+    spark.dataSource.register(FastqDataSource)   # local files
     spark.read.format("fastq").option("path", folder_or_file).load()
 
-A file is one partition, because a record's number is its place in the file; many
-files are many tasks. Files are read by Hadoop-style listing through Spark
-(``fastq_files``) where the path is not local, and by the reader below otherwise.
-Compression is told by the first bytes, not by the name. Records are strict: four
-lines, equal lengths, printable qualities; the first bad record fails the read with
-its file and number. Options: sample_id, allow_empty (false), validate (true).
+``fastq_files`` reads lines through Spark: plain files are split by bytes, compressed
+ones are one stream each, and neither is ever held whole. A first pass counts the lines
+of each split, so every line knows its number in its file; records that lie across two
+splits are put together by a shuffle of their lines alone. The data source streams a
+local file in one task. Records are strict: four lines, equal lengths, printable
+qualities; the first bad record fails the read with its file and number. Compression
+is told by the first bytes: a plain file named .gz is refused, a compressed file of
+another name is read as one stream of a task.
 """
 
 from __future__ import annotations
@@ -18,31 +21,36 @@ import gzip
 import hashlib
 import io
 import os
+import random
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..errors import StrandlakeError
+
 SCHEMA = "read_uid string, name string, description string, sequence string, quality string, record_index bigint, source_sha256 string, sample_id string"
 SYMBOLS = frozenset("ACGTRYSWKMBDHVN.-")
 GZIP_MAGIC = b"\x1f\x8b"
 
 
-class FastqError(ValueError):
+class FastqError(StrandlakeError, ValueError):
     """A record that breaks the format, with its file and number."""
 
     def __init__(self, path: str, record: int, problem: str):
         super().__init__(f"{path}, record {record}: {problem}")
 
 
-def opened(data: bytes, path: str) -> io.TextIOBase:
-    """Text of a plain or gzip file; a .gz name on a plain file is refused."""
-    if data[:2] == GZIP_MAGIC:
-        return io.TextIOWrapper(gzip.GzipFile(fileobj=io.BytesIO(data)), "ascii", newline=None)
+def opened(raw: io.BufferedIOBase, path: str) -> io.TextIOBase:
+    """Text of a plain or gzip stream; a .gz name on a plain file is refused."""
+    if raw.peek(2)[:2] == GZIP_MAGIC:
+        return io.TextIOWrapper(gzip.GzipFile(fileobj=raw), "ascii", newline=None)
     if path.endswith(".gz"):
         raise FastqError(path, 0, "named .gz but not compressed")
-    return io.TextIOWrapper(io.BytesIO(data), "ascii", newline=None)
+    return io.TextIOWrapper(raw, "ascii", newline=None)
 
 
 def problem_of(lines: list[str], validate: bool, allow_empty: bool) -> str | None:
@@ -50,6 +58,8 @@ def problem_of(lines: list[str], validate: bool, allow_empty: bool) -> str | Non
     head, seq, plus, quality = lines
     if not head.startswith("@"):
         return "the header does not start with @"
+    if not all(x.isascii() for x in lines):
+        return "other symbols than ASCII"
     name = head[1:].split(maxsplit=1)
     if not name:
         return "the read has no name"
@@ -70,26 +80,36 @@ def problem_of(lines: list[str], validate: bool, allow_empty: bool) -> str | Non
     return None
 
 
-def parse(data: bytes, path: str, sample_id: str = "", validate: bool = True, allow_empty: bool = False) -> Iterator[tuple]:
-    """Rows of SCHEMA."""
-    digest, record = hashlib.sha256(data).hexdigest(), 0
+def row_of(lines: list[str], path: str, digest: str, record: int, sample_id: str, validate: bool, allow_empty: bool) -> tuple:
+    """A row of SCHEMA from the four lines of a record."""
+    head, seq, plus, quality = lines
+    seq = seq.upper()
+    if problem := problem_of([head, seq, plus, quality], validate, allow_empty):
+        raise FastqError(path, record, problem)
+    uid = hashlib.sha256(f"{digest}\0{record}".encode()).hexdigest()
+    return uid, head[1:].split(maxsplit=1)[0], head[1:], seq, quality, record, digest, sample_id
+
+
+def stream(raw: io.BufferedIOBase, path: str, digest: str, sample_id: str = "", validate: bool = True, allow_empty: bool = False) -> Iterator[tuple]:
+    """Rows of SCHEMA; one record is held at a time."""
+    record = 0
     try:
-        with opened(data, path) as text:
+        with opened(raw, path) as text:
             while head := text.readline():
                 rest = [text.readline() for _ in range(3)]
                 if not all(rest):
                     raise FastqError(path, record, "the record is cut off")
-                head, seq, plus, quality = (x.rstrip("\n") for x in (head, *rest))
-                seq = seq.upper()
-                if problem := problem_of([head, seq, plus, quality], validate, allow_empty):
-                    raise FastqError(path, record, problem)
-                uid = hashlib.sha256(f"{digest}\0{record}".encode()).hexdigest()
-                yield uid, head[1:].split(maxsplit=1)[0], head[1:], seq, quality, record, digest, sample_id
+                yield row_of([x.rstrip("\n") for x in (head, *rest)], path, digest, record, sample_id, validate, allow_empty)
                 record += 1
     except (gzip.BadGzipFile, EOFError, UnicodeDecodeError) as error:
         raise FastqError(path, record, str(error)) from error
 
 
+def parse(data: bytes, path: str, sample_id: str = "", validate: bool = True, allow_empty: bool = False) -> Iterator[tuple]:
+    """Rows of SCHEMA of a whole file."""
+    yield from stream(io.BufferedReader(io.BytesIO(data)), path, hashlib.sha256(data).hexdigest(), sample_id, validate, allow_empty)
+
+
 class _File(InputPartition):
     def __init__(self, path: str):
         super().__init__(path)
@@ -110,7 +130,9 @@ class _Reader(DataSourceReader):
     def read(self, partition: _File) -> Iterator[tuple]:
         flag = lambda name, default: str(self.options.get(name, default)).lower() == "true"
         with open(partition.path, "rb") as file:
-            yield from parse(file.read(), partition.path, self.options.get("sample_id", ""), flag("validate", True), flag("allow_empty", False))
+            digest = hashlib.file_digest(file, "sha256").hexdigest()
+        with open(partition.path, "rb") as file:
+            yield from stream(file, partition.path, digest, self.options.get("sample_id", ""), flag("validate", True), flag("allow_empty", False))
 
 
 class FastqDataSource(DataSource):
@@ -125,24 +147,179 @@ class FastqDataSource(DataSource):
         return _Reader(dict(self.options))
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """The files a path or pattern names, one folder deep."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    out = []
+    for found in store.globStatus(where) or ():
+        every = store.listStatus(found.getPath()) if found.isDirectory() else [found]
+        out += [f.getPath().toString() for f in every if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    if not out:
+        raise FileNotFoundError(path)
+    return sorted(out)
+
+
+def file_digests(spark: SparkSession, files: list[str], threads: int = 8) -> dict[str, tuple[str, bytes]]:
+    """SHA-256 and first two bytes of each file, read as streams in the JVM."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+
+    def one(name: str) -> tuple[str, bytes]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(name)
+        store = where.getFileSystem(conf)
+        begin = store.open(where)
+        first = bytes(b for b in (begin.read(), begin.read()) if b >= 0)
+        begin.close()
+        data = store.open(where)
+        try:
+            return spark._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(data), first
+        finally:
+            data.close()
+
+    with ThreadPoolExecutor(threads) as pool:
+        return dict(zip(files, pool.map(one, files), strict=True))
+
+
+PIECE = "file string, record bigint, line int, value string"
+NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
+
+
+def _batches(rows: Iterator[tuple], size: int = 5_000) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) == size:
+            yield _batch(held)
+            held = []
+    if held:
+        yield _batch(held)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if n == "record_index" else pa.string()) for n, c in zip(NAMES, columns, strict=True)], NAMES)
+
+
 def fastq_files(spark: SparkSession, path: str, sample_id: str = "", validate: bool = True, allow_empty: bool = False) -> DataFrame:
-    """The same rows through Spark's own file reader, so any store that Spark opens will do."""
-
-    def rows(batches):
-        import pandas as pd
-
-        names = [c.split()[0] for c in SCHEMA.split(", ")]
-        for pdf in batches:
-            for name, data in zip(pdf["path"], pdf["content"], strict=True):
-                held = []
-                for row in parse(bytes(data), name, sample_id, validate, allow_empty):
-                    held.append(row)
-                    if len(held) == 20_000:
-                        yield pd.DataFrame(held, columns=names)
-                        held = []
-                yield pd.DataFrame(held, columns=names)
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(rows, SCHEMA)
+    """Rows of SCHEMA of all files, in memory that does not grow with a file."""
+    files = listed(spark, path)
+    known = file_digests(spark, files)
+    for name, (_, first) in known.items():
+        if name.endswith(".gz") and first != GZIP_MAGIC and first:
+            raise FastqError(name, 0, "named .gz but not compressed")
+    odd = [n for n, (_, first) in known.items() if first == GZIP_MAGIC and not n.endswith(".gz")]
+    plain = [n for n in files if n not in odd]
+    out = None
+    if plain:
+        out = _by_lines(spark, plain, {n: known[n][0] for n in plain}, sample_id, validate, allow_empty)
+    if odd:  # Spark tells compression by names only: these go through whole
+        more = _whole(spark, odd, sample_id, validate, allow_empty)
+        out = more if out is None else out.unionByName(more)
+    return out
+
+
+def _whole(spark: SparkSession, files: list[str], sample_id: str, validate: bool, allow_empty: bool) -> DataFrame:
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, data in zip(batch.column("path"), batch.column("content"), strict=True):
+                yield from _batches(parse(data.as_py(), name.as_py(), sample_id, validate, allow_empty))
+
+    return spark.read.format("binaryFile").load(files).select("path", "content").mapInArrow(kernel, SCHEMA)
+
+
+def _by_lines(spark: SparkSession, files: list[str], digests: dict[str, str], sample_id: str, validate: bool, allow_empty: bool) -> DataFrame:
+    raw = spark.read.option("lineSep", "\n").text(files)
+    meta = raw.metadataColumn("_metadata")
+    lines = raw.select(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), "value")
+    counts = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
+    told = counts.select("file", "block", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"), F.sum("n").over(Window.partitionBy("file")).alias("total")).collect()
+    first = {(r.file, r.block): r.first for r in told}
+    totals = {r.file: r.total for r in told}
+    shared = spark.sparkContext.broadcast((first, totals, {_plain(n): d for n, d in digests.items()}))
+
+    def pieces(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[tuple]:
+        """Records that one split holds whole, or the lines of the others."""
+        first, totals, digests = shared.value
+        at, number, held = None, 0, []
+        for batch in batches:
+            for file, block, value in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "value")), strict=True):
+                if (file, block) != at:
+                    if not whole:
+                        yield from ((at[0], number // 4, (number - len(held) + k) % 4, x) for k, x in enumerate(held))
+                    at, number, held = (file, block), first[file, block], []
+                    lost = -number % 4  # lines of a record that began in the split before
+                line = value[:-1] if value.endswith("\r") else value
+                if lost:
+                    lost -= 1
+                    if not whole:
+                        yield file, number // 4, number % 4, line
+                else:
+                    held.append(line)
+                number += 1
+                if len(held) == 4:
+                    if whole:
+                        yield row_of(held, file, digests[_plain(file)], number // 4 - 1, sample_id, validate, allow_empty)
+                    held = []
+        if held and not whole:
+            yield from ((at[0], number // 4, (number - len(held) + k) % 4, x) for k, x in enumerate(held))
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batches(pieces(batches, True))
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.int64(), pa.int32(), pa.string())
+        rows = list(pieces(batches, False))  # three lines at each end of a split
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["file", "record", "line", "value"])
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            _, _, digests = shared.value
+            for batch in batches:
+                for file, record, own in zip(*(batch.column(c).to_pylist() for c in ("file", "record", "own")), strict=True):
+                    if len(own) < 4:
+                        raise FastqError(file, record, "the record is cut off")
+                    yield row_of([x["value"] for x in own], file, digests[_plain(file)], record, sample_id, validate, allow_empty)
+
+        yield from _batches(rows())
+
+    across = lines.mapInArrow(rest, PIECE).groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("line", "value"))).alias("own"))
+    return lines.mapInArrow(records, SCHEMA).unionByName(across.mapInArrow(joined, SCHEMA))
+
+
+def _plain(name: str) -> str:
+    """A file's name without what stores and listings write differently."""
+    from urllib.parse import unquote
+
+    return unquote(name).replace("file:///", "file:/").removeprefix("file:")
+
+
+def offset_sample(path: str, records: int, seed: int = 0) -> list[tuple[int, bytes]]:
+    """Records at random byte offsets of a plain local file, each taken once, by their places: a quick look whose odds follow
+    the length of records. For a fair sample take reads by a hash of their names."""
+    if records < 1:
+        raise ValueError("a sample has a record or more")
+    size, draw, found = os.path.getsize(path), random.Random(seed), {}
+    with open(path, "rb") as file:
+        for _ in range(max(1_000, 20 * records)):
+            if len(found) == records or not size:
+                break
+            file.seek(draw.randrange(size))
+            if file.tell():
+                file.readline()
+            for _ in range(8):  # to the next header
+                place = file.tell()
+                four = [file.readline() for _ in range(4)]
+                text = [x.decode("ascii", "replace").rstrip("\r\n") for x in four]
+                if not four[0]:
+                    break
+                if all(four) and problem_of([text[0], text[1].upper(), *text[2:]], True, False) is None:
+                    found.setdefault(place, b"".join(four))
+                    break
+                file.seek(place + len(four[0]))
+    if len(found) < records:
+        raise ValueError(f"{path}: only {len(found)} records were found")
+    return sorted(found.items())
 
 
 def first_records(reads: DataFrame, n: int) -> DataFrame:

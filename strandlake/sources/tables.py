@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..errors import StrandlakeError
 from ..functions.dna import IUPAC, circular_region
 
 
-class TableError(ValueError):
+class TableError(StrandlakeError, ValueError):
     """A table that breaks its own rules."""
 
 
