@@ -29,7 +29,7 @@ def stable_rank(uid: Column, group: Column, seed: int) -> Column:
 
 def safe_name(name: Column, longest: int = 56) -> Column:
     """A name for files: other characters become _, long ones end in a digest."""
-    clean = F.trim(F.regexp_replace(name, "[^A-Za-z0-9._-]+", "_"), F.lit("._"))
+    clean = F.trim(F.regexp_replace(name, "[^A-Za-z0-9._-]+", "_"), F.lit("._-"))
     clean = F.when(clean == "", "unnamed").otherwise(clean)
     short = F.concat(F.substring(clean, 1, longest - 9), F.lit("~"), F.substring(F.sha2(name, 256), 1, 8))
     return F.when(F.length(clean) > longest, short).otherwise(clean)

@@ -174,7 +174,11 @@ def projected(query: str, reference: str, gap: str = "-") -> list[str]:
 
 
 def place(query: str, reference: str) -> dict:
-    """The shorter sequence inside the longer one: distance, identity, coverages and spans (ends exclusive)."""
+    """The shorter sequence inside the longer one: distance, identity, coverages and spans (ends exclusive).
+
+    An empty side matches nothing: the other one's length in edits, no identity, no coverage."""
+    if not query or not reference:
+        return {"edit_distance": len(query) + len(reference), "identity": 0.0, "query_coverage": 0.0, "reference_coverage": 0.0, "query_start": 0, "query_end": 0, "reference_start": 0, "reference_end": 0}
     inner, outer = (query, reference) if len(query) <= len(reference) else (reference, query)
     distance, start, end = first_location(inner, outer) or (len(inner), 0, -1)
     inside, whole = (start, end + 1), (0, len(inner))

@@ -9,7 +9,6 @@ references. Each pair of read and reference is aligned once.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,8 +16,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import shared_folder
 from . import kmers
 from .alignment import place
+from .flanks import Flanks
+from .motifs import MotifPair
 
 GEOMETRY = "edit_distance int, identity double, query_coverage double, reference_coverage double, query_start int, query_end int, reference_start int, reference_end int"
 _FIELDS = [(f.split()[0], {"int": pa.int32(), "double": pa.float64()}[f.split()[1]]) for f in GEOMETRY.split(", ")]
@@ -74,10 +76,10 @@ def aligned(pairs: DataFrame) -> DataFrame:
 
 
 def checkpointed(df: DataFrame, name: str) -> DataFrame:
-    """A checkpoint in the folder the cluster names, or in one of our own where it names none."""
+    """A checkpoint in the folder the cluster names; in one of our own only where it names none and all runs in one process."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandlake-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -131,6 +133,55 @@ def route_plates(reads: DataFrame, routes: DataFrame, libraries: list[str], plat
     return joined.withColumn("routing", F.when(F.col("library_id").isNull(), "unmapped_reference_library").otherwise("routed"))
 
 
+@dataclass(frozen=True)
+class InsertFinder:
+    """The insert of a read that may span its constant regions: between its own boundaries, else by offset between the primers."""
+
+    inner: MotifPair
+    outer: MotifPair
+    head: int
+    tail: int
+
+    @classmethod
+    def of(cls, flanks: Flanks, max_edits: int) -> InsertFinder:
+        left, right = flanks.inner
+        return cls(MotifPair(*flanks.insert_anchors, max_edits), MotifPair(*flanks.anchors, max_edits), len(left), len(right))
+
+    def insert_of(self, read: str) -> str | None:
+        own = self.inner.extract(read)
+        if own["status"] == "found" and own["insert"]:
+            return own["insert"]
+        region = self.outer.extract(read)
+        if region["status"] != "found" or len(region["insert"] or "") <= self.head + self.tail:
+            return None
+        return region["insert"][self.head : len(region["insert"]) - self.tail]
+
+
+def with_inserts(reads: DataFrame, finders: dict[str, InsertFinder], seq: str = "sequence", name: str = "own_insert") -> DataFrame:
+    """reads (with library_id) and the insert that their library's finder tells; null for other libraries and where none is found."""
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in reads.schema.fields)}, `{name}` string"
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [finders[lib].insert_of(s) if s and lib in finders else None for s, lib in zip(batch.column(seq).to_pylist(), batch.column("library_id").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, name])
+
+    return reads.mapInArrow(kernel, schema)
+
+
+def insert_geometry(reads: DataFrame, insert: str = "own_insert", reference: str = "reference_insert") -> DataFrame:
+    """reads with insert_identity and insert_query_coverage of two columns; null where either is missing."""
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in reads.schema.fields)}, insert_identity double, insert_query_coverage double"
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [place(q, r) if q and r else None for q, r in zip(batch.column(insert).to_pylist(), batch.column(reference).to_pylist(), strict=True)]
+            columns = [pa.array([t[n] if t else None for t in told], pa.float64()) for n in ("identity", "query_coverage")]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "insert_identity", "insert_query_coverage"])
+
+    return reads.mapInArrow(kernel, schema)
+
+
 def insert_gate(identity: Column, coverage: Column, min_identity: float, min_coverage: float, status: Column) -> Column:
     """insert_mismatch where an assigned read's insert is too far from its reference's; unknown inserts pass."""
     bad = (identity < min_identity) | (coverage < min_coverage)

@@ -75,7 +75,9 @@ def group_chimeras(reads: DataFrame, keys: list[str], min_depth: int = 6, patter
     sizes = mosaic.groupBy(*keys, "signature").agg(F.count(F.lit(1)).alias("size"), F.array_sort(F.collect_list("read_uid")).alias("read_uids")).where(F.col("size") >= min_depth)
     counted = mosaic.select(*keys, "signature", F.explode("junctions").alias("junction_window")).groupBy(*keys, "signature", "junction_window").count()
     modal = counted.groupBy(*keys, "signature").agg(F.min(F.struct((-F.col("count")).alias("minus"), "junction_window")).alias("m")).select(*keys, "signature", "m.junction_window")
-    return sizes.join(modal, [*keys, "signature"], "left").withColumn("origin", origin(F.col("signature"), pattern))
+    order = Window.partitionBy(*keys).orderBy(F.col("size").desc(), "signature") if keys else None
+    told = sizes.join(modal, [*keys, "signature"], "left").withColumn("origin", origin(F.col("signature"), pattern))
+    return told.withColumn("rank", F.row_number().over(order)) if keys else told
 
 
 def outcomes(reads: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:

@@ -28,6 +28,52 @@ def ranked_outcome(rank: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, OUTCOMES)), rank.cast("int"))
 
 
+#: A permutation test counts by so many bits of a hash before it sorts.
+HASH_BITS = 12
+
+# What a clone with a sequence is called.
+BUILT = ("consensus_pass", "mixed_variants")
+
+
+def built_clones(clones: DataFrame) -> DataFrame:
+    """Clones whose status says that they have a sequence."""
+    return clones.where(F.col("status").isin(*BUILT))
+
+
+def library_set(clones: DataFrame, plate: str, prefix: str, encodings: list[str]) -> DataFrame:
+    """Clones of one barcode whose culture plate has a prefix and whose encoding is listed."""
+    return clones.where((F.col("plate_id") == plate) & F.coalesce("culture_plate", F.lit("")).startswith(prefix) & F.col("encoding").isin(*encodings))
+
+
+def with_sequences(calls: DataFrame, records: DataFrame, key: str = "consensus_id") -> DataFrame:
+    """calls with the sequence of the record (name, sequence) they name, empty where there is none."""
+    one = records.groupBy(F.col("name").alias(key)).agg(F.min("sequence").alias("sequence"))
+    return calls.join(one, key, "left").withColumn("sequence", F.coalesce("sequence", F.lit("")))
+
+
+def with_insert_outcomes(clones: DataFrame, outcomes: DataFrame, digests: DataFrame, key: str = "consensus_id") -> DataFrame:
+    """clones with the outcome of their insert (null if not told) and an identity: the sequence's digest, else the name."""
+    told = clones.join(outcomes.select(key, "insert_class"), key, "left").join(digests.select(key, "sequence_sha256"), key, "left")
+    return told.withColumn("sequence_id", F.coalesce(F.nullif(F.col("sequence_sha256"), F.lit("")), F.col(key))).drop("sequence_sha256")
+
+
+def partner_support(contested: DataFrame, pairs: DataFrame, votes: DataFrame) -> DataFrame:
+    """Contested alleles and what the well's other barcode reads there.
+
+    contested: plate_id, culture_plate, well_id, design, position, minor. pairs: culture_plate, well_id, plate_a, plate_b.
+    votes: plate_id, well_id, design, position, allele, n (every place of a group that has reads). Depth, reads and share of the
+    minor allele; no reads where the partner has no such group."""
+    known = pairs.select("culture_plate", "well_id", F.col("plate_a").alias("plate_id"), F.col("plate_b").alias("partner_plate"))
+    there = contested.join(known, ["culture_plate", "well_id", "plate_id"])
+    groups = votes.select(F.col("plate_id").alias("partner_plate"), "well_id", "design").distinct().withColumn("_has", F.lit(True))
+    counted = votes.groupBy(F.col("plate_id").alias("partner_plate"), "well_id", "design", "position").agg(F.sum("n").alias("partner_depth"), F.map_from_entries(F.collect_list(F.struct("allele", "n"))).alias("partner_counts"))
+    told = there.join(groups, ["partner_plate", "well_id", "design"], "left").join(counted, ["partner_plate", "well_id", "design", "position"], "left")
+    reads = F.when(F.col("_has"), F.coalesce(F.try_element_at("partner_counts", F.col("minor")), F.lit(0)))
+    depth = F.when(F.col("_has"), F.coalesce("partner_depth", F.lit(0)))
+    share = F.when(depth > 0, reads / depth)
+    return told.withColumns({"partner_depth": depth, "partner_minor_reads": reads, "partner_minor_fraction": share, "partner_status": F.when(F.col("_has"), "ok").otherwise("no reads")}).drop("_has")
+
+
 # Replicates
 
 
@@ -196,12 +242,23 @@ def gain_decomposition(sampled_a: Column, sampled_union: Column, ever_a: Column,
 def permutation_test(rows: DataFrame, value: str, label: str, trials: int, seed: int) -> DataFrame:
     """One-sided p of the difference in means (label true less label false) when labels are dealt anew.
 
-    The rows are repeated once for each trial and dealt by a hash order."""
-    with_sizes = rows.select(F.col(value).cast("double").alias("v"), F.col(label).alias("l")).withColumn("i", F.monotonically_increasing_id())
-    ones = rows.agg(F.count_if(F.col(label)).alias("ones"), (F.avg(F.when(F.col(label), F.col(value))) - F.avg(F.when(~F.col(label), F.col(value)))).alias("observed"))
-    dealt = with_sizes.withColumn("trial", F.explode(F.sequence(F.lit(1), F.lit(trials))))
-    place = F.row_number().over(Window.partitionBy("trial").orderBy(F.xxhash64("trial", "i", F.lit(seed)), "i"))
-    told = dealt.withColumn("place", place).join(F.broadcast(ones))
-    took = F.col("place") <= F.col("ones")
-    each = told.groupBy("trial").agg((F.avg(F.when(took, F.col("v"))) - F.avg(F.when(~took, F.col("v")))).alias("difference"), F.first("observed").alias("observed"))
-    return each.agg(F.first("observed").alias("observed"), ((F.count_if(F.col("difference") >= F.col("observed") - 1e-12) + 1) / (F.count(F.lit(1)) + 1)).alias("p"))
+    The rows are repeated once for each trial and dealt by a hash order: counted by ranges of the hash, only the one range in
+    which the labels run out is sorted. Rows are told apart by their values and a number among equal ones."""
+    own = rows.select(F.col(value).cast("double").alias("v"), F.col(label).cast("boolean").alias("l"))
+    ones = own.agg(F.count_if("l").alias("ones"), (F.avg(F.when(F.col("l"), F.col("v"))) - F.avg(F.when(~F.col("l"), F.col("v")))).alias("observed"))
+    # equal rows are one with a count until they are dealt
+    counted = own.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    single = counted.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).select("v", "i")
+    dealt = single.withColumn("trial", F.explode(F.sequence(F.lit(1), F.lit(trials)))).withColumn("h", F.xxhash64("trial", "v", "i", F.lit(seed)))
+    dealt = dealt.withColumn("bucket", F.shiftright("h", 64 - HASH_BITS))
+    sums = dealt.groupBy("trial", "bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("sum"))
+    order = Window.partitionBy("trial").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # 2 ** HASH_BITS rows
+    placed = sums.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0))).join(F.broadcast(ones.select("ones")))
+    whole = placed.where(F.col("before") + F.col("n") <= F.col("ones")).groupBy("trial").agg(F.sum("n").alias("taken"), F.sum("sum").alias("sum"))
+    split = placed.where((F.col("before") < F.col("ones")) & (F.col("before") + F.col("n") > F.col("ones"))).select("trial", "bucket", (F.col("ones") - F.col("before")).alias("room"))
+    inside = dealt.join(F.broadcast(split), ["trial", "bucket"]).withColumn("place", F.row_number().over(Window.partitionBy("trial").orderBy("h", "v", "i")))
+    part = inside.where(F.col("place") <= F.col("room")).groupBy("trial").agg(F.count(F.lit(1)).alias("taken"), F.sum("v").alias("sum"))
+    took = whole.unionByName(part).groupBy("trial").agg(F.sum("taken").alias("taken"), F.sum("sum").alias("sum"))
+    total = own.agg(F.count("v").alias("all_n"), F.sum("v").alias("all_sum"))
+    each = took.join(F.broadcast(total)).join(F.broadcast(ones)).withColumn("difference", F.col("sum") / F.col("taken") - (F.col("all_sum") - F.col("sum")) / (F.col("all_n") - F.col("taken")))
+    return each.agg(F.first("observed").alias("observed"), ((F.count_if(F.col("difference") >= F.col("observed") - 1e-12) + 1) / (F.lit(trials) + 1)).alias("p"))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.reads import stable_rank
 from ..functions.statistics import binomial_upper_tail
 from .alignment import global_path
+from .kmers import joined_small
 
 LOW_RATE, HIGH_RATE = 0.002, 0.25
 
@@ -48,13 +49,15 @@ def group_reads(reads: DataFrame, claimed: DataFrame | None = None) -> DataFrame
 
 
 def select_reads(reads: DataFrame, most: int, seed: int = 0) -> DataFrame:
-    """The first most reads of each group by a hash of their names (0: all), with selection_rank; a repeated name raises."""
-    own = Window.partitionBy("group_id")
-    rank = F.row_number().over(own.orderBy(stable_rank(F.col("read_uid"), F.col("group_id"), seed), "read_uid"))
-    twice = F.count(F.lit(1)).over(Window.partitionBy("group_id", "read_uid")) > 1
-    sound = F.when(twice, F.raise_error(F.lit("a read occurs twice in a group"))).otherwise(F.lit(True))
-    ranked = reads.withColumns({"selection_rank": rank, "_sound": sound}).where("_sound").drop("_sound")
-    return ranked.where(F.col("selection_rank") <= most) if most else ranked
+    """The first most reads of each group by a hash of their names (0: all), with selection_rank; a repeated name raises.
+
+    Names alone are ranked; the sequences meet the chosen names."""
+    named = reads.groupBy("group_id", "read_uid").agg(F.count(F.lit(1)).alias("_n"))
+    sound = F.when(F.col("_n") > 1, F.raise_error(F.lit("a read occurs twice in a group"))).otherwise(F.lit(True))
+    order = Window.partitionBy("group_id").orderBy(stable_rank(F.col("read_uid"), F.col("group_id"), seed), "read_uid")
+    ranked = named.where(sound).select("group_id", "read_uid", F.row_number().over(order).alias("selection_rank"))
+    chosen = ranked.where(F.col("selection_rank") <= most) if most else ranked
+    return joined_small(reads, chosen, ["group_id", "read_uid"])
 
 
 def observations(reads: DataFrame, min_quality: int) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dna import is_sequence, reverse_complement as revcomp_column
-from .alignment import LANE_BITS, Lanes, infix_distance, infix_start, reverse_complement
+from .alignment import LANE_BITS, Lanes, global_distance, infix_distance, infix_start, reverse_complement
 
 POLICIES = ("best_margin", "legacy_unique_threshold", "legacy_unique_best")
 PANEL_LIMIT = 20_000
@@ -254,14 +254,21 @@ def demux_index(calls: DataFrame) -> DataFrame:
 
 
 def unsafe_pairs(panel: DataFrame, max_edits: int, min_margin: int, both_strands: bool = True) -> DataFrame:
-    """Pairs of barcodes (and of their reverse complements) closer than 2 max_edits + min_margin."""
+    """Pairs of barcodes (and of their reverse complements) closer than 2 max_edits + min_margin, by symbols that share a base."""
     forms = panel.select("barcode_id", "sequence", F.lit("barcode").alias("strand"))
     if both_strands:
         forms = forms.union(panel.select("barcode_id", revcomp_column(F.col("sequence")).alias("sequence"), F.lit("reverse").alias("strand")))
     left = forms.where("strand = 'barcode'").select(F.col("barcode_id").alias("a"), F.col("sequence").alias("sa"))
     right = forms.select(F.col("barcode_id").alias("b"), F.col("sequence").alias("sb"), "strand")
-    near = F.levenshtein("sa", "sb")
-    return left.join(F.broadcast(right) if panel.count() <= PANEL_LIMIT else right, (F.col("a") < F.col("b")) & (near < 2 * max_edits + min_margin)).select("a", "b", "strand", near.alias("distance"))
+    pairs = left.join(F.broadcast(right) if panel.count() <= PANEL_LIMIT else right, F.col("a") < F.col("b"))
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [global_distance(x, y, True) for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "strand")), pa.array(near, pa.int32())], ["a", "b", "strand", "distance"])
+
+    told = pairs.mapInArrow(kernel, "a string, b string, strand string, distance int")
+    return told.where(F.col("distance") < 2 * max_edits + min_margin)
 
 
 def best_and_margin(scored: DataFrame, keys: list[str], owner: str, distance: str) -> DataFrame:

@@ -7,6 +7,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from os.path import commonprefix
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from .alignment import infix_locations, reverse_complement
 
 ANCHOR = 20
@@ -46,6 +49,27 @@ class Flanks:
                 raise ValueError("the sequence already has its constant regions")
         return left + sequence + right
 
+    @property
+    def insert_anchors(self) -> tuple[str, str]:
+        """The inner ends of the constant regions, which bound the insert."""
+        left, right = self.inner
+        if not left or not right:
+            raise ValueError("no constant region is left inside the anchors")
+        return left[-self.anchor_length :], right[: self.anchor_length]
+
+    def column(self, seq: Column) -> Column:
+        """transform for a column of sequences."""
+        n = F.length(seq)
+        if self.in_references:
+            cut = F.substring(seq, F.lit(self.anchor_length + 1), n - 2 * self.anchor_length)
+            return F.when(n > 2 * self.anchor_length, cut).otherwise(F.raise_error(F.lit("a reference is shorter than its anchors")))
+        left, right = self.inner
+        twice = F.lit(False)
+        for a, b in ((left, right), (self.upstream, self.downstream)):
+            if a and b:
+                twice = twice | (seq.startswith(a) & seq.endswith(b))
+        return F.when(twice, F.raise_error(F.lit("a sequence already has its constant regions"))).otherwise(F.concat(F.lit(left), seq, F.lit(right)))
+
     def insert_span(self, length: int) -> tuple[int, int]:
         left, right = self.inner
         return len(left), length - len(right)
@@ -53,9 +77,11 @@ class Flanks:
 
 def from_template(template: str, inserts: list[str], anchor_length: int = ANCHOR, min_identity: float = 0.90) -> tuple[Flanks, str]:
     """Flanks around the insert that fits an example construct best, on either strand; and that insert."""
+    if len(inserts) > LIBRARY_LIMIT:
+        raise ValueError(f"a template is compared with at most {LIBRARY_LIMIT} inserts")
     tried = []
     for text in (template, reverse_complement(template)):
-        for insert in inserts[:LIBRARY_LIMIT]:
+        for insert in inserts:
             if insert and len(insert) <= len(text):
                 d, spans = infix_locations(insert, text, iupac=False)
                 if spans:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dna import excisions
+from .alignment import global_path
 
 OVERHANG = 4
 MAX_SLOTS = 64
@@ -97,6 +98,60 @@ def slot_owners(parts: DataFrame, pieces: DataFrame) -> DataFrame:
     return scored.withColumns({"rank": F.row_number().over(order), "next": F.lead("identity").over(order)}).where("rank = 1").select("uid", "block", "slot", "owner", "identity", (F.col("identity") - F.coalesce("next", F.lit(0.0))).alias("margin"))
 
 
+def common_owners(owners: DataFrame) -> DataFrame:
+    """uid and the designs that own every slot of a read, for owners of (uid, slot, owner) with several owners a slot."""
+    slots = owners.groupBy("uid").agg(F.count_distinct("slot").alias("slots"))
+    held = owners.groupBy("uid", "owner").agg(F.count_distinct("slot").alias("held")).join(slots, "uid").where("held = slots")
+    every = held.groupBy("uid").agg(F.array_sort(F.collect_list("owner")).alias("common"))
+    return slots.join(every, "uid", "left").select("uid", F.coalesce("common", F.array().cast("array<string>")).alias("common"))
+
+
+def donor_pairs(owners: DataFrame, chimeric: DataFrame, most: int = 8) -> DataFrame:
+    """The most frequent pairs of first and last slot's owner (the smallest of several) among chimeric reads, and their reads."""
+    ends = owners.join(chimeric.select("uid"), "uid", "left_semi").groupBy("uid").agg(F.min(F.struct("slot", "owner"))["owner"].alias("left"), F.min(F.struct((-F.col("slot")).alias("minus"), "owner"))["owner"].alias("right"))
+    return ends.groupBy("left", "right").agg(F.count(F.lit(1)).alias("reads")).orderBy(F.desc("reads"), "left", "right").limit(most)
+
+
+def library_summary(designs: DataFrame) -> DataFrame:
+    """Genes, blocks, pieces and genes of one piece of a design table (gene_id, block, oligos), in one row."""
+    n = F.size(F.coalesce("oligos", F.array().cast("array<string>")))
+    return designs.agg(F.count_distinct("gene_id").alias("genes"), F.count_distinct("block").alias("blocks"), F.sum(n).alias("fragments"), F.count_if(n == 1).alias("single_fragment_genes"), F.max(n).alias("most_fragments"))
+
+
+def project_spans(query: str, design: str, spans: list[tuple[int, int]]) -> list[str]:
+    """What of a query lies on each span of its design; inserted bases belong to the span of the next base."""
+    out, at = [""] * len(spans), 0
+    where = lambda k: next((i for i, (a, b) in enumerate(spans) if a <= k < b), None)
+    qi = 0
+    for op, n in global_path(query, design):
+        for _ in range(n):
+            if op != "D":
+                i = where(min(at, len(design) - 1))
+                if i is not None:
+                    out[i] += query[qi]
+                qi += 1
+            at += op != "I"
+    return out
+
+
+def read_parts(reads: DataFrame, genes: DataFrame) -> DataFrame:
+    """uid, block, slot, part of every piece of the design each read is anchored by; a part shorter than half its piece is left out.
+
+    reads: uid, gene_id, query. genes: gene_id, block, sequence, pieces (slot, start, end)."""
+    both = reads.join(genes.select("gene_id", "block", "sequence", F.transform(F.array_sort("pieces"), lambda p: F.struct(p["slot"].alias("slot"), p["start"].alias("start"), p["end"].alias("end"))).alias("pieces")), "gene_id")
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for uid, block, query, design, pieces in zip(*(batch.column(c).to_pylist() for c in ("uid", "block", "query", "sequence", "pieces")), strict=True):
+                parts = project_spans(query or "", design, [(p["start"], p["end"]) for p in pieces]) if design else []
+                rows += [(uid, block, p["slot"], part) for p, part in zip(pieces, parts, strict=False) if 2 * len(part) >= p["end"] - p["start"]]
+            kinds = (pa.string(), pa.string(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["uid", "block", "slot", "part"])
+
+    return both.select("uid", "block", "query", "sequence", "pieces").mapInArrow(kernel, "uid string, block string, slot int, part string")
+
+
 def assembly_outcome(owners: DataFrame, slots: DataFrame, min_identity: float = 0.9, min_margin: float = 0.02) -> DataFrame:
     """intact: one design owns all slots; chimeric: several; missing: a slot has no part; unresolved: an owner is unsure."""
     sure = (F.col("identity") >= min_identity) & (F.col("margin") >= min_margin)
