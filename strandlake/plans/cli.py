@@ -1,16 +1,43 @@
-"""Command line: run a configuration, check one, or describe the environment.
+"""Command line.
 
-    python -m strandlake run CONFIG FOLDER | validate CONFIG | doctor
+    python -m strandlake run CONFIG FOLDER [--demux-only]       # FASTQ to graded clones
+    python -m strandlake rerun CONFIG FOLDER --source FOLDER --from STAGE
+    python -m strandlake validate CONFIG                         # problems that a run would meet
+    python -m strandlake layout CONFIG [--export FOLDER]         # the pooling layout as it is read
+    python -m strandlake subsample INPUT OUTPUT --reads N [--anywhere SEED]
+    python -m strandlake init FOLDER                             # a configuration to start from
+    python -m strandlake doctor                                  # versions
 """
 
 from __future__ import annotations
 
 import argparse
+import dataclasses
+import gzip
 import json
 import platform
 import sys
+from pathlib import Path
 
-from .config import ConfigError, load_config
+from ..errors import StrandlakeError
+from .config import PRESETS, load_config
+
+EXAMPLE = """schema_version: 1
+run_name: example
+preset: inserts            # {presets}
+inputs:
+  - path: ${{READS}}/reads.fastq.gz
+    sample_id: sample
+libraries:
+  library: references.fasta
+plates: {{P1: AAAACCCCGGGG, P2: CCAATTGGAACC}}
+wells: {{A1: ACGTACGTAACC, B1: TGCATGCATTGG}}
+motifs: {{left: GATTACAGATT, right: CCGGAATTCCG}}
+# layout: layout.csv       # plate_barcode,culture_plate,library,block,clonality
+# flanks: {{library: {{derive: true, insert_thresholds: true}}}}
+# chimera: {{min_depth: 6}}
+export: true
+"""
 
 
 def doctor() -> dict:
@@ -42,33 +69,117 @@ def validate(spark, config) -> list[dict]:
     return found
 
 
+def subsample(source: str, target: str, reads: int, anywhere: int | None = None) -> int:
+    """The first records of a local file, or records at random byte offsets of a plain one; returns how many were written."""
+    from ..sources import fastq
+
+    if Path(target).exists():
+        raise ConfigExists(f"{target} is there already")
+    if anywhere is not None:
+        text = b"".join(body for _, body in fastq.offset_sample(source, reads, anywhere))
+        n = reads
+    else:
+        lines, n = [], 0
+        with open(source, "rb") as raw:
+            for row in fastq.stream(raw, source, "0" * 64, allow_empty=True):
+                lines.append(f"@{row[2]}\n{row[3]}\n+\n{row[4]}\n")
+                n += 1
+                if n == reads:
+                    break
+        text = "".join(lines).encode()
+    with (gzip.open if target.endswith(".gz") else open)(target, "wb") as out:
+        out.write(text)
+    return n
+
+
+class ConfigExists(StrandlakeError):
+    """A file that would be overwritten."""
+
+
+def init(folder: str) -> Path:
+    """An example configuration in a folder; one that is there is left alone."""
+    path = Path(folder) / "config.yaml"
+    if path.exists():
+        raise ConfigExists(f"{path} is there already")
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(EXAMPLE.format(presets=", ".join(sorted(PRESETS))), "utf-8")
+    return path
+
+
+def layout(spark, config, export: str | None = None) -> list[dict]:
+    """The rows of a configuration's pooling layout; with export also as CSV."""
+    from ..sources.tables import read_layout
+
+    if config.layout is None:
+        raise StrandlakeError("the configuration names no layout")
+    rows = read_layout(spark, config.layout)
+    if export:
+        rows.orderBy("plate_id", "culture_plate", "library_id", "block").coalesce(1).write.option("header", True).csv(export)
+    return [r.asDict() for r in rows.orderBy("plate_id", "culture_plate", "library_id", "block").toLocalIterator()]
+
+
+def parser() -> argparse.ArgumentParser:
+    top = argparse.ArgumentParser(prog="strandlake", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    commands = top.add_subparsers(dest="command", required=True)
+
+    def command(name: str, *positional: str) -> argparse.ArgumentParser:
+        own = commands.add_parser(name)
+        for p in positional:
+            own.add_argument(p)
+        return own
+
+    command("run", "config", "folder").add_argument("--demux-only", action="store_true")
+    again = command("rerun", "config", "folder")
+    again.add_argument("--source", required=True)
+    again.add_argument("--from", dest="stage", required=True)
+    command("validate", "config")
+    command("layout", "config").add_argument("--export")
+    sample = command("subsample", "input", "output")
+    sample.add_argument("--reads", type=int, required=True)
+    sample.add_argument("--anywhere", type=int)
+    command("init", "folder")
+    command("doctor")
+    return top
+
+
 def main(arguments: list[str] | None = None) -> int:
-    parser = argparse.ArgumentParser(prog="strandlake", description=__doc__)
-    commands = parser.add_subparsers(dest="command", required=True)
-    run = commands.add_parser("run")
-    run.add_argument("config")
-    run.add_argument("folder")
-    commands.add_parser("validate").add_argument("config")
-    commands.add_parser("doctor")
-    given = parser.parse_args(arguments)
+    given = parser().parse_args(arguments)
+    try:
+        return _run(given)
+    except (StrandlakeError, OSError) as error:
+        print(f"error: {error}", file=sys.stderr)
+        return 2
+
+
+def _run(given: argparse.Namespace) -> int:
     if given.command == "doctor":
         print(json.dumps(doctor(), indent=1))
         return 0
-    try:
-        config = load_config(given.config)
-    except (ConfigError, OSError) as error:
-        print(error, file=sys.stderr)
-        return 2
+    if given.command == "init":
+        print(init(given.folder))
+        return 0
+    if given.command == "subsample":
+        print(subsample(given.input, given.output, given.reads, given.anywhere))
+        return 0
+    config = load_config(given.config)
+    if getattr(given, "demux_only", False):
+        config = dataclasses.replace(config, demux_only=True)
     from pyspark.sql import SparkSession
 
+    from . import amplicon
+
     spark = SparkSession.builder.appName("strandlake").getOrCreate()
+    if given.command == "layout":
+        print(json.dumps(layout(spark, config, given.export), indent=1))
+        return 0
     problems = validate(spark, config)
     print(json.dumps({"problems": problems}, indent=1))
     if problems or given.command == "validate":
         return int(bool(problems))
-    from . import amplicon
-
-    out = amplicon.run(spark, config, given.folder)
+    if given.command == "rerun":
+        out = amplicon.run(spark, config, given.folder, given.source, given.stage)
+    else:
+        out = amplicon.run(spark, config, given.folder)
     if "grades" in out:
         print(json.dumps([r.asDict() for r in out["grades"].orderBy("plate_id", "grade").collect()], indent=1))
     return 0

@@ -71,24 +71,27 @@ def consensus_path(spark, sf):
 
 @query("cluster_reads")
 def cluster_reads(spark, sf):
-    r = views.reads(spark, sf).where(F.length("sequence") >= 80)
-    wells = r.select(F.concat_ws(":", "plate_id", "well_id").alias("well_id"), F.col("doc_id").cast("string").alias("read_uid"), F.substring("sequence", 1, 80).alias("sequence"))
+    """Clusters of the whole reads of each language, source and length class."""
+    r = views.reads(spark, sf).where(F.length("sequence") > 0)
+    wells = r.select(F.concat_ws(":", "plate_id", "well_id", (F.length("sequence") % 11).cast("string")).alias("well_id"), F.col("doc_id").cast("string").alias("read_uid"), "sequence")
     return clustering.cluster_reads(wells)
 
 
 # Judgement
 
 
-@query("qc_metrics", views.with_views("""x AS (SELECT doc_id, substr(r.sequence, 1, 200) AS q, substr(f.sequence, 1, 200) AS s FROM reads r JOIN refs f ON f.ref_id = 'Block_' || (doc_id % 40 % 5) || '_' || (doc_id % 40)),
-m AS (SELECT *, levenshtein(q, s) AS d, greatest(length(q), length(s), 1) AS n FROM x)
-SELECT doc_id, d::BIGINT AS edit_distance, round(1 - d / n, 6) AS identity, round(least(length(q) / greatest(length(s), 1), 1), 6) AS query_coverage, CASE WHEN abs(length(q) - length(s)) <= 10 THEN 'pass' ELSE 'fail' END AS expected_length,
-CASE WHEN length(q) % 3 = 0 THEN 'pass' ELSE 'fail' END AS reading_frame FROM m""", "reads", "refs"))
+@query("qc_metrics", views.with_views("""x AS (SELECT doc_id, r.sequence AS q, f.sequence AS s FROM reads r JOIN refs f ON f.ref_id = 'Block_' || (doc_id % 40 % 5) || '_' || (doc_id % 40)),
+m AS (SELECT *, length(q) > 0 AND length(s) > 0 AS ok, levenshtein(q, s) AS d, greatest(length(q), length(s), 1) AS n FROM x)
+SELECT doc_id, CASE WHEN ok THEN d ELSE -1 END::BIGINT AS edit_distance, round(CASE WHEN ok THEN 1 - d / n ELSE 0 END, 6) AS identity, round(CASE WHEN ok THEN least(length(s) / length(q), 1) ELSE 0 END, 6) AS query_coverage,
+round(CASE WHEN ok THEN least(length(q) / length(s), 1) ELSE 0 END, 6) AS reference_coverage, CASE WHEN abs(length(q) - length(s)) <= 10 THEN 'pass' ELSE 'fail' END AS expected_length,
+CASE WHEN length(q) = 0 THEN 'not_evaluable' WHEN length(q) % 3 = 0 THEN 'pass' ELSE 'fail' END AS reading_frame FROM m""", "reads", "refs"))
 def qc_metrics(spark, sf):
     key = F.concat(F.lit("Block_"), (F.col("doc_id") % 40 % 5).cast("string"), F.lit("_"), (F.col("doc_id") % 40).cast("string"))
-    r = views.reads(spark, sf).select("doc_id", key.alias("ref_id"), F.substring("sequence", 1, 200).alias("sequence"))
-    joined = r.join(views.refs(spark, sf).select("ref_id", F.substring("sequence", 1, 200).alias("reference")), "ref_id")
+    """Whole reads against whole references."""
+    r = views.spread(views.reads(spark, sf)).select("doc_id", key.alias("ref_id"), "sequence")
+    joined = r.join(views.refs(spark, sf).select("ref_id", F.col("sequence").alias("reference")), "ref_id")
     told = qc.evaluate(joined, qc.QcSettings(), "", "")
-    return told.select("doc_id", *_long("edit_distance"), F.round("identity", 6).alias("identity"), F.round("query_coverage", 6).alias("query_coverage"), "expected_length", "reading_frame")
+    return told.select("doc_id", *_long("edit_distance"), F.round("identity", 6).alias("identity"), F.round("query_coverage", 6).alias("query_coverage"), F.round("reference_coverage", 6).alias("reference_coverage"), "expected_length", "reading_frame")
 
 
 STATES = "['pass', 'fail', 'not_evaluable'][({0} % 3 + 1)::INT]"
@@ -172,7 +175,7 @@ def mixed_effect(spark, sf):
     m = _mixed(spark, sf)
     effects = F.transform("mixed", lambda x: qc.protein_effect(F.col("sequence"), x["pos"], x["alleles"], F.lit(6), F.lit(48)))
     flags = F.transform("mixed", lambda x: qc.oxidative(x["ref"], x["alleles"]))
-    return m.select("doc_id", "mixed", F.substring("sequence", 1, 60).alias("sequence")).select("doc_id", qc.worst_effect(effects).alias("effect"), qc.mixed_signature(flags).alias("signature"))
+    return m.select("doc_id", qc.worst_effect(effects).alias("effect"), qc.mixed_signature(flags).alias("signature"))
 
 
 @query("designed_fraction", views.with_views(f"""{MIXED} SELECT doc_id, round(min(CASE WHEN strpos(alleles, ref) = 1 THEN 0.25 WHEN strpos(alleles, ref) = 2 THEN 0.75 ELSE 0 END), 6) AS fraction FROM mp WHERE j > 0 GROUP BY doc_id""", "reads"))
@@ -184,8 +187,9 @@ def designed_fraction(spark, sf):
 @query("split_grades")
 def split_grades(spark, sf):
     key = F.concat(F.lit("Block_"), (F.col("doc_id") % 40 % 5).cast("string"), F.lit("_"), (F.col("doc_id") % 40).cast("string"))
-    r = views.spread(views.reads(spark, sf)).select("doc_id", key.alias("ref_id"), F.substring("sequence", 1, 90).alias("sequence"))
-    joined = r.join(views.refs(spark, sf).select("ref_id", F.substring("sequence", 1, 90).alias("reference")), "ref_id")
+    """Whole reads against whole references whose bases 20 to 70 are the insert."""
+    r = views.spread(views.reads(spark, sf)).select("doc_id", key.alias("ref_id"), "sequence")
+    joined = r.join(views.refs(spark, sf).select("ref_id", F.col("sequence").alias("reference")), "ref_id")
     return qc.split_grades(joined, (20, 70)).drop("sequence", "reference")
 
 
@@ -234,7 +238,7 @@ def chimera_outcomes(spark, sf):
 @query("chimera_windows")
 def chimera_windows(spark, sf):
     r = views.spread(views.reads(spark, sf)).where(F.length("sequence") >= 90)
-    inserts = r.select(F.col("doc_id").cast("string").alias("read_uid"), F.lit("all").alias("library_id"), F.substring("sequence", 1, 900).alias("insert"))
+    inserts = r.select(F.col("doc_id").cast("string").alias("read_uid"), F.lit("all").alias("library_id"), F.col("sequence").alias("insert"))
     from ..operators import kmers
 
     groups = kmers.alias_groups(views.refs(spark, sf).withColumn("library_id", F.lit("all")))
@@ -379,11 +383,17 @@ def rarefaction(spark, sf):
     return cp.rarefaction(w.join(t, "plate_id"), ["plate_id"], "total", [10, 50, 100]).select("plate_id", *_long("drawn"), F.round("expected", 6).alias("expected"))
 
 
-SIDES = f"o AS (SELECT design_key, clone_id % 2 AS side, {OUTCOME} AS outcome FROM clones WHERE kind <> 'chimera' AND clone_id % 3 <> 1), b AS (SELECT side, design_key, min(list_position(['Perfect', 'Screenable', 'Other'], outcome)) AS r FROM o WHERE outcome IS NOT NULL GROUP BY ALL), n AS (SELECT side, design_key, ['Perfect', 'Screenable', 'Other'][r] AS outcome FROM b)"
+#: Designs fine enough that some are found on one side only.
+DESIGN = "'d' || (clone_id % 4001)"
+SIDES = f"o AS (SELECT {DESIGN} AS design_key, clone_id % 2 AS side, {OUTCOME} AS outcome FROM clones WHERE kind <> 'chimera'), b AS (SELECT side, design_key, min(list_position(['Perfect', 'Screenable', 'Other'], outcome)) AS r FROM o WHERE outcome IS NOT NULL GROUP BY ALL), n AS (SELECT side, design_key, ['Perfect', 'Screenable', 'Other'][r] AS outcome FROM b)"
+
+
+def fine_designs(spark, sf):
+    return views.clones(spark, sf).withColumn("design_key", F.concat(F.lit("d"), (F.col("clone_id") % 4001).cast("string")))
 
 
 def _sides(spark, sf):
-    c = views.clones(spark, sf).where("kind <> 'chimera' and clone_id % 3 <> 1")
+    c = fine_designs(spark, sf).where("kind <> 'chimera'")
     return [cp.best_outcomes(c.where(F.col("clone_id") % 2 == s), cp.clone_outcome()) for s in (0, 1)]
 
 
@@ -394,11 +404,11 @@ def encoding_matrix(spark, sf):
     return cp.outcome_matrix(a, b, [*cp.OUTCOMES, "absent"]).withColumn("expected", F.round("expected", 6))
 
 
-@query("structural_sets", views.with_views(f"""{SIDES}, u AS (SELECT DISTINCT design_key FROM clones), f AS (SELECT design_key IN (SELECT design_key FROM n WHERE side = 0) AS a, design_key IN (SELECT design_key FROM n WHERE side = 1) AS b FROM u)
+@query("structural_sets", views.with_views(f"""{SIDES}, u AS (SELECT DISTINCT {DESIGN} AS design_key FROM clones), f AS (SELECT design_key IN (SELECT design_key FROM n WHERE side = 0) AS a, design_key IN (SELECT design_key FROM n WHERE side = 1) AS b FROM u)
 SELECT count(*) FILTER (WHERE a AND NOT b)::BIGINT AS only_a, count(*) FILTER (WHERE b AND NOT a)::BIGINT AS only_b, count(*) FILTER (WHERE a AND b)::BIGINT AS both, count(*) FILTER (WHERE NOT a AND NOT b)::BIGINT AS neither FROM f""", "clones"))
 def structural_sets(spark, sf):
     a, b = _sides(spark, sf)
-    return cp.structural_sets(a, b, views.clones(spark, sf))
+    return cp.structural_sets(a, b, fine_designs(spark, sf))
 
 
 @query("heterogeneity_bands", views.with_views("""c AS (SELECT group_id, pos, allele, CASE WHEN substr(group_id, 2)::INT % 2 = 0 THEN 'l' ELSE 'r' END AS side, substr(group_id, 2)::INT // 2 AS clone, count(*) AS n FROM votes WHERE kind = 'base' GROUP BY ALL),
@@ -440,11 +450,12 @@ def status_counts(spark, sf):
 
 
 def _oligos(spark, sf):
-    """Genes of 60 bases and the two oligos that assemble each: halves with outer overhangs between a site pair."""
+    """Whole reads as genes and the two oligos that assemble each: halves with outer overhangs between a site pair."""
     r = views.reads(spark, sf).where(F.length("sequence") >= 60)
-    gene = F.concat(F.lit("AATT"), F.substring("sequence", 1, 60), F.lit("CCGG"))
+    gene = F.concat(F.lit("AATT"), "sequence", F.lit("CCGG"))
+    half = F.floor(F.length(gene) / 2).cast("int") + 2
     wrap = lambda body: F.concat(F.lit("GGTCTCA"), body, F.lit("TGAGACC"))
-    return r.select(F.col("doc_id").cast("string").alias("gene_id"), F.col("plate_id").alias("block"), F.array(wrap(F.substring(gene, 1, 36)), wrap(F.substring(gene, 33, 36))).alias("oligos"), F.substring("sequence", 1, 60).alias("gene"))
+    return r.select(F.col("doc_id").cast("string").alias("gene_id"), F.col("plate_id").alias("block"), F.array(wrap(F.substring(gene, F.lit(1), half)), wrap(F.substring(gene, half - 3, F.length(gene)))).alias("oligos"), F.col("sequence").alias("gene"))
 
 
 @query("fragment_assembly")
@@ -456,7 +467,8 @@ def fragment_assembly(spark, sf):
 def assembly_errors(spark, sf):
     """Reads made of the first half of one design and the second half of the next are found as chimeric."""
     own = views.table(spark, sf, "benchmark").select(F.col("item_id"), views.encoded(F.col("text")).alias("sequence")).where(F.length("sequence") >= 60)
-    pieces = own.select(F.lit("b").alias("block"), F.col("item_id").cast("string").alias("gene_id"), F.inline(F.array(F.struct(F.lit(0).alias("slot"), F.substring("sequence", 1, 30).alias("sequence")), F.struct(F.lit(1).alias("slot"), F.substring("sequence", 31, 30).alias("sequence")))))
+    half = F.floor(F.length("sequence") / 2).cast("int")
+    pieces = own.select(F.lit("b").alias("block"), F.col("item_id").cast("string").alias("gene_id"), F.inline(F.array(F.struct(F.lit(0).alias("slot"), F.substring(F.col("sequence"), F.lit(1), half).alias("sequence")), F.struct(F.lit(1).alias("slot"), F.substring(F.col("sequence"), half + 1, F.length("sequence")).alias("sequence")))))
     parts = pieces.select(F.concat(F.lit("r"), F.when((F.col("slot") == 1) & (F.col("gene_id").cast("int") % 3 == 0), (F.col("gene_id").cast("int") + 1).cast("string")).otherwise(F.col("gene_id"))).alias("uid"), "block", "slot", F.col("sequence").alias("part")).dropDuplicates(["uid", "slot"])
     owners = fragments.slot_owners(parts, pieces)
     slots = spark.createDataFrame([("b", 2)], "block string, n_slots int")

@@ -7,18 +7,39 @@ import re
 from dataclasses import dataclass, field, fields
 from pathlib import Path
 
+from ..errors import StrandlakeError
 from ..operators.assign import AssignSettings
 from ..operators.chimera import ChimeraSettings
 from ..operators.consensus import ConsensusSettings
 from ..operators.demux import CallSettings, Gates
+from ..operators.flanks import ANCHOR
 from ..operators.motifs import MotifPair
 from ..operators.qc import QcSettings
 
 
-class ConfigError(ValueError):
+class ConfigError(StrandlakeError, ValueError):
     """A configuration that breaks the schema."""
 
 
+@dataclass(frozen=True)
+class FlankSettings:
+    """Where a full-length library's constant regions come from: stated, an example construct, or what its references share."""
+
+    upstream: str | None = None
+    downstream: str | None = None
+    template: str | None = None
+    derive: bool = False
+    anchor_length: int = ANCHOR
+    max_edits: int = 2
+    insert_thresholds: bool = False
+
+    def __post_init__(self) -> None:
+        if (self.upstream is None) != (self.downstream is None) or [self.upstream is not None, self.template is not None, self.derive].count(True) != 1:
+            raise ValueError("flanks are two sequences, or a template, or derived")
+        if self.anchor_length < 1 or self.max_edits < 0:
+            raise ValueError("an anchor has a base or more, edits are not negative")
+
+
 @dataclass(frozen=True)
 class RunConfig:
     """Everything a run depends on."""
@@ -41,6 +62,8 @@ class RunConfig:
     chimera: ChimeraSettings | None = None
     layout: str | None = None
     block_pattern: str = r"^Block_(\d+)_"
+    flanks: dict[str, FlankSettings] = field(default_factory=dict)
+    export: bool = False
 
 
 NAME = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_]*)\}")
@@ -55,7 +78,20 @@ SECTIONS = {
     "plate_call": (CallSettings, {f.name for f in fields(CallSettings)}),
     "well_call": (CallSettings, {f.name for f in fields(CallSettings)}),
 }
-KNOWN = {"schema_version", "run_name", "inputs", "libraries", "routes", "allow_empty", "plates", "wells", "demux_only", "preset", "layout", "block_pattern", *SECTIONS}
+KNOWN = {"schema_version", "run_name", "inputs", "libraries", "routes", "allow_empty", "plates", "wells", "demux_only", "preset", "layout", "block_pattern", "flanks", "export", *SECTIONS}
+#: Tuning that a configuration may start from by name.
+PRESETS: dict[str, dict] = {
+    "inserts": {
+        "gates": {"min_length": 200, "max_length": 3000, "min_quality": 10},
+        "plate_call": {"window": 120, "max_edits": 3, "min_margin": 2}, "well_call": {"window": 160, "max_edits": 3, "min_margin": 2},
+        "assign": {"kmer_sizes": [15, 11, 9], "rescue": "kmer"}, "consensus": {"min_depth": 3, "max_reads": 100},
+    },
+    "full-length": {
+        "gates": {"min_length": 500, "max_length": 6000, "min_quality": 10},
+        "plate_call": {"window": 200, "max_edits": 3, "min_margin": 2}, "well_call": {"window": 240, "max_edits": 3, "min_margin": 2},
+        "assign": {"kmer_sizes": [21, 15, 11], "max_kmer_owners": 10, "rescue": "kmer"}, "consensus": {"min_depth": 5, "max_reads": 200},
+    },
+}
 
 
 def expanded(value, environment: dict[str, str]):
@@ -93,9 +129,10 @@ def _section(name: str, given: dict):
 def parse_config(given: dict, presets: dict[str, dict] | None = None, environment: dict[str, str] | None = None) -> RunConfig:
     raw = expanded(given, environment if environment is not None else dict(os.environ))
     if "preset" in raw:
-        if raw["preset"] not in (presets or {}):
-            raise ConfigError(f"no preset {raw['preset']}")
-        raw = merged(presets[raw["preset"]], raw)
+        known = PRESETS | (presets or {})
+        if raw["preset"] not in known:
+            raise ConfigError(f"no preset {raw['preset']}; there are {', '.join(sorted(known))}")
+        raw = merged(known[raw["preset"]], raw)
     if set(raw) - KNOWN:
         raise ConfigError(f"unknown keys: {', '.join(sorted(set(raw) - KNOWN))}")
     if raw.get("schema_version") != 1:
@@ -111,8 +148,16 @@ def parse_config(given: dict, presets: dict[str, dict] | None = None, environmen
         for barcode, seq in (raw.get(name) or {}).items():
             if not re.fullmatch("[ACGTRYSWKMBDHVN]+", str(seq)):
                 raise ConfigError(f"{name}: {barcode} is not a sequence")
+    flanks = {}
+    for library, own in (raw.get("flanks") or {}).items():
+        if library not in libraries:
+            raise ConfigError(f"flanks of {library}, which is no library")
+        try:
+            flanks[library] = FlankSettings(**own)
+        except (TypeError, ValueError) as error:
+            raise ConfigError(f"flanks of {library}: {error}") from error
     sections = {k: _section(k, raw[k]) for k in SECTIONS if raw.get(k) is not None}
-    return RunConfig(str(raw.get("run_name", "run")), inputs, libraries, dict(raw.get("routes") or {}), allow_empty=bool(raw.get("allow_empty", False)), plates=raw.get("plates"), wells=raw.get("wells"), demux_only=demux_only, layout=raw.get("layout"), block_pattern=str(raw.get("block_pattern", RunConfig.block_pattern)), **sections)
+    return RunConfig(str(raw.get("run_name", "run")), inputs, libraries, dict(raw.get("routes") or {}), allow_empty=bool(raw.get("allow_empty", False)), plates=raw.get("plates"), wells=raw.get("wells"), demux_only=demux_only, layout=raw.get("layout"), block_pattern=str(raw.get("block_pattern", RunConfig.block_pattern)), flanks=flanks, export=bool(raw.get("export", False)), **sections)
 
 
 def load_config(path: str, presets: dict[str, dict] | None = None) -> RunConfig:

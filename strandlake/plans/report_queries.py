@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 
 from ..functions import dna, reads as rd
 from ..operators import assign, chimera, comparisons as cp, pooling, qc
+from ..sources.shared import numbered
 from . import views
-from .clone_queries import GRADED, OUTCOME, SHORT, _graded, _short_signatures
+from .clone_queries import DESIGN, GRADED, OUTCOME, SHORT, _graded, _short_signatures, fine_designs
 from .registry import query
 
 
-@query("closest_references", views.with_views("""d AS (SELECT doc_id, ref_id, levenshtein(substr(r.sequence, 1, 60), substr(f.sequence, 1, 60)) AS d FROM reads r JOIN refs f ON f.block = (doc_id % 5)::VARCHAR),
+@query("closest_references", views.with_views("""d AS (SELECT doc_id, ref_id, levenshtein(r.sequence, f.sequence) AS d FROM reads r JOIN refs f ON f.block = (doc_id % 5)::VARCHAR),
 k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY d, ref_id) AS rank FROM d) SELECT doc_id, ref_id, d::BIGINT AS distance, rank::BIGINT AS rank FROM k WHERE rank <= 3""", "reads", "refs"))
 def closest_references(spark, sf):
     """The three nearest references of a read's block, by distance and name."""
-    r = views.reads(spark, sf).select("doc_id", F.substring("sequence", 1, 60).alias("q"), (F.col("doc_id") % 5).cast("string").alias("block"))
-    f = views.refs(spark, sf).select("block", "ref_id", F.substring("sequence", 1, 60).alias("s"))
+    r = views.spread(views.reads(spark, sf)).select("doc_id", F.col("sequence").alias("q"), (F.col("doc_id") % 5).cast("string").alias("block"))
+    f = views.refs(spark, sf).select("block", "ref_id", F.col("sequence").alias("s"))
     pairs = r.join(f, "block").withColumn("distance", F.levenshtein("q", "s").cast("long"))
     order = Window.partitionBy("doc_id").orderBy("distance", "ref_id")
     return pairs.withColumn("rank", F.row_number().over(order)).where("rank <= 3").select("doc_id", "ref_id", "distance", F.col("rank").cast("long").alias("rank"))
@@ -47,14 +48,14 @@ def insert_gate(spark, sf):
     return c.select("clone_id", assign.insert_gate(identity, F.when(k % 5 != 0, k % 7 / 7), 0.98, 0.2, status).alias("status"))
 
 
-@query("recovery_by_fragments", views.with_views(f"""u AS (SELECT DISTINCT design_key, 1 + substr(design_key, 2)::INT % 4 AS fragments FROM clones),
-o AS (SELECT design_key, {OUTCOME} AS outcome FROM clones WHERE kind <> 'chimera' AND clone_id % 40 = 3), b AS (SELECT DISTINCT design_key FROM o WHERE outcome IS NOT NULL AND outcome <> 'Other')
+@query("recovery_by_fragments", views.with_views(f"""x AS (SELECT * REPLACE ({DESIGN} AS design_key) FROM clones), u AS (SELECT DISTINCT design_key, 1 + substr(design_key, 2)::INT % 4 AS fragments FROM x),
+o AS (SELECT design_key, {OUTCOME} AS outcome FROM x WHERE kind <> 'chimera'), b AS (SELECT DISTINCT design_key FROM o WHERE outcome IS NOT NULL AND outcome <> 'Other')
 SELECT fragments::BIGINT AS fragments, count(*)::BIGINT AS designs, count(b.design_key)::BIGINT AS recovered FROM u LEFT JOIN b USING (design_key) GROUP BY fragments""", "clones"))
 def recovery_by_fragments(spark, sf):
     """Designs and recovered ones by the number of fragments they are made of."""
-    c = views.clones(spark, sf)
+    c = fine_designs(spark, sf)
     designs = c.select("design_key", (1 + F.substring("design_key", 2, 9).cast("int") % 4).cast("long").alias("fragments")).distinct()
-    best = cp.best_outcomes(c.where("kind <> 'chimera' and clone_id % 40 = 3"), cp.clone_outcome()).where("outcome <> 'Other'")
+    best = cp.best_outcomes(c.where("kind <> 'chimera'"), cp.clone_outcome()).where("outcome <> 'Other'")
     joined = designs.join(best, "design_key", "left")
     return joined.groupBy("fragments").agg(F.count(F.lit(1)).alias("designs"), F.count("outcome").alias("recovered"))
 
@@ -76,11 +77,11 @@ def deconvolution_share(spark, sf):
     return counted.select("plate_id", "status", "reads", F.round(100.0 * F.col("reads") / total, 6).alias("percent"))
 
 
-@query("weak_sources", views.with_views("""p AS (SELECT culture_plate, count(DISTINCT well_id) AS wells FROM clones WHERE grade <> 'low_depth' AND clone_id % 9 < 1 + block GROUP BY culture_plate), m AS (SELECT median(wells) AS middle FROM p)
+@query("weak_sources", views.with_views("""p AS (SELECT culture_plate, count(DISTINCT well_id) AS wells FROM clones WHERE grade <> 'low_depth' GROUP BY culture_plate), m AS (SELECT median(wells) AS middle FROM p)
 SELECT culture_plate, wells::BIGINT AS wells, wells < 0.6 * middle AS weak FROM p, m""", "clones"))
 def weak_sources(spark, sf):
     """Culture plates that gave far fewer wells than the median plate."""
-    p = views.clones(spark, sf).where("grade <> 'low_depth' and clone_id % 9 < 1 + block").groupBy("culture_plate").agg(F.count_distinct("well_id").alias("wells"))
+    p = views.clones(spark, sf).where("grade <> 'low_depth'").groupBy("culture_plate").agg(F.count_distinct("well_id").alias("wells"))
     middle = p.agg(F.percentile("wells", 0.5).alias("middle"))
     return p.crossJoin(F.broadcast(middle)).select("culture_plate", "wells", (F.col("wells") < 0.6 * F.col("middle")).alias("weak"))  # one row
 
@@ -115,8 +116,7 @@ def modal_junctions(spark, sf):
 def graded_index(spark, sf):
     """The index of perfect clones in the order of plate, culture plate and well, places counted from 1."""
     g = _graded(spark, sf).where("grade = 'perfect'")
-    order = Window.partitionBy(F.lit(0)).orderBy("plate_id", "culture_plate", "well_id", "clone_id")
-    return g.select("clone_id", "plate_id", "well_id", "grade", F.row_number().over(order).cast("long").alias("place"))
+    return numbered(g, ["plate_id", "culture_plate", "well_id", "clone_id"]).select("clone_id", "plate_id", "well_id", "grade", "place")
 
 
 @query("mixed_text", views.with_views("SELECT clone_id, (clone_id % 50) || ':G>GT:' || printf('%.4f', clone_id % 4 / 4) || ',' || printf('%.4f', 1 - clone_id % 4 / 4) AS mixed, printf('%d:G>GT', clone_id % 50 + 1) || ' (' || printf('%.2f', clone_id % 4 / 4) || ',' || printf('%.2f', 1 - clone_id % 4 / 4) || ') insert silent' AS described FROM clones", "clones"))

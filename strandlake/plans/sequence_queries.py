@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import dna, protein, reads as rd, statistics as st
+from ..functions import dna, protein, reads as rd
 from ..operators import assign, demux, fragments, kmers, motifs, pooling
+from ..sources.shared import numbered
 from . import views
 from .registry import query
 
@@ -152,14 +154,14 @@ def plate_routing(spark, sf):
     return assign.route_plates(views.reads(spark, sf), routes, ["lib0", "lib1"]).select("doc_id", "library_id", "routing")
 
 
-@query("assignment_floor_margin", views.with_views("""d AS (SELECT doc_id, substr(r.sequence, 1, 300) AS q, ref_id, substr(f.sequence, 1, 300) AS s FROM reads r JOIN refs f ON f.library_id = 'lib' || (doc_id % 2) AND f.block = (doc_id % 5)::VARCHAR WHERE length(r.sequence) > 0),
+@query("assignment_floor_margin", views.with_views("""d AS (SELECT doc_id, r.sequence AS q, ref_id, f.sequence AS s FROM reads r JOIN refs f ON f.library_id = 'lib' || (doc_id % 2) AND f.block = (doc_id % 5)::VARCHAR WHERE length(r.sequence) > 0),
 g AS (SELECT doc_id, ref_id, levenshtein(q, s) AS e, greatest(length(q), length(s)) AS n, length(q) / greatest(length(s), length(q)) AS qc FROM d),
 i AS (SELECT *, 1 - e / n AS identity FROM g),
 k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY identity DESC, qc DESC, e, ref_id) AS rank, lead(identity) OVER (PARTITION BY doc_id ORDER BY identity DESC, qc DESC, e, ref_id) AS second FROM i)
 SELECT doc_id, ref_id, round(identity, 6) AS identity, CASE WHEN identity < 0.42 THEN 'no_match' WHEN second >= 0.42 AND identity - second < 0.02 THEN 'ambiguous' ELSE 'assigned_unique' END AS status FROM k WHERE rank = 1""", "reads", "refs"))
 def assignment_floor_margin(spark, sf):
-    r = views.reads(spark, sf).where(F.length("sequence") > 0).select("doc_id", F.substring("sequence", 1, 300).alias("q"), F.concat(F.lit("lib"), (F.col("doc_id") % 2).cast("string")).alias("library_id"), (F.col("doc_id") % 5).cast("string").alias("block"))
-    f = views.refs(spark, sf).select("library_id", "block", F.col("ref_id").alias("alias_key"), F.substring("sequence", 1, 300).alias("s"))
+    r = views.spread(views.reads(spark, sf)).where(F.length("sequence") > 0).select("doc_id", F.col("sequence").alias("q"), F.concat(F.lit("lib"), (F.col("doc_id") % 2).cast("string")).alias("library_id"), (F.col("doc_id") % 5).cast("string").alias("block"))
+    f = views.refs(spark, sf).select("library_id", "block", F.col("ref_id").alias("alias_key"), F.col("sequence").alias("s"))
     longest = F.greatest(F.length("q"), F.length("s"))
     edits = F.levenshtein("q", "s")
     pairs = r.join(f, ["library_id", "block"]).withColumns({"edit_distance": edits, "identity": 1 - edits / longest, "query_coverage": F.length("q") / longest, "reference_coverage": F.lit(1.0), "score": F.lit(0.0)})
@@ -235,10 +237,11 @@ def iupac_pairs(spark, sf):
     return both.select("a", "b", dna.symbols_compatible(F.col("a"), F.col("b")).alias("compatible"))
 
 
-@query("safe_names", "SELECT p_partkey, regexp_replace(regexp_replace(p_name || ' ' || p_type || '/#', '[^A-Za-z0-9._-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g') AS name FROM part")
+@query("safe_names", """WITH n AS (SELECT p_partkey, p_name || ' ' || p_type || '/#' || repeat('x', (p_partkey % 40)::INT) AS v FROM part), c AS (SELECT *, regexp_replace(regexp_replace(v, '[^A-Za-z0-9._-]+', '_', 'g'), '^[._-]+|[._-]+$', '', 'g') AS t FROM n)
+SELECT p_partkey, CASE WHEN length(t) > 56 THEN left(t, 47) || '~' || left(sha256(v), 8) ELSE t END AS name FROM c""")
 def safe_names(spark, sf):
     p = views.table(spark, sf, "part")
-    return p.select("p_partkey", rd.safe_name(F.concat("p_name", F.lit(" "), "p_type", F.lit("/#")), 500).alias("name"))
+    return p.select("p_partkey", rd.safe_name(F.concat("p_name", F.lit(" "), "p_type", F.lit("/#"), F.repeat(F.lit("x"), (F.col("p_partkey") % 40).cast("int")))).alias("name"))
 
 
 @query("name_parts", """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE chr((65 + c_custkey % 2)::INT) END AS encoding, CASE WHEN c_custkey % 3 = 0 THEN -1 ELSE (c_custkey % 12)::BIGINT END AS block, (c_custkey % 12)::VARCHAR AS named_block,
@@ -281,14 +284,15 @@ def trimmed_barcodes(spark, sf):
 @query("spliced_scaffolds", views.with_views("""p AS (SELECT sequence, row_number() OVER (ORDER BY ref_id) AS k FROM refs)
 SELECT a.k::BIGINT AS k, substr(a.sequence, 1, (a.k % 4 * 45)::INT) || substr(b.sequence, (least(a.k % 4 * 45, length(b.sequence)) + 1)::INT) AS scaffold FROM p a JOIN p b ON b.k = a.k + 1""", "refs"))
 def spliced_scaffolds(spark, sf):
-    from pyspark.sql import Window
-
-    p = views.refs(spark, sf).withColumn("k", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("ref_id")))
+    p = numbered(views.refs(spark, sf), ["ref_id"], "k")
     b = p.select((F.col("k") - 1).alias("k"), F.col("sequence").alias("right"))
     return p.join(b, "k").select(*_long("k"), dna.spliced(F.col("sequence"), F.col("right"), (F.col("k") % 4).cast("int"), F.lit(45)).alias("scaffold"))
 
 
 @query("median_index_style", views.with_views("SELECT plate_id, list_sort(list(length(sequence)))[count(*) // 2 + 1]::BIGINT AS upper_median, median(length(sequence))::DOUBLE AS median FROM reads GROUP BY plate_id", "reads"))
 def median_index_style(spark, sf):
-    n = F.length("sequence")
-    return views.reads(spark, sf).groupBy("plate_id").agg(st.upper_median(F.collect_list(n)).cast("long").alias("upper_median"), F.percentile(n, 0.5).alias("median"))
+    """Element n // 2 of the sorted lengths, by counts of each length: a plate is as many rows as it has lengths."""
+    counted = views.reads(spark, sf).groupBy("plate_id", F.length("sequence").alias("n")).agg(F.count(F.lit(1)).alias("reads"))
+    upto = F.sum("reads").over(Window.partitionBy("plate_id").orderBy("n"))
+    told = counted.withColumns({"upto": upto, "half": F.floor(F.sum("reads").over(Window.partitionBy("plate_id")) / 2)})
+    return told.groupBy("plate_id").agg(F.min(F.when(F.col("upto") > F.col("half"), F.col("n"))).cast("long").alias("upper_median"), F.percentile("n", 0.5, F.col("reads")).alias("median"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,14 +10,14 @@ from pyspark.sql import functions as F
 from ..functions.reads import reference_parts
 from ..operators import consensus, pooling
 from ..sources import exports, fastq, tables
+from ..sources.shared import shared_folder
 from . import views
 from .registry import query
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the one the cluster shares."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query("fastq_roundtrip", views.with_views("SELECT 'r' || doc_id AS name, md5(sequence) AS sequence_md5, md5(quality) AS quality_md5, plate_id FROM reads WHERE length(sequence) > 0", "reads"))

@@ -1,10 +1,12 @@
 """Stages as written tables that are taken again while nothing they depend on has changed.
 
-A stage's fingerprint is a digest of its name, parameters and the fingerprints before
-it. Its table is written beside its final place and renamed when complete; a manifest
-holds fingerprint, schema and row count. A manifest with another fingerprint refuses
-the folder instead of mixing runs. Paths go through Hadoop's file systems, so any
-store that Spark opens will do.
+A stage's fingerprint is a digest of its name, parameters, the fingerprints before it
+and the package's own source, so changed code is never taken for the same run. Its table
+is written beside its final place and renamed when complete; a manifest holds
+fingerprint, schema and row count. A manifest with another fingerprint refuses the
+folder instead of mixing runs. A run may inherit stages of an earlier one: those before
+a named stage, and only if their fingerprints are what this run would give them. Paths
+go through Hadoop's file systems, so any store that Spark opens will do.
 """
 
 from __future__ import annotations
@@ -14,11 +16,15 @@ import json
 import uuid
 from collections.abc import Callable
 from dataclasses import asdict, is_dataclass
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..errors import StrandlakeError
 
-class StageError(RuntimeError):
+
+class StageError(StrandlakeError, RuntimeError):
     """A stage whose folder holds something else than it should."""
 
 
@@ -39,35 +45,58 @@ def digest(value) -> str:
     return hashlib.sha256(canonical_json(value).encode()).hexdigest()
 
 
+@cache
+def implementation() -> str:
+    """Digest of this package's source, the same on every platform."""
+    root = Path(__file__).resolve().parents[1]
+    return digest({p.relative_to(root).as_posix(): hashlib.sha256(p.read_bytes().replace(b"\r\n", b"\n")).hexdigest() for p in sorted(root.rglob("*.py"))})
+
+
 class Stages:
-    """The stages of one run below a folder."""
+    """The stages of one run below a folder; with source, stages before recompute_from come from that run's folder."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, source: str | None = None, recompute_from: str | None = None, order: tuple[str, ...] = ()):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self.source = source.rstrip("/") if source else None
+        if source and recompute_from not in order:
+            raise StageError(f"no stage {recompute_from}; stages are {', '.join(order)}")
+        self.inherits = set(order[: order.index(recompute_from)]) if source else set()
         self.reused: list[str] = []
         self.wrote: list[str] = []
+        self.inherited: list[str] = []
 
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+    def _path(self, name: str, folder: str | None = None):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{folder or self.folder}/{name}")
 
-    def _files(self, name: str):
-        return self._path(name).getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+    def _files(self, name: str, folder: str | None = None):
+        return self._path(name, folder).getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
-    def _manifest(self, name: str) -> dict | None:
-        if not self._files(name).exists(self._path(f"{name}.manifest")):
+    def _manifest(self, name: str, folder: str | None = None) -> dict | None:
+        if not self._files(name, folder).exists(self._path(f"{name}.manifest", folder)):
             return None
-        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.folder}/{name}.manifest").collect()))
+        return json.loads("".join(r[0] for r in self.spark.read.text(f"{folder or self.folder}/{name}.manifest").collect()))
+
+    def _note(self, name: str, content: dict) -> None:
+        self.spark.createDataFrame([(canonical_json(content),)], "value string").coalesce(1).write.text(f"{self.folder}/{name}.manifest")
 
     def table(self, name: str, depends: dict, build: Callable[[], DataFrame]) -> DataFrame:
         """The stage's table: as written before if its fingerprint is the same, else built and written."""
-        mark = digest({"stage": name, "depends": depends})
+        mark = digest({"stage": name, "depends": depends, "implementation": implementation()})
         known = self._manifest(name)
         target = f"{self.folder}/{name}"
         if known is not None:
             if known["fingerprint"] != mark:
-                raise StageError(f"stage {name} was written with other parameters; use another folder")
+                raise StageError(f"stage {name} was written with other inputs, parameters or code; use another folder")
             self.reused.append(name)
-            return self.spark.read.parquet(target)
+            return self.spark.read.parquet(known.get("at", target))
+        if name in self.inherits:
+            earlier = self._manifest(name, self.source)
+            if earlier is None or earlier["fingerprint"] != mark:
+                raise StageError(f"stage {name} cannot be inherited: the earlier run {'has none' if earlier is None else 'made it with other inputs, parameters or code'}")
+            at = earlier.get("at", f"{self.source}/{name}")
+            self._note(name, earlier | {"at": at})
+            self.inherited.append(name)
+            return self.spark.read.parquet(at)
         temporary = f"{name}.{uuid.uuid4().hex}"
         frame = build()
         frame.write.parquet(f"{self.folder}/{temporary}")
@@ -75,8 +104,7 @@ class Stages:
         if not files.rename(self._path(temporary), self._path(name)):
             raise StageError(f"stage {name} has a folder without a manifest")
         out = self.spark.read.schema(frame.schema).parquet(target)
-        text = canonical_json({"stage": name, "fingerprint": mark, "rows": out.count(), "schema": frame.schema.simpleString()})
-        self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{target}.manifest")
+        self._note(name, {"stage": name, "fingerprint": mark, "rows": out.count(), "schema": frame.schema.simpleString()})
         self.wrote.append(name)
         return out
 

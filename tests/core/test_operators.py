@@ -174,8 +174,8 @@ def test_quality_states_and_grades(spark):
     assert qc.evaluate(frame, qc.QcSettings()).first().reading_frame == "not_evaluable"
     assert qc.region_edits("ACTT", "ACGTT", [("a", 0, 2), ("b", 2, 5)]) == {"a": 0, "b": 1}
     assert qc.region_edits("ACGTTA", "ACGTT", [("a", 0, 2), ("b", 2, 5)]) == {"a": 0, "b": 1}
-    split = qc.split_states("AAAAGGGGCCCGTTTT", "AAAAGGGGCCCCTTTT", (4, 12))
-    assert (split["insert_edits"], split["vector_edits"], split["insert_sequence"]) == (1, 0, "GGGGCCCG")
+    split = qc.split_states("AAAAGGGGCCCGTTTT", "AAAAGGGGCCCCTTTT", [("flank_5p", 0, 4), ("insert", 4, 12), ("flank_3p", 12, 16)])
+    assert (split["insert_edits"], split["vector_edit_distance"], split["insert_sequence"]) == (1, 0, "GGGGCCCG")
     mixed = one(spark, m=qc.parse_mixed(F.lit("3:G>GT:0.4,0.6|5:C>AC")), none=qc.parse_mixed(F.lit(None).cast("string")))
     assert [tuple(x) for x in mixed.m] == [(3, "G", "GT", [0.4, 0.6]), (5, "C", "AC", [])] and mixed.none == []
 
