@@ -101,6 +101,17 @@ def by_rows(texts: DataFrame, rows: DataFrame, on: str | list[str], how: str, li
     return texts.join(F.broadcast(rows) if few else rows.hint("shuffle_hash"), on, how)
 
 
+#: A key with more than this share of the rows is hot; at most 1 / HOT_SHARE keys are.
+HOT_SHARE = 1 / 2000
+
+
+def hot_join(rows: DataFrame, unique: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
+    """rows joined with a table that holds each key once. Hot keys (a written table, counted to be few by their share) meet
+    their rows by a broadcast, so no task takes all rows of one key."""
+    few = F.broadcast(unique.join(F.broadcast(hot), on, "left_semi"))
+    return rows.join(few, on).unionByName(rows.join(F.broadcast(hot), on, "left_anti").join(unique, on))
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

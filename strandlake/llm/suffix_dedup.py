@@ -15,7 +15,9 @@ comparing, and neighbouring strings mostly share an anchor.
    part before it from right to left: multikey quicksort to SHALLOW bytes beyond the
    anchor, then a blind trie for each group that still has a common prefix. Common
    prefixes of sorted neighbours tell which strings are equal; all but the earliest
-   of each are removed.
+   of each are removed. An anchor that more than HOT_CHUNKS chunks hold is hot: its
+   spans would meet in one task, so its strings go singly instead, by 128 bits of hash,
+   and the earliest of each is told by an aggregation that begins in every task.
 5. The removed runs go back to their chunks and the rest of each text is put together.
 
 What a task holds is bounded by the chunk, and by the buckets, whose number follows
@@ -33,11 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, stash, table, text_bytes
+from .common import blocks, hot_join, release, stash, table, text_bytes
 
 LENGTH = 100
 GRAM = 32
@@ -46,6 +49,9 @@ STEP = 8  # bytes that the quicksort compares at once
 CHUNK = 4 << 20
 BUCKET_ANCHORS = 1_000_000
 BUCKET_BYTES = 6 << 20
+HOT_CHUNKS = 256
+#: A string that occurs more often meets its earliest place by a broadcast; so many partitions at most take the buckets.
+HOT_STRINGS, MOST_PARTS = 100_000, 20_000
 SCAN = 1 << 18
 NULL_ID = (1 << 63) - 1
 
@@ -308,8 +314,8 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(i, 1).to_pylist()[0]
 
 
-def repeated_anchors(chunks: DataFrame, buckets: int) -> DataFrame:
-    """chunk, bucket and a bit for each of the chunk's distinct hashes of the bucket: seen twice or more."""
+def repeated_anchors(chunks: DataFrame, buckets: int, hot_chunks: int = HOT_CHUNKS) -> DataFrame:
+    """chunk, bucket and two bits for each of the chunk's distinct hashes of the bucket: seen twice or more, and hot."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _chunk_rows(batches):
@@ -332,16 +338,19 @@ def repeated_anchors(chunks: DataFrame, buckets: int) -> DataFrame:
             flags = twice.astype(bool)
             flags[order[1:][same]] = True
             flags[order[:-1][same]] = True
+            edges = np.flatnonzero(np.concatenate([[True], ~same, [True]]))
+            hot = np.zeros(len(every), bool)
+            hot[order] = np.repeat(np.diff(edges) > hot_chunks, np.diff(edges))
             at = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-            kept = [(r["chunk"], np.packbits(flags[a:b]).tobytes(), int(flags[a:b].sum())) for r, a, b in zip(rows, at[:-1], at[1:], strict=True) if flags[a:b].any()]
+            kept = [(r["chunk"], np.packbits(flags[a:b]).tobytes(), np.packbits(hot[a:b]).tobytes(), int(flags[a:b].sum())) for r, a, b in zip(rows, at[:-1], at[1:], strict=True) if flags[a:b].any()]
             if kept:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([bucket] * len(kept), pa.int32()), pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.binary()), pa.array([k[2] for k in kept], pa.int64())],
-                    ["bucket", "chunk", "bits", "n"],
+                    [pa.array([bucket] * len(kept), pa.int32()), pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.binary()), pa.array([k[2] for k in kept], pa.binary()), pa.array([k[3] for k in kept], pa.int64())],
+                    ["bucket", "chunk", "bits", "hot", "n"],
                 )
 
     dealt = chunks.select("chunk", "sizes", "data").mapInArrow(emit, "bucket int, chunk long, hashes binary, twice binary")
-    return dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(judge, "bucket int, chunk long, bits binary, n long")
+    return dealt.repartition(min(buckets, MOST_PARTS), "bucket").sortWithinPartitions("bucket").mapInArrow(judge, "bucket int, chunk long, bits binary, hot binary, n long")
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
@@ -358,6 +367,7 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict
 
 
 RUN = np.dtype([("chunk", "<i8"), ("row", "<i4"), ("start", "<i4"), ("end", "<i4")])
+STRING = np.dtype([("h1", "<i8"), ("h2", "<i8"), ("id", "<i8"), ("row", "<i4"), ("start", "<i4")])
 SPAN = np.dtype([("hash", "<u8"), ("id", "<i8"), ("row", "<i4"), ("start", "<i4"), ("count", "<i2"), ("anchor", "<i2")])
 
 
@@ -369,14 +379,20 @@ def spans_of(chunks: DataFrame, flags: DataFrame, buckets: int, send: int, lengt
             data = _unfold(row["data"])
             sizes = np.array(row["sizes"], np.int64)
             doc, start, count, anchor, hashes = runs_of(np.frombuffer(data, np.uint8), sizes)
-            bits = {f["bucket"]: f["bits"] for f in row["flags"]}
-            wanted = [v[np.unpackbits(np.frombuffer(bits[b], np.uint8))[: len(v)].astype(bool)] for b, v, _ in _distinct(hashes, buckets) if b in bits]
-            listed = np.sort(np.concatenate(wanted)) if wanted else np.zeros(0, np.uint64)
+            told = {f["bucket"]: f for f in row["flags"]}
+            marked = [(v, *(np.unpackbits(np.frombuffer(told[b][k], np.uint8))[: len(v)].astype(bool) for k in ("bits", "hot"))) for b, v, _ in _distinct(hashes, buckets) if b in told]
+            none = np.zeros(0, np.uint64)
+            listed = np.sort(np.concatenate([none, *(v[twice] for v, twice, _ in marked)]))
+            crowded = np.sort(np.concatenate([none, *(v[hot] for v, _, hot in marked)]))
             spot = np.minimum(np.searchsorted(listed, hashes), max(0, len(listed) - 1))
             keep = np.flatnonzero(listed[spot] == hashes) if len(listed) else np.zeros(0, np.int64)
             begins = np.concatenate([[0], np.cumsum(sizes)])
             ids = np.array([NULL_ID if i is None else i for i in row["ids"]], np.int64)
             keep = keep[np.lexsort((start[keep], doc[keep], ids[doc[keep]]))]  # earliest first
+            if len(crowded):
+                apart = crowded[np.minimum(np.searchsorted(crowded, hashes[keep]), len(crowded) - 1)] == hashes[keep]
+                yield from _single(row["chunk"], data, begins, ids, doc, start, count, keep[apart], length)
+                keep = keep[~apart]
             seen: set[tuple[int, bytes]] = set()
             spans, bodies, known = [], [], []
             lows = (begins[doc[keep]] + start[keep]).tolist()
@@ -402,10 +418,64 @@ def spans_of(chunks: DataFrame, flags: DataFrame, buckets: int, send: int, lengt
                 table["hash"], table["id"], table["row"], table["start"], table["count"], table["anchor"] = hashes[k], ids[doc[k]], doc[k], start[k], count[k], anchor[k]
                 yield _sent([b], [row["chunk"]], [_squeeze(table.tobytes())], [_squeeze(b"".join(bodies[i] for i in own.tolist()))], [b""])
 
-    listed = flags.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("flags"))
+    listed = flags.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits", "hot")).alias("flags"))
     return chunks.join(listed, "chunk").select("chunk", "ids", "sizes", "data", "flags").mapInArrow(kernel, "bucket int, chunk long, spans binary, bodies binary, runs binary")
 
 
+def _single(chunk: int, data: bytes, begins: np.ndarray, ids: np.ndarray, doc: np.ndarray, start: np.ndarray, count: np.ndarray, spans: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
+    """The distinct strings of spans (earliest first) of a chunk, and runs of those that are not the chunk's first."""
+    seen: set[int] = set()
+    rows, known = [], []
+    for k in spans.tolist():
+        d, s = int(doc[k]), int(start[k])
+        base = int(begins[d])
+        for at in range(s, s + int(count[k])):
+            key = xxhash.xxh3_128_intdigest(data[base + at : base + at + length])
+            if key in seen:
+                known.append((chunk, d, at, at + length))
+            else:
+                seen.add(key)
+                rows.append((key >> 64, key & 0xFFFFFFFFFFFFFFFF, d, at))
+    if known:
+        yield _sent([-1], [chunk], [b""], [b""], [_merged(np.array(known, RUN)).tobytes()])
+    if rows:
+        table = np.zeros(len(rows), STRING)
+        high, low = (np.array([r[i] for r in rows], np.uint64).view(np.int64) for i in (0, 1))
+        table["h1"], table["h2"], table["row"], table["start"] = high, low, [r[2] for r in rows], [r[3] for r in rows]
+        table["id"] = ids[table["row"]]
+        yield _sent([-2], [chunk], [_squeeze(table.tobytes())], [b""], [b""])
+
+
+def late_strings(sent: DataFrame, length: int = LENGTH, hot_strings: int = HOT_STRINGS) -> DataFrame:
+    """chunk and runs of the single strings that stand earlier too."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                t = np.frombuffer(_unfold(blob), STRING)
+                for at in range(0, len(t), 100_000):
+                    part = t[at : at + 100_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), chunk)), *(pa.array(np.ascontiguousarray(part[c])) for c in STRING.names)], ["chunk", *STRING.names])
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            t = np.zeros(batch.num_rows, RUN)
+            t["chunk"], t["row"], t["start"] = (batch.column(c).to_numpy() for c in ("chunk", "row", "start"))
+            t["end"] = t["start"] + length
+            t = _merged(t)
+            edges = np.flatnonzero(np.concatenate([[True], t["chunk"][1:] != t["chunk"][:-1], [True]])) if len(t) else [0]
+            parts = [t[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array([int(p["chunk"][0]) for p in parts], pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())], ["chunk", "runs"])
+
+    key, place = ["h1", "h2"], F.struct("id", "chunk", "row", "start")
+    strings = sent.where("bucket = -2").select("chunk", "spans").mapInArrow(unpack, "chunk long, h1 long, h2 long, id long, row int, start int")
+    firsts = stash(strings.groupBy(*key).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix-firsts")
+    hot = stash(firsts.where(F.col("n") > hot_strings).select(*key), "suffix-hot")
+    met = hot_join(strings, firsts, key, hot)
+    return met.where(place != F.col("first")).select("chunk", "row", "start").mapInArrow(runs, "chunk long, runs binary")
+
+
 def _sent(bucket: list, chunk: list, spans: list, bodies: list, runs: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(chunk, pa.int64()), *(pa.array(x, pa.binary()) for x in (spans, bodies, runs))], ["bucket", "chunk", "spans", "bodies", "runs"])
 
@@ -463,7 +533,7 @@ def judge_bucket(rows: list[dict], length: int = LENGTH) -> np.ndarray:
     return _merged(runs)
 
 
-def repeated_runs(sent: DataFrame, send: int) -> DataFrame:
+def repeated_runs(sent: DataFrame, send: int, hot_strings: int = HOT_STRINGS) -> DataFrame:
     """chunk and runs of bytes that an earlier string covers."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -474,9 +544,11 @@ def repeated_runs(sent: DataFrame, send: int) -> DataFrame:
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array([int(p["chunk"][0]) for p in parts], pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())], ["chunk", "runs"])
 
-    spans = sent.where("bucket >= 0").repartition(send, "bucket").sortWithinPartitions("bucket")
-    found = spans.mapInArrow(kernel, "chunk long, runs binary")
-    return found.union(sent.where("bucket < 0").select("chunk", "runs"))
+    spans = sent.where("bucket >= 0").repartition(min(send, MOST_PARTS), "bucket").sortWithinPartitions("bucket")
+    found = spans.mapInArrow(kernel, "chunk long, runs binary").union(sent.where("bucket = -1").select("chunk", "runs"))
+    if sent.where("bucket = -2").isEmpty():
+        return found
+    return found.union(late_strings(sent, hot_strings=hot_strings))
 
 
 def cut(chunks: DataFrame, runs: DataFrame) -> DataFrame:
@@ -514,16 +586,17 @@ def cut(chunks: DataFrame, runs: DataFrame) -> DataFrame:
     return chunks.join(every, "chunk", "left").select("chunk", "ids", "sizes", "data", "runs").mapInArrow(kernel, "doc_id long, n_bytes long, removed array<struct<begin:long,end:long>>, kept binary, kept_sha256 string")
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, bucket_anchors: int = BUCKET_ANCHORS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, bucket_anchors: int = BUCKET_ANCHORS, bucket_bytes: int = BUCKET_BYTES, hot_chunks: int = HOT_CHUNKS, hot_strings: int = HOT_STRINGS) -> DataFrame:
     """doc_id, n_bytes, removed, kept, kept_sha256 of every row."""
     chunks = stash(pack(text_bytes(df, id_col, text_col), chunk), "suffix-chunks")
     total = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda acc, x: acc + x))).first()[0] or 0
     buckets = max(16, -(-total // (34 * bucket_anchors)))
-    flags = stash(repeated_anchors(chunks, buckets), "suffix-flags")
+    flags = stash(repeated_anchors(chunks, buckets, hot_chunks), "suffix-flags")
     repeated = flags.agg(F.sum("n")).first()[0] or 0
     send = max(16, -(-repeated * 140 // bucket_bytes))
     sent = stash(spans_of(chunks, flags, buckets, send), "suffix-spans")
-    runs = stash(repeated_runs(sent, send), "suffix-runs")
+    runs = stash(repeated_runs(sent, send, hot_strings), "suffix-runs")
+    release(flags, sent)
     return cut(chunks, runs)
 
 

@@ -46,13 +46,13 @@ def passages(seed):
     return out
 
 
-@pytest.mark.parametrize("chunk", [4 << 20, 3000])
-def test_brute(spark, chunk):
+@pytest.mark.parametrize("chunk,hot", [(4 << 20, {}), (3000, {}), (1000, {"hot_chunks": 2, "hot_strings": 3}), (1000, {"hot_chunks": 0})])
+def test_brute(spark, chunk, hot):
     texts = passages(3)
     texts += [texts[0], texts[1], None, "", "short", "a" * 99, "a" * 100, "a" * 400, "ab" * 300, texts[5] * 3, "é" * 80, "z" * 30_000]
     pairs = list(enumerate(texts))
     random.Random(1).shuffle(pairs)
-    got = sd.remove_repeats(docs(spark, pairs).repartition(5), chunk=chunk)
+    got = sd.remove_repeats(docs(spark, pairs).repartition(5), chunk=chunk, **hot)
     from pyspark.sql import functions as F
 
     rows = got.select("doc_id", "n_bytes", "removed", "kept", "kept_sha256").collect()
