@@ -27,6 +27,8 @@ MODEL = "piece_bpe_32k.model"
 CHUNK = 1 << 15
 OVERLAP = 256
 LIMIT = 4096
+#: Kinds of pieces that merges build: normal, stated by the user, and unused ones, which are split up again afterwards.
+MERGED = (1, 4, 5)
 
 
 class PieceCounter:
@@ -40,7 +42,7 @@ class PieceCounter:
         self.chunk, self.overlap, self.widened = chunk, overlap, 0
         spec = pb.ModelProto()
         spec.ParseFromString(self.processor.serialized_model_proto())
-        self.pairs = {p.piece[i : i + 2] for p in spec.pieces if p.type in (1, 4) for i in range(len(p.piece) - 1)}
+        self.pairs = {p.piece[i : i + 2] for p in spec.pieces if p.type in MERGED for i in range(len(p.piece) - 1)}
         norm = spec.normalizer_spec
         #: Only where the normaliser keeps each character do offsets of the text prove anything.
         self.literal = not norm.precompiled_charsmap and not norm.remove_extra_whitespaces and norm.escape_whitespaces

@@ -140,6 +140,27 @@ def test_spliced_counts_are_the_library_s():
     assert counter(50, 1).count("a" * 700) == len(tool.processor.encode("a" * 700))
 
 
+def test_models_with_unused_pieces(tmp_path):
+    """Unused pieces are merged and split up again: no splice may lie inside of them."""
+    import public_tokenizers
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    spec = pb.ModelProto()
+    with open(public_tokenizers.path(tc.MODEL), "rb") as file:
+        spec.ParseFromString(file.read())
+    gone = [p for p in spec.pieces if p.type == 1 and len(p.piece) > 3][::7]
+    for p in gone:
+        p.type = 5
+    (tmp_path / "unused.model").write_bytes(spec.SerializeToString())
+    tool = tc.PieceCounter(str(tmp_path / "unused.model"), 40, 2)
+    r = random.Random(9)
+    words = [p.piece.replace("▁", " ") for p in gone[:400]]
+    for _ in range(80):
+        text = "".join(r.choice(words) for _ in range(r.randint(10, 60)))
+        assert tool.count(text) == len(tool.processor.encode(text)), repr(text)
+    assert tool.literal
+
+
 def test_token_counts(spark):
     texts = [None, "", "a b", "é" * 3000, "word " * 9000]
     rows = [(i, t, "s", "en") for i, t in enumerate(texts)] + [(None, "a b", None, None)]
