@@ -5,7 +5,9 @@ grouping; distinct ones are searched as follows. The correlation of the 64 bits
 over all fingerprints groups correlated bits into partitions; a dynamic
 programme gives each partition its own threshold so that the thresholds plus
 one add up to the distance plus one, at the least estimated cost of probes and
-candidates. Two fingerprints within the distance agree on some partition within
+candidates. How many pairs come within a threshold on a partition is read from the
+pairs of a hash sample of SAMPLE fingerprints, bits taken together as they are, and
+from the bits' own rates where the sample shows none; it decides costs, never results. Two fingerprints within the distance agree on some partition within
 that partition's threshold, so each partition's values are probed within its
 threshold and every candidate is verified. Buckets of more than BUCKET
 fingerprints are cut into blocks whose pairs are separate work items. A work
@@ -30,11 +32,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, release, shuffle_parts, stash, table, text_bytes
+from .common import HOT_SHARE, blocks, hot_join, release, shuffle_parts, stash, table, text_bytes
 
 BITS = 64
 BUCKET = 4096
 SEED = 42
+#: About so many fingerprints tell the costs of the search.
+SAMPLE = 3000
 #: So many labels (two longs each) at most are broadcast.
 BROADCAST_LABELS = 500_000
 #: Nanoseconds of a probe (it is shuffled and sorted) and of a candidate (one comparison in a block).
@@ -137,10 +141,29 @@ def group_bits(n: int, together: np.ndarray, parts: int) -> list[list[int]]:
     return out
 
 
-def plan_search(n: int, together: np.ndarray, distance: int, near: float = 1.0) -> list[tuple[list[int], int]]:
+def sampled(prints: DataFrame, n: int) -> np.ndarray:
+    """About SAMPLE distinct fingerprints by a hash of theirs."""
+    some = prints.where(F.pmod(F.xxhash64("print", F.lit(SEED)), F.lit(max(1, n // SAMPLE))) == 0).select("print")
+    return some.toArrow().column("print").to_numpy().view(np.uint64)
+
+
+def near_share(sample: np.ndarray, bits: list[int], most: int) -> np.ndarray:
+    """Share of the sample's pairs at each distance up to most on some bits."""
+    keys = key_of(sample, bits)
+    counts = np.zeros(len(bits) + 1)
+    for at in range(0, len(keys), 512):
+        far = np.bitwise_count(keys[at : at + 512, None] ^ keys[None, :])
+        counts += np.bincount(far.reshape(-1), minlength=len(bits) + 1)[: len(bits) + 1]
+    counts[0] -= len(keys)  # each with itself
+    share = counts / max(1, len(keys) * (len(keys) - 1))
+    return np.concatenate([share, np.zeros(max(0, most + 1 - len(share)))])[: most + 1]
+
+
+def plan_search(n: int, together: np.ndarray, distance: int, near: float = 1.0, sample: np.ndarray | None = None) -> list[tuple[list[int], int]]:
     """(bits, threshold) of each probed partition, by dynamic programming over the estimated costs.
 
-    near: the share of all pairs that meet at all, where keys hold more than the bits."""
+    near: the share of all pairs that meet at all, where keys hold more than the bits. sample: fingerprints whose pairs tell
+    how often a partition agrees."""
     share = np.diag(together) / max(n, 1)
     agree = share**2 + (1 - share) ** 2
     best: tuple[float, list[tuple[list[int], int]]] | None = None
@@ -153,6 +176,8 @@ def plan_search(n: int, together: np.ndarray, distance: int, near: float = 1.0)
             for b in bits:
                 law[1:] = law[1:] * agree[b] + law[:-1] * (1 - agree[b])
                 law[0] *= agree[b]
+            if sample is not None and len(sample) > 1:
+                law = np.maximum(law[: distance + 1], near_share(sample, bits, distance))
             own, ball, within = [0.0], 0.0, 0.0
             for t in range(distance + 1):
                 ball += float(_choose(len(bits), t))
@@ -314,14 +339,16 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, words: int = 5, distance: int = 4, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
     """doc_id, print, component_id (the smallest doc_id of all that links lead to) of every row."""
     docs = stash(simhash(df, words, id_col, text_col), "simhash-prints")
-    prints = stash(docs.groupBy("print").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
+    prints = stash(docs.groupBy("print").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("held")), "simhash-distinct")
     n, together = bit_statistics(prints)
-    plan = plan_search(n, together, distance)
+    plan = plan_search(n, together, distance, sample=sampled(prints, n))
     edges = stash(links(prints, distance, plan, bucket), "simhash-links")
     roots = prints.join(components(edges).withColumnRenamed("node", "print"), "print", "left").withColumn("root", F.coalesce("root", "print"))
     least = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = stash(roots.join(least, "root").select("print", "component_id"), "simhash-components")
-    return docs.join(named, "print").select("doc_id", "print", "component_id")
+    hot = stash(prints.where(F.col("held") > HOT_SHARE * docs.count()).select("print"), "simhash-hot")
+    release(prints, edges)
+    return hot_join(docs, named, ["print"], hot).select("doc_id", "print", "component_id")
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

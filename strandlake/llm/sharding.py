@@ -11,7 +11,7 @@ is left. Balance is by bytes; the size of a document is its UTF-8 bytes plus 1.
 Rows with the same id and text are one row with a count until the end. Slots count
 from 0 without gaps in each shard, in the order of a hash of id and text, then id and
 text; so they do not depend on how the input is partitioned. Groups of more than a
-HOT share of the rows meet their rows by a broadcast (there are few of them), so no
+HOT_SHARE of the rows meet their rows by a broadcast (there are few of them), so no
 task takes all rows of one text.
 
 Nulls: a null text counts as empty and is grouped with empty texts; a null id
@@ -29,13 +29,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import release, shuffle_parts, stash, table
+from .common import HOT_SHARE, hot_join, release, shuffle_parts, stash, table
 
 SHARDS = 8
 GROUPS_PER_PART = 20_000
 ROWS_PER_BUCKET = 50_000
-#: A text with more than this share of the rows is hot; at most 1 / HOT texts are.
-HOT = 1 / 2000
 #: So many parts (k numbers each) or buckets at most are broadcast.
 BROADCAST_PARTS = 200_000
 #: A row that stands for more rows than this is dealt to several tasks.
@@ -137,7 +135,7 @@ def number_slots(rows: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, repeat
     return few.unionByName(many).withColumn("slot", F.col("first") + F.col("k")).drop("first", "k", "n")
 
 
-def shard_documents(df: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", groups_per_part: int = GROUPS_PER_PART, rows_per_bucket: int = ROWS_PER_BUCKET, hot: float = HOT, repeats: int = REPEATS) -> DataFrame:
+def shard_documents(df: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", groups_per_part: int = GROUPS_PER_PART, rows_per_bucket: int = ROWS_PER_BUCKET, hot: float = HOT_SHARE, repeats: int = REPEATS) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot of every row."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     told = df.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("key"))
@@ -145,8 +143,7 @@ def shard_documents(df: DataFrame, shards: int = SHARDS, id_col: str = "doc_id",
     groups = stash(rows.groupBy("key").agg(F.sum(F.col("size") * F.col("n")).alias("bytes"), F.count(F.lit(1)).alias("held")), "sharding-groups")
     placed = stash(place_groups(groups, shards, groups_per_part), "sharding-shards")
     common = stash(groups.where(F.col("held") > hot * rows.count()).select("key"), "sharding-hot")
-    named = rows.join(F.broadcast(placed.join(F.broadcast(common), "key", "left_semi")), "key").unionByName(rows.join(F.broadcast(common), "key", "left_anti").join(placed, "key"))
-    assigned = stash(named, "sharding-assigned")
+    assigned = stash(hot_join(rows, placed, ["key"], common), "sharding-assigned")
     release(rows, groups, placed, common)
     return number_slots(assigned, rows_per_bucket, repeats).select("doc_id", "size", "text_crc32", "shard", "slot")
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import PLACE, blocks, by_rows, on_files, place, release, shuffle_parts, stash, whole_rows
-from .near_duplicates import SEED, ball, bit_statistics, components, key_of, majority_bits, plan_search, shingle_hashes
+from .near_duplicates import ball, bit_statistics, components, key_of, majority_bits, plan_search, sampled, shingle_hashes
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -83,7 +83,7 @@ def candidates(nodes: DataFrame, distance: int, similarity: float, bucket: int =
     classes = nodes.withColumn("class", size_class(similarity))
     held = dict(classes.groupBy("class").count().collect())  # some 100 classes at most
     near = sum(c * (c + held.get(k + 1, 0)) for k, c in held.items()) / max(1, n * n)
-    plan = plan_search(n, together, distance, near)
+    plan = plan_search(n, together, distance, near, sampled(nodes, n))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
