@@ -17,6 +17,7 @@ import numpy as np
 from ..functions.dna import COMPLEMENT, IUPAC, MASK
 
 LANE_BITS = 63
+PLAIN = frozenset("ACGT")
 _COMPLEMENT = str.maketrans(IUPAC, COMPLEMENT)
 
 
@@ -26,11 +27,15 @@ def reverse_complement(seq: str) -> str:
 
 def match_masks(pattern: str, iupac: bool) -> dict[str, int]:
     """For each symbol of a text the pattern's places that it matches."""
-    out = dict.fromkeys(set(pattern) | (set(IUPAC) if iupac else set()), 0)
+    zeros, backwards = dict.fromkeys(map(ord, set(pattern)), "0"), pattern[::-1]
+    own = {p: int(backwards.translate(zeros | {ord(p): "1"}), 2) for p in set(pattern)}
+    if not iupac:
+        return own
+    out = dict.fromkeys({*own, *IUPAC}, 0)
     for symbol in out:
-        for i, p in enumerate(pattern):
-            if p == symbol or (iupac and MASK.get(p, 0) & MASK.get(symbol, 0)):
-                out[symbol] |= 1 << i
+        for p, places in own.items():
+            if p == symbol or MASK.get(p, 0) & MASK.get(symbol, 0):
+                out[symbol] |= places
     return out
 
 
@@ -68,8 +73,21 @@ def global_distance(a: str, b: str, iupac: bool = False) -> int:
 
 def infix_distance(pattern: str, text: str, iupac: bool = True) -> tuple[int, list[int]]:
     """Least edits of the pattern against any part of the text, and the inclusive ends of all best parts."""
-    best, ends = len(pattern), []
-    for j, (score, _, _) in enumerate(_columns(pattern, text, iupac, True)):
+    m = len(pattern)
+    best, ends, score = m, [], m
+    get, full, last = match_masks(pattern, iupac).get, (1 << m) - 1, 1 << (m - 1)
+    up, down = full, 0
+    for j, symbol in enumerate(text):  # as _columns, without the columns
+        x = get(symbol, 0) | down
+        d = ((((x & up) + up) ^ up) | x) & full
+        plus, minus = down | (full ^ (d | up)), up & d
+        if plus & last:
+            score += 1
+        elif minus & last:
+            score -= 1
+        plus = (plus << 1) & full
+        up = ((minus << 1) & full) | (full ^ (d | plus))
+        down = plus & d
         if score < best:
             best, ends = score, [j]
         elif score == best:
@@ -91,6 +109,12 @@ def infix_locations(pattern: str, text: str, iupac: bool = True, max_edits: int
     """Least edits and the (start, end) of every best part, ends inclusive; none beyond max_edits."""
     if not text:
         return len(pattern), []
+    if pattern in text and PLAIN.issuperset(pattern) and PLAIN.issuperset(text):  # nothing is better than all that are equal
+        spans, at = [], text.find(pattern)
+        while at >= 0:
+            spans.append((at, at + len(pattern) - 1))
+            at = text.find(pattern, at + 1)
+        return 0, spans
     distance, ends = infix_distance(pattern, text, iupac)
     if max_edits is not None and distance > max_edits:
         return distance, []
@@ -109,8 +133,24 @@ def first_location(pattern: str, text: str, iupac: bool = True) -> tuple[int, in
     return distance, infix_start(pattern, text, ends[0], distance, iupac), ends[0]
 
 
+def common_tail(a: str, b: str) -> int:
+    """How many symbols two texts share at their ends."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[len(a) - middle :] == b[len(b) - middle :]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
 def global_path(query: str, reference: str) -> list[tuple[str, int]]:
     """Operations (=, X, I: only in the query, D: only in the reference) with their counts."""
+    tail = common_tail(query, reference)  # read from the end, equal symbols are always a diagonal step
+    if tail:
+        head = global_path(query[: len(query) - tail], reference[: len(reference) - tail])
+        return [*head[:-1], ("=", head[-1][1] + tail)] if head and head[-1][0] == "=" else [*head, ("=", tail)]
     if not query or not reference:
         return [(op, n) for op, n in (("I", len(query)), ("D", len(reference))) if n]
     columns = list(_columns(query, reference, False, False))
@@ -180,7 +220,8 @@ def place(query: str, reference: str) -> dict:
     if not query or not reference:
         return {"edit_distance": len(query) + len(reference), "identity": 0.0, "query_coverage": 0.0, "reference_coverage": 0.0, "query_start": 0, "query_end": 0, "reference_start": 0, "reference_end": 0}
     inner, outer = (query, reference) if len(query) <= len(reference) else (reference, query)
-    distance, start, end = first_location(inner, outer) or (len(inner), 0, -1)
+    at = outer.find(inner) if PLAIN.issuperset(inner) and PLAIN.issuperset(outer) else -1
+    distance, start, end = (0, at, at + len(inner) - 1) if at >= 0 else first_location(inner, outer) or (len(inner), 0, -1)
     inside, whole = (start, end + 1), (0, len(inner))
     q, r = (whole, inside) if inner is query else (inside, whole)
     longest = max(q[1] - q[0], r[1] - r[0], 1)

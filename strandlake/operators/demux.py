@@ -42,6 +42,10 @@ class CallSettings:
             raise ValueError("ends holds head, tail or both")
 
 
+#: More edits than any barcode has.
+FAR = 1 << 30
+
+
 @dataclass(frozen=True, order=True)
 class Hit:
     distance: int
@@ -84,43 +88,42 @@ class Caller:
         patterns = [p for _, _, p in self.forms]
         self.lanes = Lanes(patterns) if patterns and max(map(len, patterns)) <= LANE_BITS else None
 
-    def _distances(self, texts: list[str]) -> list[list[tuple[int, int]]]:
+    def _distances(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Least edits and first end of every (text, form); -1 where there is none."""
         if self.lanes is not None:
-            best, ends = self.lanes.best(texts)
-            return [list(zip(b.tolist(), e.tolist(), strict=True)) for b, e in zip(best, ends, strict=True)]
-        out = []
-        for t in texts:
-            found = [infix_distance(p, t) for _, _, p in self.forms]
-            out.append([(d, e[0] if e else -1) for d, e in found])
-        return out
+            return self.lanes.best(texts)
+        found = [[infix_distance(p, t) for _, _, p in self.forms] for t in texts]
+        shape = (len(texts), len(self.forms))
+        return np.array([[d for d, _ in f] for f in found], np.int32).reshape(shape), np.array([[e[0] if e else -1 for _, e in f] for f in found], np.int32).reshape(shape)
 
     def calls(self, reads: list[str]) -> list[Call]:
         s = self.settings
         hits: list[list[Hit]] = [[] for _ in reads]
+        least = np.full(len(reads), FAR, np.int64)
         for read_end in s.ends:
             cut = [min(s.window, len(r)) for r in reads]
             texts = [r[:c] if read_end == "head" else r[len(r) - c :] for r, c in zip(reads, cut, strict=True)]
-            for own, text, read, found in zip(hits, texts, reads, self._distances(texts), strict=True):
-                least = min((d for d, _ in found), default=0)
-                for (name, strand, pattern), (d, end) in zip(self.forms, found, strict=True):
-                    # a barcode at the head, or its reverse complement at the tail, reads forward
-                    orientation = "forward" if (strand == "barcode") == (read_end == "head") else "reverse"
-                    if end < 0 or (orientation == "reverse" and not s.both_strands) or (s.policy != "best_margin" and d > s.max_edits):
-                        continue
-                    # places matter only for hits that may be reported or break a tie
-                    start = infix_start(pattern, text, end, d) if d <= max(s.max_edits, least) else 0
-                    offset = 0 if read_end == "head" else len(read) - len(text)
-                    own.append(Hit(d, name, orientation, read_end, start + offset, end + offset))
-        return [decide(sorted(h), s) for h in hits]
-
-
-def decide(hits: list[Hit], s: CallSettings) -> Call:
-    """The call that a read's hits allow; one hit for each barcode, end and orientation, best first."""
-    able = [h for h in hits if h.distance <= s.max_edits]
+            best, ends = self._distances(texts)
+            # a barcode at the head, or its reverse complement at the tail, reads forward
+            forward = np.array([(strand == "barcode") == (read_end == "head") for _, strand, _ in self.forms], bool)
+            allowed = (ends >= 0) & (forward | s.both_strands)
+            if s.policy == "best_margin" and len(self.forms):
+                least = np.minimum(least, np.where(allowed, best, FAR).min(axis=1))
+            for i, k in zip(*(x.tolist() for x in np.nonzero(allowed & (best <= s.max_edits))), strict=True):
+                name, _, pattern = self.forms[k]
+                d, end = int(best[i, k]), int(ends[i, k])
+                offset = 0 if read_end == "head" else len(reads[i]) - len(texts[i])
+                hits[i].append(Hit(d, name, "forward" if forward[k] else "reverse", read_end, infix_start(pattern, texts[i], end, d) + offset, end + offset))
+        return [decide(sorted(h), s, int(d) if d < FAR else None) for h, d in zip(hits, least, strict=True)]
+
+
+def decide(able: list[Hit], s: CallSettings, least: int | None = None) -> Call:
+    """The call that a read's hits within the edits allow; one hit for each barcode, end and orientation, best first. least:
+    the fewest edits of any barcode."""
     if not able:
-        return Call("unassigned", best_edits=hits[0].distance if hits else None, reason="no barcode within the edits allowed")
+        return Call("unassigned", best_edits=least, reason="no barcode within the edits allowed")
     if s.policy != "best_margin":
-        return _legacy(hits, able, s)
+        return _legacy(able, s)
     sure = []
     for read_end in ("head", "tail"):
         own = [h for h in able if h.read_end == read_end]
@@ -140,9 +143,9 @@ def decide(hits: list[Hit], s: CallSettings) -> Call:
     return Call("assigned", best.barcode_id, best.orientation, **where, reason="within the edits and the margin")
 
 
-def _legacy(hits: list[Hit], able: list[Hit], s: CallSettings) -> Call:
+def _legacy(able: list[Hit], s: CallSettings) -> Call:
     best = able[0]
-    rival = next((h for h in hits if h.barcode_id != best.barcode_id), None)
+    rival = next((h for h in able if h.barcode_id != best.barcode_id), None)
     second = rival.distance if rival else None
     margin = second - best.distance if rival else None
     pool = able if s.policy == "legacy_unique_threshold" else [h for h in able if h.distance == best.distance]

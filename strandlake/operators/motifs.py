@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .alignment import infix_locations, reverse_complement
+from .alignment import LANE_BITS, Lanes, infix_locations, reverse_complement
 
 INSERT = pa.struct([("status", pa.string()), ("insert", pa.string()), ("orientation", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())])
 INSERT_TYPE = "struct<status:string,insert:string,orientation:string,start:int,end:int,edits:int>"
@@ -41,8 +41,9 @@ class MotifPair:
                     out.append(((a + b, off, start, right), end))
         return out
 
-    def extract(self, read: str) -> dict:
-        strands = [("forward", read)] + ([("reverse", reverse_complement(read))] if self.both_strands else [])
+    def extract(self, read: str, near: tuple[bool, bool] = (True, True)) -> dict:
+        """The insert of a read; near: whether each strand may have both motifs at all."""
+        strands = ([("forward", read)] if near[0] else []) + ([("reverse", reverse_complement(read))] if self.both_strands and near[1] else [])
         found = sorted((key, name, text[end + 1 : key[3]], end + 1) for name, text in strands for key, end in self.solutions(text))
         none = {"insert": None, "orientation": "unknown", "start": None, "end": None, "edits": None}
         if not found:
@@ -58,11 +59,20 @@ def extract_inserts(reads: DataFrame, pair: MotifPair, seq: str = "sequence", na
     """reads with the extraction as a struct column."""
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in reads.schema.fields)}, `{name}` {INSERT_TYPE}"
 
+    motifs = [pair.left, pair.right, reverse_complement(pair.left), reverse_complement(pair.right)]
+
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # many reads at once tell which strands can have both motifs
+        lanes = Lanes(motifs) if all(0 < len(m) <= LANE_BITS for m in motifs) else None
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = [pair.extract(s or "") for s in part.column(seq).to_pylist()]
+                reads_here = [s or "" for s in part.column(seq).to_pylist()]
+                near = [(True, True)] * len(reads_here)
+                if lanes is not None:
+                    able = lanes.best(reads_here)[0] <= pair.max_edits
+                    near = list(zip((able[:, 0] & able[:, 1]).tolist(), (able[:, 2] & able[:, 3]).tolist(), strict=True))
+                found = [pair.extract(s, n) for s, n in zip(reads_here, near, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, INSERT)], [*part.schema.names, name])
 
     return reads.mapInArrow(kernel, schema)
