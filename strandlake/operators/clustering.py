@@ -2,9 +2,10 @@
 
 The reads are projected on a polished scaffold; places where a second allele is
 frequent enough describe each read, and reads gather round centres that differ from
-them in few of those places, with the centres taken anew until nothing moves. This
-is iterative within a well, so a well is one task; WELL_LIMIT bounds the reads it
-takes and more raise instead of being cut.
+them in few of those places, with the centres taken anew until nothing moves. A well
+of up to WELL_LIMIT reads is one task. In a larger one the reads are projected and
+counted where they lie, and one task gathers only the few bases that describe each
+read; the results are the same. Beyond VECTOR_LIMIT reads of one well, an error.
 """
 
 from __future__ import annotations
@@ -13,14 +14,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .alignment import projected
+from .assign import checkpointed
 
 WELL_LIMIT = 20_000
+VECTOR_LIMIT = 4_000_000
+SALTS = 64
+SLICE = 256
 ROUNDS = 5
 GAP = "-"
+BASES = "ACGTRYSWKMBDHVN"
+
+
+# Fixed value: what is said of a well whose reads differ in too few places.
+FEW_PLACES = "too few variant places to split"
 
 
 @dataclass(frozen=True)
@@ -59,44 +69,57 @@ def seed_of(reads: list[str]) -> int:
 
 def variant_places(rows: np.ndarray, s: ClusterSettings) -> np.ndarray:
     """Columns deep enough whose second allele is frequent enough."""
-    votes = np.sort(np.array([(rows == b).sum(0) for b in "ACGTRYSWKMBDHVN"]), 0)
+    votes = np.sort(np.array([(rows == b).sum(0) for b in BASES]), 0)
     depth = votes.sum(0)
     return np.flatnonzero((depth >= max(s.min_size, 2)) & (votes[-2] > 0) & (votes[-2] >= s.min_allele * depth))
 
 
-def _nearest(row: np.ndarray, centres: list[np.ndarray], required: float, most: float) -> int | None:
-    best: tuple[int, int] | None = None
-    for k, c in enumerate(centres):
-        both = (row != GAP) & (c != GAP)
-        n, off = int(both.sum()), int((both & (row != c)).sum())
-        if n >= required and n and off / n <= most and (best is None or off < best[0]):
-            best = off, k
-    return best[1] if best else None
-
-
-def cluster(names: list[str], reads: list[str], s: ClusterSettings = ClusterSettings()) -> tuple[list[int | None], list[int], str]:
-    """For each read its cluster (largest first; None: in none), the variant places, and why."""
-    n = len(reads)
-    if n < s.min_size:
-        return [None] * n, [], "too few reads"
-    polished = "".join(b for b in modal(matrix(reads, reads[seed_of(reads)])) if b != GAP)
-    rows = matrix(reads, polished)
-    places = variant_places(rows, s)
-    if len(places) < s.min_places:
-        return [0] * n, places.tolist(), "too few variant places to split"
-    vectors = rows[:, places]
-    order = sorted(range(n), key=lambda i: (-(vectors[i] != GAP).sum(), names[i]))
-    required = max(s.min_places, int(s.min_comparable * len(places)))
+class _Centres:
+    """Centres in the order they came; equal rows look only at those that are new since."""
+
+    def __init__(self, centres: list[np.ndarray], required: int, most: float):
+        self.rows: list[np.ndarray] = []
+        self.required, self.most = required, most
+        self.usable: list[int] = []
+        self.seen: dict[bytes, tuple[int, tuple[int, int] | None]] = {}
+        for c in centres:
+            self.add(c)
+
+    def add(self, row: np.ndarray) -> int:
+        if (row != GAP).sum() >= self.required:  # others share too few places with any read
+            self.usable.append(len(self.rows))
+        self.rows.append(row)
+        return len(self.rows) - 1
+
+    def nearest(self, row: np.ndarray) -> int | None:
+        key = row.tobytes()
+        start, best = self.seen.get(key, (0, None))
+        for k in self.usable[start:]:
+            c = self.rows[k]
+            both = (row != GAP) & (c != GAP)
+            n, off = int(both.sum()), int((both & (row != c)).sum())
+            if n >= self.required and n and off / n <= self.most and (best is None or off < best[0]):
+                best = off, k
+        self.seen[key] = len(self.usable), best
+        return best[1] if best else None
+
+
+def gather(names: list[str], vectors: np.ndarray, s: ClusterSettings) -> tuple[list[int | None], str]:
+    """For each read its cluster by the bases that describe it, and why."""
+    n, width = vectors.shape
+    known = (vectors != GAP).sum(1)
+    order = sorted(range(n), key=lambda i: (-known[i], names[i]))
+    required = max(s.min_places, int(s.min_comparable * width))
     centres: list[np.ndarray] = []
     members: list[list[int]] = []
     for attempt in range(ROUNDS + 1):
+        at = _Centres(centres, required, s.max_mismatch)
         groups: list[list[int]] = [[] for _ in centres]
         for i in order:
-            k = _nearest(vectors[i], centres, required, s.max_mismatch)
+            k = at.nearest(vectors[i])
             if k is None:
-                centres.append(vectors[i])
+                k = at.add(vectors[i])
                 groups.append([])
-                k = len(groups) - 1
             groups[k].append(i)
         if attempt and groups == members:
             break
@@ -105,24 +128,111 @@ def cluster(names: list[str], reads: list[str], s: ClusterSettings = ClusterSett
             centres = [modal(vectors[g]) for g in members if g]
     big = sorted((g for g in members if len(g) >= s.min_size), key=lambda g: -len(g))
     if len(big) < 2:
-        return [0] * n, places.tolist(), "one cluster is deep enough: one clone"
+        return [0] * n, "one cluster is deep enough: one clone"
     out: list[int | None] = [None] * n
     for k, g in enumerate(big):
         for i in g:
             out[i] = k
-    return out, places.tolist(), f"{len(big)} clusters"
+    return out, f"{len(big)} clusters"
+
+
+def cluster(names: list[str], reads: list[str], s: ClusterSettings = ClusterSettings()) -> tuple[list[int | None], list[int], str]:
+    """For each read its cluster (largest first; None: in none), the variant places, and why."""
+    n = len(reads)
+    if n < s.min_size:
+        return [None] * n, [], "too few reads"
+    polished = "".join(b for b in modal(matrix(reads, reads[seed_of(reads)])) if b != GAP)
+    rows = matrix(reads, polished)
+    places = variant_places(rows, s)
+    if len(places) < s.min_places:
+        return [0] * n, places.tolist(), FEW_PLACES
+    found, why = gather(names, rows[:, places], s)
+    return found, places.tolist(), why
+
+
+def _projected_votes(reads: DataFrame, scaffolds: DataFrame) -> DataFrame:
+    """_well, position, base, n over reads and the scaffold of their well."""
+
+    def count(batches):
+        for pdf in batches:
+            for name, own in pdf.groupby("_well", dropna=False, sort=False):
+                scaffold = own["scaffold"].iloc[0]
+                votes: dict[str, np.ndarray] = {}
+                for i in range(0, len(own), SLICE):
+                    rows = matrix(own["sequence"].iloc[i : i + SLICE].tolist(), scaffold)
+                    for b in np.unique(rows):
+                        if b != GAP:
+                            votes[str(b)] = votes.get(str(b), 0) + (rows == b).sum(0)
+                for b, n in votes.items():
+                    at = np.flatnonzero(n)
+                    yield pd.DataFrame({"_well": None if pd.isna(name) else name, "position": at, "base": b, "n": n[at]})
+
+    return _meet(reads, scaffolds).mapInPandas(count, "_well string, position long, base string, n long").groupBy("_well", "position", "base").agg(F.sum("n").alias("n"))
+
+
+def _meet(reads: DataFrame, scaffolds: DataFrame) -> DataFrame:
+    """Reads with the row of their well; a well's reads are spread over SALTS keys."""
+    a = reads.withColumn("_salt", F.pmod(F.xxhash64("read_uid", "sequence"), F.lit(SALTS)))
+    b = scaffolds.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))).withColumnRenamed("_well", "_at")
+    return a.join(b, (F.col("_well").eqNullSafe(F.col("_at"))) & (a["_salt"] == b["_salt"])).drop("_at", "_salt")
+
+
+def _spread(reads: DataFrame, s: ClusterSettings) -> DataFrame:
+    """Clusters of large wells, reads of (_well, read_uid, sequence): whole sequences are never in one task."""
+    sized = reads.withColumn("_length", F.length("sequence"))
+    lengths = sized.groupBy("_well", "_length").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("_well").orderBy("_length")  # a row for each length
+    ranked = lengths.withColumns({"_upto": F.sum("n").over(upto), "_all": F.sum("n").over(Window.partitionBy("_well"))})
+    middle = ranked.where(F.col("_upto") > F.floor(F.col("_all") / 2)).groupBy("_well").agg(F.min("_length").alias("middle"))
+    off = F.abs(F.col("_length") - F.col("middle"))
+    seeds = checkpointed(_meet(sized, middle).groupBy("_well").agg(F.min_by("sequence", F.struct(off, "read_uid", "sequence")).alias("scaffold")), "seeds")
+    first = _projected_votes(reads, seeds).groupBy("_well", "position").agg(F.max_by("base", F.struct("n", -F.ascii("base"))).alias("base"))
+    letters = F.transform(F.array_sort(F.collect_list(F.struct("position", "base"))), lambda x: x["base"])
+    polished = checkpointed(seeds.select("_well").join(first.groupBy(F.col("_well").alias("_at")).agg(F.array_join(letters, "").alias("scaffold")), F.col("_well").eqNullSafe(F.col("_at")), "left").select("_well", F.coalesce("scaffold", F.lit("")).alias("scaffold")), "polished")
+    votes = _projected_votes(reads, polished).where(F.col("base").isin(*BASES)).groupBy("_well", "position").agg(F.sum("n").alias("depth"), F.sort_array(F.collect_list("n"), False).alias("votes"))
+    second = F.coalesce(F.get("votes", F.lit(1)), F.lit(0))
+    variant = votes.where((F.col("depth") >= max(s.min_size, 2)) & (second > 0) & (second >= s.min_allele * F.col("depth")))
+    lists = variant.groupBy(F.col("_well").alias("_at")).agg(F.sort_array(F.collect_list("position")).alias("places"))
+    told = checkpointed(polished.join(lists, F.col("_well").eqNullSafe(F.col("_at")), "left").select("_well", "scaffold", F.coalesce("places", F.array().cast("array<long>")).alias("places")), "places")
+
+    def describe(batches):
+        for pdf in batches:
+            vectors = ["".join(np.array(projected(q, c, GAP), "U1")[np.asarray(at, int)]) if len(at) >= s.min_places else "" for q, c, at in zip(pdf["sequence"], pdf["scaffold"], pdf["places"])]
+            yield pd.DataFrame({"_well": pdf["_well"], "read_uid": pdf["read_uid"], "vector": vectors, "n_places": pdf["places"].map(len)})
+
+    vectors = checkpointed(_meet(reads, told).mapInPandas(describe, "_well string, read_uid string, vector string, n_places int"), "vectors")
+    few = vectors.where(F.col("n_places") < s.min_places).select("_well", "read_uid", F.lit(0).alias("cluster"), "n_places", F.lit(FEW_PLACES).alias("reason"))
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("read_uid", kind="stable")
+        rows = np.array(pdf["vector"].tolist()).view("U1").reshape(len(pdf), -1)
+        found, why = gather(pdf["read_uid"].tolist(), rows, s)
+        return pd.DataFrame({"_well": pdf["_well"], "read_uid": pdf["read_uid"], "cluster": pd.array(found, "Int32"), "n_places": pdf["n_places"], "reason": why})
+
+    many = vectors.where(F.col("n_places") >= s.min_places).groupBy("_well").applyInPandas(one, "_well string, read_uid string, cluster int, n_places int, reason string")
+    return many.unionByName(few)
 
 
 def cluster_reads(reads: DataFrame, s: ClusterSettings = ClusterSettings(), well: str = "well_id") -> DataFrame:
     """well, read_uid, cluster, n_places, reason for reads of (well, read_uid, sequence)."""
-    sizes = reads.groupBy(well).count().where(F.col("count") > WELL_LIMIT).limit(1).collect()
-    if sizes:
-        raise ValueError(f"well {sizes[0][0]} has more than {WELL_LIMIT} reads")
+    counted = reads.groupBy(F.col(well).alias("_well")).count()
+    large = counted.where(F.col("count") > max(WELL_LIMIT, s.min_size))
+    widest = large.agg(F.max_by("_well", "count"), F.max("count")).first()
+    if (widest[1] or 0) > VECTOR_LIMIT:
+        raise ValueError(f"well {widest[0]} has more than {VECTOR_LIMIT} reads")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("read_uid", kind="stable")
         found, places, why = cluster(pdf["read_uid"].tolist(), pdf["sequence"].fillna("").tolist(), s)
-        return pd.DataFrame({well: pdf[well], "read_uid": pdf["read_uid"], "cluster": pd.array(found, "Int32"), "n_places": len(places), "reason": why})
-
-    return reads.select(well, "read_uid", "sequence").groupBy(well).applyInPandas(one, f"{well} string, read_uid string, cluster int, n_places int, reason string")
-
+        return pd.DataFrame({"_well": pdf["_well"], "read_uid": pdf["read_uid"], "cluster": pd.array(found, "Int32"), "n_places": len(places), "reason": why})
+
+    own = reads.select(F.col(well).cast("string").alias("_well"), "read_uid", F.coalesce("sequence", F.lit("")).alias("sequence"))
+    small = own
+    if widest[1] is not None:
+        names = large.select(F.col("_well").cast("string").alias("_at"))
+        same = F.col("_well").eqNullSafe(F.col("_at"))
+        small = own.join(names, same, "left_anti")
+    out = small.groupBy("_well").applyInPandas(one, "_well string, read_uid string, cluster int, n_places int, reason string")
+    if widest[1] is not None:
+        out = out.unionByName(_spread(own.join(names, same, "left_semi"), s))
+    return out.withColumnRenamed("_well", well)

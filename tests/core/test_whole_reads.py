@@ -136,3 +136,21 @@ def test_assembly_errors(spark, tables, refs):
         assert x.found == sum(uid == x.uid for uid, _ in parts)
         assert x.outcome in ("intact", "chimeric", "missing", "unresolved")
     assert {x.outcome for x in got.values()} >= {"intact", "missing"}
+
+
+def test_large_wells_are_clustered_as_small_ones(spark, monkeypatch):
+    """Wells beyond the limit of one task: two clones, one clone, a null well, empty reads, a read too worn to tell."""
+    r = random.Random(5)
+    base = "".join(r.choice("ACGT") for _ in range(120))
+    other = "".join({"A": "C", "C": "G", "G": "T", "T": "A"}[c] if i % 11 == 3 else c for i, c in enumerate(base))
+    worn = lambda s: "".join(c for c in s if r.random() > 0.02)
+    rows = [("two", f"r{i:03d}", worn(base if i % 3 else other)) for i in range(60)]
+    rows += [("one", f"s{i:03d}", worn(base)) for i in range(30)] + [(None, f"t{i:03d}", worn(other if i % 2 else base)) for i in range(40)]
+    rows += [("two", "x", ""), ("two", "y", base[:40]), ("two", "z", base[:40]), ("few", "u", base), ("blank", "v", None), ("blank", "w", "")]
+    rows += [("void", f"e{i:02d}", "") for i in range(20)]
+    reads = spark.createDataFrame(rows, "well_id string, read_uid string, sequence string")
+    told = lambda: sorted(map(str, clustering.cluster_reads(reads).collect()))
+    expected = told()
+    assert len(expected) == len(rows) and any("2 clusters" in x for x in expected)
+    monkeypatch.setattr(clustering, "WELL_LIMIT", 10)
+    assert told() == expected
