@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .centroids import op11_elkan_clusters
 from .class_lm import op3_class_lm_scores
 from .decontamination import op6_benchmark_decontamination
 from .line_dedup import op9_line_dedup
@@ -13,6 +14,8 @@ from .secret_scan import op1_secret_scan
 from .sharding import op7_sharding
 from .suffix_dedup import op8_suffix_dedup
 from .token_counts import op5_token_counts
+from .vector_codes import op13_vector_codes
+from .vector_oracles import elkan_clusters_sql, vector_codes_sql
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
@@ -25,12 +28,15 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op11_elkan_clusters": op11_elkan_clusters,
+    "op13_vector_codes": op13_vector_codes,
 }
 ORACLES: dict[str, str] = {
     "op2_quality_rules": quality_sql(),
-    "op8_suffix_dedup": op8_suffix_dedup,
     "op6_benchmark_decontamination": decontamination_sql(),
     "op8_suffix_dedup": suffix_dedup_sql(),
     "op9_line_dedup": line_dedup_sql(),
     "op10_mixing": mixing_sql(),
+    "op11_elkan_clusters": elkan_clusters_sql(),
+    "op13_vector_codes": vector_codes_sql(),
 }
