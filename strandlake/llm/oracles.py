@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from . import decontamination, line_dedup, mixing, quality_rules, suffix_dedup
+from . import decontamination, line_dedup, mixing, quality_rules, suffix_dedup, word_windows
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -85,6 +85,18 @@ kept AS (SELECT rid, string_agg(substr(h, 2 * begin + 1, 2 * (a - begin)), '' OR
 SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256 FROM d LEFT JOIN kept USING (rid)"""
 
 
+def passages_sql() -> str:
+    n = word_windows.WINDOW
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+m AS (SELECT rid, coalesce(doc_id, {word_windows.NULL_ID}) AS doc, unnest(range(1, len(w) - {n - 2})) AS i, unnest([md5(array_to_string(w[j:j + {n - 1}], ' ')) for j in range(1, len(w) - {n - 2})]) AS s FROM d WHERE len(w) >= {n}),
+late AS (SELECT rid, i FROM (SELECT rid, i, doc, min(doc) OVER (PARTITION BY s) AS least FROM m) WHERE least < doc),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + {n})) AS i FROM late),
+words AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+kept AS (SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS k FROM words ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (rid)"""
+
+
 def line_dedup_sql() -> str:
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS site, coalesce(text, '') AS body FROM documents),

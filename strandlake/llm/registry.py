@@ -8,7 +8,7 @@ from .decontamination import op6_benchmark_decontamination
 from .line_dedup import op9_line_dedup
 from .mixing import op10_mixing
 from .near_duplicates import op4_simhash_near_dedup
-from .oracles import decontamination_sql, line_dedup_sql, mixing_sql, quality_sql, suffix_dedup_sql
+from .oracles import decontamination_sql, line_dedup_sql, mixing_sql, passages_sql, quality_sql, suffix_dedup_sql
 from .quality_rules import op2_quality_rules
 from .secret_scan import op1_secret_scan
 from .sharding import op7_sharding
@@ -16,6 +16,7 @@ from .suffix_dedup import op8_suffix_dedup
 from .token_counts import op5_token_counts
 from .vector_codes import op13_vector_codes
 from .vector_oracles import elkan_clusters_sql, vector_codes_sql
+from .word_windows import op12_fm_passages
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
     "op11_elkan_clusters": op11_elkan_clusters,
+    "op12_fm_passages": op12_fm_passages,
     "op13_vector_codes": op13_vector_codes,
 }
 ORACLES: dict[str, str] = {
@@ -38,5 +40,6 @@ ORACLES: dict[str, str] = {
     "op9_line_dedup": line_dedup_sql(),
     "op10_mixing": mixing_sql(),
     "op11_elkan_clusters": elkan_clusters_sql(),
+    "op12_fm_passages": passages_sql(),
     "op13_vector_codes": vector_codes_sql(),
 }

@@ -83,7 +83,8 @@ def assign_parts(columns: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray,
 
 
 def unpack(row: Row, parts: int) -> np.ndarray:
-    return np.frombuffer(row["body"], dtype=row["kind"]).reshape(parts, -1, row["rows"])
+    flat = np.frombuffer(row["body"], dtype=row["kind"])
+    return flat.reshape(parts, len(flat) // (parts * row["rows"]), row["rows"])
 
 
 def pack_blocks(kept: DataFrame, dims: int, parts: int, scale: int, size: int = BLOCK) -> DataFrame:
@@ -159,8 +160,8 @@ def compress_vectors(df: DataFrame, parts: int = PARTS, entries: int = ENTRIES,
     first = fits.select("vec_id", "vector").orderBy(F.col("vec_id").asc_nulls_last(), "vector").limit(entries).collect()
     width = -(-dims // parts)
     start = np.zeros((len(first), parts * width), np.int64)
-    start[:, :dims] = whole(np.array([r["vector"] for r in first]).reshape(-1, dims), scale)
-    start = start.reshape(-1, parts, width).transpose(1, 0, 2)
+    start[:, :dims] = whole(np.array([r["vector"] for r in first]).reshape(len(first), dims), scale)
+    start = start.reshape(len(first), parts, width).transpose(1, 0, 2)
     if not first:
         return stash(encode(pack_blocks(fits, dims, parts, scale), start, "long", label), "codes"), Codebooks(start, dims)
     packed = stash(pack_blocks(fits, dims, parts, scale, block), "vector-blocks")

@@ -136,6 +136,7 @@ def test_codes(spark, parts, dims, more):
 
 def test_codes_of_few_and_none(spark):
     brute_codes_equal(spark, [(1, [1.0, 2.0], 0), (1, [0.0, 2.0], None), (2, [1.0], 3)], 2, 2, 4)
+    brute_codes_equal(spark, [(1, [], 0), (2, [], 1)], 2, 2, 4)
     for rows in ([], [(1, None, 0)]):
         got, books = vector_codes.compress_vectors(table(spark, rows))
         assert got.collect() == [] and books.entries.size == 0
