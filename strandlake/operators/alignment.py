@@ -12,6 +12,8 @@ reference base, then an insertion, which puts gaps as far left as they go.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
 from ..functions.dna import COMPLEMENT, IUPAC, MASK
@@ -145,64 +147,69 @@ def common_tail(a: str, b: str) -> int:
     return low
 
 
-def global_path(query: str, reference: str) -> list[tuple[str, int]]:
-    """Operations (=, X, I: only in the query, D: only in the reference) with their counts."""
-    tail = common_tail(query, reference)  # read from the end, equal symbols are always a diagonal step
-    if tail:
-        head = global_path(query[: len(query) - tail], reference[: len(reference) - tail])
-        return [*head[:-1], ("=", head[-1][1] + tail)] if head and head[-1][0] == "=" else [*head, ("=", tail)]
-    if not query or not reference:
-        return [(op, n) for op, n in (("I", len(query)), ("D", len(reference))) if n]
-    columns = list(_columns(query, reference, False, False))
-    i, j, steps = len(query), len(reference), []
-    while i and j:
-        _, up, down = columns[j - 1]
-        bit = 1 << (i - 1)
-        here = 1 if up & bit else -1 if down & bit else 0  # this cell less the one above
-        # value of the cell to the left and of the diagonal one, against this cell
-        if j > 1:
-            left_up, left_down = columns[j - 2][1], columns[j - 2][2]
-            left_here = 1 if left_up & bit else -1 if left_down & bit else 0
-        else:
-            left_here = 1
-        same = query[i - 1] == reference[j - 1]
-        delta = _left_minus_here(columns, i, j)
-        diagonal = delta - left_here
-        if (same and diagonal == 0) or (not same and diagonal == -1):
-            steps.append("=" if same else "X")
-            i, j = i - 1, j - 1
-        elif delta == -1:
-            steps.append("D")
-            j -= 1
-        else:
-            assert here == 1
-            steps.append("I")
-            i -= 1
-    steps += ["I"] * i + ["D"] * j
-    out: list[tuple[str, int]] = []
-    for op in reversed(steps):
-        if out and out[-1][0] == op:
-            out[-1] = (op, out[-1][1] + 1)
-        else:
-            out.append((op, 1))
-    return out
-
+def _steps(peq: dict[int, int], m: int, text: str, up: int, down: int):
+    """Columns of a global alignment from one of which up and down are known: up and down before each column, whether it is a
+    diagonal step without cost in each row, and whether its value is one more than that to its left."""
+    full = (1 << m) - 1
+    for symbol in text:
+        eq = peq.get(symbol, 0)
+        x = eq | down
+        d = ((((x & up) + up) ^ up) | x) & full
+        plus, minus = down | (full & ~(d | up)), up & d
+        yield up, down, d, plus
+        plus, minus = (plus << 1) | 1, minus << 1
+        up, down = (minus | ~(d | plus)) & full, plus & d & full
 
-def _left_minus_here(columns: list, i: int, j: int) -> int:
-    """Value at (i, j - 1) less the value at (i, j): column sums of the vertical differences."""
-    low = (1 << i) - 1
-    _, up, down = columns[j - 1]
-    here = j + (up & low).bit_count() - (down & low).bit_count()
-    if j == 1:
-        return i - here
-    _, up, down = columns[j - 2]
-    return j - 1 + (up & low).bit_count() - (down & low).bit_count() - here
 
+def global_path(query: str, reference: str) -> list[tuple[str, int]]:
+    """Operations (=, X, I: only in the query, D: only in the reference) with their counts.
 
-def projected(query: str, reference: str, gap: str = "-") -> list[str]:
-    """The query's symbol at each reference place, or gap."""
+    Only every so many columns are kept; those between are made again when the way back comes to them, so memory grows with
+    the square root of the reference's length."""
+    tail = common_tail(query, reference)  # read from the end, equal symbols are always a diagonal step
+    i, j = len(query) - tail, len(reference) - tail
+    counts: list[list] = [["=", tail]] if tail else []  # from the end on
+
+    def add(op: str, n: int) -> None:
+        if n and counts and counts[-1][0] == op:
+            counts[-1][1] += n
+        elif n:
+            counts.append([op, n])
+
+    if i and j:
+        peq, m, text = match_masks(query[:i], False), i, reference[:j]
+        every = math.isqrt(j) + 1
+        marks = []
+        for at, (up, down, _, _) in enumerate(_steps(peq, m, text, (1 << m) - 1, 0)):
+            if at % every == 0:
+                marks.append((up, down))
+        while marks and i and j:
+            start = (len(marks) - 1) * every
+            part = [(d, plus) for _, _, d, plus in _steps(peq, m, text[start:j], *marks.pop())]
+            while i and j > start:
+                d, plus = part[j - 1 - start]
+                bit = 1 << (i - 1)
+                if query[i - 1] == reference[j - 1]:
+                    add("=", 1)
+                    i, j = i - 1, j - 1
+                elif not d & bit:
+                    add("X", 1)
+                    i, j = i - 1, j - 1
+                elif plus & bit:
+                    add("D", 1)
+                    j -= 1
+                else:
+                    add("I", 1)
+                    i -= 1
+    add("I", i)
+    add("D", j)
+    return [(op, n) for op, n in reversed(counts)]
+
+
+def projected(query: str, reference: str, gap: str = "-", path: list[tuple[str, int]] | None = None) -> list[str]:
+    """The query's symbol at each reference place, or gap. path: that of the two, if known."""
     out, qi, ri = [gap] * len(reference), 0, 0
-    for op, n in global_path(query, reference):
+    for op, n in global_path(query, reference) if path is None else path:
         if op in "=X":
             out[ri : ri + n] = query[qi : qi + n]
             qi, ri = qi + n, ri + n

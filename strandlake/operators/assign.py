@@ -4,21 +4,23 @@ For each k, from the largest on, the reads still without a match are joined with
 the k-mer index, the best few references by specificity are aligned, and the read
 is decided on all that it has met so far; an unambiguous or ambiguous decision
 ends its cascade. Reads without any are rescued with more candidates, or with all
-references. Each pair of read and reference is aligned once.
+references. Each pair of read and reference is aligned once, all pairs of a batch side
+by side; of a read's candidates only those that may be its two best are told exactly.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import shared_folder
 from . import kmers
-from .alignment import place
+from .bands import LANES, place_many
 from .flanks import Flanks
 from .motifs import MotifPair
 
@@ -44,33 +46,43 @@ class AssignSettings:
             raise ValueError("rescue is none, kmer or all; k-mer sizes fall")
 
 
-def passes(s: AssignSettings) -> Column:
-    return (F.col("identity") >= s.min_identity) & (F.col("query_coverage") >= s.min_query_coverage) & (F.col("reference_coverage") >= s.min_reference_coverage)
+def passes(s: AssignSettings, pair: Column) -> Column:
+    return (pair["identity"] >= s.min_identity) & (pair["query_coverage"] >= s.min_query_coverage) & (pair["reference_coverage"] >= s.min_reference_coverage)
+
+
+def with_decision(df: DataFrame, s: AssignSettings, pairs: str = "pairs") -> DataFrame:
+    """df with best (the best pair of an array of them; null without any), second_identity, assignment_status and identity_margin.
+
+    A pair without an identity is none of the two best."""
+    told = F.filter(pairs, lambda p: p["identity"].isNotNull())
+    keys = F.transform(told, lambda p: F.struct(-p["identity"], -F.least(p["query_coverage"], p["reference_coverage"]), p["edit_distance"], -p["score"], p["alias_key"], p.alias("pair")))
+    ranked = df.withColumn("_ranked", F.array_sort(keys))
+    ranked = ranked.withColumns({"best": F.get("_ranked", F.lit(0))["pair"], "_second": F.get("_ranked", F.lit(1))["pair"]})
+    margin = F.col("best.identity") - F.col("_second.identity")
+    close = F.coalesce(passes(s, F.col("_second")) & (margin < s.min_margin), F.lit(False))
+    single = F.instr("best.alias_key", "|") == 0
+    status = F.when(F.col("best").isNull() | ~passes(s, F.col("best")), "no_match").when(close, "ambiguous").when(single, "assigned_unique").otherwise("assigned_alias_set")
+    return ranked.withColumns({"second_identity": F.col("_second.identity"), "assignment_status": status, "identity_margin": margin}).drop("_ranked", "_second")
 
 
 def decide(aligned: DataFrame, s: AssignSettings, uid: str = "read_uid") -> DataFrame:
     """One row for each read with aligned candidates: its status, best reference and margin."""
-    order = Window.partitionBy(uid).orderBy(F.col("identity").desc(), F.least("query_coverage", "reference_coverage").desc(), "edit_distance", F.col("score").desc(), "alias_key")
-    ranked = aligned.withColumn("passes", passes(s)).withColumn("rank", F.row_number().over(order))
-    rival = ranked.withColumns({"second_identity": F.lead("identity").over(order), "second_passes": F.lead("passes").over(order)}).where("rank = 1")
-    margin = F.col("identity") - F.col("second_identity")
-    close = F.coalesce(F.col("second_passes") & (margin < s.min_margin), F.lit(False))
-    single = F.instr("alias_key", "|") == 0
-    status = F.when(~F.col("passes"), "no_match").when(close, "ambiguous").when(single, "assigned_unique").otherwise("assigned_alias_set")
-    return rival.withColumns({"assignment_status": status, "identity_margin": margin}).drop("rank", "second_passes", "passes")
-
-
-def aligned(pairs: DataFrame) -> DataFrame:
-    """pairs (with query and sequence) and their geometry."""
+    rows = aligned.groupBy(uid).agg(F.collect_list(F.struct(*[c for c in aligned.columns if c != uid])).alias("pairs"))
+    return with_decision(rows, s).select(uid, "best.*", "second_identity", "assignment_status", "identity_margin")
+
+
+def aligned(pairs: DataFrame, rivals: str | None = None) -> DataFrame:
+    """pairs (with query and sequence) and their geometry. With rivals (a column that names the read) pairs are left without
+    one where two others of the read are nearer, which spares most of the work on far candidates."""
     keep = [f for f in pairs.schema.fields if f.name not in ("query", "sequence")]
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in keep)}, {GEOMETRY}"
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = [place(q, r) for q, r in zip(part.column("query").to_pylist(), part.column("sequence").to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), *(pa.array([g[n] for g in found], t) for n, t in _FIELDS)], [*(f.name for f in keep), *(n for n, _ in _FIELDS)])
+            for at in range(0, batch.num_rows, LANES):
+                part = batch.slice(at, LANES)
+                found = place_many(part.column("query").to_pylist(), part.column("sequence").to_pylist(), part.column(rivals).to_pylist() if rivals else None)
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), *(pa.array(found[n], t) for n, t in _FIELDS)], [*(f.name for f in keep), *(n for n, _ in _FIELDS)])
 
     return pairs.mapInArrow(kernel, schema)
 
@@ -83,44 +95,47 @@ def checkpointed(df: DataFrame, name: str) -> DataFrame:
     return df.checkpoint()
 
 
+PAIR = f"alias_key string, matches long, score double, step int, {GEOMETRY}"
+
+
 def assign_reads(queries: DataFrame, groups: DataFrame, s: AssignSettings, keep_stage=None, uid: str = "read_uid") -> DataFrame:
     """uid, assignment_status, alias_key, kmer_size and geometry of every query (uid, library_id, query).
 
+    A step is one table: the reads that wait, each with the pairs it has met as an array, and what they decide.
     keep_stage(df, name) writes a stage's table and reads it back; by default a checkpoint does."""
     keep = keep_stage or checkpointed
     lookup = groups.select("library_id", "alias_key", "sequence")
-    known: DataFrame | None = None
-    decided: DataFrame | None = None
-    waiting = queries
-
-    def meet(found: DataFrame, step: int, k: int) -> DataFrame:
-        nonlocal known, decided
-        new = found.select(uid, "library_id", "alias_key", "matches", "score").withColumn("step", F.lit(step))
-        if known is not None:
-            new = new.join(known.select(uid, "alias_key"), [uid, "alias_key"], "left_anti")
-        pairs = kmers.joined_small(new, lookup, ["library_id", "alias_key"]).join(waiting.select(uid, "query"), uid)
-        fresh = keep(aligned(pairs), f"aligned-{step}")
-        every = fresh if known is None else known.unionByName(fresh)
-        met = fresh.select(uid).distinct()
-        known = keep(every, f"known-{step}") if step else fresh
-        now = decide(known.join(met, uid, "left_semi"), s, uid).withColumn("kmer_size", F.lit(k))
-        earlier = decided.join(met, uid, "left_anti") if decided is not None else None
-        decided = keep(now if earlier is None else earlier.unionByName(now), f"decided-{step}")
-        return waiting.join(decided.where("assignment_status <> 'no_match'").select(uid), uid, "left_anti")
-
-    for step, k in enumerate(s.kmer_sizes):
+    met = f"array<struct<{', '.join(f.replace(' ', ':') for f in PAIR.split(', '))}>>"
+    waiting = queries.select(uid, "library_id", "query", F.array().cast(met).alias("pairs"), F.lit(None).cast("int").alias("kmer_size"))
+    decided: list[DataFrame] = []
+
+    def meet(found: DataFrame, step: int, k: int, last: bool) -> DataFrame:
+        new = kmers.joined_small(found.select(uid, "library_id", "alias_key", "matches", "score"), lookup, ["library_id", "alias_key"])
+        known = F.exists("pairs", lambda p: p["alias_key"] == F.col("alias_key"))
+        pairs = new.drop("library_id").join(waiting.select(uid, "query", "pairs"), uid).where(~known)
+        fresh = aligned(pairs.select(uid, "alias_key", "matches", "score", F.lit(step).alias("step"), "query", "sequence"), uid)
+        fresh = fresh.where("identity is not null") if last else fresh  # no later step would meet them again
+        fields = [F.col(f.split()[0]) for f in PAIR.split(", ")]
+        fresh = fresh.groupBy(uid).agg(F.collect_list(F.struct(*fields)).alias("_fresh"))
+        every = F.concat("pairs", F.coalesce("_fresh", F.array().cast(met))).cast(met)
+        sizes = F.when(F.col("_fresh").isNotNull(), F.lit(k)).otherwise(F.col("kmer_size"))
+        joined = waiting.join(fresh, uid, "left").select(uid, "library_id", "query", every.alias("pairs"), sizes.alias("kmer_size"))
+        table = keep(with_decision(joined, s), f"step-{step}")
+        decided.append(table.where("assignment_status <> 'no_match'"))
+        return table.where("assignment_status = 'no_match'")
+
+    steps, index = list(s.kmer_sizes), None
+    for step, k in enumerate(steps):
         index = keep(kmers.build_index(groups, k, s.max_kmer_owners), f"index-{k}")
-        waiting = meet(kmers.shortlist(waiting, index, k, s.candidates, s.min_score, uid), step, k)
-    last = s.kmer_sizes[-1]
+        waiting = meet(kmers.shortlist(waiting, index, k, s.candidates, s.min_score, uid), step, k, s.rescue == "none" and k == steps[-1])
     if s.rescue == "kmer":
-        index = keep(kmers.build_index(groups, last, s.max_kmer_owners), "index-rescue")
-        meet(kmers.shortlist(waiting, index, last, s.rescue_candidates, 0.0, uid), len(s.kmer_sizes), last)
+        waiting = meet(kmers.shortlist(waiting, index, steps[-1], s.rescue_candidates, 0.0, uid), len(steps), steps[-1], True)
     elif s.rescue == "all":
         # every reference of the read's own library, for the reads that nothing else placed
         found = waiting.select(uid, "library_id").join(groups.select("library_id", "alias_key"), "library_id").withColumns({"matches": F.lit(0).cast("long"), "score": F.lit(0.0)})
-        meet(found, len(s.kmer_sizes), last)
-    out = queries.select(uid, "library_id").join(decided.drop("library_id"), uid, "left")
-    return out.withColumn("assignment_status", F.coalesce("assignment_status", F.lit("no_match")))
+        waiting = meet(found, len(steps), steps[-1], True)
+    out = functools.reduce(DataFrame.unionByName, [*decided, waiting])
+    return out.select(uid, "library_id", "best.*", "second_identity", "assignment_status", "identity_margin", "kmer_size")
 
 
 def route_plates(reads: DataFrame, routes: DataFrame, libraries: list[str], plate: str = "plate_id") -> DataFrame:
@@ -175,8 +190,10 @@ def insert_geometry(reads: DataFrame, insert: str = "own_insert", reference: str
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = [place(q, r) if q and r else None for q, r in zip(batch.column(insert).to_pylist(), batch.column(reference).to_pylist(), strict=True)]
-            columns = [pa.array([t[n] if t else None for t in told], pa.float64()) for n in ("identity", "query_coverage")]
+            queries, references = batch.column(insert).to_pylist(), batch.column(reference).to_pylist()
+            both = [bool(q and r) for q, r in zip(queries, references, strict=True)]
+            told = place_many([q or "" for q in queries], [r or "" for r in references])
+            columns = [pa.array([x if known else None for x, known in zip(told[n], both, strict=True)], pa.float64()) for n in ("identity", "query_coverage")]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "insert_identity", "insert_query_coverage"])
 
     return reads.mapInArrow(kernel, schema)

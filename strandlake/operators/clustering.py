@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .alignment import projected
 from .assign import checkpointed
+from .bands import path_many
 
 WELL_LIMIT = 20_000
 VECTOR_LIMIT = 4_000_000
@@ -48,7 +49,8 @@ class ClusterSettings:
 
 def matrix(reads: list[str], scaffold: str) -> np.ndarray:
     """A row for each read: its base (or gap) at each place of the scaffold."""
-    return np.array([projected(r, scaffold, GAP) for r in reads], "U1").reshape(len(reads), len(scaffold))
+    paths = path_many(reads, [scaffold] * len(reads))
+    return np.array([projected(r, scaffold, GAP, p) for r, p in zip(reads, paths, strict=True)], "U1").reshape(len(reads), len(scaffold))
 
 
 def modal(rows: np.ndarray) -> np.ndarray:
@@ -197,7 +199,9 @@ def _spread(reads: DataFrame, s: ClusterSettings) -> DataFrame:
 
     def describe(batches):
         for pdf in batches:
-            vectors = ["".join(np.array(projected(q, c, GAP), "U1")[np.asarray(at, int)]) if len(at) >= s.min_places else "" for q, c, at in zip(pdf["sequence"], pdf["scaffold"], pdf["places"])]
+            wanted = [len(at) >= s.min_places for at in pdf["places"]]
+            paths = path_many([q if w else "" for q, w in zip(pdf["sequence"], wanted, strict=True)], [c if w else "" for c, w in zip(pdf["scaffold"], wanted, strict=True)])
+            vectors = ["".join(np.array(projected(q, c, GAP, path), "U1")[np.asarray(at, int)]) if w else "" for q, c, at, w, path in zip(pdf["sequence"], pdf["scaffold"], pdf["places"], wanted, paths, strict=True)]
             yield pd.DataFrame({"_well": pdf["_well"], "read_uid": pdf["read_uid"], "vector": vectors, "n_places": pdf["places"].map(len)})
 
     vectors = checkpointed(_meet(reads, told).mapInPandas(describe, "_well string, read_uid string, vector string, n_places int"), "vectors")

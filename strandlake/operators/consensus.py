@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.reads import stable_rank
 from ..functions.statistics import binomial_upper_tail
-from .alignment import global_path
+from .bands import path_many
 from .kmers import joined_small
 
 LOW_RATE, HIGH_RATE = 0.002, 0.25
@@ -66,9 +66,10 @@ def observations(reads: DataFrame, min_quality: int) -> DataFrame:
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: Counter = Counter()
-            for group, reference, query, quality in zip(*(batch.column(c).to_pylist() for c in ("group_id", "reference", "sequence", "quality")), strict=True):
+            groups, references, queries, qualities = (batch.column(c).to_pylist() for c in ("group_id", "reference", "sequence", "quality"))
+            for group, query, quality, path in zip(groups, queries, qualities, path_many(queries, references), strict=True):
                 qi = ri = 0
-                for op, n in global_path(query, reference):
+                for op, n in path:
                     if op in "=X":
                         for k in range(n):
                             good = quality is None or ord(quality[qi + k]) - 33 >= min_quality

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dna import excisions
 from .alignment import global_path
+from .bands import path_many
 
 OVERHANG = 4
 MAX_SLOTS = 64
@@ -118,12 +119,12 @@ def library_summary(designs: DataFrame) -> DataFrame:
     return designs.agg(F.count_distinct("gene_id").alias("genes"), F.count_distinct("block").alias("blocks"), F.sum(n).alias("fragments"), F.count_if(n == 1).alias("single_fragment_genes"), F.max(n).alias("most_fragments"))
 
 
-def project_spans(query: str, design: str, spans: list[tuple[int, int]]) -> list[str]:
-    """What of a query lies on each span of its design; inserted bases belong to the span of the next base."""
+def project_spans(query: str, design: str, spans: list[tuple[int, int]], path: list[tuple[str, int]] | None = None) -> list[str]:
+    """What of a query lies on each span of its design; inserted bases belong to the span of the next base. path: that of the two, if known."""
     out, at = [""] * len(spans), 0
     where = lambda k: next((i for i, (a, b) in enumerate(spans) if a <= k < b), None)
     qi = 0
-    for op, n in global_path(query, design):
+    for op, n in global_path(query, design) if path is None else path:
         for _ in range(n):
             if op != "D":
                 i = where(min(at, len(design) - 1))
@@ -143,8 +144,10 @@ def read_parts(reads: DataFrame, genes: DataFrame) -> DataFrame:
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for uid, block, query, design, pieces in zip(*(batch.column(c).to_pylist() for c in ("uid", "block", "query", "sequence", "pieces")), strict=True):
-                parts = project_spans(query or "", design, [(p["start"], p["end"]) for p in pieces]) if design else []
+            uids, blocks, queries, designs, every = (batch.column(c).to_pylist() for c in ("uid", "block", "query", "sequence", "pieces"))
+            paths = path_many([q or "" for q in queries], [d or "" for d in designs])
+            for uid, block, query, design, pieces, path in zip(uids, blocks, queries, designs, every, paths, strict=True):
+                parts = project_spans(query or "", design, [(p["start"], p["end"]) for p in pieces], path) if design else []
                 rows += [(uid, block, p["slot"], part) for p, part in zip(pieces, parts, strict=False) if 2 * len(part) >= p["end"] - p["start"]]
             kinds = (pa.string(), pa.string(), pa.int32(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["uid", "block", "slot", "part"])
