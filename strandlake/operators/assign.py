@@ -112,7 +112,9 @@ def assign_reads(queries: DataFrame, groups: DataFrame, s: AssignSettings, keep_
     def meet(found: DataFrame, step: int, k: int, last: bool) -> DataFrame:
         new = kmers.joined_small(found.select(uid, "library_id", "alias_key", "matches", "score"), lookup, ["library_id", "alias_key"])
         known = F.exists("pairs", lambda p: p["alias_key"] == F.col("alias_key"))
-        pairs = new.drop("library_id").join(waiting.select(uid, "query", "pairs"), uid).where(~known)
+        # a number of its own keeps Spark from joining partitions by their bytes: the kernel's time goes by pairs
+        parts = kmers.spread(queries.sparkSession)
+        pairs = new.drop("library_id").repartition(parts, uid).join(waiting.select(uid, "query", "pairs").repartition(parts, uid), uid).where(~known)
         fresh = aligned(pairs.select(uid, "alias_key", "matches", "score", F.lit(step).alias("step"), "query", "sequence"), uid)
         fresh = fresh.where("identity is not null") if last else fresh  # no later step would meet them again
         fields = [F.col(f.split()[0]) for f in PAIR.split(", ")]

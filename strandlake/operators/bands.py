@@ -2,7 +2,8 @@
 
 A pair is a lane. Its band holds the cells within a few diagonals of the way from the
 first to the last symbol, as bits of one or more 64-bit words that slide down one row
-with each column; a step of NumPy over all lanes does a column. Rows above the first
+with each column; a step of NumPy over all lanes does a column. Where a band would be
+no narrower than the pattern all rows are taken at once instead. Rows above the first
 are wild (an alignment that may start anywhere) or count up (one that may not). What
 a band allows is known, so a distance within it is proved to be the least; pairs beyond
 go on with twice the words, until the band is the whole matrix. Ties are those of the
@@ -12,19 +13,23 @@ go on with twice the words, until the band is the whole matrix. Ties are those o
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 
 from ..functions.dna import MASK
 from . import alignment
 
-#: Lanes that go side by side at most, and bytes that the columns of a path may take.
-LANES, PATH_BYTES = 1024, 32 << 20
+#: Lanes that go side by side at most, words of them that a step takes, and bytes that the columns of a path may take.
+LANES, STEP_WORDS, PATH_BYTES = 4096, 16384, 64 << 20
 #: Edits that the first band of a pair allows at least.
 FIRST = 12
-#: Pairs that need more words, or whose best in a band is so many times what the band allows, go on in the big-integer kernel.
-WIDE, HOPELESS = 8, 6
+#: A pair whose best in a band of two words or more is so many times what the band allows goes on with a band that allows that.
+HOPELESS = 4
+#: Fewer pairs than this are not worth a sweep: each step costs the same for one lane as for a hundred.
+FEW = 16
+#: Of pairs side by side the longest is at most so many times the shortest.
+UNEVEN = 1.5
 _U = np.uint64
 _WILD, _NONE = 254, 255
 
@@ -37,7 +42,7 @@ class Swept:
     first: np.ndarray
     last: np.ndarray
     final: np.ndarray
-    columns: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
+    columns: tuple[np.ndarray, np.ndarray] | None = None
 
 
 def match_table(symbols: list[int], iupac: bool) -> np.ndarray:
@@ -62,14 +67,14 @@ def sweep(patterns: Sequence[np.ndarray], texts: Sequence[np.ndarray], table: np
     held = max((columns >> 6) + words + 2, int((above + m).max(initial=0) >> 6) + 1)
     codes = np.full((lanes, held * 64), _NONE, np.uint8)
     symbols = len(table)
-    text = np.full((columns, lanes), symbols - 1, np.int64)
+    text = np.full((lanes, columns), symbols - 1, np.uint8)
     for k in range(lanes):
         codes[k, : above[k]] = _WILD
         codes[k, above[k] : above[k] + m[k]] = patterns[k]
         size = min(columns, int(n[k]))
-        text[:size, k] = texts[k][:size]
+        text[k, :size] = texts[k][:size]
     lane = np.arange(lanes)
-    text = text * lanes + lane
+    text = np.ascontiguousarray(text.T)
     peq = np.empty((held, symbols, lanes), _U)
     for s in range(symbols):
         peq[:, s] = np.packbits(table[s][codes], axis=1, bitorder="little").view(_U).T
@@ -78,7 +83,8 @@ def sweep(patterns: Sequence[np.ndarray], texts: Sequence[np.ndarray], table: np
     rows = np.arange(64 * words)[None, :] >= above[:, None]  # of column 0: those below row 0
     up = np.ascontiguousarray(np.packbits(rows, axis=1, bitorder="little").view(_U).T)
     down = np.zeros_like(up) if free else ~up
-    diagonal, right, left = np.empty_like(up), np.empty_like(up), np.empty_like(up)
+    right, left, shifted = np.empty_like(up), np.empty_like(up), np.empty_like(up)
+    part, diagonal = np.empty_like(up), np.empty_like(up)
     turn = np.maximum(m - below, 0)  # the column in which the band's last row is the pattern's
     score = np.where(turn > 0, below, m)
     stop = np.minimum(n, m + above)
@@ -86,42 +92,35 @@ def sweep(patterns: Sequence[np.ndarray], texts: Sequence[np.ndarray], table: np
     final = m.copy()
     early, late = int(turn.min(initial=0)), int(turn.max(initial=0))
     out = Swept(best, first, last, final)
-    one = _U(1)
+    if keep:
+        out.columns = np.empty((columns, words, lanes), _U), np.empty((columns, words, lanes), _U)
+    one, index, tops = _U(1), np.empty(lanes, np.int64), np.zeros(lanes, _U)
     for j in range(columns):
         word, bit = j >> 6, _U(j & 63)
-        low = flat[word].take(text[j])
-        carry = None
-        for w in range(words):
-            if bit:
-                high = flat[word + w + 1].take(text[j])
-                eq = (low >> bit) | (high << (_U(64) - bit))
-                low = high
-            else:
-                eq = low
-                low = flat[word + w + 1].take(text[j]) if w + 1 < words else low
-            eq |= down[w]
-            total = eq & up[w]
-            if w + 1 < words:
-                part = total
-                total = part + up[w]
-                over = total < part
-                if carry is not None:
-                    total += carry
-                    over |= total < carry
-                carry = over.astype(_U)
-            else:
-                total += up[w]
-                if carry is not None:
-                    total += carry
-            total ^= up[w]
-            total |= eq
-            diagonal[w] = total
+        np.multiply(text[j], lanes, out=index, dtype=np.int64)
+        index += lane
+        eq = flat[word : word + words + 1].take(index, axis=1)
+        if bit:
+            np.right_shift(eq[:-1], bit, out=part)
+            np.left_shift(eq[1:], _U(64) - bit, out=shifted)
+            eq = np.bitwise_or(part, shifted, out=eq[:-1])
+        else:
+            eq = eq[:-1]
+        eq |= down
+        np.bitwise_and(eq, up, out=part)
+        add_carried(part, up, diagonal)
+        diagonal ^= up
+        diagonal |= eq
         np.bitwise_or(diagonal, up, out=right)
         np.invert(right, out=right)
         right |= down
         np.bitwise_and(diagonal, up, out=left)
         now = j + 1
-        if now <= late:
+        if now <= early:  # all lanes still follow their last diagonal
+            tops += diagonal[-1] >> _U(63)
+            if now == early:
+                score += early - tops.astype(np.int64)
+        elif now <= late:
             score += np.where(now <= turn, 1 - (diagonal[-1] >> _U(63)).astype(np.int64), 0)
         if now >= early:
             live = (now > turn) & (now <= stop)
@@ -136,8 +135,8 @@ def sweep(patterns: Sequence[np.ndarray], texts: Sequence[np.ndarray], table: np
             ended = now == n
             final[ended] = score[ended]
         if keep:
-            out.columns.append((diagonal.copy(), right.copy()))
-        shifted = diagonal >> one
+            out.columns[0][j], out.columns[1][j] = diagonal, right
+        np.right_shift(diagonal, one, out=shifted)
         if words > 1:
             shifted[:-1] |= diagonal[1:] << _U(63)
         np.bitwise_or(shifted, right, out=up)
@@ -147,6 +146,73 @@ def sweep(patterns: Sequence[np.ndarray], texts: Sequence[np.ndarray], table: np
     return out
 
 
+def add_carried(part: np.ndarray, up: np.ndarray, out: np.ndarray) -> None:
+    """part + up over all words of a lane, low word first; part is a subset of up."""
+    np.add(part, up, out=out)
+    if len(out) == 1:
+        return
+    over = out[:-1] < part[:-1]
+    while True:
+        out[1:] += over
+        over &= out[1:] == 0
+        over[1:] = over[:-1]
+        over[0] = False
+        if not over.any():
+            return
+
+
+def sweep_rows(patterns: Sequence[np.ndarray], texts: Sequence[np.ndarray], table: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least edits of patterns (of so many words) anywhere in their texts and the first best end, all rows of a column at once."""
+    lanes, symbols = len(patterns), len(table)
+    m, n = (np.array([len(x) for x in xs], np.int64) for xs in (patterns, texts))
+    codes = np.full((lanes, words * 64), _NONE, np.uint8)
+    text = np.full((lanes, int(n.max())), symbols - 1, np.uint8)
+    for k in range(lanes):
+        codes[k, : m[k]] = patterns[k]
+        text[k, : n[k]] = texts[k]
+    text = np.ascontiguousarray(text.T)
+    flat = np.empty((words, symbols, lanes), _U)
+    for s in range(symbols):
+        flat[:, s] = np.packbits(table[s][codes], axis=1, bitorder="little").view(_U).T
+    flat = flat.reshape(words, -1)
+    lane, bit = np.arange(lanes), ((m - 1) & 63).astype(_U)
+    up, down = np.full((words, lanes), ~_U(0)), np.zeros((words, lanes), _U)
+    part, d, right, left = (np.empty_like(up) for _ in range(4))
+    index, one, top = np.empty(lanes, np.int64), _U(1), _U(63)
+    score, best, first = m.copy(), m + 1, np.full(lanes, -1)
+    for j in range(len(text)):
+        np.multiply(text[j], lanes, out=index, dtype=np.int64)
+        index += lane
+        x = flat.take(index, axis=1)
+        x |= down
+        np.bitwise_and(x, up, out=part)
+        add_carried(part, up, d)
+        d ^= up
+        d |= x
+        np.bitwise_or(d, up, out=right)
+        np.invert(right, out=right)
+        right |= down
+        np.bitwise_and(d, up, out=left)
+        score += ((right[-1] >> bit) & one).astype(np.int64) - ((left[-1] >> bit) & one).astype(np.int64)
+        better = score < best
+        better &= j < n
+        if better.any():
+            best[better], first[better] = score[better], j
+        if words > 1:
+            np.right_shift(right, top, out=part)
+            np.right_shift(left, top, out=x)
+        right <<= one
+        left <<= one
+        if words > 1:
+            right[1:] |= part[:-1]
+            left[1:] |= x[:-1]
+        np.bitwise_or(d, right, out=up)
+        np.invert(up, out=up)
+        up |= left
+        np.bitwise_and(right, d, out=down)
+    return best, first
+
+
 def encoded(sequences: Sequence[str], iupac: bool) -> tuple[list[np.ndarray], np.ndarray] | None:
     """The sequences as codes and their match table; None if they hold what is no single byte."""
     try:
@@ -166,10 +232,11 @@ def encoded(sequences: Sequence[str], iupac: bool) -> tuple[list[np.ndarray], np
 
 def batches(sizes: np.ndarray, words: np.ndarray, most: int = LANES):
     """Pairs that go side by side: equal words, similar sizes."""
+    most = np.minimum(most, np.maximum(STEP_WORDS // np.maximum(words, 1), 8))
     order = np.lexsort((sizes, words))
     start = 0
     for i in range(1, len(order) + 1):
-        if i == len(order) or words[order[i]] != words[order[start]] or i - start >= most:
+        if i == len(order) or words[order[i]] != words[order[start]] or i - start >= most[order[start]] or sizes[order[i]] > UNEVEN * sizes[order[start]] + 64:
             yield order[start:i]
             start = i
 
@@ -209,27 +276,42 @@ def locate(patterns: list[str], texts: list[str], iupac: bool = True, rivals: Se
             out.distance[k], out.start[k], out.end[k] = alignment.first_location(patterns[k], texts[k], iupac)
         left = []
     todo = np.array(left, np.int64)
-    done = np.ones(count, bool)
+    done, started = np.ones(count, bool), np.zeros(count, bool)
     done[todo] = False
     keys = None if rivals is None else np.unique(np.array([str(x) for x in rivals]), return_inverse=True)[1]
     words = words_for(n - m + 2 * np.minimum(FIRST, m) + 1)
     while todo.size:
         codes, table = both
         allow = np.minimum((64 * words - 1 - (n - m)) // 2, m)
-        for k in todo[words[todo] > WIDE]:
-            out.distance[k], out.start[k], out.end[k] = alignment.first_location(patterns[k], texts[k], iupac)
-            done[k] = True
-        todo = todo[words[todo] <= WIDE]
-        far = np.zeros(count, bool)
+        need = 2 * words
+        rows = todo[words[todo] >= words_for(m[todo])]  # the band is no narrower than the pattern
+        for group in batches(n[rows], words_for(m[rows])):
+            at = rows[group]
+            if len(at) < FEW:
+                for k in at:
+                    out.distance[k], out.start[k], out.end[k] = alignment.first_location(patterns[k], texts[k], iupac)
+                started[at] = True
+            else:
+                out.distance[at], out.end[at] = sweep_rows([codes[k] for k in at], [codes[count + k] for k in at], table, int(words_for(m[at[:1]])[0]))
+            done[at] = True
+        told = rows[~started[rows]]
+        _starts(out, told, codes, table, patterns, texts, iupac)
+        todo = todo[~done[todo]]
         for group in batches(m[todo], words[todo]):
             at = todo[group]
+            if len(at) < FEW:
+                for k in at:
+                    out.distance[k], out.start[k], out.end[k] = alignment.first_location(patterns[k], texts[k], iupac)
+                done[at] = started[at] = True
+                continue
             swept = sweep([codes[k] for k in at], [codes[count + k] for k in at], table, n[at] - m[at] + allow[at], int(words[at[0]]), True)
             sure = swept.best <= allow[at]
             out.distance[at[sure]], out.end[at[sure]] = swept.best[sure], swept.first[sure]
             done[at[sure]] = True
-            far[at] = (swept.best > HOPELESS * allow[at]) & (words[at] > 1)
-        told = todo[done[todo]]
-        _starts(out, told, codes, table, m, count)
+            far = (swept.best > HOPELESS * allow[at]) & (words[at] > 1)
+            need[at[far]] = words_for(n[at] - m[at] + 2 * swept.best + 1)[far]
+        told = todo[done[todo] & ~started[todo]]
+        _starts(out, told, codes, table, patterns, texts, iupac)
         todo = todo[~done[todo]]
         if keys is not None and todo.size:
             low = np.where(done, 1 - out.distance / m, -1.0)
@@ -241,15 +323,20 @@ def locate(patterns: list[str], texts: list[str], iupac: bool = True, rivals: Se
             out_of = m[todo] / (m[todo] + allow[todo] + 1) < second[keys[todo]]
             out.open[todo[out_of]] = True
             todo = todo[~out_of]
-        words[todo] = np.where(far[todo], WIDE + 1, np.minimum(2 * words[todo], words_for(n[todo] + m[todo] + 1)))
+        words[todo] = np.minimum(need[todo], words_for(n[todo] + m[todo] + 1))
     return out
 
 
-def _starts(out: Spots, told: np.ndarray, codes: list[np.ndarray], table: np.ndarray, m: np.ndarray, count: int) -> None:
+def _starts(out: Spots, told: np.ndarray, codes: list[np.ndarray], table: np.ndarray, patterns: list[str], texts: list[str], iupac: bool) -> None:
     """Starts of the pairs told: from the end backwards, as far as it goes."""
-    words = words_for(2 * out.distance + 1)
+    count, m = len(patterns), np.array([len(p) for p in patterns], np.int64)
+    words = np.exp2(np.ceil(np.log2(words_for(2 * out.distance + 1)))).astype(np.int64)
     for group in batches(m[told], words[told]):
         at = told[group]
+        if len(at) < FEW:
+            for k in at:
+                out.start[k] = alignment.infix_start(patterns[k], texts[k], int(out.end[k]), int(out.distance[k]), iupac)
+            continue
         distance, end = out.distance[at], out.end[at]
         reach = [codes[count + k][max(0, e + 1 - int(m[k]) - d) : e + 1][::-1] for k, d, e in zip(at, distance.tolist(), end.tolist(), strict=True)]
         swept = sweep([codes[k][::-1] for k in at], reach, table, distance, int(words[at[0]]), False)
@@ -305,25 +392,32 @@ def path_many(queries: list[str], references: list[str]) -> list[list[tuple[str,
     todo, words = np.arange(len(left)), words_for(gap + 2 * FIRST + 1)
     while todo.size:
         codes, table = both
-        large = n * words * 16 > PATH_BYTES
+        large = (n * words * 16 > PATH_BYTES) | (words > words_for(m))  # such a band is no help
         for i in todo[large[todo]]:
             out[left[i]] = alignment.global_path(queries[left[i]], references[left[i]])
         todo = todo[~large[todo]]
         spare = (64 * words - 1 - gap) // 2
-        open_ = []
+        open_, need = [], 2 * words
         for w in np.unique(words[todo]):
             own = todo[words[todo] == w]
             most = max(1, min(LANES, PATH_BYTES // int(n[own].max() * w * 16)))
             for group in batches(m[own], words[own], most):
                 at = own[group]
+                if len(at) < min(FEW, most):
+                    for i in at:
+                        out[left[i]] = alignment.global_path(queries[left[i]], references[left[i]])
+                    continue
                 above = np.maximum(n[at] - m[at], 0) + spare[at]
                 swept = sweep([codes[i] for i in at], [codes[len(left) + i] for i in at], table, above, int(w), False, keep=True)
-                sure = (swept.final <= gap[at] + 2 * spare[at] + 1) | (spare[at] >= np.minimum(m[at], n[at]))
+                allow = gap[at] + 2 * spare[at] + 1
+                sure = (swept.final <= allow) | (spare[at] >= np.minimum(m[at], n[at]))
+                far = (swept.final > HOPELESS * allow) & (w > 1)
+                need[at[far]] = words_for(swept.final + 2)[far]
                 for i, path in zip(at[sure], _walk(swept, np.flatnonzero(sure), [codes[i] for i in at], [codes[len(left) + i] for i in at], above), strict=True):
                     out[left[i]] = path
                 open_ += at[~sure].tolist()
         todo = np.array(open_, np.int64)
-        words[todo] *= 2
+        words[todo] = np.minimum(need[todo], words_for(n[todo] + m[todo] + 1))
     return out
 
 
@@ -332,8 +426,8 @@ def _walk(swept: Swept, lanes: np.ndarray, queries: list[np.ndarray], references
     if not lanes.size:
         return []
     width = len(queries)
-    diagonal, right = (np.stack([c[k] for c in swept.columns]).reshape(-1) for k in (0, 1))
-    words = len(diagonal) // (len(swept.columns) * width)
+    words = swept.columns[0].shape[1]
+    diagonal, right = (x.reshape(-1) for x in swept.columns)
     longest = max(max(len(queries[k]), len(references[k])) for k in lanes)
     q, r = np.zeros((len(lanes), longest), np.uint8), np.zeros((len(lanes), longest), np.uint8)
     for x, k in enumerate(lanes):

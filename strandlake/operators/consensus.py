@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.reads import stable_rank
 from ..functions.statistics import binomial_upper_tail
 from .bands import path_many
-from .kmers import joined_small
+from .kmers import joined_small, spread
 
 LOW_RATE, HIGH_RATE = 0.002, 0.25
 
@@ -174,7 +174,8 @@ def build_consensus(reads: DataFrame, s: ConsensusSettings) -> DataFrame:
     chosen = select_reads(reads, s.max_reads, s.seed)
     used = chosen.groupBy("group_id").agg(F.count(F.lit(1)).alias("n_reads_used"), F.transform(F.array_sort(F.collect_list(F.struct("selection_rank", "read_uid"))), lambda r: r["read_uid"]).alias("contributors"))
     deep = used.where(F.col("n_reads_used") >= s.min_depth).select("group_id", "n_reads_used")
-    counted = observations(chosen.join(deep.select("group_id"), "group_id", "left_semi"), s.min_base_quality)
+    deeply = chosen.join(deep.select("group_id"), "group_id", "left_semi").repartition(spread(reads.sparkSession), "group_id", "read_uid")
+    counted = observations(deeply, s.min_base_quality)
     placed = places(counted).join(groups.select("group_id", "reference"), "group_id").where(F.col("pos") < F.length("reference"))
     placed = placed.withColumn("reference_base", F.substring("reference", F.col("pos") + 1, 1)).drop("reference")
     rated = with_rates(placed).join(deep, "group_id")

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.reads import alias_key
@@ -72,6 +72,11 @@ def build_index(groups: DataFrame, k: int, max_owners: int | None = None) -> Dat
     return owners.where(F.col("owners") <= max_owners) if max_owners else owners
 
 
+def spread(spark: SparkSession) -> int:
+    """Partitions for work whose cost lies in the rows: the session's number of shuffle partitions, all cores at least."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def joined_small(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:
     """left joined with right, which is broadcast only if its counted rows allow it."""
     return left.join(F.broadcast(right) if right.limit(rows + 1).count() <= rows else right, on, how)

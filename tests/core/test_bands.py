@@ -8,6 +8,11 @@ from strandlake.operators import alignment as al
 from strandlake.operators import bands
 
 
+@pytest.fixture(autouse=True, params=[1, 16])
+def few(request, monkeypatch):
+    monkeypatch.setattr(bands, "FEW", request.param)
+
+
 def mutated(r, s, rate, letters="ACGT"):
     out = []
     for c in s:
