@@ -3,9 +3,10 @@
 Fixed patterns give the base spans. Beyond them the text is read as source or
 configuration syntax: a lexer yields name-literal pairs. It knows strings (also in
 three quotes, over several lines, with prefixes), bare configuration values, sums and
-neighbours, block scalars, lists, calls that set a name or decode a value, XML and
-environment lists (name and value apart), passwords in URLs, anchors and aliases; the
-names around a pair (brackets, indentation, sections) make its path. Comments are
+neighbours, block scalars, lists, calls that set a name or decode a value, XML
+attributes and elements, environment lists (name and value apart, bound by their mapping
+or tag at any distance), passwords in URLs, anchors and aliases; the names around a pair
+(brackets, indentation, sections) count beside its own. Comments are
 read like the rest, as secrets are left in them too. Constants are propagated from
 name to name, backwards and forwards, through sums and strings they are put into,
 until nothing changes, and each literal is scored by how sensitive the names are that
@@ -42,13 +43,16 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # a run of 32 or more is matched whole, shor
 _NAME = r"""(?:(?P<name>[A-Za-z_$@][\w.$\-]*+)(?:\[[ \t]*+["'](?P<key>[^"'\n]++)["'][ \t]*+\])?|(?P<q>["'])(?P<quoted>[^"'\\\n]++)(?P=q))"""
 _SIGN = r"""[ \t]*+(?P<op>:=|=>|\+=|\?=|=(?![=~>])|:(?![:/]))[ \t]*+"""
 #: What the lexer stops at: a new line with its indentation and list marks, a call that sets a name, a name with an assignment
-#: sign, the password of a URL, brackets, quotes. Nothing here goes back over what it has read.
+#: sign, the password of a URL, an XML element with text, brackets, quotes, other names. Nothing here goes back over what it
+#: has read.
 SCAN = re.compile(
     r"(?P<line>\n[ \t]*+(?:-[ \t]++)*+)"
     r"""|(?P<call>(?<![\w.])[A-Za-z_][\w.]*+[ \t]*+\([ \t]*+(?P<cq>["'])(?P<cname>[A-Za-z_][\w.\-]*+)(?P=cq)[ \t]*+,[ \t]*+)"""
     rf"|(?P<pair>(?<![\w.]){_NAME}{_SIGN})"
     r"|(?P<url>://[^\s/:@\"']++:(?=[^\s/@\"']++@))"
+    r"|(?P<element><(?P<ename>[A-Za-z_][\w.\-:]*+)>[ \t]*+(?P<ebody>[^<>\s][^<>\n]*+)</)"
     r"|(?P<open>[(\[{])|(?P<close>[)\]}])|(?P<quote>[\"'`])"
+    r"|(?P<other>(?<![\w.])[A-Za-z_$@][\w.$\-]*+)"  # a name without a sign: no part of it has one either
 )
 PAIR = re.compile(_NAME + _SIGN)
 SECTION = re.compile(r"[ \t]*+\[\[?[ \t]*+([^\[\]\n=,\"']++)\]\]?[ \t]*+(?=\n|$)")
@@ -61,6 +65,9 @@ EMPTY = re.compile(r"[ \t]*+(?:#[^\n]*+)?(?=\n|$)")
 SCALAR = re.compile(r"[|>][+\-0-9]*+[ \t]*+\n")
 ANNOTATED = re.compile(r"[ \t]*+=(?![=~>])[ \t]*+")
 INSERTED = re.compile(r"\$?\{([A-Za-z_][\w.]*+)\}|\$([A-Za-z_]\w*+)")
+SPACES = re.compile(r"\s*+")
+#: What ends the tag or statement that a label set by = belongs to.
+ENDED = re.compile(r"[>;]|\n[ \t]*+\n")
 MARK = re.compile(r"[&*][A-Za-z_][\w\-]*+")
 SCHEMES = {"bearer", "basic", "token", "digest"}
 #: Functions whose string arguments are the value itself.
@@ -80,6 +87,8 @@ WEIGHTS = {
 #: What the names around a name count beside it.
 NESTED = 0.8
 THRESHOLD = 0.55
+#: Of the names around a literal so many innermost ones are reported.
+PATH_NAMES = 32
 MIN_LITERAL = 8
 
 
@@ -89,12 +98,51 @@ class Span(NamedTuple):
     kind: str
 
 
+@dataclass(slots=True)
+class Scope:
+    """A name inside others. Its score needs only the fixed words met on the way, so a scope costs the same at any depth."""
+
+    name: str
+    parent: Scope | None
+    words: frozenset[str]
+    last: str
+
+    def path(self) -> str:
+        names, at = [], self
+        while at is not None and len(names) < PATH_NAMES:
+            names.append(at.name)
+            at = at.parent
+        return ".".join(reversed(names))
+
+
+def inside(parent: Scope | None, name: str) -> Scope:
+    parts = name_parts(name)
+    if not parts:
+        return Scope(name, parent, parent.words if parent else frozenset(), parent.last if parent else "")
+    fresh = sensitive_words(name)
+    if parent is None:
+        return Scope(name, None, fresh, parts[-1])
+    across = parent.last + parts[0]
+    if across in WEIGHTS:
+        fresh = fresh | {across}
+    return Scope(name, parent, parent.words if fresh <= parent.words else parent.words | fresh, parts[-1])
+
+
+@dataclass(slots=True)
+class Bracket:
+    """An open bracket: the scope inside, the name whose elements are collected ("": none), the label of a value to come."""
+
+    scope: Scope | None
+    collects: str = ""
+    label: str = ""
+
+
 @dataclass(slots=True)
 class Pair:
     """A name (with the names around it) and what is assigned to it: spans of literals, and words that may be names or literals."""
 
     name: str
-    path: str
+    scope: Scope
     literals: list[tuple[int, int]]
     words: list[tuple[int, int]]
     names: list[str]  # surely names: aliases, and what is put into strings
@@ -113,25 +161,27 @@ class Lexer:
     def __init__(self, text: str):
         self.text = text
         self.pairs: list[Pair] = []
-        self.brackets: list[tuple[str, str]] = []  # path, and the name whose elements are collected ("": none)
-        self.indents: list[tuple[int, str]] = []
-        self.section, self.indent = "", 0
-        self.label: tuple[int, str] = (-1, "")
-
-    def around(self) -> str:
+        self.brackets: list[Bracket] = []
+        self.indents: list[tuple[int, Scope]] = []
+        self.section: Scope | None = None
+        self.indent = 0
+        self.labels: list[tuple[int, str]] = []  # of mappings by indentation
+        self.attribute: tuple[int, str] = (-1, "")  # a label set by =, and where it ends
+        self.element: tuple[int, str] = (-1, "")  # a label that is an XML element
+
+    def around(self) -> Scope | None:
         if self.brackets:
-            return self.brackets[-1][0]
+            return self.brackets[-1].scope
         return self.indents[-1][1] if self.indents else self.section
 
-    def add(self, name: str, literals, words=(), names=(), op: str = "=") -> None:
-        path = self.around()
-        self.pairs.append(Pair(name, f"{path}.{name}" if path else name, list(literals), list(words), list(names), op))
+    def add(self, name: str, literals, words=(), names=(), op: str = "=", scope: Scope | None = None) -> None:
+        self.pairs.append(Pair(name, scope or inside(self.around(), name), list(literals), list(words), list(names), op))
 
     def run(self) -> list[Pair]:
         text, at = self.text, self.line(0, 0) if SECTION.match(self.text) else 0
         while m := SCAN.search(text, at):
             at = m.end()
-            kind = m.lastgroup if m.lastgroup in ("line", "call", "pair", "url", "open", "close", "quote") else "pair"
+            kind = m.lastgroup if m.lastgroup in ("line", "call", "pair", "url", "element", "open", "close", "quote", "other") else "pair"
             if m["line"] is not None:
                 at = self.line(m.start() + 1, at)
             elif m["call"] is not None:
@@ -142,8 +192,13 @@ class Lexer:
                 end = text.index("@", at)
                 self.add("url_password", [(at, end)])
                 at = end
+            elif m["element"] is not None:
+                at = self.tagged(m)
+            elif m["other"] is not None:
+                if text.startswith("(", at) and (cut := max(m[0].rfind("-"), m[0].rfind("$"))) >= 0:
+                    at = m.start() + cut + 1  # what is called may be the last part alone
             elif kind == "open":
-                self.brackets.append((self.around(), ""))
+                self.brackets.append(Bracket(self.around()))
             elif kind == "close":
                 if self.brackets:
                     self.brackets.pop()
@@ -151,6 +206,41 @@ class Lexer:
                 at = self.quoted(m.start())
         return self.pairs
 
+    def tagged(self, m: re.Match) -> int:
+        """An XML element with text; a value element belongs to the name element just before."""
+        a, b = m.span("ebody")
+        while self.text[b - 1] in " \t":
+            b -= 1
+        name, end = m["ename"], self.text.find(">", m.end())
+        end = m.end() if end < 0 else end + 1
+        if name.lower() in LABELS:
+            self.element = (end, self.text[a:b])
+        elif name.lower() in VALUES and self.element[0] >= 0 and SPACES.fullmatch(self.text, self.element[0], m.start()):
+            name = self.element[1]
+        self.add(name, [(a, b)])
+        return m.end()
+
+    def label_of(self, op: str, at: int) -> str:
+        """The label that a value at this place belongs to, once: that of its bracket, its mapping by indentation, or its tag."""
+        if self.brackets:
+            label, self.brackets[-1].label = self.brackets[-1].label, ""
+        elif op == ":":
+            label = self.labels.pop()[1] if self.labels and self.labels[-1][0] == self.indent else ""
+        else:
+            (end, label), self.attribute = self.attribute, (-1, "")
+            label = label if end >= 0 and not ENDED.search(self.text, end, at) else ""
+        return label
+
+    def set_label(self, op: str, end: int, label: str) -> None:
+        if self.brackets:
+            self.brackets[-1].label = label
+        elif op == ":":
+            if self.labels and self.labels[-1][0] == self.indent:
+                self.labels.pop()
+            self.labels.append((self.indent, label))
+        else:
+            self.attribute = (end, label)
+
     def line(self, start: int, at: int) -> int:
         """A new line: leave what it is not inside of; a list item belongs to the name above."""
         if self.brackets:
@@ -158,13 +248,17 @@ class Lexer:
         self.indent = at - start
         while self.indents and self.indents[-1][0] >= self.indent:
             self.indents.pop()
+        item = "-" in self.text[start:at]
+        if self.text[at : at + 1] not in ("", "\n"):
+            while self.labels and (self.labels[-1][0] > self.indent or (item and self.labels[-1][0] == self.indent)):
+                self.labels.pop()
         if section := SECTION.match(self.text, start):
-            self.section, self.indents = section[1].strip(), []
+            self.section, self.indents = inside(None, section[1].strip()), []
             return section.end()
-        if self.text[start:at].endswith((" ", "\t")) and "-" in self.text[start:at] and self.indents and not PAIR.match(self.text, at):
-            path = self.indents[-1][1]
+        if self.text[start:at].endswith((" ", "\t")) and item and self.indents and not PAIR.match(self.text, at):
+            scope = self.indents[-1][1]
             literals, words, names, at, _ = self.value(at, ":")
-            self.pairs.append(Pair(path.rsplit(".", 1)[-1], path, literals, words, names, ":"))
+            self.add(scope.name, literals, words, names, ":", scope)
         return at
 
     def quoted(self, start: int) -> int:
@@ -174,9 +268,9 @@ class Lexer:
         m = STRING.match(self.text, start)
         if not m:
             return start + 1 if self.text[start] in "\"'`" else start + 2
-        if self.brackets and self.brackets[-1][1]:
-            path, name = self.brackets[-1]
-            self.pairs.append(Pair(name, path, self.pieces(m), [], self.inserted(m)))
+        if self.brackets and self.brackets[-1].collects:
+            own = self.brackets[-1]
+            self.add(own.collects, self.pieces(m), (), self.inserted(m), scope=own.scope)
         elif '":' in m[0] or "':" in m[0]:
             return start + 1
         return m.end()
@@ -184,9 +278,9 @@ class Lexer:
     def assigned(self, name: str, op: str, at: int) -> int:
         """What stands behind an assignment sign."""
         text = self.text
-        path = f"{self.around()}.{name}" if self.around() else name
+        scope = inside(self.around(), name)
         if op == ":" and not self.brackets and EMPTY.match(text, at):
-            self.indents.append((self.indent, path))
+            self.indents.append((self.indent, scope))
             return at
         if op == ":" and (m := SCALAR.match(text, at)):
             end, literals = m.end(), []
@@ -205,25 +299,34 @@ class Lexer:
         lower = name.lower()
         if lower in LABELS and len(literals) + len(words) == 1:
             a, b = (literals or words)[0]
-            self.label = (end, text[a:b])
-        elif lower in VALUES and 0 <= self.label[0] and end - self.label[0] < 1000 + sum(b - a for a, b in literals):
-            name, self.label = self.label[1], (-1, "")
+            self.set_label(op, end, text[a:b])
+        elif lower in VALUES and (label := self.label_of(op, at)):
+            name, scope = label, inside(self.around(), label)
         if literals or words or names:
-            self.add(name, literals, words, names, op)
+            self.add(name, literals, words, names, op, scope)
         if opened:
-            self.brackets.append((path, name if opened in "([" else ""))
+            self.brackets.append(Bracket(scope, name if opened in "([" else ""))
         return end
 
     def value(self, at: int, op: str) -> tuple[list, list, list, int, str]:
         """Literals, words, names and end of an expression; a bracket that it opens, or "" (call arguments count if they are decoded)."""
-        text, literals, words, names = self.text, [], [], []
+        text, literals, words, names, marks = self.text, [], [], [], []
+
+        def told(end: int, opened: str = "") -> tuple[list, list, list, int, str]:
+            if not marks:
+                return literals, words, names, end, opened
+            for mark, inner in zip(marks, marks[1:], strict=False):  # anchors before anchors stand for what comes
+                self.add(mark, [], [], [inner], op)
+            self.add(marks[-1], literals, words, names, op)
+            return literals, words, [*names, marks[0]], end, opened
+
         while at < len(text):
             if m := STRING.match(text, at):
                 literals += self.pieces(m)
                 names += self.inserted(m)
                 at = m.end()
             elif text[at] in "([{":
-                return literals, words, names, at + 1, text[at]
+                return told(at + 1, text[at])
             elif op == ":" and (m := MARK.match(text, at)):
                 at = m.end()
                 if m[0][0] == "*":
@@ -231,14 +334,13 @@ class Lexer:
                     break
                 while at < len(text) and text[at] in " \t":
                     at += 1
-                inner = self.value(at, op)
-                self.add(m[0][1:], *inner[:3], op=op)
-                return inner[0], inner[1], [*inner[2], m[0][1:]], inner[3], inner[4]
+                marks.append(m[0][1:])
+                continue
             elif m := BARE.match(text, at):
                 at = m.end()
                 if text[at : at + 1] == "(":
                     known = m[0].rsplit(".", 1)[-1].lower() in DECODERS
-                    return literals, words, names, at + 1 if known else at, "(" if known else ""
+                    return told(at + 1 if known else at, "(" if known else "")
                 if m[0].lower() in SCHEMES:
                     spaces = re.compile(r"[ \t]++").match(text, at)
                     if spaces and (more := BARE.match(text, spaces.end())):
@@ -255,7 +357,7 @@ class Lexer:
             if not joined or (op == ":" and words and not literals):
                 break
             at = joined.end()
-        return literals, words, names, at, ""
+        return told(at)
 
     def pieces(self, m: re.Match) -> list[tuple[int, int]]:
         """The span of a string's content; of one with several lines, of each line."""
@@ -281,10 +383,19 @@ def lex(text: str) -> list[Pair]:
 
 
 @lru_cache(maxsize=100_000)
-def name_score(name: str) -> float:
-    parts = [x.lower() for x in NAME_PART.findall(name)]
-    joined = {a + b for a, b in zip(parts, parts[1:], strict=False)}
-    return min(1.0, sum(WEIGHTS.get(x, 0.0) for x in {*parts, *joined}))
+def name_parts(name: str) -> tuple[str, ...]:
+    return tuple(x.lower() for x in NAME_PART.findall(name))
+
+
+@lru_cache(maxsize=100_000)
+def sensitive_words(name: str) -> frozenset[str]:
+    """The fixed words that are parts of a name, or two neighbouring parts of it."""
+    parts = name_parts(name)
+    return frozenset(x for x in (*parts, *(a + b for a, b in zip(parts, parts[1:], strict=False))) if x in WEIGHTS)
+
+
+def name_score(words: frozenset[str]) -> float:
+    return min(1.0, sum(WEIGHTS[x] for x in sorted(words)))
 
 
 def literal_score(value: str) -> float:
@@ -333,7 +444,7 @@ def assigned_spans(text: str) -> list[tuple[Span, str, float]]:
             names.append(pair.name)
         literals.append(held)
         others.append([j for j in (resolve(n, i) for n in names) if j is not None and j != i])
-    weights = [max(name_score(p.name), NESTED * name_score(p.path)) for p in pairs]
+    weights = [max(name_score(sensitive_words(p.name)), NESTED * name_score(p.scope.words)) for p in pairs]
     seen, best = [False] * len(pairs), {}
     for i in sorted(range(len(pairs)), key=lambda i: -weights[i]):
         if not weights[i]:
@@ -346,10 +457,10 @@ def assigned_spans(text: str) -> list[tuple[Span, str, float]]:
             seen[j] = True
             for span in literals[j]:
                 score = weights[i] * literal_score(text[span[0] : span[1]])
-                if score > best.get(span, (0.0, ""))[0]:
-                    best[span] = (score, pairs[i].path)
+                if score > best.get(span, (0.0, 0))[0]:
+                    best[span] = (score, i)
             todo += others[j]
-    return [(Span(*s, "literal"), n, x) for s, (x, n) in best.items() if x >= THRESHOLD]
+    return [(Span(*s, "literal"), pairs[i].scope.path(), x) for s, (x, i) in best.items() if x >= THRESHOLD]
 
 
 def scan_text(text: str) -> tuple[list[Span], list[tuple[Span, str, float]]]:

@@ -60,6 +60,46 @@ def test_assignments(text, found):
     assert [text[s.start : s.end] for s, _, _ in ss.scan_text(text)[1]] == found
 
 
+def literals(text):
+    return [text[s.start : s.end] for s, _, _ in ss.assigned_spans(text)]
+
+
+@pytest.mark.parametrize("text", ["k: " + "&a " * 2000 + "v", "a={" * 100_000, "x: 1 " + "a-" * 300_000, "x: 1 " + "$" * 300_000, "a--" * 200_000 + "=", "<a>" * 100_000, "name: x\n" * 50_000])
+def test_deep_and_long_runs_take_little(text):
+    import time
+    import tracemalloc
+
+    tracemalloc.start()
+    begun = time.process_time()
+    ss.assigned_spans(text)
+    taken = time.process_time() - begun
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert taken < 30 and most < 300 << 20
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "name: DB_PWD\nother: " + "x" * 5000 + "\n\nvalue: Zx9kQ2mN8pLr",
+        "- name: DB_PWD\n  note: a\n  value: Zx9kQ2mN8pLr\n- name: B\n  value: Ab9kQ2mN8pLr",
+        '{"name": "DB_PWD", "inner": {"name": "x"}, "value": "Zx9kQ2mN8pLr"}',
+        '<add key="db.pwd"\n  value="Zx9kQ2mN8pLr"/>',
+        "<name>db.pwd</name>\n  <value>Zx9kQ2mN8pLr</value>",
+        "<pwd> Zx9kQ2mN8pLr </pwd>",
+        "k: &a &b &c Zx9kQ2mN8pLr\npwd: *b",
+        'my-set("pwd", "Zx9kQ2mN8pLr")',
+    ],
+)
+def test_values_are_bound_by_scope(text):
+    assert literals(text) == ["Zx9kQ2mN8pLr"]
+
+
+@pytest.mark.parametrize("text", ["- name: DB_PWD\n- value: Zx9kQ2mN8pLr", '[{"name": "DB_PWD"}, {"value": "Zx9kQ2mN8pLr"}]', '<add key="db.pwd"/><add value="Zx9kQ2mN8pLr"/>', "<name>db.pwd</name> and <value>Zx9kQ2mN8pLr</value>"])
+def test_values_of_another_scope(text):
+    assert literals(text) == []
+
+
 def test_all_literals_of_a_name_are_scored():
     parts = [f"Xk{i:03d}-qLm!7zR" for i in range(150)]
     one = "a = " + " + ".join(f'"{p}"' for p in parts) + "\nauth_secret = a"
