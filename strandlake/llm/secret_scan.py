@@ -55,6 +55,7 @@ SCAN = re.compile(
     r"|(?P<other>(?<![\w.])[A-Za-z_$@][\w.$\-]*+)"  # a name without a sign: no part of it has one either
 )
 PAIR = re.compile(_NAME + _SIGN)
+BEGIN = re.compile(r"[ \t]*+(?:-[ \t]++)*+")
 SECTION = re.compile(r"[ \t]*+\[\[?[ \t]*+([^\[\]\n=,\"']++)\]\]?[ \t]*+(?=\n|$)")
 #: A string with its prefix: in three quotes, in one (not an apostrophe), or in backquotes.
 STRING = re.compile(r"""(?s)[fFrRbBuU]{0,2}(?:"{3}(?P<d3>.*?)"{3}|'{3}(?P<s3>.*?)'{3}|"(?P<dq>(?:[^"\\\n]|\\.)*+)"|(?<!\w)'(?P<sq>(?:[^'\\\n]|\\.)*+)'(?!\w)|`(?P<bq>[^`]*+)`)""")
@@ -178,7 +179,7 @@ class Lexer:
         self.pairs.append(Pair(name, scope or inside(self.around(), name), list(literals), list(words), list(names), op))
 
     def run(self) -> list[Pair]:
-        text, at = self.text, self.line(0, 0) if SECTION.match(self.text) else 0
+        text, at = self.text, self.line(0, BEGIN.match(self.text).end())
         while m := SCAN.search(text, at):
             at = m.end()
             kind = m.lastgroup if m.lastgroup in ("line", "call", "pair", "url", "element", "open", "close", "quote", "other") else "pair"
