@@ -18,7 +18,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import shared_folder
 from . import kmers
 from .bands import LANES, place_many
 from .flanks import Flanks
@@ -87,14 +86,6 @@ def aligned(pairs: DataFrame, rivals: str | None = None) -> DataFrame:
     return pairs.mapInArrow(kernel, schema)
 
 
-def checkpointed(df: DataFrame, name: str) -> DataFrame:
-    """A checkpoint in the folder the cluster names; in one of our own only where it names none and all runs in one process."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 PAIR = f"alias_key string, matches long, score double, step int, {GEOMETRY}"
 
 
@@ -103,7 +94,7 @@ def assign_reads(queries: DataFrame, groups: DataFrame, s: AssignSettings, keep_
 
     A step is one table: the reads that wait, each with the pairs it has met as an array, and what they decide.
     keep_stage(df, name) writes a stage's table and reads it back; by default a checkpoint does."""
-    keep = keep_stage or checkpointed
+    keep = keep_stage or kmers.checkpointed
     lookup = groups.select("library_id", "alias_key", "sequence")
     met = f"array<struct<{', '.join(f.replace(' ', ':') for f in PAIR.split(', '))}>>"
     waiting = queries.select(uid, "library_id", "query", F.array().cast(met).alias("pairs"), F.lit(None).cast("int").alias("kmer_size"))

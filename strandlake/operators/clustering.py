@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .alignment import projected
-from .assign import checkpointed
 from .bands import path_many
+from .kmers import checkpointed
 
 WELL_LIMIT = 20_000
 VECTOR_LIMIT = 4_000_000

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.reads import stable_rank
 from ..functions.statistics import binomial_upper_tail
 from .bands import path_many
-from .kmers import joined_small, spread
+from .kmers import checkpointed, joined_small, spread
 
 LOW_RATE, HIGH_RATE = 0.002, 0.25
 
@@ -48,18 +48,45 @@ def group_reads(reads: DataFrame, claimed: DataFrame | None = None) -> DataFrame
     return free.withColumn("group_id", F.concat_ws("\x1f", *[F.coalesce(c, F.lit("")) for c in parts]))
 
 
-def select_reads(reads: DataFrame, most: int, seed: int = 0) -> DataFrame:
+#: A threshold lets through so many reads more than are wanted: standard deviations of their number, and a few.
+MARGIN, SPARE = 6, 16
+
+
+def select_reads(reads: DataFrame, most: int, seed: int = 0, keep=None) -> DataFrame:
     """The first most reads of each group by a hash of their names (0: all), with selection_rank; a repeated name raises.
 
-    Names alone are ranked; the sequences meet the chosen names."""
+    Names alone are ranked; the sequences meet the chosen names. A group's size tells below which hash about most of its reads
+    lie, so that only these, little more than most, are ranked together whatever the size of the group. Groups of which too few
+    lie below (hardly ever) are ranked whole. keep(df, name) writes the named hashes; by default a checkpoint does."""
     named = reads.groupBy("group_id", "read_uid").agg(F.count(F.lit(1)).alias("_n"))
     sound = F.when(F.col("_n") > 1, F.raise_error(F.lit("a read occurs twice in a group"))).otherwise(F.lit(True))
-    order = Window.partitionBy("group_id").orderBy(stable_rank(F.col("read_uid"), F.col("group_id"), seed), "read_uid")
-    ranked = named.where(sound).select("group_id", "read_uid", F.row_number().over(order).alias("selection_rank"))
+    hashed = named.where(sound).select("group_id", "read_uid", stable_rank(F.col("read_uid"), F.col("group_id"), seed).alias("_hash"))
+    if most:
+        hashed = first_by_hash(hashed, most, keep or checkpointed)
+    order = Window.partitionBy("group_id").orderBy("_hash", "read_uid")
+    ranked = hashed.select("group_id", "read_uid", F.row_number().over(order).alias("selection_rank"))
     chosen = ranked.where(F.col("selection_rank") <= most) if most else ranked
     return joined_small(reads, chosen, ["group_id", "read_uid"])
 
 
+def first_by_hash(hashed: DataFrame, most: int, keep) -> DataFrame:
+    """Rows among which the first most of each group by _hash (hexadecimal digits) surely are; few more of large groups."""
+    hashed = keep(hashed, "named")
+    sizes = hashed.groupBy("group_id").agg(F.count(F.lit(1)).alias("_size"))
+    large = keep(sizes.where(F.col("_size") > most + MARGIN * most**0.5 + SPARE), "large-groups")
+    if large.isEmpty():
+        return hashed
+    share = F.lit(most + MARGIN * most**0.5 + SPARE) / F.col("_size")
+    at = F.conv(F.substring("_hash", 1, 13), 16, 10).cast("double") / float(1 << 52)
+    told = joined_small(hashed, large, ["group_id"], "left")
+    near = told.where(F.col("_size").isNull() | (at < share))
+    short = near.where(F.col("_size").isNotNull()).groupBy("group_id").agg(F.count(F.lit(1)).alias("_below"))
+    short = large.join(short, "group_id", "left").where(F.coalesce("_below", F.lit(0)) < most).select("group_id")
+    if short.isEmpty():
+        return near.select(*hashed.columns)
+    return near.join(short, "group_id", "left_anti").select(*hashed.columns).unionByName(hashed.join(short, "group_id", "left_semi"))
+
+
 def observations(reads: DataFrame, min_quality: int) -> DataFrame:
     """group_id, pos, kind (base, low, del, ins), allele, n for reads of (group_id, reference, sequence, quality)."""
 

@@ -23,7 +23,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def numbered(df: DataFrame, order: list[str], name: str = "place", keep=None) -> DataFrame:
     """df with its place (from 1) in an order, without one task that holds all rows: ranges are written, counted and numbered."""
-    from ..operators.assign import checkpointed
+    from ..operators.kmers import checkpointed
 
     ranged = (keep or checkpointed)(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
     before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range

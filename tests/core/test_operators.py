@@ -135,6 +135,23 @@ def test_kmer_index_and_cascade(spark):
         assign.AssignSettings(kmer_sizes=(9, 11))
 
 
+@pytest.mark.parametrize("margin,spare", [(6, 16), (0, 0), (-3, 0)])
+def test_first_reads_of_large_groups(spark, monkeypatch, margin, spare):
+    import hashlib
+
+    monkeypatch.setattr(consensus, "MARGIN", margin)
+    monkeypatch.setattr(consensus, "SPARE", spare)
+    rows = [("big", f"r{i}") for i in range(3000)] + [("mid", f"r{i}") for i in range(60)] + [("one", "r1")]
+    reads = spark.createDataFrame([(g, u, "ACGT") for g, u in rows], "group_id string, read_uid string, sequence string")
+    got = sorted((r.group_id, r.selection_rank, r.read_uid) for r in consensus.select_reads(reads, 30, 7).collect())
+    name = lambda g, u: hashlib.sha256(f"7\0{g}\0{u}".encode()).hexdigest()
+    want = []
+    for group in ("big", "mid", "one"):
+        own = sorted((u for g, u in rows if g == group), key=lambda u: name(group, u))[:30]
+        want += [(group, k + 1, u) for k, u in enumerate(own)]
+    assert got == sorted(want)
+
+
 def test_routing(spark):
     reads = spark.createDataFrame([("a", "P1"), ("b", "P9"), ("c", None)], "read_uid string, plate_id string")
     routes = spark.createDataFrame([("P1", "lib")], "plate_id string, library_id string")
