@@ -29,10 +29,14 @@ LOG = logging.getLogger(__name__)
 ORDER = ("demux", "references", "assign", "assignment", "sources", "chimeras", "chimera-consensus", "eligible", "consensus", "graded")
 
 
+def contents_of(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, bytes]]:
+    """SHA-256 and first bytes of every file that the paths name."""
+    return file_digests(spark, sorted({f for p in paths for f in listed(spark, p)}))
+
+
 def digests_of(spark: SparkSession, paths: list[str]) -> dict[str, str]:
     """SHA-256 of every file that the paths name."""
-    files = sorted({f for p in paths for f in listed(spark, p)})
-    return {name: digest for name, (digest, _) in file_digests(spark, files).items()}
+    return {name: digest for name, (digest, _) in contents_of(spark, paths).items()}
 
 
 def resolved_flanks(spark: SparkSession, library: str, settings: FlankSettings, config: RunConfig) -> Flanks:
@@ -74,10 +78,10 @@ def report_counts(name: str, counts: DataFrame, success: list[str]) -> None:
         LOG.warning("stage %s: none of %s reads or clones came through: %s", name, sum(told.values()), told)
 
 
-def read_inputs(spark: SparkSession, config: RunConfig) -> DataFrame:
+def read_inputs(spark: SparkSession, config: RunConfig, contents: dict[str, tuple[str, bytes]] | None = None) -> DataFrame:
     out = None
     for path, sample in config.inputs:
-        own = fastq_files(spark, path, sample, allow_empty=config.allow_empty)
+        own = fastq_files(spark, path, sample, allow_empty=config.allow_empty, digests=contents)
         out = own if out is None else out.unionByName(own)
     return out
 
@@ -195,8 +199,9 @@ def run(spark: SparkSession, config: RunConfig, folder: str, source: str | None
     With source, stages before recompute_from come from that run. digests (path to SHA-256) stand for the reads where those are
     no longer there; by default the contents are read."""
     stages = Stages(spark, folder, source, recompute_from, ORDER)
-    inputs = digests if digests is not None else digests_of(spark, [p for p, _ in config.inputs])
-    calls = stages.table("demux", {"inputs": [inputs, [s for _, s in config.inputs]], "gates": config.gates, "allow_empty": config.allow_empty, "panels": [config.plates, config.wells, config.plate_call, config.well_call]}, lambda: demultiplexed(read_inputs(spark, config), config))
+    contents = contents_of(spark, [p for p, _ in config.inputs]) if digests is None else None  # told once, for the stage and the reader
+    inputs = digests if contents is None else {name: digest for name, (digest, _) in contents.items()}
+    calls = stages.table("demux", {"inputs": [inputs, [s for _, s in config.inputs]], "gates": config.gates, "allow_empty": config.allow_empty, "panels": [config.plates, config.wells, config.plate_call, config.well_call]}, lambda: demultiplexed(read_inputs(spark, config, contents), config))
     report_counts("demux", calls.groupBy("call_status").count(), ["assigned"])
     out = {"demux": calls, "demux_index": demux.demux_index(calls.where("call_status = 'assigned'"))}
     if config.demux_only:

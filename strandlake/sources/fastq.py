@@ -23,7 +23,6 @@ import io
 import os
 import random
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -160,24 +159,52 @@ def listed(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
-def file_digests(spark: SparkSession, files: list[str], threads: int = 8) -> dict[str, tuple[str, bytes]]:
-    """SHA-256 and first two bytes of each file, read as streams in the JVM."""
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
+#: A file of up to so many bytes is digested as one value of Spark's own reader, a larger one as a stream of a task.
+WHOLE_BYTES = 128 << 20
+#: Stores that a task opens by itself for that.
+STREAMED = frozenset(["file", "hdfs", "s3", "s3a", "gs"])
+
+
+def _stream_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyarrow import fs
+
+    for batch in batches:
+        for name in batch.column("file").to_pylist():
+            local = name.startswith("file:")
+            store, path = (fs.LocalFileSystem(), name.replace("file:///", "/").removeprefix("file:")) if local else fs.FileSystem.from_uri(name.replace("s3a://", "s3://", 1))
+            digest, first = hashlib.sha256(), b""
+            with store.open_input_stream(path, compression=None) as data:
+                while piece := data.read(1 << 20):
+                    first = first or piece[:2]
+                    digest.update(piece)
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([digest.hexdigest()]), pa.array([first], pa.binary())], ["file", "digest", "first"])
 
-    def one(name: str) -> tuple[str, bytes]:
-        where = spark._jvm.org.apache.hadoop.fs.Path(name)
-        store = where.getFileSystem(conf)
-        begin = store.open(where)
-        first = bytes(b for b in (begin.read(), begin.read()) if b >= 0)
-        begin.close()
-        data = store.open(where)
+
+def file_digests(spark: SparkSession, files: list[str]) -> dict[str, tuple[str, bytes]]:
+    """SHA-256 and first two bytes of each file, told by the executors: the driver sees a row for each file. Only a file of more
+    than WHOLE_BYTES in a store that tasks cannot open is streamed through the driver."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    sizes = {n: hadoop(n).getFileSystem(conf).getFileStatus(hadoop(n)).getLen() for n in files}
+    large = {n for n in files if sizes[n] > WHOLE_BYTES}
+    by_tasks = sorted(n for n in large if n.split(":", 1)[0] in STREAMED)
+    out = {n: (hashlib.sha256().hexdigest(), b"") for n in files if not sizes[n]}
+    if small := [n for n in files if sizes[n] and n not in large]:
+        rows = spark.read.format("binaryFile").load(small).select("path", F.sha2("content", 256).alias("digest"), F.substring("content", 1, 2).alias("first")).collect()
+        told = {_plain(r.path): (r.digest, bytes(r.first)) for r in rows}
+        out |= {n: told[_plain(n)] for n in small}
+    if by_tasks:
+        names = spark.createDataFrame([(n,) for n in by_tasks], "file string").repartition(len(by_tasks))
+        out |= {r.file: (r.digest, bytes(r.first)) for r in names.mapInArrow(_stream_digests, "file string, digest string, first binary").collect()}
+    for name in sorted(large.difference(by_tasks)):
+        store = hadoop(name).getFileSystem(conf)
+        begin, data = store.open(hadoop(name)), store.open(hadoop(name))
         try:
-            return spark._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(data), first
+            out[name] = spark._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(data), bytes(b for b in (begin.read(), begin.read()) if b >= 0)
         finally:
+            begin.close()
             data.close()
-
-    with ThreadPoolExecutor(threads) as pool:
-        return dict(zip(files, pool.map(one, files), strict=True))
+    return out
 
 
 PIECE = "file string, record bigint, line int, value string"
@@ -200,10 +227,11 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if n == "record_index" else pa.string()) for n, c in zip(NAMES, columns, strict=True)], NAMES)
 
 
-def fastq_files(spark: SparkSession, path: str, sample_id: str = "", validate: bool = True, allow_empty: bool = False) -> DataFrame:
-    """Rows of SCHEMA of all files, in memory that does not grow with a file."""
+def fastq_files(spark: SparkSession, path: str, sample_id: str = "", validate: bool = True, allow_empty: bool = False, digests: dict[str, tuple[str, bytes]] | None = None) -> DataFrame:
+    """Rows of SCHEMA of all files, in memory that does not grow with a file. digests: what `file_digests` tells of them, if known."""
     files = listed(spark, path)
-    known = file_digests(spark, files)
+    known = {n: d for n, d in (digests or {}).items() if n in files}
+    known |= file_digests(spark, [n for n in files if n not in known])
     for name, (_, first) in known.items():
         if name.endswith(".gz") and first != GZIP_MAGIC and first:
             raise FastqError(name, 0, "named .gz but not compressed")

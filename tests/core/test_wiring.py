@@ -230,6 +230,20 @@ def test_split_states_against_the_path():
         qc.motif_spans("AAAACCCCAAAA", "AAAA", "CCCC")
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 10])
+def test_digests_come_from_tasks(spark, tmp_path, monkeypatch, limit):
+    import gzip
+    import hashlib
+
+    monkeypatch.setattr(fastq, "WHOLE_BYTES", limit)
+    text = b"@a 1\nACGT\n+\nIIII\n" * 40
+    for name, data in (("a b.fastq", text), ("c.fastq.gz", gzip.compress(text)), ("empty.fastq", b"")):
+        (tmp_path / name).write_bytes(data)
+    told = fastq.file_digests(spark, fastq.listed(spark, str(tmp_path)))
+    assert sorted(told.values()) == sorted((hashlib.sha256(p.read_bytes()).hexdigest(), p.read_bytes()[:2]) for p in tmp_path.iterdir())
+    assert fastq.fastq_files(spark, str(tmp_path), digests=told).count() == 80
+
+
 def test_flank_columns_agree_with_the_text(spark):
     for own in (flanks.Flanks(UP, DOWN), flanks.Flanks(UP, DOWN, in_references=True)):
         seq = INSERTS[0]
