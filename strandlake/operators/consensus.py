@@ -52,28 +52,34 @@ def group_reads(reads: DataFrame, claimed: DataFrame | None = None) -> DataFrame
 MARGIN, SPARE = 6, 16
 
 
-def select_reads(reads: DataFrame, most: int, seed: int = 0, keep=None) -> DataFrame:
-    """The first most reads of each group by a hash of their names (0: all), with selection_rank; a repeated name raises.
-
-    Names alone are ranked; the sequences meet the chosen names. A group's size tells below which hash about most of its reads
-    lie, so that only these, little more than most, are ranked together whatever the size of the group. Groups of which too few
-    lie below (hardly ever) are ranked whole. keep(df, name) writes the named hashes; by default a checkpoint does."""
+def named_reads(reads: DataFrame, seed: int) -> DataFrame:
+    """group_id, read_uid and the hash by which reads are chosen; a repeated name raises."""
     named = reads.groupBy("group_id", "read_uid").agg(F.count(F.lit(1)).alias("_n"))
     sound = F.when(F.col("_n") > 1, F.raise_error(F.lit("a read occurs twice in a group"))).otherwise(F.lit(True))
-    hashed = named.where(sound).select("group_id", "read_uid", stable_rank(F.col("read_uid"), F.col("group_id"), seed).alias("_hash"))
-    if most:
-        hashed = first_by_hash(hashed, most, keep or checkpointed)
+    return named.where(sound).select("group_id", "read_uid", stable_rank(F.col("read_uid"), F.col("group_id"), seed).alias("_hash"))
+
+
+def chosen_names(hashed: DataFrame, most: int) -> DataFrame:
+    """The first most names of each group (0: all) of written hashes, with selection_rank.
+
+    A group's size tells below which hash about most of its reads lie, so that only these, little more than most, are ranked
+    together whatever the size of the group. Groups of which too few lie below (hardly ever) are ranked whole."""
     order = Window.partitionBy("group_id").orderBy("_hash", "read_uid")
-    ranked = hashed.select("group_id", "read_uid", F.row_number().over(order).alias("selection_rank"))
-    chosen = ranked.where(F.col("selection_rank") <= most) if most else ranked
-    return joined_small(reads, chosen, ["group_id", "read_uid"])
+    ranked = (first_by_hash(hashed, most) if most else hashed).select("group_id", "read_uid", F.row_number().over(order).alias("selection_rank"))
+    return ranked.where(F.col("selection_rank") <= most) if most else ranked
+
+
+def select_reads(reads: DataFrame, most: int, seed: int = 0) -> DataFrame:
+    """The first most reads of each group by a hash of their names (0: all), with selection_rank; a repeated name raises.
+
+    Names alone are ranked; the sequences meet the chosen names."""
+    return joined_small(reads, chosen_names(checkpointed(named_reads(reads, seed), "named"), most), ["group_id", "read_uid"])
 
 
-def first_by_hash(hashed: DataFrame, most: int, keep) -> DataFrame:
+def first_by_hash(hashed: DataFrame, most: int) -> DataFrame:
     """Rows among which the first most of each group by _hash (hexadecimal digits) surely are; few more of large groups."""
-    hashed = keep(hashed, "named")
     sizes = hashed.groupBy("group_id").agg(F.count(F.lit(1)).alias("_size"))
-    large = keep(sizes.where(F.col("_size") > most + MARGIN * most**0.5 + SPARE), "large-groups")
+    large = checkpointed(sizes.where(F.col("_size") > most + MARGIN * most**0.5 + SPARE), "large-groups")
     if large.isEmpty():
         return hashed
     share = F.lit(most + MARGIN * most**0.5 + SPARE) / F.col("_size")
@@ -197,8 +203,12 @@ def build_consensus(reads: DataFrame, s: ConsensusSettings) -> DataFrame:
     """One row for each group of reads (group_id, read_uid, reference, sequence, quality).
 
     Insertions after the last reference base are not part of a consensus."""
-    groups = reads.groupBy("group_id").agg(F.count(F.lit(1)).alias("n_reads_available"), F.first("reference").alias("reference"))
-    chosen = select_reads(reads, s.max_reads, s.seed)
+    hashed = checkpointed(named_reads(reads, s.seed), "named")
+    chosen = joined_small(reads, checkpointed(chosen_names(hashed, s.max_reads), "chosen-names"), ["group_id", "read_uid"])
+    if s.max_reads:  # a bounded number from each group
+        chosen = checkpointed(chosen, "chosen")
+    sizes = hashed.groupBy("group_id").agg(F.count(F.lit(1)).alias("n_reads_available"))
+    groups = checkpointed(sizes.join(chosen.groupBy("group_id").agg(F.first("reference").alias("reference")), "group_id"), "groups")
     used = chosen.groupBy("group_id").agg(F.count(F.lit(1)).alias("n_reads_used"), F.transform(F.array_sort(F.collect_list(F.struct("selection_rank", "read_uid"))), lambda r: r["read_uid"]).alias("contributors"))
     deep = used.where(F.col("n_reads_used") >= s.min_depth).select("group_id", "n_reads_used")
     deeply = chosen.join(deep.select("group_id"), "group_id", "left_semi").repartition(spread(reads.sparkSession), "group_id", "read_uid")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dna
-from ..operators import chimera, clustering, comparisons as cp, consensus, fragments, pooling, qc
+from ..operators import chimera, clustering, comparisons as cp, consensus, fragments, kmers, pooling, qc
 from . import views
 from .registry import query
 
@@ -66,7 +66,8 @@ def consensus_path(spark, sf):
     """Consensus of the whole reads of one language and length class."""
     r = views.reads(spark, sf).where(F.length("sequence") > 0).withColumns({"group_id": F.concat_ws(":", "plate_id", (F.length("sequence") % 7).cast("string")), "read_uid": F.col("doc_id").cast("string")})
     first = r.groupBy("group_id").agg(F.min(F.struct("doc_id", "sequence"))["sequence"].alias("reference"))
-    return consensus.build_consensus(r.join(first, "group_id").select("group_id", "read_uid", "reference", "sequence", "quality"), consensus.ConsensusSettings(max_reads=30))
+    known = kmers.joined_small(r, kmers.checkpointed(first, "first"), ["group_id"])
+    return consensus.build_consensus(known.select("group_id", "read_uid", "reference", "sequence", "quality"), consensus.ConsensusSettings(max_reads=30))
 
 
 @query("cluster_reads")

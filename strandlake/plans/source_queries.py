@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.reads import reference_parts
-from ..operators import consensus, pooling
+from ..operators import consensus, kmers, pooling
 from ..sources import exports, fastq, tables
 from ..sources.shared import shared_folder
 from . import views
@@ -124,7 +124,8 @@ def contributors(spark, sf):
     """The reads behind each consensus, in the order they were chosen."""
     r = views.reads(spark, sf).where(F.length("sequence") > 0).select(F.concat_ws(":", "plate_id", "well_id").alias("group_id"), F.col("doc_id").cast("string").alias("read_uid"), "sequence", F.lit(None).cast("string").alias("quality"))
     first = r.groupBy("group_id").agg(F.min(F.struct("read_uid", "sequence"))["sequence"].alias("reference"))
-    return consensus.contributors(consensus.build_consensus(r.join(first, "group_id"), consensus.ConsensusSettings(max_reads=5)))
+    known = kmers.joined_small(r, kmers.checkpointed(first, "first"), ["group_id"])
+    return consensus.contributors(consensus.build_consensus(known, consensus.ConsensusSettings(max_reads=5)))
 
 
 @query("arrival_windows", """SELECT date_trunc('hour', ts) AS window_start, event_type, count(*)::BIGINT AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL""")
