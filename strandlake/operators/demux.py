@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dna import is_sequence, reverse_complement as revcomp_column
-from .alignment import LANE_BITS, Lanes, global_distance, infix_distance, infix_start, reverse_complement
+from .alignment import LANE_BITS, PLAIN, Lanes, global_distance, infix_distance, infix_start, reverse_complement
 
 POLICIES = ("best_margin", "legacy_unique_threshold", "legacy_unique_best")
 PANEL_LIMIT = 20_000
@@ -42,8 +42,8 @@ class CallSettings:
             raise ValueError("ends holds head, tail or both")
 
 
-#: More edits than any barcode has.
-FAR = 1 << 30
+#: More edits than any barcode has; forms from which on pieces are looked up first; reads looked up at once.
+FAR, FILTERED, READS = 1 << 30, 16, 64
 
 
 @dataclass(frozen=True, order=True)
@@ -74,6 +74,103 @@ class Call:
     reason: str = ""
 
 
+_CODE = np.full(256, 4, np.uint8)
+_CODE[np.frombuffer(b"ACGT", np.uint8)] = [0, 1, 2, 3]
+
+
+class PieceFilter:
+    """Where barcodes may lie with so many edits: of edits + 1 pieces of a barcode one is unchanged, of edits + 2 two, on
+    diagonals that differ by the edits at most. Only the surroundings of such pieces go to the lanes.
+
+    Pieces are looked up by their first bases; one is asked for where it is long enough to be rare."""
+
+    RARE = 6
+
+    def __init__(self, patterns: list[str], edits: int):
+        self.edits, self.forms = edits, len(patterns)
+        self.size = np.array([len(p) for p in patterns])
+        least = int(self.size.min()) if patterns else 0
+        self.need = 1 if least // (edits + 1) >= self.RARE else 2
+        self.width, self.step = min(least // (edits + self.need), 8), 2 * (edits + 1)
+        self.usable = self.width >= 4 and all(set(p) <= set("ACGT") and len(p) <= LANE_BITS for p in patterns)
+        if not self.usable:
+            return
+        rows = []
+        for k, p in enumerate(patterns):
+            for i in range(edits + self.need):
+                at = i * len(p) // (edits + self.need)
+                code = 0
+                for c in _CODE[np.frombuffer(p[at : at + self.width].encode(), np.uint8)].tolist():
+                    code = code * 4 + c
+                rows.append((code, k, at))
+        table = np.array(sorted(rows), np.int64)
+        self.form, self.offset = table[:, 1], table[:, 2]
+        self.begin = np.searchsorted(table[:, 0], np.arange(4**self.width + 1))
+        self.lanes = Lanes(patterns)
+
+    def best(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As `Lanes.best` for pairs within the edits; other pairs have FAR edits and no end. Texts hold A, C, G and T only."""
+        best, end = np.full((len(texts), self.forms), FAR, np.int64), np.full((len(texts), self.forms), -1, np.int64)
+        length = np.array([len(t) for t in texts], np.int64)
+        if not len(texts) or length.max() < self.width:
+            return best, end
+        codes = np.full((len(texts), int(length.max())), 4, np.uint8)
+        for i, t in enumerate(texts):
+            codes[i, : len(t)] = _CODE[np.frombuffer(t.encode(), np.uint8)]
+        places = codes.shape[1] - self.width + 1
+        gram = np.zeros((len(texts), places), np.int64)
+        for i in range(self.width):
+            gram = gram * 4 + (codes[:, i : i + places] & 3)
+        gram[np.arange(places) + self.width > length[:, None]] = 4**self.width  # beyond the text
+        first = np.append(self.begin, self.begin[-1])
+        read, at = np.nonzero(first[gram + 1] > first[gram])
+        start = first[gram[read, at]]
+        count = first[gram[read, at] + 1] - start
+        entry = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+        read, at, form = np.repeat(read, count), np.repeat(at, count), self.form[entry]
+        diagonal = at - self.offset[entry] + int(self.size.max())
+        most = 2 * ((codes.shape[1] + 2 * int(self.size.max())) // self.step + 2)
+        pair = (read * self.forms + form) * most
+        spots = [pair + 2 * (diagonal // self.step)]
+        if self.need > 1:  # overlapping ranges of diagonals: any two that are near share one
+            spots.append(pair + 2 * ((diagonal + self.step // 2) // self.step) + 1)
+        key, hits = np.unique(np.concatenate(spots), return_counts=True)
+        pair, spot = np.divmod(key[hits >= self.need], most)
+        read, form = np.divmod(pair, self.forms)
+        low = (spot // 2) * self.step - (spot % 2) * (self.step // 2) - int(self.size.max()) - self.edits
+        high = np.minimum(low + 2 * self.edits + self.step + self.size[form], length[read])
+        low = np.maximum(low, 0)
+        told, ends = self._lanes(codes, read, form, low, high)
+        near = told <= self.edits
+        order = np.lexsort((ends[near], told[near], pair[near]))
+        pair, told, ends = pair[near][order], told[near][order], ends[near][order]
+        lead = np.concatenate([[True], pair[1:] != pair[:-1]]) if len(pair) else np.zeros(0, bool)
+        best.reshape(-1)[pair[lead]], end.reshape(-1)[pair[lead]] = told[lead], ends[lead]
+        return best, end
+
+    def _lanes(self, codes: np.ndarray, read: np.ndarray, form: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least edits and first end of each form in its part of a text."""
+        one = np.uint64(1)
+        peq = self.lanes.peq[[*b"ACGT", 0]].reshape(-1)
+        last, full = self.lanes.last[form], self.lanes.full[form]
+        up, down, score = full.copy(), np.zeros(len(form), np.uint64), self.size[form].astype(np.int64)
+        best, end = score.copy(), np.full(len(form), -1, np.int64)
+        text = np.concatenate([codes, np.full((len(codes), 1), 4, np.uint8)], axis=1)
+        for j in range(int((high - low).max(initial=0))):
+            at = low + j
+            live = at < high
+            symbol = text[read, np.where(live, at, codes.shape[1])].astype(np.int64)
+            x = peq.take(symbol * self.forms + form) | down
+            d = (((x & up) + up) ^ up) | x
+            plus, minus = down | ~(d | up), up & d
+            score += ((plus & last) != 0).astype(np.int64) - ((minus & last) != 0)
+            plus, minus = plus << one, minus << one
+            up, down = (minus | ~(d | plus)) & full, plus & d & full
+            better = live & (score < best)
+            best[better], end[better] = score[better], at[better]
+        return best, end
+
+
 @dataclass
 class Caller:
     """Calls one panel on many reads."""
@@ -87,6 +184,7 @@ class Caller:
             self.forms += [(name, "barcode", seq), (name, "reverse", reverse_complement(seq))]
         patterns = [p for _, _, p in self.forms]
         self.lanes = Lanes(patterns) if patterns and max(map(len, patterns)) <= LANE_BITS else None
+        self.pieces = PieceFilter(patterns, self.settings.max_edits)
 
     def _distances(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Least edits and first end of every (text, form); -1 where there is none."""
@@ -96,16 +194,30 @@ class Caller:
         shape = (len(texts), len(self.forms))
         return np.array([[d for d, _ in f] for f in found], np.int32).reshape(shape), np.array([[e[0] if e else -1 for _, e in f] for f in found], np.int32).reshape(shape)
 
+    def _near(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As `_distances`, where pairs beyond the edits may be left out."""
+        if len(self.forms) < FILTERED or not self.pieces.usable:
+            return self._distances(texts)
+        plain = np.array([PLAIN.issuperset(t) for t in texts], bool)
+        best, ends = np.empty((len(texts), len(self.forms)), np.int64), np.empty((len(texts), len(self.forms)), np.int64)
+        for own, find in ((plain, self.pieces.best), (~plain, self._distances)):
+            at = np.flatnonzero(own)
+            for i in range(0, len(at), READS):
+                part = at[i : i + READS]
+                best[part], ends[part] = find([texts[k] for k in part])
+        return best, ends
+
     def calls(self, reads: list[str]) -> list[Call]:
         s = self.settings
         hits: list[list[Hit]] = [[] for _ in reads]
         least = np.full(len(reads), FAR, np.int64)
+        cut = [min(s.window, len(r)) for r in reads]
+        ended = {e: [r[:c] if e == "head" else r[len(r) - c :] for r, c in zip(reads, cut, strict=True)] for e in s.ends}
+        # a barcode at the head, or its reverse complement at the tail, reads forward
+        ahead = {e: np.array([(strand == "barcode") == (e == "head") for _, strand, _ in self.forms], bool) for e in s.ends}
         for read_end in s.ends:
-            cut = [min(s.window, len(r)) for r in reads]
-            texts = [r[:c] if read_end == "head" else r[len(r) - c :] for r, c in zip(reads, cut, strict=True)]
-            best, ends = self._distances(texts)
-            # a barcode at the head, or its reverse complement at the tail, reads forward
-            forward = np.array([(strand == "barcode") == (read_end == "head") for _, strand, _ in self.forms], bool)
+            texts, forward = ended[read_end], ahead[read_end]
+            best, ends = self._near(texts)
             allowed = (ends >= 0) & (forward | s.both_strands)
             if s.policy == "best_margin" and len(self.forms):
                 least = np.minimum(least, np.where(allowed, best, FAR).min(axis=1))
@@ -114,6 +226,11 @@ class Caller:
                 d, end = int(best[i, k]), int(ends[i, k])
                 offset = 0 if read_end == "head" else len(reads[i]) - len(texts[i])
                 hits[i].append(Hit(d, name, "forward" if forward[k] else "reverse", read_end, infix_start(pattern, texts[i], end, d) + offset, end + offset))
+        lost = [i for i, h in enumerate(hits) if not h] if s.policy == "best_margin" and self.forms else []
+        for read_end in s.ends if lost else ():  # reads without a barcode: how far the nearest is
+            best, ends = self._distances([ended[read_end][i] for i in lost])
+            allowed = (ends >= 0) & (ahead[read_end] | s.both_strands)
+            least[lost] = np.minimum(least[lost], np.where(allowed, best, FAR).min(axis=1))
         return [decide(sorted(h), s, int(d) if d < FAR else None) for h, d in zip(hits, least, strict=True)]
 
 
