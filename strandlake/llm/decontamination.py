@@ -161,7 +161,8 @@ class Shard:
         bench = self.bench
         text, docs, offsets = np.concatenate(self.texts), np.concatenate(self.docs), np.concatenate(self.offsets)
         run = run_lengths(text > 0)
-        places, ends, items = [], [], []
+        places, ends, held = [], [], []
+        sets: dict[bytes, int] = {}  # items that hold a window, as often several windows have the same ones
         for size in np.unique(bench.sizes).tolist():
             at = np.flatnonzero(run >= size)
             suffixes = np.flatnonzero(bench.sizes == size)
@@ -183,11 +184,14 @@ class Shard:
                 spots = np.concatenate([at[a:b] for a, b in zip(low[here].tolist(), high[here].tolist(), strict=True)])
                 places.append(spots)
                 ends.append(spots + size)
-                # a document and an item once for each of the windows that both hold
+                # a document and a set of items once for each of the windows that they hold
                 inner = (high > low)[which]
-                for key, item in np.unique(np.stack([which[inner], bench.owner[part[inner]].astype(np.int64)], axis=1), axis=0).tolist():
+                pairs = np.unique(np.stack([which[inner], bench.owner[part[inner]].astype(np.int64)], axis=1), axis=0)
+                cut = np.flatnonzero(np.concatenate([[True], pairs[1:, 0] != pairs[:-1, 0], [True]]))
+                for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                    key, mine = pairs[a, 0], sets.setdefault(pairs[a:b, 1].tobytes(), len(sets))
                     own = np.unique(docs[at[low[key] : high[key]]])
-                    items.append(np.stack([own, np.full(len(own), item)], axis=1))
+                    held.append(np.stack([own, np.full(len(own), mine)], axis=1))
         if not places:
             return out
         edge = np.zeros(len(text) + 1, np.int64)
@@ -206,11 +210,15 @@ class Shard:
         for doc, a, b, n in zip(spots[cut, 0].tolist(), spots[cut, 1].tolist(), spots[last, 1].tolist(), best.tolist(), strict=True):
             out[doc].runs.append((a, b + 1))
             out[doc].longest = max(out[doc].longest, n)
-        names = [[] for _ in range(len(out))]
-        for doc, item in np.unique(np.concatenate(items), axis=0).tolist():
-            names[doc].append(bench.names[item])
-        for found, own in zip(out, names, strict=True):
-            found.items = sorted(set(own))
+        members = [np.frombuffer(x, np.int64) for x in sets]
+        rows = np.unique(np.concatenate(held), axis=0)
+        cut = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0], [True]]))
+        named: dict[bytes, list[str]] = {}  # documents that hold the same sets share one list
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            key = rows[a:b, 1].tobytes()
+            if key not in named:
+                named[key] = sorted({bench.names[item] for item in np.unique(np.concatenate([members[x] for x in rows[a:b, 1].tolist()])).tolist()})
+            out[rows[a, 0]].items = named[key]
         return out
 
 
@@ -302,6 +310,8 @@ def _item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words:
         yield block
 
 
+#: Names of items that one Arrow batch of results holds, and a document's more.
+BATCH_NAMES = 500_000
 FOUND = "n_words long, runs array<struct<begin:int,end:int>>, items array<string>, longest long"
 
 
@@ -314,9 +324,17 @@ def _pass(source: DataFrame, keys: list[str], handle, window: int, shard_words:
         bench = _bench(name, handle, window)
         shard, kept = Shard(bench), []
 
-        def out() -> pa.RecordBatch:
-            found = shard.search()
+        def out() -> Iterator[pa.RecordBatch]:
+            every = shard.search()
             told = pa.Table.from_batches(kept).combine_chunks()
+            start = named = 0
+            for i, one in enumerate(every):  # a batch holds so many names
+                named += len(one.items)
+                if named > BATCH_NAMES or i + 1 == len(every):
+                    yield batch_of(every[start : i + 1], told.slice(start, i + 1 - start))
+                    start, named = i + 1, 0
+
+        def batch_of(found: list[Found], told: pa.Table) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [
                     *(told.column(c).combine_chunks() for c in keys),
@@ -332,10 +350,10 @@ def _pass(source: DataFrame, keys: list[str], handle, window: int, shard_words:
             shard.add(batch.column("body").to_pylist())
             kept.append(pa.RecordBatch.from_arrays([pa.array(batch.column(c).to_pylist(), batch.column(c).type) for c in keys], keys))
             if shard.held > shard_words or len(shard.sizes) > SHARD_TEXTS:
-                yield out()
+                yield from out()
                 shard, kept = Shard(bench), []
         if kept:
-            yield out()
+            yield from out()
 
     types = ", ".join(f"{c} long" for c in keys)
     return source.select(*keys, "body").mapInArrow(kernel, f"{types}, {FOUND}")

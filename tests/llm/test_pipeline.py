@@ -175,6 +175,31 @@ def test_long_items_in_little_memory():
     assert peak < 500 << 20
 
 
+def test_windows_of_many_items_in_many_documents(spark, monkeypatch):
+    """Sets of items are kept once, so items times documents rows are never made; results go out in parts."""
+    import random
+    import tracemalloc
+
+    shared = [" ".join(f"w{chr(97 + i)}{chr(97 + k)}" for i in range(13)) for k in range(4)]
+    r = random.Random(1)
+    items = [(f"i{k}", " ".join(r.sample(shared, r.randint(0, 3)) + [f"x{chr(97 + k % 26)}"])) for k in range(60)]
+    bodies = [" ".join(r.sample(shared, r.randint(0, 4))) for _ in range(80)]
+    found = dc.search([b.encode() for b in bodies], dc.Benchmark([(n, t.encode()) for n, t in items], 13))
+    windows = lambda t: {tuple(w[i : i + 13]) for w in [t.split()] for i in range(len(w) - 12)} if len(t.split()) >= 13 else {tuple(t.split())} if t else set()
+    for body, one in zip(bodies, found, strict=True):
+        text = body.split()
+        inside = lambda own, text=text: any(tuple(text[i : i + len(own)]) == own for i in range(len(text) - len(own) + 1))
+        assert one.items == sorted(n for n, t in items if any(inside(w) for w in windows(t)))
+    bench = dc.Benchmark([(f"i{k}", shared[0].encode()) for k in range(3000)], 13)
+    tracemalloc.start()
+    assert len(dc.search([shared[0].encode()] * 3000, bench)[2999].items) == 3000
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    monkeypatch.setattr(dc, "BATCH_NAMES", 7)
+    rows = dc.find_contamination(docs(spark, list(enumerate(bodies))), spark.createDataFrame(items, "item_id string, text string")).collect()
+    assert sorted((x.doc_id, x.items) for x in rows) == [(i, f.items) for i, f in enumerate(found)]
+
+
 def test_decontamination_empty(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert dc.find_contamination(docs(spark, []), bench).collect() == []
