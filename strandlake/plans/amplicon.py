@@ -193,12 +193,13 @@ def chimera_clones(found: DataFrame, built: DataFrame, config: RunConfig) -> Dat
     return told.withColumns({"kind": F.lit("chimera"), "grade": qc.grade(F.col("status"), F.col("overall"), F.coalesce("ambiguous_bases", F.lit(0)), F.col("mixed_signature"), F.col("reading_frame"), F.col("internal_stops"), F.col("expected_length"), F.col("full_amplicon"), F.col("edit_distance"))})
 
 
-def run(spark: SparkSession, config: RunConfig, folder: str, source: str | None = None, recompute_from: str | None = None, digests: dict[str, str] | None = None) -> dict[str, DataFrame]:
+def run(spark: SparkSession, config: RunConfig, folder: str, source: str | None = None, recompute_from: str | None = None, digests: dict[str, str] | None = None, verify: bool = False) -> dict[str, DataFrame]:
     """All stages; those written before with the same inputs, parameters and code are taken as they are.
 
     With source, stages before recompute_from come from that run. digests (path to SHA-256) stand for the reads where those are
-    no longer there; by default the contents are read."""
-    stages = Stages(spark, folder, source, recompute_from, ORDER)
+    no longer there; by default the contents are read. verify compares the contents of tables that are taken again with their
+    checksums; without it only names and sizes of their files are compared."""
+    stages = Stages(spark, folder, source, recompute_from, ORDER, verify)
     contents = contents_of(spark, [p for p, _ in config.inputs]) if digests is None else None  # told once, for the stage and the reader
     inputs = digests if contents is None else {name: digest for name, (digest, _) in contents.items()}
     calls = stages.table("demux", {"inputs": [inputs, [s for _, s in config.inputs]], "gates": config.gates, "allow_empty": config.allow_empty, "panels": [config.plates, config.wells, config.plate_call, config.well_call]}, lambda: demultiplexed(read_inputs(spark, config, contents), config))

@@ -51,7 +51,8 @@ def doctor() -> dict:
 
 
 def validate(spark, config) -> list[dict]:
-    """Problems that a run would meet: close barcodes, unreadable references, routes to no library. Nothing is written."""
+    """Problems that a run would meet: close barcodes, unreadable references, routes to no library, a layout that plates, routes
+    or references contradict. Nothing is written."""
     from ..operators import demux
     from ..sources.tables import TableError, read_libraries
 
@@ -66,9 +67,31 @@ def validate(spark, config) -> list[dict]:
     except TableError as error:
         found.append({"problem": "references", "subject": str(error)})
     found += [{"problem": "route to no library", "subject": p} for p, lib in sorted(config.routes.items()) if lib not in config.libraries]
+    if config.layout is not None and not any(f["problem"] == "references" for f in found):
+        found += layout_checks(spark, config)
     return found
 
 
+def layout_checks(spark, config) -> list[dict]:
+    """What a configuration's pooling layout says against its plates, routes and references, and pools that cannot be told apart."""
+    from pyspark.sql import functions as F
+
+    from ..functions.reads import block_of
+    from ..operators import pooling
+    from ..sources.tables import read_layout, read_libraries
+
+    plan = read_layout(spark, config.layout).select("plate_id", "culture_plate", "library_id", "block")
+    refs = read_libraries(spark, config.libraries).select("library_id", block_of(F.col("ref_id"), config.block_pattern).alias("block"))
+    plates = spark.createDataFrame([(p,) for p in sorted(config.plates or {})], "barcode_id string")
+    if config.routes or len(config.libraries) != 1:
+        routes = spark.createDataFrame(sorted(config.routes.items()), "plate_id string, library_id string")
+    else:  # without routes all plates are of the only library
+        routes = plan.select("plate_id").distinct().withColumn("library_id", F.lit(next(iter(config.libraries))))
+    told = pooling.layout_problems(plan, plates, routes, refs)
+    told = told.union(pooling.pool_conflicts(plan.select("plate_id", "culture_plate").distinct(), plan.select("culture_plate", "library_id", "block").distinct()))
+    return [{"problem": r.problem, "subject": r.subject} for r in told.orderBy("problem", "subject").collect()]
+
+
 def subsample(source: str, target: str, reads: int, anywhere: int | None = None) -> int:
     """The first records of a local file, or records at random byte offsets of a plain one; returns how many were written."""
     from ..sources import fastq
@@ -128,10 +151,13 @@ def parser() -> argparse.ArgumentParser:
             own.add_argument(p)
         return own
 
-    command("run", "config", "folder").add_argument("--demux-only", action="store_true")
+    first = command("run", "config", "folder")
+    first.add_argument("--demux-only", action="store_true")
     again = command("rerun", "config", "folder")
     again.add_argument("--source", required=True)
     again.add_argument("--from", dest="stage", required=True)
+    for own in (first, again):
+        own.add_argument("--verify", action="store_true", help="keep checksums of tables, and compare those of tables taken again")
     command("validate", "config")
     command("layout", "config").add_argument("--export")
     sample = command("subsample", "input", "output")
@@ -177,9 +203,9 @@ def _run(given: argparse.Namespace) -> int:
     if problems or given.command == "validate":
         return int(bool(problems))
     if given.command == "rerun":
-        out = amplicon.run(spark, config, given.folder, given.source, given.stage)
+        out = amplicon.run(spark, config, given.folder, given.source, given.stage, verify=given.verify)
     else:
-        out = amplicon.run(spark, config, given.folder)
+        out = amplicon.run(spark, config, given.folder, verify=given.verify)
     if "grades" in out:
         print(json.dumps([r.asDict() for r in out["grades"].orderBy("plate_id", "grade").collect()], indent=1))
     return 0

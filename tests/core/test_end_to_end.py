@@ -59,6 +59,36 @@ def test_run_and_resume(spark, files):
         again.table("consensus", {"other": 1}, lambda: pytest.fail("built again"))
 
 
+def test_changed_tables_are_refused(spark, tmp_path):
+    from pathlib import Path
+
+    folder = str(tmp_path / "run")
+    build = lambda: spark.range(50).repartition(2)
+    assert Stages(spark, folder, verify=True).table("a", {}, build).count() == 50
+    assert Stages(spark, folder, verify=True).table("a", {}, lambda: pytest.fail("built again")).count() == 50
+    part = sorted(Path(folder, "a").glob("part-*"))[0]
+    body = part.read_bytes()
+    part.write_bytes(body[:-9] + bytes(b ^ 1 for b in body[-9:-8]) + body[-8:])
+    for crc in Path(folder, "a").glob(".*.crc"):
+        crc.unlink()
+    with pytest.raises(StageError, match="changed"):
+        Stages(spark, folder, verify=True).table("a", {}, build)
+    part.write_bytes(body + b"x")
+    with pytest.raises(StageError, match="not those"):
+        Stages(spark, folder).table("a", {}, build)
+    Stages(spark, folder).table("b", {}, build)
+    with pytest.raises(StageError, match="without checksums"):
+        Stages(spark, folder, verify=True).table("b", {}, build)
+
+    def broken():
+        raise RuntimeError("no")
+
+    with pytest.raises(RuntimeError):
+        Stages(spark, folder).table("c", {}, broken)
+    assert Path(folder, "c.failed").exists() and not list(Path(folder).glob("c.manifest"))
+    assert Stages(spark, folder).table("c", {}, build).count() == 50 and not Path(folder, "c.failed").exists()
+
+
 def test_shuffled_input_gives_the_same_clones(spark, files):
     calls = amplicon.demultiplexed(amplicon.read_inputs(spark, config(files)), config(files))
     a = {tuple(r) for r in calls.select("read_uid", "call_status", "plate.id", "well.id").collect()}
