@@ -59,6 +59,15 @@ def test_run_and_resume(spark, files):
         again.table("consensus", {"other": 1}, lambda: pytest.fail("built again"))
 
 
+def test_layouts_are_checked_before_a_run(spark, files):
+    from strandlake.plans import cli
+
+    (files / "layout.csv").write_text("plate_barcode,culture_plate,library,block\nP1,C1,lib,1\nP1,C2,lib,1\nP9,C1,lib,7\n")
+    found = {(f["problem"], f["subject"]) for f in cli.validate(spark, config(files, layout=str(files / "layout.csv")))}
+    assert {("plate_without_barcode", "P9"), ("block_without_reference", "lib/7"), ("block_shared_in_pool", "P1/lib/1")} <= found
+    assert not any(p == "plate_without_route" for p, _ in found)
+
+
 def test_changed_tables_are_refused(spark, tmp_path):
     from pathlib import Path
 
