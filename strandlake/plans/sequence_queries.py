@@ -230,11 +230,16 @@ def overhang_variants(spark, sf):
     return fragments.interchangeable(pieces)
 
 
-@query("iupac_pairs", "SELECT a, b, (x & y) <> 0 AS compatible FROM (SELECT unnest(string_split('ACGTRYSWKMBDHVN', '')) AS a, unnest([1, 2, 4, 8, 5, 10, 6, 9, 12, 3, 14, 13, 11, 7, 15]) AS x), (SELECT unnest(string_split('ACGTRYSWKMBDHVN', '')) AS b, unnest([1, 2, 4, 8, 5, 10, 6, 9, 12, 3, 14, 13, 11, 7, 15]) AS y)")
+@query("iupac_pairs", """WITH s AS (SELECT regexp_replace(upper(p_name || p_type), '[^ACGTRYSWKMBDHVN]', '', 'g') AS s FROM part),
+p AS (SELECT substr(s, i, 1) AS a, substr(s, i + 1, 1) AS b FROM (SELECT s, unnest(range(1, length(s))) AS i FROM s)),
+m AS (SELECT *, [1, 2, 4, 8, 5, 10, 6, 9, 12, 3, 14, 13, 11, 7, 15] AS mask FROM p)
+SELECT a, b, count(*)::BIGINT AS n, (any_value(mask[strpos('ACGTRYSWKMBDHVN', a)]) & any_value(mask[strpos('ACGTRYSWKMBDHVN', b)])) <> 0 AS compatible FROM m GROUP BY a, b""")
 def iupac_pairs(spark, sf):
-    symbol = lambda name: F.explode(F.array(*map(F.lit, dna.IUPAC))).alias(name)
-    both = spark.range(1).select(symbol("a")).select("a", symbol("b"))  # 15 x 15
-    return both.select("a", "b", dna.symbols_compatible(F.col("a"), F.col("b")).alias("compatible"))
+    """Neighbouring symbols of all names, and whether they share a base."""
+    own = views.table(spark, sf, "part").select(F.regexp_replace(F.upper(F.concat("p_name", "p_type")), f"[^{dna.IUPAC}]", "").alias("s")).where(F.length("s") > 1)
+    both = F.transform(F.sequence(F.lit(1), F.length("s") - 1), lambda i: F.struct(F.substring("s", i, F.lit(1)).alias("a"), F.substring("s", i + 1, F.lit(1)).alias("b")))
+    counted = own.select(F.explode(both).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("a", "b", "n", dna.symbols_compatible(F.col("a"), F.col("b")).alias("compatible"))
 
 
 @query("safe_names", """WITH n AS (SELECT p_partkey, p_name || ' ' || p_type || '/#' || repeat('x', (p_partkey % 40)::INT) AS v FROM part), c AS (SELECT *, regexp_replace(regexp_replace(v, '[^A-Za-z0-9._-]+', '_', 'g'), '^[._-]+|[._-]+$', '', 'g') AS t FROM n)
