@@ -194,9 +194,13 @@ class Caller:
         shape = (len(texts), len(self.forms))
         return np.array([[d for d, _ in f] for f in found], np.int32).reshape(shape), np.array([[e[0] if e else -1 for _, e in f] for f in found], np.int32).reshape(shape)
 
+    @property
+    def filtered(self) -> bool:
+        return len(self.forms) >= FILTERED and self.pieces.usable
+
     def _near(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """As `_distances`, where pairs beyond the edits may be left out."""
-        if len(self.forms) < FILTERED or not self.pieces.usable:
+        if not self.filtered:
             return self._distances(texts)
         plain = np.array([PLAIN.issuperset(t) for t in texts], bool)
         best, ends = np.empty((len(texts), len(self.forms)), np.int64), np.empty((len(texts), len(self.forms)), np.int64)
@@ -226,7 +230,7 @@ class Caller:
                 d, end = int(best[i, k]), int(ends[i, k])
                 offset = 0 if read_end == "head" else len(reads[i]) - len(texts[i])
                 hits[i].append(Hit(d, name, "forward" if forward[k] else "reverse", read_end, infix_start(pattern, texts[i], end, d) + offset, end + offset))
-        lost = [i for i, h in enumerate(hits) if not h] if s.policy == "best_margin" and self.forms else []
+        lost = [i for i, h in enumerate(hits) if not h] if s.policy == "best_margin" and self.filtered else []
         for read_end in s.ends if lost else ():  # reads without a barcode: how far the nearest is
             best, ends = self._distances([ended[read_end][i] for i in lost])
             allowed = (ends >= 0) & (ahead[read_end] | s.both_strands)
