@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import dna, reads as rd
-from ..operators import assign, chimera, comparisons as cp, pooling, qc
+from ..operators import assign, chimera, comparisons as cp, distances, pooling, qc
 from ..sources.shared import numbered
 from . import views
 from .clone_queries import DESIGN, GRADED, OUTCOME, SHORT, _graded, _short_signatures, fine_designs
@@ -19,7 +19,7 @@ def closest_references(spark, sf):
     """The three nearest references of a read's block, by distance and name."""
     r = views.spread(views.reads(spark, sf)).select("doc_id", F.col("sequence").alias("q"), (F.col("doc_id") % 5).cast("string").alias("block"))
     f = views.refs(spark, sf).select("block", "ref_id", F.col("sequence").alias("s"))
-    pairs = r.join(f, "block").withColumn("distance", F.levenshtein("q", "s").cast("long"))
+    pairs = distances.distances_to(r, f, ["block"], "q", "s", "distance").withColumn("distance", F.col("distance").cast("long"))
     order = Window.partitionBy("doc_id").orderBy("distance", "ref_id")
     return pairs.withColumn("rank", F.row_number().over(order)).where("rank <= 3").select("doc_id", "ref_id", "distance", F.col("rank").cast("long").alias("rank"))
 
