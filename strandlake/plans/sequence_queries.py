@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import dna, protein, reads as rd
-from ..operators import assign, demux, fragments, kmers, motifs, pooling
+from ..operators import assign, demux, distances, fragments, kmers, motifs, pooling
 from ..sources.shared import numbered
 from . import views
 from .registry import query
@@ -162,9 +162,9 @@ SELECT doc_id, ref_id, round(identity, 6) AS identity, CASE WHEN identity < 0.42
 def assignment_floor_margin(spark, sf):
     r = views.spread(views.reads(spark, sf)).where(F.length("sequence") > 0).select("doc_id", F.col("sequence").alias("q"), F.concat(F.lit("lib"), (F.col("doc_id") % 2).cast("string")).alias("library_id"), (F.col("doc_id") % 5).cast("string").alias("block"))
     f = views.refs(spark, sf).select("library_id", "block", F.col("ref_id").alias("alias_key"), F.col("sequence").alias("s"))
-    longest = F.greatest(F.length("q"), F.length("s"))
-    edits = F.levenshtein("q", "s")
-    pairs = r.join(f, ["library_id", "block"]).withColumns({"edit_distance": edits, "identity": 1 - edits / longest, "query_coverage": F.length("q") / longest, "reference_coverage": F.lit(1.0), "score": F.lit(0.0)})
+    near = distances.distances_to(r.withColumn("n", F.length("q")), f.withColumn("m", F.length("s")), ["library_id", "block"], "q", "s")
+    longest = F.greatest("n", "m")
+    pairs = near.select("doc_id", "alias_key", "edit_distance", (1 - F.col("edit_distance") / longest).alias("identity"), (F.col("n") / longest).alias("query_coverage"), F.lit(1.0).alias("reference_coverage"), F.lit(0.0).alias("score"))
     told = assign.decide(pairs, assign.AssignSettings(min_identity=0.42, min_query_coverage=0.0, min_reference_coverage=0.0), "doc_id")
     return told.select("doc_id", F.col("alias_key").alias("ref_id"), F.round("identity", 6).alias("identity"), F.col("assignment_status").alias("status"))
 
