@@ -219,8 +219,8 @@ def sequence_context(spark, sf):
 l AS (SELECT doc_id, b FROM i WHERE substr(sequence, b + 1, 4) = 'ACGT'), r AS (SELECT doc_id, b FROM i WHERE substr(sequence, b + 1, 4) = 'TGCA')
 SELECT l.doc_id, count(*)::BIGINT AS bodies, min(r.b - 1 - (l.b + 5))::BIGINT AS shortest FROM l JOIN r ON l.doc_id = r.doc_id AND r.b - 1 - (l.b + 5) >= 8 GROUP BY l.doc_id""", "reads"))
 def bsai_excision(spark, sf):
-    found = views.spread(views.reads(spark, sf)).select("doc_id", F.transform(dna.excisions(F.col("sequence"), "ACGT", "TGCA"), F.length).alias("n")).where(F.size("n") > 0)
-    return found.select("doc_id", F.size("n").cast("long").alias("bodies"), F.array_min("n").cast("long").alias("shortest"))
+    found = views.spread(views.reads(spark, sf)).select("doc_id", dna.excision_sizes(F.col("sequence"), "ACGT", "TGCA").alias("n"))
+    return found.where("n.bodies > 0").select("doc_id", "n.bodies", "n.shortest")
 
 
 @query("overhang_variants", views.with_views("""x AS (SELECT plate_id AS block, doc_id::VARCHAR AS gene_id, sequence, substr(sequence, 1, 4) AS o5, right(sequence, 4) AS o3 FROM reads)
