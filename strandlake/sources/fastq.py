@@ -360,8 +360,10 @@ def record_text() -> Column:
 
 
 def write_fastq(reads: DataFrame, path: str, by: list[str] | None = None, compress: bool = True) -> None:
-    """FASTQ text in order of the record number; with by, a folder for each value."""
+    """FASTQ text in order of the record number, in as many files as there are ranges of it; with by, a folder for each value. No
+    task writes, and no later task reads, all records of a value."""
     text = reads.select(*(by or []), "source_sha256", "record_index", record_text().alias("value"))
-    ordered = text.repartition(*by).sortWithinPartitions(*by, "source_sha256", "record_index") if by else text.repartitionByRange("source_sha256", "record_index").sortWithinPartitions("source_sha256", "record_index")
+    order = [*(by or []), "source_sha256", "record_index"]
+    ordered = text.repartitionByRange(*order).sortWithinPartitions(*order)
     writer = ordered.select(*(by or []), "value").write.option("compression", "gzip" if compress else "none").mode("errorifexists")
     (writer.partitionBy(*by) if by else writer).text(path)
