@@ -77,18 +77,25 @@ def variant_places(rows: np.ndarray, s: ClusterSettings) -> np.ndarray:
 
 
 class _Centres:
-    """Centres in the order they came; equal rows look only at those that are new since."""
+    """Centres in the order they came; equal rows look only at those that are new since.
+
+    A row is held against all of them at once."""
 
     def __init__(self, centres: list[np.ndarray], required: int, most: float):
         self.rows: list[np.ndarray] = []
         self.required, self.most = required, most
         self.usable: list[int] = []
         self.seen: dict[bytes, tuple[int, tuple[int, int] | None]] = {}
+        self.held = np.zeros((0, 0), "U1")
         for c in centres:
             self.add(c)
 
     def add(self, row: np.ndarray) -> int:
         if (row != GAP).sum() >= self.required:  # others share too few places with any read
+            at = len(self.usable)
+            if at == len(self.held):
+                self.held = np.concatenate([self.held.reshape(at, len(row)), np.full((max(16, at), len(row)), GAP)])
+            self.held[at] = row
             self.usable.append(len(self.rows))
         self.rows.append(row)
         return len(self.rows) - 1
@@ -96,13 +103,19 @@ class _Centres:
     def nearest(self, row: np.ndarray) -> int | None:
         key = row.tobytes()
         start, best = self.seen.get(key, (0, None))
-        for k in self.usable[start:]:
-            c = self.rows[k]
-            both = (row != GAP) & (c != GAP)
-            n, off = int(both.sum()), int((both & (row != c)).sum())
-            if n >= self.required and n and off / n <= self.most and (best is None or off < best[0]):
-                best = off, k
-        self.seen[key] = len(self.usable), best
+        stop = len(self.usable)
+        if start < stop:
+            own, rows = row.view(np.uint32), self.held[start:stop].view(np.uint32)
+            known = own != ord(GAP)
+            both = np.count_nonzero((rows != ord(GAP)) & known, axis=1)
+            off = both - np.count_nonzero((rows == own) & known, axis=1)
+            able = np.flatnonzero((both >= self.required) & (both > 0))
+            able = able[off[able] / both[able] <= self.most]
+            if able.size:
+                k = int(able[np.argmin(off[able])])
+                if best is None or off[k] < best[0]:
+                    best = int(off[k]), self.usable[start + k]
+        self.seen[key] = stop, best
         return best[1] if best else None
 
 
@@ -118,7 +131,7 @@ def gather(names: list[str], vectors: np.ndarray, s: ClusterSettings) -> tuple[l
         at = _Centres(centres, required, s.max_mismatch)
         groups: list[list[int]] = [[] for _ in centres]
         for i in order:
-            k = at.nearest(vectors[i])
+            k = at.nearest(np.ascontiguousarray(vectors[i]))
             if k is None:
                 k = at.add(vectors[i])
                 groups.append([])
