@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.dna import excisions
 from .alignment import global_path
 from .bands import path_many
+from .distances import pieces as cut
 
 OVERHANG = 4
 MAX_SLOTS = 64
@@ -67,10 +68,11 @@ def assembled_fragments(designs: DataFrame) -> DataFrame:
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("slot", pa.int32()), ("sequence", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
-            found = [assemble(o, g) if o and g is not None else None for o, g in zip(batch.column("oligos").to_pylist(), batch.column("gene").to_pylist(), strict=True)]
+        for batch in (part for whole in batches for part in cut(whole, ("oligos", "gene"))):
+            designs = batch.column("oligos").to_pylist()
+            found = [assemble(o, g) if o and g is not None else None for o, g in zip(designs, batch.column("gene").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("gene_id"), batch.column("block"), pa.array([len(o or ()) for o in batch.column("oligos").to_pylist()], pa.int32()), pa.array([f is not None for f in found]), pa.array([[p.__dict__ for p in f or ()] for f in found], kind)],
+                [batch.column("gene_id"), batch.column("block"), pa.array([len(o or ()) for o in designs], pa.int32()), pa.array([f is not None for f in found]), pa.array([[p.__dict__ for p in f or ()] for f in found], kind)],
                 ["gene_id", "block", "n_slots", "assembled", "pieces"],
             )
 

@@ -30,3 +30,13 @@ def test_texts_of_a_key_travel_once(spark, monkeypatch):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 16
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "levenshtein" not in plan and "_right" in plan
+
+
+def test_batches_are_cut_by_bytes():
+    """Kernels that took a whole batch held all of its texts as Python's own at once."""
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["A" * 1000] * 100), pa.array(range(100))], ["s", "i"])
+    parts = list(ds.pieces(batch, ("s",), 10_000))
+    assert all(p.num_rows <= 10 for p in parts) and [i for p in parts for i in p.column("i").to_pylist()] == list(range(100))
+    assert [p.num_rows for p in ds.pieces(batch.slice(0, 2), ("s",), 1)] == [1, 1]
