@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dna import is_sequence, reverse_complement as revcomp_column
 from .alignment import LANE_BITS, PLAIN, Lanes, global_distance, infix_distance, infix_start, reverse_complement
+from .distances import pieces
 
 POLICIES = ("best_margin", "legacy_unique_threshold", "legacy_unique_best")
 PANEL_LIMIT = 20_000
@@ -292,12 +293,12 @@ def call_barcodes(reads: DataFrame, panel: list[tuple[str, str]], settings: Call
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         caller = Caller(panel, settings)
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces(whole, (seq,))):
             wanted = np.flatnonzero(batch.column("_when").to_numpy(zero_copy_only=False))
-            texts = batch.column(seq).take(pa.array(wanted)).to_pylist()
             calls = [Call("not_attempted")] * batch.num_rows
             for at in range(0, len(wanted), batch_rows):
-                for i, c in zip(wanted[at : at + batch_rows].tolist(), caller.calls([t or "" for t in texts[at : at + batch_rows]]), strict=True):
+                rows = wanted[at : at + batch_rows]
+                for i, c in zip(rows.tolist(), caller.calls([t or "" for t in batch.column(seq).take(pa.array(rows)).to_pylist()]), strict=True):
                     calls[i] = c
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array([asdict(c) for c in calls], CALL)], [*names, name])
 
