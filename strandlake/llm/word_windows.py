@@ -12,8 +12,9 @@ meets only the shard that can hold its like:
 2. Anchors that occur in two documents or more are candidates. Their equal spans are
    counted together; the words of one of each are fetched from the texts.
 3. An anchor with more than HOT_SPANS different spans (a passage that many documents
-   hold, each between other words) is hot: its windows are taken singly, each its own
-   anchor, and pass through step 2 once more. So no anchor fills a task.
+   hold, each between other words) is hot: its windows are anchored anew by longer
+   substrings, of 41 words, then 49, then whole windows, and pass through step 2 once
+   more each time. So no anchor fills a task, and few windows become rows of their own.
 4. Spans are dealt by anchor to shards of about SHARD_WORDS words. A shard is an
    `FmIndex` over its spans; the spans are streamed against it by backward search, all
    side by side, and the matching statistics say for every window which suffixes hold
@@ -119,9 +120,15 @@ def least_gram(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(keys[: len(keys) - spare], keys[spare:]) if spare else keys
 
 
-def spans_of(hashes: np.ndarray, begins: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
+def longer_gram(gram: int, window: int) -> int:
+    """The next anchors of a hot one's windows: a window holds a quarter as many of them, one at least."""
+    return window + 1 - max(1, (window - gram + 1) // 4)
+
+
+def spans_of(hashes: np.ndarray, begins: np.ndarray, window: int, gram: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Spans of documents that lie one behind the other (begins: where each begins, and the end): document,
-    first word in it, number of windows, anchor, two digests. A document has 2^40 words at most."""
+    first word in it, number of windows, anchor, two digests. A document has 2^40 words at most. wanted: of
+    each word whether the window from there is taken."""
     none = np.zeros(0, np.int64)
     found = [(none,) * 6]
     step = (1 << 20) - window
@@ -129,17 +136,19 @@ def spans_of(hashes: np.ndarray, begins: np.ndarray, window: int, gram: int) ->
         part = hashes[base : base + step + window - 1]
         grams, width = part, 1
         while width < gram:
-            grams, width = grams[:-width] * _U(pow(int(_BASES[0]), width, 1 << 64)) + grams[width:], width * 2
+            more = min(width, gram - width)
+            grams, width = grams[:-more] * _U(pow(int(_BASES[0]), width, 1 << 64)) + grams[more:], width + more
         grams = mix(grams)
         low = _U((1 << 20) - 1)
         least = least_gram((grams & ~low) | np.arange(len(grams), dtype=np.uint64), window - gram + 1)
         here = np.arange(base, base + len(least))
         doc = np.searchsorted(begins, here, "right") - 1
-        at = np.flatnonzero(here + window <= begins[doc + 1])
+        inside = here + window <= begins[doc + 1]
+        at = np.flatnonzero(inside if wanted is None else inside & wanted[here])
         if not len(at):
             continue
         chosen = (least[at] & low).astype(np.int64)
-        cut = np.flatnonzero(np.concatenate([[True], (chosen[1:] != chosen[:-1]) | (doc[at[1:]] != doc[at[:-1]])]))
+        cut = np.flatnonzero(np.concatenate([[True], (chosen[1:] != chosen[:-1]) | (doc[at[1:]] != doc[at[:-1]]) | (np.diff(at) != 1)]))
         count = np.diff(np.concatenate([cut, [len(at)]]))
         start = at[cut]
         digests = Digests(part)(start, count + window - 1)
@@ -153,33 +162,25 @@ def body_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def span_rows(texts: DataFrame, window: int, gram: int) -> DataFrame:
+    """Spans of the texts; with a column listed only of the windows in the spans that it lists."""
+    some = ["listed"] if "listed" in texts.columns else []
+
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in blocks(batches):
             own = [word_hashes(body, known) for body in batch.column("body").to_pylist()]
             begins = np.concatenate([[0], np.cumsum([len(x) for x in own])])
-            doc, start, count, anchor, k1, k2 = spans_of(np.concatenate(own), begins, window, gram)
+            wanted = np.zeros(begins[-1], bool) if some else None
+            for c in some:
+                for begin, listed in zip(begins.tolist(), batch.column(c).to_pylist(), strict=False):
+                    for x in listed:
+                        wanted[begin + x["start"] : begin + x["start"] + x["windows"]] = True
+            doc, start, count, anchor, k1, k2 = spans_of(np.concatenate(own), begins, window, gram, wanted)
             if len(doc):
                 of = pa.array(doc)
                 yield pa.record_batch([pa.array(anchor), pa.array(k1), pa.array(k2), *(batch.column(c).take(of) for c in ("doc", *PLACE)), pa.array(start, pa.int32()), pa.array(count, pa.int32())], names=["anchor", "k1", "k2", "doc", *PLACE, "start", "windows"])
 
-    return texts.select(*PLACE, "doc", "body").mapInArrow(step, SPAN)
-
-
-def single_rows(texts: DataFrame, window: int) -> DataFrame:
-    """The windows of the listed spans, each as a span of its own."""
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for batch in blocks(batches):
-            for i, (body, listed) in enumerate(zip(batch.column("body").to_pylist(), batch.column("listed").to_pylist(), strict=True)):
-                digests = Digests(word_hashes(body, known))
-                start = np.concatenate([np.arange(x["start"], x["start"] + x["windows"]) for x in listed])
-                k1, k2 = digests(start, np.full(len(start), window))
-                of = pa.array(np.full(len(start), i))
-                yield pa.record_batch([pa.array(k1), pa.array(k1), pa.array(k2), *(batch.column(c).take(of) for c in ("doc", *PLACE)), pa.array(start, pa.int32()), pa.array(np.ones(len(start), np.int32))], names=["anchor", "k1", "k2", "doc", *PLACE, "start", "windows"])
-
-    return texts.select(*PLACE, "doc", "body", "listed").mapInArrow(step, SPAN)
+    return texts.select(*PLACE, "doc", "body", *some).mapInArrow(step, SPAN)
 
 
 def unit_rows(texts: DataFrame, window: int) -> DataFrame:
@@ -273,17 +274,17 @@ def joined_runs(lists: DataFrame) -> DataFrame:
 
 def removed_runs(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS, hot_spans: int = HOT_SPANS, limit: int = BROADCAST_ROWS) -> DataFrame:
     """file, at and the runs of words [from, to) that go, of the texts (from `body_rows`) that lose any."""
-    spans = stash(span_rows(texts, window, gram), "window-all")
-    rows, different = repeated(spans, limit)
-    release(spans)
-    hot = stash(different.groupBy("anchor").count().where(F.col("count") > hot_spans).select("anchor"), "window-hot")
-    parts = [(rows.join(F.broadcast(hot), "anchor", "left_anti"), different.join(F.broadcast(hot), "anchor", "left_anti"))]
-    done = [rows, different, hot]
-    if not hot.isEmpty():
-        singles = stash(single_rows(with_lists(texts, rows.join(F.broadcast(hot), "anchor", "left_semi"), ["start", "windows"]), window), "window-singles")
-        parts.append(repeated(singles, limit))
-        release(singles)
-        done += parts[-1]
+    spans, parts, done = stash(span_rows(texts, window, gram), "window-all"), [], []
+    while True:
+        rows, different = repeated(spans, limit)
+        release(spans)
+        hot = stash(different.groupBy("anchor").count().where(F.lit(gram < window) & (F.col("count") > hot_spans)).select("anchor"), "window-hot")
+        parts.append((rows.join(F.broadcast(hot), "anchor", "left_anti"), different.join(F.broadcast(hot), "anchor", "left_anti")))
+        done += [rows, different, hot]
+        if hot.isEmpty():
+            break
+        gram = longer_gram(gram, window)
+        spans = stash(span_rows(with_lists(texts, rows.join(F.broadcast(hot), "anchor", "left_semi"), ["start", "windows"]), window, gram), "window-again")
     members, units = parts[0]
     for more, different in parts[1:]:
         members, units = members.unionByName(more), units.unionByName(different)

@@ -91,6 +91,49 @@ def test_windows_that_begin_in_any_part_of_a_long_text():
     assert len(set(k1.tolist())) <= (doc == 0).sum() + 1
 
 
+def test_hot_windows_are_few_rows(spark, monkeypatch):
+    """Many near copies of one text: their windows do not become a row each, and results stay."""
+    made, stash = {}, ww.stash
+
+    def counted(df, name):
+        out = stash(df, name)
+        made.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(ww, "stash", counted)
+    r = random.Random(8)
+    base = [f"b{i}" for i in range(160)]
+    pairs = []
+    for i in range(60):
+        own = list(base)
+        for at in (r.randint(0, 59), r.randint(100, 159)):
+            own[at] = f"x{i}"
+        pairs.append((i, " ".join(own)))
+    check(spark, pairs, 50, 8, hot_spans=20)
+    windows = 60 * 111
+    assert len(made["window-hot"]) > 1 and sum(made["window-hot"]) > 0
+    assert sum(sum(n) for name, n in made.items() if name in ("window-again", "window-singles")) < windows / 4
+
+
+def test_longer_grams_anchor_equal_windows_alike():
+    import numpy as np
+
+    grams = [8]
+    while grams[-1] < 50:
+        grams.append(ww.longer_gram(grams[-1], 50))
+    assert grams == [8, 41, 49, 50]
+    r = np.random.default_rng(2)
+    own = r.integers(0, 1 << 63, 80, dtype=np.uint64)
+    other = np.concatenate([r.integers(0, 1 << 63, 30, dtype=np.uint64), own[10:70], r.integers(0, 1 << 63, 30, dtype=np.uint64)])
+    wanted = np.ones(200, bool)
+    wanted[[14, 115]] = False
+    for gram in grams:
+        doc, start, count, anchor, _, _ = ww.spans_of(np.concatenate([own, other]), np.array([0, 80, 200]), 50, gram, wanted)
+        at = {(d, s + i): a for d, s, n, a in zip(doc.tolist(), start.tolist(), count.tolist(), anchor.tolist()) for i in range(n)}
+        assert len(at) == 31 + 71 - 2 and (0, 14) not in at and (1, 35) not in at
+        assert all(at[0, p] == at[1, p + 20] for p in range(10, 21) if p not in (14, 15))
+
+
 def test_none(spark):
     assert ww.remove_passages(docs(spark, [])).collect() == []
     rows = ww.remove_passages(docs(spark, [(1, None), (2, ""), (3, "a b")])).collect()
