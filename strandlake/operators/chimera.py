@@ -41,10 +41,22 @@ def windows(inserts: DataFrame, width: int = WINDOW, step: int = STEP, seq: str
 
 def window_calls(inserts: DataFrame, groups: DataFrame, k: int, width: int = WINDOW, step: int = STEP, least_score: float = 1.0, max_owners: int | None = None) -> DataFrame:
     """read_uid, window and the best reference of each window (null: none) for inserts of (read_uid, library_id, insert)."""
-    cut = windows(inserts, width, step).withColumn("window_uid", F.concat_ws("#", "read_uid", F.col("window").cast("string")))
-    best = kmers.shortlist(cut.select("window_uid", "library_id", "query"), kmers.build_index(groups, k, max_owners), k, 1, least_score, "window_uid")
-    named = best.select("window_uid", F.split("alias_key", "\\|")[0].alias("name"))
-    return cut.select("read_uid", "window", "window_uid").join(named, "window_uid", "left").select("read_uid", "window", "name")
+    if width < 1 or step < 1:
+        raise ValueError("width and step are positive")
+    index = kmers.build_index(groups, k, max_owners)
+    rows = kmers.kmer_rows(inserts.select("read_uid", "library_id", F.col("insert").alias("query")), "query", k, ["read_uid", "library_id"], index, width, step)
+    best = kmers.best_references(rows, index, ["read_uid", "library_id", "window"], 1, least_score)
+    named = best.select("read_uid", "library_id", F.struct("window", F.split("alias_key", "\\|")[0].alias("name")).alias("call"))
+    found = named.groupBy(F.col("read_uid").alias("_uid"), F.col("library_id").alias("_library")).agg(F.array_sort(F.collect_list("call")).alias("_calls"))
+    # between two calls a null for each window without one: no row of a window is joined
+    told = inserts.select("read_uid", "library_id", (F.floor(F.greatest(F.length("insert") - width, F.lit(0)) / step) + 1).cast("int").alias("_n"))
+    told = told.join(found, F.col("read_uid").eqNullSafe(F.col("_uid")) & (F.col("library_id") == F.col("_library")), "left")
+    none = F.lit(None).cast("string")
+    before = lambda i: F.coalesce(F.get("_calls", i - 1)["window"], F.lit(-1))
+    gaps = F.flatten(F.transform("_calls", lambda x, i: F.concat(F.array_repeat(none, x["window"] - before(i) - 1), F.array(x["name"]))))
+    rest = F.array_repeat(none, F.greatest(F.col("_n") - 1 - F.coalesce(F.element_at("_calls", -1)["window"], F.lit(-1)), F.lit(0)))
+    names = F.slice(F.concat(F.coalesce(gaps, F.array().cast("array<string>")), rest), F.lit(1), F.col("_n"))
+    return told.select("read_uid", F.posexplode(names).alias("window", "name"))
 
 
 def collapse(names: Column) -> Column:
