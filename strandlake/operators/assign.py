@@ -19,10 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kmers
-from .bands import LANES, place_many
+from .bands import place_many
+from .distances import pieces
 from .flanks import Flanks
 from .motifs import MotifPair
 
+#: Bytes of the sequences whose pairs are aligned at once: the more, the fuller the lanes.
+PAIR_BYTES = 32 << 20
 GEOMETRY = "edit_distance int, identity double, query_coverage double, reference_coverage double, query_start int, query_end int, reference_start int, reference_end int"
 _FIELDS = [(f.split()[0], {"int": pa.int32(), "double": pa.float64()}[f.split()[1]]) for f in GEOMETRY.split(", ")]
 
@@ -78,8 +81,7 @@ def aligned(pairs: DataFrame, rivals: str | None = None) -> DataFrame:
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, LANES):
-                part = batch.slice(at, LANES)
+            for part in pieces(batch, ("query", "sequence"), PAIR_BYTES):
                 found = place_many(part.column("query").to_pylist(), part.column("sequence").to_pylist(), part.column(rivals).to_pylist() if rivals else None)
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), *(pa.array(found[n], t) for n, t in _FIELDS)], [*(f.name for f in keep), *(n for n, _ in _FIELDS)])
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from strandlake.operators import alignment as al
@@ -90,3 +91,30 @@ def test_large_paths_go_to_the_kernel(monkeypatch):
     r = random.Random(3)
     own = [("".join(r.choice("ACGT") for _ in range(n)), "".join(r.choice("ACGT") for _ in range(m))) for n, m in ((40, 300), (300, 40), (20, 22))]
     assert bands.path_many([a for a, _ in own], [b for _, b in own]) == [al.global_path(a, b) for a, b in own]
+
+
+def test_long_texts_are_cut_into_stretches_of_like_length():
+    m, n = np.array([200, 200, 300, 3000]), np.array([150, 40_000, 2_700, 40_000])
+    of, begin, end = bands.stretches(m, n)
+    assert (end - begin).max() <= np.maximum(2048, 4 * m).max() + 2 * m.max() and (end - begin)[of < 3].max() <= 2048 + 600
+    for k in range(len(m)):
+        b, e = begin[of == k], end[of == k]
+        assert b[0] == 0 and e[-1] == n[k] and (e[:-1] - b[1:] == 2 * m[k]).all() and (e > b).all()
+
+
+def test_stretches_tell_what_whole_texts_do(monkeypatch):
+    monkeypatch.setattr(bands, "STRETCH", 1)
+    monkeypatch.setattr(bands, "COLUMNS", 7)
+    r = random.Random(12)
+    dna = lambda n: "".join(r.choice("ACGTN") for _ in range(n))
+    queries, references = [], []
+    for _ in range(120):
+        p = dna(r.choice((9, 70, 130, 200)))
+        spots = [dna(r.randint(0, 900)), "".join(c for c in p if r.random() > 0.1), dna(r.randint(0, 400)), p[:-1] + "A", dna(r.randint(0, 300)), p[:-1] + "A"]
+        queries.append("".join(spots[: r.randint(1, 6)]) or "A")
+        references.append(p)
+    queries += ["A" * 900, "AC" * 700] * 20
+    references += ["T" * 70, "CA" * 50] * 20
+    got = bands.place_many(queries, references)
+    for k, (q, s) in enumerate(zip(queries, references)):
+        assert {name: got[name][k] for name in got} == al.place(q, s)
