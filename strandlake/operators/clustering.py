@@ -3,9 +3,10 @@
 The reads are projected on a polished scaffold; places where a second allele is
 frequent enough describe each read, and reads gather round centres that differ from
 them in few of those places, with the centres taken anew until nothing moves. A well
-of up to WELL_LIMIT reads is one task. In a larger one the reads are projected and
-counted where they lie, and one task gathers only the few bases that describe each
-read; the results are the same. Beyond VECTOR_LIMIT reads of one well, an error.
+of up to WELL_LIMIT reads is in one task, with others up to BLOCK reads, whose
+alignments go side by side. In a larger one the reads are projected and counted where
+they lie, and one task gathers only the few bases that describe each read; the results
+are the same. Beyond VECTOR_LIMIT reads of one well, an error.
 """
 
 from __future__ import annotations
@@ -17,11 +18,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .alignment import projected
-from .bands import path_many
 from .kmers import checkpointed
+from .projections import project_many
 
 WELL_LIMIT = 20_000
+BLOCK = 4096
 VECTOR_LIMIT = 4_000_000
 SALTS = 64
 SLICE = 256
@@ -47,20 +48,34 @@ class ClusterSettings:
             raise ValueError("clusters have one read or more, an allele less than half of them")
 
 
-def matrix(reads: list[str], scaffold: str) -> np.ndarray:
+def matrix(rows: list[np.ndarray], width: int) -> np.ndarray:
     """A row for each read: its base (or gap) at each place of the scaffold."""
-    paths = path_many(reads, [scaffold] * len(reads))
-    return np.array([projected(r, scaffold, GAP, p) for r, p in zip(reads, paths, strict=True)], "U1").reshape(len(reads), len(scaffold))
+    return np.array(rows, "U1").reshape(len(rows), width)
+
+
+def alphabet(rows: np.ndarray) -> list[str]:
+    """The bases of the rows, in order, without the gap."""
+    codes, seen = rows.view(np.uint32), set()
+    for i in range(0, len(codes), SLICE):
+        seen.update(np.unique(codes[i : i + SLICE]).tolist())
+    return [chr(c) for c in sorted(seen) if c != ord(GAP)]
+
+
+def counts(rows: np.ndarray, base: str) -> np.ndarray:
+    """How many rows have the base, by column."""
+    return np.count_nonzero(rows.view(np.uint32) == ord(base), axis=0)
 
 
 def modal(rows: np.ndarray) -> np.ndarray:
     """The most frequent base of each column, the first of equal ones, gap if all are."""
-    alphabet = [b for b in np.unique(rows) if b != GAP]
-    if not alphabet or not len(rows):
+    if len(rows) == 1:
+        return rows[0]
+    bases = alphabet(rows)
+    if not bases:
         return np.full(rows.shape[1], GAP)
-    votes = np.array([(rows == b).sum(0) for b in alphabet])
+    votes = np.array([counts(rows, b) for b in bases])
     best = votes.argmax(0)
-    return np.where(votes.max(0) > 0, np.array(alphabet)[best], GAP)
+    return np.where(votes.max(0) > 0, np.array(bases)[best], GAP)
 
 
 def seed_of(reads: list[str]) -> int:
@@ -71,7 +86,8 @@ def seed_of(reads: list[str]) -> int:
 
 def variant_places(rows: np.ndarray, s: ClusterSettings) -> np.ndarray:
     """Columns deep enough whose second allele is frequent enough."""
-    votes = np.sort(np.array([(rows == b).sum(0) for b in BASES]), 0)
+    present = alphabet(rows)
+    votes = np.sort(np.array([counts(rows, b) if b in present else np.zeros(rows.shape[1], int) for b in BASES]), 0)
     depth = votes.sum(0)
     return np.flatnonzero((depth >= max(s.min_size, 2)) & (votes[-2] > 0) & (votes[-2] >= s.min_allele * depth))
 
@@ -151,38 +167,73 @@ def gather(names: list[str], vectors: np.ndarray, s: ClusterSettings) -> tuple[l
     return out, f"{len(big)} clusters"
 
 
+def clusters(wells: list[tuple[list[str], list[str]]], s: ClusterSettings = ClusterSettings()) -> list[tuple[list[int | None], list[int], str]]:
+    """For the names and reads of each well: the cluster of each read (largest first; None: in none), the variant places, and why.
+
+    Reads of all wells are aligned side by side, and a second time only where polishing changes the scaffold."""
+    out: list = [([None] * len(reads), [], "too few reads") for _, reads in wells]
+    scaffolds = {k: reads[seed_of(reads)] for k, (_, reads) in enumerate(wells) if len(reads) >= s.min_size}
+    rows: dict[int, np.ndarray] = {}
+    again = list(scaffolds)
+    for first in (True, False):
+        laid = iter(project_many([q for k in again for q in wells[k][1]], [scaffolds[k] for k in again for _ in wells[k][1]], GAP))
+        for k in again:
+            rows[k] = matrix([next(laid) for _ in wells[k][1]], len(scaffolds[k]))
+        if first:
+            polished = {k: "".join(b for b in modal(rows[k]) if b != GAP) for k in again}
+            again = [k for k in again if polished[k] != scaffolds[k]]
+            scaffolds |= polished
+    for k, (names, reads) in enumerate(wells):
+        if k in rows:
+            own = rows.pop(k)
+            places = variant_places(own, s)
+            if len(places) < s.min_places:
+                out[k] = [0] * len(reads), places.tolist(), FEW_PLACES
+            else:
+                found, why = gather(names, own[:, places], s)
+                out[k] = found, places.tolist(), why
+    return out
+
+
 def cluster(names: list[str], reads: list[str], s: ClusterSettings = ClusterSettings()) -> tuple[list[int | None], list[int], str]:
-    """For each read its cluster (largest first; None: in none), the variant places, and why."""
-    n = len(reads)
-    if n < s.min_size:
-        return [None] * n, [], "too few reads"
-    polished = "".join(b for b in modal(matrix(reads, reads[seed_of(reads)])) if b != GAP)
-    rows = matrix(reads, polished)
-    places = variant_places(rows, s)
-    if len(places) < s.min_places:
-        return [0] * n, places.tolist(), FEW_PLACES
-    found, why = gather(names, rows[:, places], s)
-    return found, places.tolist(), why
-
-
-def _projected_votes(reads: DataFrame, scaffolds: DataFrame) -> DataFrame:
-    """_well, position, base, n over reads and the scaffold of their well."""
+    """`clusters` of one well."""
+    return clusters([(names, reads)], s)[0]
+
+
+def _laid(reads: DataFrame, scaffolds: DataFrame) -> DataFrame:
+    """_well, read_uid, row: the bases of the reads at the places of the scaffold of their well."""
+
+    def lay(batches):
+        for pdf in batches:
+            for i in range(0, len(pdf), BLOCK):
+                own = pdf.iloc[i : i + BLOCK]
+                rows = project_many(own["sequence"].tolist(), own["scaffold"].tolist(), GAP)
+                yield pd.DataFrame({"_well": own["_well"], "read_uid": own["read_uid"], "row": [x.tobytes().decode("utf-32-le") for x in rows]})
+
+    return checkpointed(_meet(reads, scaffolds).mapInPandas(lay, "_well string, read_uid string, row string"), "rows")
+
+
+def _rows(texts: pd.Series) -> np.ndarray:
+    """Rows of one length as a matrix."""
+    return np.frombuffer("".join(texts).encode("utf-32-le"), "U1").reshape(len(texts), -1)
+
+
+def _votes(laid: DataFrame) -> DataFrame:
+    """_well, position, base, n over rows."""
 
     def count(batches):
         for pdf in batches:
-            for name, own in pdf.groupby("_well", dropna=False, sort=False):
-                scaffold = own["scaffold"].iloc[0]
+            for name, own in pdf[pdf["row"] != ""].groupby("_well", dropna=False, sort=False):
                 votes: dict[str, np.ndarray] = {}
                 for i in range(0, len(own), SLICE):
-                    rows = matrix(own["sequence"].iloc[i : i + SLICE].tolist(), scaffold)
-                    for b in np.unique(rows):
-                        if b != GAP:
-                            votes[str(b)] = votes.get(str(b), 0) + (rows == b).sum(0)
+                    rows = _rows(own["row"].iloc[i : i + SLICE])
+                    for b in alphabet(rows):
+                        votes[b] = votes.get(b, 0) + counts(rows, b)
                 for b, n in votes.items():
                     at = np.flatnonzero(n)
                     yield pd.DataFrame({"_well": None if pd.isna(name) else name, "position": at, "base": b, "n": n[at]})
 
-    return _meet(reads, scaffolds).mapInPandas(count, "_well string, position long, base string, n long").groupBy("_well", "position", "base").agg(F.sum("n").alias("n"))
+    return laid.mapInPandas(count, "_well string, position long, base string, n long").groupBy("_well", "position", "base").agg(F.sum("n").alias("n"))
 
 
 def _meet(reads: DataFrame, scaffolds: DataFrame) -> DataFrame:
@@ -201,23 +252,30 @@ def _spread(reads: DataFrame, s: ClusterSettings) -> DataFrame:
     middle = ranked.where(F.col("_upto") > F.floor(F.col("_all") / 2)).groupBy("_well").agg(F.min("_length").alias("middle"))
     off = F.abs(F.col("_length") - F.col("middle"))
     seeds = checkpointed(_meet(sized, middle).groupBy("_well").agg(F.min_by("sequence", F.struct(off, "read_uid", "sequence")).alias("scaffold")), "seeds")
-    first = _projected_votes(reads, seeds).groupBy("_well", "position").agg(F.max_by("base", F.struct("n", -F.ascii("base"))).alias("base"))
+    laid = _laid(reads, seeds)
+    first = _votes(laid).groupBy("_well", "position").agg(F.max_by("base", F.struct("n", -F.ascii("base"))).alias("base"))
     letters = F.transform(F.array_sort(F.collect_list(F.struct("position", "base"))), lambda x: x["base"])
-    polished = checkpointed(seeds.select("_well").join(first.groupBy(F.col("_well").alias("_at")).agg(F.array_join(letters, "").alias("scaffold")), F.col("_well").eqNullSafe(F.col("_at")), "left").select("_well", F.coalesce("scaffold", F.lit("")).alias("scaffold")), "polished")
-    votes = _projected_votes(reads, polished).where(F.col("base").isin(*BASES)).groupBy("_well", "position").agg(F.sum("n").alias("depth"), F.sort_array(F.collect_list("n"), False).alias("votes"))
+    joined = seeds.join(first.groupBy(F.col("_well").alias("_at")).agg(F.array_join(letters, "").alias("polished")), F.col("_well").eqNullSafe(F.col("_at")), "left")
+    polished = checkpointed(joined.select("_well", F.coalesce("polished", F.lit("")).alias("scaffold"), (F.col("scaffold") == F.coalesce("polished", F.lit(""))).alias("same")), "polished")
+    changed = polished.where(~F.col("same")).drop("same")
+    if not changed.isEmpty():  # else the rows are those on the seeds
+        other = changed.select(F.col("_well").alias("_at"))
+        same = F.col("_well").eqNullSafe(F.col("_at"))
+        laid = laid.join(other, same, "left_anti").unionByName(_laid(reads.join(other, same, "left_semi"), changed))
+    votes = _votes(laid).where(F.col("base").isin(*BASES)).groupBy("_well", "position").agg(F.sum("n").alias("depth"), F.sort_array(F.collect_list("n"), False).alias("votes"))
     second = F.coalesce(F.get("votes", F.lit(1)), F.lit(0))
     variant = votes.where((F.col("depth") >= max(s.min_size, 2)) & (second > 0) & (second >= s.min_allele * F.col("depth")))
     lists = variant.groupBy(F.col("_well").alias("_at")).agg(F.sort_array(F.collect_list("position")).alias("places"))
-    told = checkpointed(polished.join(lists, F.col("_well").eqNullSafe(F.col("_at")), "left").select("_well", "scaffold", F.coalesce("places", F.array().cast("array<long>")).alias("places")), "places")
+    told = checkpointed(polished.join(lists, F.col("_well").eqNullSafe(F.col("_at")), "left").select(F.col("_well").alias("_at"), F.coalesce("places", F.array().cast("array<long>")).alias("places")), "places")
 
     def describe(batches):
         for pdf in batches:
             wanted = [len(at) >= s.min_places for at in pdf["places"]]
-            paths = path_many([q if w else "" for q, w in zip(pdf["sequence"], wanted, strict=True)], [c if w else "" for c, w in zip(pdf["scaffold"], wanted, strict=True)])
-            vectors = ["".join(np.array(projected(q, c, GAP, path), "U1")[np.asarray(at, int)]) if w else "" for q, c, at, w, path in zip(pdf["sequence"], pdf["scaffold"], pdf["places"], wanted, paths, strict=True)]
+            vectors = ["".join(map(row.__getitem__, at)) if w else "" for row, at, w in zip(pdf["row"], pdf["places"], wanted, strict=True)]
             yield pd.DataFrame({"_well": pdf["_well"], "read_uid": pdf["read_uid"], "vector": vectors, "n_places": pdf["places"].map(len)})
 
-    vectors = checkpointed(_meet(reads, told).mapInPandas(describe, "_well string, read_uid string, vector string, n_places int"), "vectors")
+    known = laid.join(F.broadcast(told), F.col("_well").eqNullSafe(F.col("_at"))).drop("_at")  # a row for each large well
+    vectors = checkpointed(known.mapInPandas(describe, "_well string, read_uid string, vector string, n_places int"), "vectors")
     few = vectors.where(F.col("n_places") < s.min_places).select("_well", "read_uid", F.lit(0).alias("cluster"), "n_places", F.lit(FEW_PLACES).alias("reason"))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -230,26 +288,48 @@ def _spread(reads: DataFrame, s: ClusterSettings) -> DataFrame:
     return many.unionByName(few)
 
 
+def _whole(reads: DataFrame, count: int, s: ClusterSettings) -> DataFrame:
+    """Clusters of the wells whose reads, so many in all, are in one task: those of a few wells at a time."""
+
+    def told(wells: list[pd.DataFrame]) -> pd.DataFrame:
+        wells = [pdf.sort_values("read_uid", kind="stable") for pdf in wells]
+        found = clusters([(pdf["read_uid"].tolist(), pdf["sequence"].tolist()) for pdf in wells], s)
+        parts = [pd.DataFrame({"_well": pdf["_well"], "read_uid": pdf["read_uid"], "cluster": pd.array(own, "Int32"), "n_places": len(places), "reason": why}) for pdf, (own, places, why) in zip(wells, found, strict=True)]
+        return pd.concat(parts)
+
+    def gathered(batches):
+        ready, held, parts, last = [], 0, [], None
+        for pdf in batches:
+            for name, own in pdf.groupby("_well", dropna=False, sort=False):
+                name = (None if pd.isna(name) else name,)
+                if parts and name != last:  # the wells come one after the other
+                    ready.append(pd.concat(parts))
+                    held, parts = held + len(ready[-1]), []
+                    if held >= BLOCK:
+                        yield told(ready)
+                        ready, held = [], 0
+                parts.append(own)
+                last = name
+        if parts:
+            yield told([*ready, pd.concat(parts)])
+
+    partitions = max(2 * reads.sparkSession.sparkContext.defaultParallelism, -(-count // BLOCK))  # the cost is in the rows, not in their bytes
+    sorted_ = reads.repartition(partitions, "_well").sortWithinPartitions("_well")
+    return sorted_.mapInPandas(gathered, "_well string, read_uid string, cluster int, n_places int, reason string")
+
+
 def cluster_reads(reads: DataFrame, s: ClusterSettings = ClusterSettings(), well: str = "well_id") -> DataFrame:
     """well, read_uid, cluster, n_places, reason for reads of (well, read_uid, sequence)."""
     counted = reads.groupBy(F.col(well).alias("_well")).count()
     large = counted.where(F.col("count") > max(WELL_LIMIT, s.min_size))
-    widest = large.agg(F.max_by("_well", "count"), F.max("count")).first()
+    widest = counted.agg(F.max_by("_well", "count"), F.max("count"), F.sum("count")).first()
     if (widest[1] or 0) > VECTOR_LIMIT:
         raise ValueError(f"well {widest[0]} has more than {VECTOR_LIMIT} reads")
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("read_uid", kind="stable")
-        found, places, why = cluster(pdf["read_uid"].tolist(), pdf["sequence"].fillna("").tolist(), s)
-        return pd.DataFrame({"_well": pdf["_well"], "read_uid": pdf["read_uid"], "cluster": pd.array(found, "Int32"), "n_places": len(places), "reason": why})
-
     own = reads.select(F.col(well).cast("string").alias("_well"), "read_uid", F.coalesce("sequence", F.lit("")).alias("sequence"))
-    small = own
-    if widest[1] is not None:
-        names = large.select(F.col("_well").cast("string").alias("_at"))
-        same = F.col("_well").eqNullSafe(F.col("_at"))
-        small = own.join(names, same, "left_anti")
-    out = small.groupBy("_well").applyInPandas(one, "_well string, read_uid string, cluster int, n_places int, reason string")
-    if widest[1] is not None:
-        out = out.unionByName(_spread(own.join(names, same, "left_semi"), s))
+    if (widest[1] or 0) <= max(WELL_LIMIT, s.min_size):
+        return _whole(own, widest[2] or 0, s).withColumnRenamed("_well", well)
+    names = large.select(F.col("_well").cast("string").alias("_at"))
+    same = F.col("_well").eqNullSafe(F.col("_at"))
+    out = _whole(own.join(names, same, "left_anti"), widest[2], s).unionByName(_spread(own.join(names, same, "left_semi"), s))
     return out.withColumnRenamed("_well", well)

@@ -73,8 +73,9 @@ def consensus_path(spark, sf):
 @query("cluster_reads")
 def cluster_reads(spark, sf):
     """Clusters of the whole reads of each language, source and length class."""
-    r = views.reads(spark, sf).where(F.length("sequence") > 0)
-    wells = r.select(F.concat_ws(":", "plate_id", "well_id", (F.length("sequence") % 11).cast("string")).alias("well_id"), F.col("doc_id").cast("string").alias("read_uid"), "sequence")
+    d = views.table(spark, sf, "documents").where(F.lower("text").rlike("[a-z]"))  # others have an empty read; the reads need not be made to tell
+    length = F.length(views.letters(F.col("text")))  # that of the read
+    wells = d.select(F.concat_ws(":", "lang", "source", (length % 11).cast("string")).alias("well_id"), F.col("doc_id").cast("string").alias("read_uid"), views.encoded(F.col("text")).alias("sequence"))
     return clustering.cluster_reads(wells)
 
 
