@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .kmers import checkpointed
+from .kmers import checkpointed, spread
 from .projections import project_many
 
 WELL_LIMIT = 20_000
@@ -284,7 +284,8 @@ def _spread(reads: DataFrame, s: ClusterSettings) -> DataFrame:
         found, why = gather(pdf["read_uid"].tolist(), rows, s)
         return pd.DataFrame({"_well": pdf["_well"], "read_uid": pdf["read_uid"], "cluster": pd.array(found, "Int32"), "n_places": pdf["n_places"], "reason": why})
 
-    many = vectors.where(F.col("n_places") >= s.min_places).groupBy("_well").applyInPandas(one, "_well string, read_uid string, cluster int, n_places int, reason string")
+    dealt = vectors.where(F.col("n_places") >= s.min_places).repartition(spread(reads.sparkSession), "_well")  # few bytes, but much work
+    many = dealt.groupBy("_well").applyInPandas(one, "_well string, read_uid string, cluster int, n_places int, reason string")
     return many.unionByName(few)
 
 
@@ -320,7 +321,7 @@ def _whole(reads: DataFrame, count: int, s: ClusterSettings) -> DataFrame:
 
 def cluster_reads(reads: DataFrame, s: ClusterSettings = ClusterSettings(), well: str = "well_id") -> DataFrame:
     """well, read_uid, cluster, n_places, reason for reads of (well, read_uid, sequence)."""
-    counted = reads.groupBy(F.col(well).alias("_well")).count()
+    counted = checkpointed(reads.groupBy(F.col(well).cast("string").alias("_well")).count(), "counted")
     large = counted.where(F.col("count") > max(WELL_LIMIT, s.min_size))
     widest = counted.agg(F.max_by("_well", "count"), F.max("count"), F.sum("count")).first()
     if (widest[1] or 0) > VECTOR_LIMIT:
@@ -329,7 +330,8 @@ def cluster_reads(reads: DataFrame, s: ClusterSettings = ClusterSettings(), well
     own = reads.select(F.col(well).cast("string").alias("_well"), "read_uid", F.coalesce("sequence", F.lit("")).alias("sequence"))
     if (widest[1] or 0) <= max(WELL_LIMIT, s.min_size):
         return _whole(own, widest[2] or 0, s).withColumnRenamed("_well", well)
-    names = large.select(F.col("_well").cast("string").alias("_at"))
+    names = F.broadcast(large.select(F.col("_well").alias("_at")))  # one row for WELL_LIMIT reads at most
     same = F.col("_well").eqNullSafe(F.col("_at"))
-    out = _whole(own.join(names, same, "left_anti"), widest[2], s).unionByName(_spread(own.join(names, same, "left_semi"), s))
+    many = checkpointed(own.join(names, same, "left_semi"), "large")  # gone through several times
+    out = _whole(own.join(names, same, "left_anti"), widest[2], s).unionByName(_spread(many, s))
     return out.withColumnRenamed("_well", well)
